@@ -1,0 +1,7 @@
+"""No streaming layer.
+
+The warehouse is a monthly full refresh: observations may be edited at any
+time upstream, so every run overwrites every table (see plans.refresh). There
+is no watermark, window or stateful operator to rebuild, and none is
+invented here.
+"""
