@@ -30,6 +30,10 @@ def _sql(c: Column | str) -> str:
 
 
 def wkt_rings(wkt_col: str) -> Column:
+    return F.expr(wkt_rings_sql(wkt_col))
+
+
+def wkt_rings_sql(wkt_col: str) -> str:
     """Parse POLYGON / MULTIPOLYGON WKT text into rings.
 
     Each innermost parenthesised group is one ring's vertex list, so nesting
@@ -37,21 +41,30 @@ def wkt_rings(wkt_col: str) -> Column:
     Malformed numbers raise under ANSI mode (fail fast, like a load error).
     """
     w = _sql(wkt_col)
-    return F.expr(
-        f"""transform(
-              regexp_extract_all({w}, '\\\\(([^()]*)\\\\)', 1),
-              s -> transform(
-                     filter(split(trim(s), '\\\\s*,\\\\s*'), p -> p <> ''),
-                     p -> named_struct(
-                            'x', cast(split(trim(p), '\\\\s+')[0] as double),
-                            'y', cast(split(trim(p), '\\\\s+')[1] as double))))"""
+    # Per ring: one scan for its numbers (literal patterns are compiled once
+    # per task), then pair them up by index. Z / M ordinates are skipped by
+    # striding over 3 or 4 numbers per vertex.
+    stride = (f"(2 + CASE WHEN upper({w}) RLIKE '^\\\\s*\\\\w+\\\\s+(Z|M)\\\\s*\\\\(' THEN 1 "
+              f"WHEN upper({w}) RLIKE '^\\\\s*\\\\w+\\\\s+ZM\\\\s*\\\\(' THEN 2 ELSE 0 END)")
+    # element_at(transform(array(v), st -> ...), 1) binds the stride once per
+    # row instead of re-testing the WKT tag for every vertex.
+    return (
+        f"""element_at(transform(array({stride}), st -> transform(
+              transform(regexp_extract_all({w}, '\\\\(([^()]*)\\\\)', 1),
+                        s -> cast(regexp_extract_all(s, '([-+0-9.eE]+)', 1) AS array<double>)),
+              c -> transform(sequence(0, CAST(size(c) DIV st AS INT) - 1),
+                             i -> named_struct('x', c[i * st], 'y', c[i * st + 1])))), 1)"""
     )
 
 
 def rings_to_edges(rings_col: str) -> Column:
     """Rings -> closed boundary segments (closing segment added if missing)."""
+    return F.expr(rings_to_edges_sql(rings_col))
+
+
+def rings_to_edges_sql(rings_col: str) -> str:
     r = _sql(rings_col)
-    return F.expr(
+    return (
         f"""flatten(transform({r}, r ->
               CASE WHEN size(r) < 2 THEN cast(array() AS {_EDGE_T})
               ELSE concat(
@@ -67,19 +80,27 @@ def rings_to_edges(rings_col: str) -> Column:
 
 def edges_bbox(edges_col: str) -> dict[str, Column]:
     """Bounding box of an edge array (NULL for NULL / empty geometry)."""
+    return {k: F.expr(v) for k, v in edges_bbox_sql(edges_col).items()}
+
+
+def edges_bbox_sql(edges_col: str) -> dict[str, str]:
     e = _sql(edges_col)
     return {
-        "xmin": F.expr(f"array_min(transform({e}, s -> least(s.x1, s.x2)))"),
-        "ymin": F.expr(f"array_min(transform({e}, s -> least(s.y1, s.y2)))"),
-        "xmax": F.expr(f"array_max(transform({e}, s -> greatest(s.x1, s.x2)))"),
-        "ymax": F.expr(f"array_max(transform({e}, s -> greatest(s.y1, s.y2)))"),
+        "xmin": f"array_min(transform({e}, s -> least(s.x1, s.x2)))",
+        "ymin": f"array_min(transform({e}, s -> least(s.y1, s.y2)))",
+        "xmax": f"array_max(transform({e}, s -> greatest(s.x1, s.x2)))",
+        "ymax": f"array_max(transform({e}, s -> greatest(s.y1, s.y2)))",
     }
 
 
 def edges_length(edges_col: str) -> Column:
     """Total boundary length (planar units)."""
+    return F.expr(edges_length_sql(edges_col))
+
+
+def edges_length_sql(edges_col: str) -> str:
     e = _sql(edges_col)
-    return F.expr(
+    return (
         f"aggregate({e}, 0D, (a, s) -> a + sqrt((s.x2 - s.x1) * (s.x2 - s.x1)"
         f" + (s.y2 - s.y1) * (s.y2 - s.y1)))"
     )
@@ -91,8 +112,12 @@ def edges_area(edges_col: str) -> Column:
     Holes count negative when they wind opposite to their shell, which is
     the convention of shapefile and OGC polygons.
     """
+    return F.expr(edges_area_sql(edges_col))
+
+
+def edges_area_sql(edges_col: str) -> str:
     e = _sql(edges_col)
-    return F.expr(f"abs(aggregate({e}, 0D, (a, s) -> a + (s.x1 * s.y2 - s.x2 * s.y1)) / 2)")
+    return f"abs(aggregate({e}, 0D, (a, s) -> a + (s.x1 * s.y2 - s.x2 * s.y1)) / 2)"
 
 
 def point(lon: str, lat: str) -> Column:

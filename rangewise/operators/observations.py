@@ -3,11 +3,11 @@ the species' known range.
 
 Plan (one shuffle on the fact):
 
-1. species of the class x range geometry rows -> ``(taxon_id, edges, bbox)``:
-   small x small, done once;
-2. observations x that table on ``taxon_id``: a broadcast hash join when the
-   geometry fits the budget (no shuffle of the fact, hot species harmless),
-   else a shuffle join salted on hot species;
+1. observations x species of the class on ``taxon_id`` (broadcast, measured):
+   keeps the class's observations and adds the species name;
+2. x the class's range geometry rows on the name: a broadcast hash join when
+   the geometry's size bound fits the budget (no shuffle of the fact, a hot
+   species is harmless), else a shuffle join salted on hot species;
 3. per (observation, geometry row) the strict point-in-polygon test;
 4. GROUP BY the 8 observation columns with ``max(flag)``: collapses exact
    duplicate observation rows and ORs the geometry rows (NULL ignored). The
@@ -25,35 +25,45 @@ from pyspark.sql import functions as F
 
 from rangewise.functions.geo import point, within
 from rangewise.operators.joins import bounded_broadcast, salted_join_keys
-from rangewise.operators.taxa import class_species
+from rangewise.operators.taxa import species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
 OBS_KEYS = ["observation_uuid", "observer_id", "latitude", "longitude", "positional_accuracy",
             "taxon_id", "quality_grade", "observed_on"]
 
 
-def geometry_by_taxon(layer: DataFrame, taxa: DataFrame,
-                      scope: ClassScope = DEFAULT_SCOPE) -> DataFrame:
-    """Range geometry rows keyed by the species' taxon id."""
-    sp = class_species(taxa, scope).select("taxon_id", "taxon_name")
-    sp, _ = bounded_broadcast(sp)
-    geo = layer.select("geom_row_id", "binomial", "edges", "xmin", "ymin", "xmax", "ymax")
-    return geo.join(sp, geo["binomial"] == sp["taxon_name"]).select(
-        "taxon_id", "geom_row_id", "edges", "xmin", "ymin", "xmax", "ymax")
+def class_geometry(layer: DataFrame, taxa: DataFrame,
+                   scope: ClassScope = DEFAULT_SCOPE) -> DataFrame:  # noqa: D401
+    """Range geometry rows of the class's species, keyed by species name.
+
+    A semi join: it only filters, so its size is bounded by the layer's and
+    duplicate names in the taxonomy do not multiply geometry rows here.
+    """
+    sp = species_dim(taxa, scope)
+    geo = layer.select(F.col("binomial").alias("taxon_name"), "edges", "xmin", "ymin", "xmax",
+                       "ymax", "geom_bytes")
+    return geo.join(sp.select("taxon_name"), "taxon_name", "left_semi")
 
 
 def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: DataFrame,
                          scope: ClassScope = DEFAULT_SCOPE, *, with_point: bool = True,
-                         force_shuffle: bool = False) -> DataFrame:
+                         force_shuffle: bool = False,
+                         geometry_fits: bool | None = None) -> DataFrame:
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
-    geo = geometry_by_taxon(layer, taxa, scope)
-    geo_bytes = F.lit(64) + F.coalesce(F.size("edges"), F.lit(0)) * 32
-    geo_b, fits = (geo, False) if force_shuffle else bounded_broadcast(geo, size_expr=geo_bytes)
+    # observations of the class's species, with the species name
+    obs = obs.join(species_dim(taxa, scope), "taxon_id")
+    geo = class_geometry(layer, taxa, scope)
+    if force_shuffle:
+        geo_b, fits = geo, False
+    elif geometry_fits is not None:
+        geo_b, fits = (F.broadcast(geo), True) if geometry_fits else (geo, False)
+    else:
+        geo_b, fits = bounded_broadcast(geo, size_expr=F.col("geom_bytes"))
     if fits:
-        pairs = obs.join(geo_b, "taxon_id")
+        pairs = obs.join(geo_b, "taxon_name")
     else:
-        o, g = salted_join_keys(obs, geo, "taxon_id", F.col("observation_uuid"))
-        pairs = o.join(g, ["taxon_id", "_salt"]).drop("_salt")
+        o, g = salted_join_keys(obs, geo, "taxon_name", F.col("observation_uuid"))
+        pairs = o.join(g, ["taxon_name", "_salt"]).drop("_salt")
     flagged = pairs.select(*OBS_KEYS, within("longitude", "latitude", "edges").alias("_inside"))
     fact = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("observed_in_known_area"))
     cols = [

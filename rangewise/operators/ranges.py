@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.operators.joins import bounded_broadcast
-from rangewise.operators.taxa import class_species
+from rangewise.operators.taxa import species_dim
 from rangewise.schemas import IUCN_CATEGORIES
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
@@ -25,8 +24,7 @@ def category_name(code: Column) -> Column:
 
 def species_ranges(layer: DataFrame, taxa: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
                    with_geometry: bool = True) -> DataFrame:
-    sp = class_species(taxa, scope).select("taxon_id", "taxon_name")
-    sp, _ = bounded_broadcast(sp)
+    sp = species_dim(taxa, scope)
     out = layer.join(sp, layer["binomial"] == sp["taxon_name"]).select(
         F.col("id_no").alias("iucn_id"),
         "taxon_id",

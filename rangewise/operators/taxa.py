@@ -8,6 +8,8 @@ never matches a taxon to itself (the row is kept with NULL attributes).
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from rangewise.operators.joins import bounded_broadcast
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
 
-def in_scope(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFrame:
+def in_scope_condition(scope: ClassScope = DEFAULT_SCOPE) -> F.Column:
     """Taxa below the class (by path prefix) plus the listed higher taxa.
 
     The default prefix test has no trailing slash, so a sibling id sharing the
@@ -26,10 +28,15 @@ def in_scope(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFram
         match = (anc == scope.path_prefix) | anc.startswith(scope.path_prefix + "/")
     else:
         match = anc.startswith(scope.path_prefix)
-    return taxa_raw.filter(match | F.col("taxon_id").isin(list(scope.ancestors)))
+    return match | F.col("taxon_id").isin(list(scope.ancestors))
+
+
+def in_scope(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFrame:
+    return taxa_raw.filter(in_scope_condition(scope))
 
 
-def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFrame:
+def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
+                     broadcast_lookup: bool | None = None) -> DataFrame:
     """Build ``production.taxa`` from ``staging.taxa_raw``.
 
     * ``ancestry = ''`` (the root) gives one row, position 1, NULL ancestor.
@@ -56,7 +63,10 @@ def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) ->
     # The taxonomy is a bounded dimension; broadcast it when it fits, else a
     # shuffle join whose hot ancestor ids (the root is on every path) are
     # split by AQE's skew-join handling.
-    lookup, _ = bounded_broadcast(lookup)
+    if broadcast_lookup is None:
+        lookup, _ = bounded_broadcast(lookup)
+    elif broadcast_lookup:
+        lookup = F.broadcast(lookup)
     joined = m.join(
         lookup,
         (F.col("ancestry_id") == F.col("_a_id")) & (F.col("ancestry_id") != F.col("taxon_id")),
@@ -83,3 +93,22 @@ def class_species(taxa: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFra
     picks exactly one exploded row per species (the sort keys of the taxa
     table make this filter a row-group skip)."""
     return taxa.filter((F.col("taxon_rank") == "species") & (F.col("ancestry_id") == scope.class_id))
+
+
+_SPECIES_DIM: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def species_dim(taxa: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
+                fits: bool | None = None) -> DataFrame:
+    """``(taxon_id, taxon_name)`` of the class's species, broadcast-hinted when
+    its size fits the budget (``fits`` from a prior measurement, else measured
+    here). The decision is made once per taxa frame and shared by every job
+    built on it."""
+    per_taxa = _SPECIES_DIM.setdefault(taxa, {})
+    if scope not in per_taxa:
+        sp = class_species(taxa, scope).select("taxon_id", "taxon_name")
+        if fits is None:
+            per_taxa[scope] = bounded_broadcast(sp)[0]
+        else:
+            per_taxa[scope] = F.broadcast(sp) if fits else sp
+    return per_taxa[scope]

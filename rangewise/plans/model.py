@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
-from rangewise.operators.taxa import explode_ancestry
+from rangewise.operators.sizing import DimensionSizes, measure
+from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables, raw_tables
 
 
@@ -30,11 +31,18 @@ class Warehouse:
     scope: ClassScope = DEFAULT_SCOPE
 
 
-def transform(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE) -> Warehouse:
-    """Production tables from staging tables, in dependency order."""
-    taxa = explode_ancestry(raw.taxa_raw, scope)
+def transform(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
+              sizes: DimensionSizes | None = None) -> Warehouse:
+    """Production tables from staging tables, in dependency order.
+
+    All broadcast decisions come from one measuring job over the inputs.
+    """
+    sizes = sizes or measure(raw, scope)
+    taxa = explode_ancestry(raw.taxa_raw, scope, broadcast_lookup=sizes.lookup_fits)
+    species_dim(taxa, scope, fits=sizes.species_fits)
     ranges = species_ranges(raw.species_geospatial_raw, taxa, scope)
-    fact = species_observations(raw.observations_raw, taxa, raw.species_geospatial_raw, scope)
+    fact = species_observations(raw.observations_raw, taxa, raw.species_geospatial_raw, scope,
+                                geometry_fits=sizes.geometry_fits)
     observers = observers_first_seen(raw.observers_raw, fact)
     return Warehouse(raw, taxa, ranges, fact, observers, scope)
 

@@ -26,7 +26,8 @@ from rangewise.operators import quality
 from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
-from rangewise.operators.taxa import explode_ancestry
+from rangewise.operators.sizing import measure
+from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.plans.model import Warehouse, load
 from rangewise.schemas import LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING
 from rangewise.session import scratch_path
@@ -90,13 +91,17 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
         "taxa_raw": raw_w.taxa_raw, "species_geospatial_raw": raw_w.species_geospatial_raw})
 
     # 3. taxa first: ranges and fact read it
-    _write(explode_ancestry(raw_w.taxa_raw, scope), f"{root}/{PRODUCTION}/taxa", "taxa")
+    sizes = measure(raw_w, scope)
+    _write(explode_ancestry(raw_w.taxa_raw, scope, broadcast_lookup=sizes.lookup_fits),
+           f"{root}/{PRODUCTION}/taxa", "taxa")
     taxa = rd(PRODUCTION, "taxa")
+    species_dim(taxa, scope, fits=sizes.species_fits)
 
     # 4. ranges and fact (independent), then observers from the written fact
     _write(species_ranges(raw_w.species_geospatial_raw, taxa, scope),
            f"{root}/{PRODUCTION}/species_geospatial", "species_geospatial")
-    _write(species_observations(raw_w.observations_raw, taxa, raw_w.species_geospatial_raw, scope),
+    _write(species_observations(raw_w.observations_raw, taxa, raw_w.species_geospatial_raw, scope,
+                                geometry_fits=sizes.geometry_fits),
            f"{root}/{PRODUCTION}/species_observations", "species_observations")
     fact = rd(PRODUCTION, "species_observations")
     _write(observers_first_seen(raw_w.observers_raw, fact), f"{root}/{PRODUCTION}/observers",

@@ -96,6 +96,9 @@ SPECIES_GEOSPATIAL_RAW = T.StructType(
         T.StructField("ymin", T.DoubleType()),
         T.StructField("xmax", T.DoubleType()),
         T.StructField("ymax", T.DoubleType()),
+        # upper bound of the row's in-memory geometry size (bytes), for
+        # broadcast decisions that must not parse the geometry to decide
+        T.StructField("geom_bytes", T.LongType()),
     ]
 )
 

@@ -52,125 +52,87 @@ def taxa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = _read(spark, sf_dir, "region")
     nation = _read(spark, sf_dir, "nation")
     part = _read(spark, sf_dir, "part")
-    root = spark.range(1).select(
-        F.lit(ROOT_TAXON_ID).cast("int").alias("taxon_id"),
-        F.lit("").alias("ancestry"),
-        F.lit(100.0).alias("rank_level"),
-        F.lit("stateofmatter").alias("rank"),
-        F.lit("Life").alias("name"),
-        F.lit(True).alias("active"),
-    )
-    regions = region.select(
-        (F.lit(REGION_TAXON_BASE) + F.col("r_regionkey")).cast("int").alias("taxon_id"),
-        F.lit(str(ROOT_TAXON_ID)).alias("ancestry"),
-        F.lit(50.0).alias("rank_level"),
-        F.lit("class").alias("rank"),
-        F.col("r_name").alias("name"),
-        F.lit(True).alias("active"),
-    )
-    nations = nation.select(
-        (F.lit(NATION_TAXON_BASE) + F.col("n_nationkey")).cast("int").alias("taxon_id"),
-        F.concat_ws("/", F.lit(str(ROOT_TAXON_ID)),
-                    (F.lit(REGION_TAXON_BASE) + F.col("n_regionkey")).cast("string"))
-        .alias("ancestry"),
-        F.lit(20.0).alias("rank_level"),
-        F.lit("genus").alias("rank"),
-        F.col("n_name").alias("name"),
-        F.lit(True).alias("active"),
-    )
+    root = spark.range(1).selectExpr(
+        f"CAST({ROOT_TAXON_ID} AS INT) AS taxon_id", "'' AS ancestry", "100.0D AS rank_level",
+        "'stateofmatter' AS rank", "'Life' AS name", "true AS active")
+    regions = region.selectExpr(
+        f"CAST({REGION_TAXON_BASE} + r_regionkey AS INT) AS taxon_id",
+        f"'{ROOT_TAXON_ID}' AS ancestry", "50.0D AS rank_level", "'class' AS rank",
+        "r_name AS name", "true AS active")
+    nations = nation.selectExpr(
+        f"CAST({NATION_TAXON_BASE} + n_nationkey AS INT) AS taxon_id",
+        f"concat_ws('/', '{ROOT_TAXON_ID}', CAST({REGION_TAXON_BASE} + n_regionkey AS STRING))"
+        " AS ancestry",
+        "20.0D AS rank_level", "'genus' AS rank", "n_name AS name", "true AS active")
     # nation is 25 rows: a broadcast of a fixed-size dimension
-    species = part.join(F.broadcast(nation), F.col("p_partkey") % 25 == F.col("n_nationkey")) \
-        .select(
-            (F.lit(PART_TAXON_BASE) + F.col("p_partkey")).cast("int").alias("taxon_id"),
-            F.concat_ws("/", F.lit(str(ROOT_TAXON_ID)),
-                        (F.lit(REGION_TAXON_BASE) + F.col("n_regionkey")).cast("string"),
-                        (F.lit(NATION_TAXON_BASE) + F.col("n_nationkey")).cast("string"))
-            .alias("ancestry"),
-            F.lit(10.0).alias("rank_level"),
-            F.lit("species").alias("rank"),
-            F.concat(F.lit("species_"), F.col("p_partkey").cast("string")).alias("name"),
-            (F.col("p_size") % 7 != 0).alias("active"),
-        )
+    species = part.join(F.broadcast(nation), F.expr("p_partkey % 25 = n_nationkey")).selectExpr(
+        f"CAST({PART_TAXON_BASE} + p_partkey AS INT) AS taxon_id",
+        f"concat_ws('/', '{ROOT_TAXON_ID}', CAST({REGION_TAXON_BASE} + n_regionkey AS STRING),"
+        f" CAST({NATION_TAXON_BASE} + n_nationkey AS STRING)) AS ancestry",
+        "10.0D AS rank_level", "'species' AS rank",
+        "concat('species_', CAST(p_partkey AS STRING)) AS name", "p_size % 7 <> 0 AS active")
     return root.unionByName(regions).unionByName(nations).unionByName(species)
 
 
 def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem")
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    ok, pk, ln, sk = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey"))
-    return li.join(orders, ok == F.col("o_orderkey")).select(
-        F.concat_ws("-", ok.cast("string"), ln.cast("string"), pk.cast("string"),
-                    sk.cast("string")).alias("observation_uuid"),
-        F.col("o_custkey").cast("int").alias("observer_id"),
-        ((ok * 7 + pk * 3 + ln * 13) % 120 - 60 + 0.5).cast("double").alias("latitude"),
-        ((ok * 11 + pk * 5 + ln * 17) % 240 - 120 + 0.5).cast("double").alias("longitude"),
-        F.col("l_quantity").cast("int").alias("positional_accuracy"),
-        (F.lit(PART_TAXON_BASE) + pk).cast("int").alias("taxon_id"),
-        F.when(F.col("l_returnflag") == "R", "research")
-        .when(F.col("l_returnflag") == "N", "needs_id")
-        .otherwise("casual").alias("quality_grade"),
-        F.to_date("l_shipdate").alias("observed_on"),
+    return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
+        "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),"
+        " CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING)) AS observation_uuid",
+        "CAST(o_custkey AS INT) AS observer_id",
+        "CAST((l_orderkey * 7 + l_partkey * 3 + l_linenumber * 13) % 120 - 60 + 0.5 AS DOUBLE)"
+        " AS latitude",
+        "CAST((l_orderkey * 11 + l_partkey * 5 + l_linenumber * 17) % 240 - 120 + 0.5 AS DOUBLE)"
+        " AS longitude",
+        "CAST(l_quantity AS INT) AS positional_accuracy",
+        f"CAST({PART_TAXON_BASE} + l_partkey AS INT) AS taxon_id",
+        "CASE l_returnflag WHEN 'R' THEN 'research' WHEN 'N' THEN 'needs_id' ELSE 'casual' END"
+        " AS quality_grade",
+        "to_date(l_shipdate) AS observed_on",
     )
 
 
 def observers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("int").alias("observer_id"),
-        F.col("c_name").alias("login"),
-        F.col("c_mktsegment").alias("name"),
-    )
+    return _read(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS INT) AS observer_id", "c_name AS login", "c_mktsegment AS name")
 
 
-def _category_code(p: F.Column) -> F.Column:
-    codes = F.array(*[F.lit(c) for c, _ in IUCN_CATEGORIES])
-    return F.element_at(codes, (p % len(IUCN_CATEGORIES) + 1).cast("int"))
+def _sql_list(values) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def layer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range layer as delivered: attributes + WKT, one row per geometry."""
-    part = _read(spark, sf_dir, "part").filter(F.col("p_partkey") % 5 != 0)
-    p = F.col("p_partkey")
+    part = _read(spark, sf_dir, "part").filter("p_partkey % 5 <> 0")
     # k = 0 for every part, k = 1 as a second geometry row for even parts
-    rows = part.withColumn(
-        "k", F.explode(F.when(p % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    )
-    k = F.col("k")
-    x0 = (p * 7) % 140 - 110 + k * 60
-    y0 = (p * 11) % 60 - 55 + k * 20
-    verts = [F.concat_ws(" ", (x0 + dx).cast("string"), (y0 + dy).cast("string"))
-             for dx, dy in POLYGON_OFFSETS + POLYGON_OFFSETS[:1]]
-    wkt = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *verts), F.lit("))"))
-    return rows.select(
-        (p * 2 + k).cast("long").alias("geom_row_id"),
-        p.cast("int").alias("id_no"),
-        F.concat(F.lit("species_"), p.cast("string")).alias("binomial"),
-        F.lit(1).alias("presence"),
-        F.lit(1).alias("origin"),
-        (k + 1).cast("int").alias("seasonal"),
-        F.col("p_brand").alias("compiler"),
-        (F.lit(1990) + p % 30).cast("int").alias("yrcompiled"),
-        F.col("p_type").alias("citation"),
-        F.lit(None).cast("string").alias("subspecies"),
-        F.lit(None).cast("string").alias("subpop"),
-        F.lit(None).cast("string").alias("source"),
-        F.lit(None).cast("string").alias("island"),
-        F.lit(None).cast("string").alias("tax_comm"),
-        F.lit(None).cast("string").alias("dist_comm"),
-        F.lit(0).cast("long").alias("generalised"),
-        F.lit("Extant (resident)").alias("legend"),
-        F.lit("ANIMALIA").alias("kingdom"),
-        F.lit("CHORDATA").alias("phylum"),
-        F.lit("AMPHIBIA").alias("class"),
-        F.element_at(F.array(*[F.lit(o) for o in ORDERS]), (p % 3 + 1).cast("int")).alias("order_"),
-        F.concat(F.lit("FAMILY_"), (p % 11).cast("string")).alias("family"),
-        F.concat(F.lit("GENUS_"), (p % 13).cast("string")).alias("genus"),
-        _category_code(p).alias("category"),
-        F.lit(False).alias("marine"),
-        (F.col("p_size") % 2 == 0).alias("terrestrial"),
-        (F.col("p_size") % 3 == 0).alias("freshwater"),
-        F.lit(None).cast("double").alias("shape_leng"),
-        F.lit(None).cast("double").alias("shape_area"),
-        wkt.alias("wkt"),
+    rows = part.selectExpr("*", "explode(CASE WHEN p_partkey % 2 = 0 THEN array(0, 1)"
+                                " ELSE array(0) END) AS k")
+    x0 = "((p_partkey * 7) % 140 - 110 + k * 60)"
+    y0 = "((p_partkey * 11) % 60 - 55 + k * 20)"
+    vert_list = ", ".join(
+        f"concat(CAST({x0} + {dx} AS STRING), ' ', CAST({y0} + {dy} AS STRING))"
+        for dx, dy in POLYGON_OFFSETS + POLYGON_OFFSETS[:1])
+    codes = _sql_list(c for c, _ in IUCN_CATEGORIES)
+    return rows.selectExpr(
+        "CAST(p_partkey * 2 + k AS BIGINT) AS geom_row_id",
+        "CAST(p_partkey AS INT) AS id_no",
+        "concat('species_', CAST(p_partkey AS STRING)) AS binomial",
+        "1 AS presence", "1 AS origin", "CAST(k + 1 AS INT) AS seasonal",
+        "p_brand AS compiler", "CAST(1990 + p_partkey % 30 AS INT) AS yrcompiled",
+        "p_type AS citation",
+        "CAST(NULL AS STRING) AS subspecies", "CAST(NULL AS STRING) AS subpop",
+        "CAST(NULL AS STRING) AS source", "CAST(NULL AS STRING) AS island",
+        "CAST(NULL AS STRING) AS tax_comm", "CAST(NULL AS STRING) AS dist_comm",
+        "0L AS generalised", "'Extant (resident)' AS legend", "'ANIMALIA' AS kingdom",
+        "'CHORDATA' AS phylum", "'AMPHIBIA' AS class",
+        f"element_at({_sql_list(ORDERS)}, CAST(p_partkey % 3 + 1 AS INT)) AS order_",
+        "concat('FAMILY_', CAST(p_partkey % 11 AS STRING)) AS family",
+        "concat('GENUS_', CAST(p_partkey % 13 AS STRING)) AS genus",
+        f"element_at({codes}, CAST(p_partkey % {len(IUCN_CATEGORIES)} + 1 AS INT)) AS category",
+        "false AS marine", "p_size % 2 = 0 AS terrestrial", "p_size % 3 = 0 AS freshwater",
+        "CAST(NULL AS DOUBLE) AS shape_leng", "CAST(NULL AS DOUBLE) AS shape_area",
+        f"concat('POLYGON ((', concat_ws(', ', {vert_list}), '))') AS wkt",
     )
 
 

@@ -20,8 +20,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.functions.geo import (edges_area, edges_bbox, edges_length,
-                                     rings_to_edges, wkt_rings)
+from rangewise.functions.geo import (edges_area_sql, edges_bbox_sql, edges_length_sql,
+                                     rings_to_edges_sql, wkt_rings_sql)
 from rangewise.schemas import LAYER_ATTRIBUTES, SPECIES_GEOSPATIAL_RAW
 
 
@@ -31,29 +31,41 @@ def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: flo
 
     ``geom_row_id`` is kept when the source has one, else generated; the
     declared key ``id_no`` is not unique per geometry row, so every
-    per-geometry computation keys on ``geom_row_id``.
+    per-geometry computation keys on ``geom_row_id``. The projections are
+    SQL text (one parse per step rather than one driver call per function).
     """
-    df = src
-    if "geom_row_id" not in df.columns:
-        df = df.withColumn("geom_row_id", F.monotonically_increasing_id())
-    df = df.withColumn("rings", wkt_rings(wkt_col))
+    w = f"`{wkt_col}`"
+    rid = "geom_row_id" if "geom_row_id" in src.columns else "monotonically_increasing_id()"
+    # A vertex takes at least 3 characters of WKT ("0 0") and yields at most
+    # one 32-byte edge (+1 closing edge per ring, whose "(" is a character
+    # too), so 64 + 24 * length is an upper bound computable without parsing.
+    df = src.selectExpr("*", f"{rid} AS _rid", f"{wkt_rings_sql(wkt_col)} AS _rings",
+                        f"64 + coalesce(length({w}), 0) * 24 AS _geom_bytes")
     if simplify_tolerance is not None:
-        df = simplify_rings(df, simplify_tolerance, simplify_min_vertices)
-    df = df.withColumn("edges", rings_to_edges("rings"))
-    df = df.withColumns(edges_bbox("edges"))
+        df = simplify_rings(df.withColumnRenamed("_rings", "rings"), simplify_tolerance,
+                            simplify_min_vertices).withColumnRenamed("rings", "_rings")
+    df = df.selectExpr("*", f"{rings_to_edges_sql('_rings')} AS _edges")
     cols = []
     for f in SPECIES_GEOSPATIAL_RAW.fields:
-        if f.name == "shape_leng":
-            base = F.col(f.name) if f.name in src.columns else F.lit(None)
-            cols.append(F.coalesce(base.cast("double"), edges_length("edges")).alias(f.name))
+        t = f.dataType.simpleString()
+        if f.name == "geom_row_id":
+            e = "_rid"
+        elif f.name in ("rings", "edges", "geom_bytes"):
+            e = f"_{f.name}"
+        elif f.name in ("xmin", "ymin", "xmax", "ymax"):
+            e = edges_bbox_sql("_edges")[f.name]
+        elif f.name == "shape_leng":
+            base = f"CAST(`{f.name}` AS double)" if f.name in src.columns else "NULL"
+            e = f"coalesce({base}, {edges_length_sql('_edges')})"
         elif f.name == "shape_area":
-            base = F.col(f.name) if f.name in src.columns else F.lit(None)
-            cols.append(F.coalesce(base.cast("double"), edges_area("edges")).alias(f.name))
-        elif f.name in df.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+            base = f"CAST(`{f.name}` AS double)" if f.name in src.columns else "NULL"
+            e = f"coalesce({base}, {edges_area_sql('_edges')})"
+        elif f.name in src.columns:
+            e = f"`{f.name}`"
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+            e = "NULL"
+        cols.append(f"CAST({e} AS {t}) AS `{f.name}`")
+    return df.selectExpr(*cols)
 
 
 def layer_from_parquet(spark, path: str, wkt_col: str = "wkt", **kw) -> DataFrame:
