@@ -9,8 +9,6 @@ refresh job instead.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rangewise.operators.observations import species_observations
@@ -21,30 +19,62 @@ from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables, raw_tables
 
 
-@dataclass
 class Warehouse:
-    raw: RawTables
-    taxa: DataFrame
-    species_geospatial: DataFrame
-    species_observations: DataFrame
-    observers: DataFrame
-    scope: ClassScope = DEFAULT_SCOPE
+    """Raw inputs + the four production tables, built on first access.
+
+    ``taxa`` comes first (ranges and fact read it), the observers dimension
+    reads the fact; a report that reads only the fact never constructs the
+    ranges or observers plans.
+    """
+
+    def __init__(self, raw: RawTables, scope: ClassScope = DEFAULT_SCOPE, *,
+                 sizes: DimensionSizes | None = None, tables: dict | None = None):
+        self.raw = raw
+        self.scope = scope
+        self._sizes = sizes
+        self._tables: dict[str, DataFrame] = dict(tables or {})
+
+    @property
+    def sizes(self) -> DimensionSizes:
+        if self._sizes is None:
+            self._sizes = measure(self.raw, self.scope)
+        return self._sizes
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = getattr(self, f"_build_{name}")()
+        return self._tables[name]
+
+    def _build_taxa(self) -> DataFrame:
+        taxa = explode_ancestry(self.raw.taxa_raw, self.scope,
+                                broadcast_lookup=self.sizes.lookup_fits)
+        species_dim(taxa, self.scope, fits=self.sizes.species_fits)
+        return taxa
+
+    def _build_species_geospatial(self) -> DataFrame:
+        return species_ranges(self.raw.species_geospatial_raw, self.taxa, self.scope)
+
+    def _build_species_observations(self) -> DataFrame:
+        return species_observations(self.raw.observations_raw, self.taxa,
+                                    self.raw.species_geospatial_raw, self.scope,
+                                    geometry_fits=self.sizes.geometry_fits)
+
+    def _build_observers(self) -> DataFrame:
+        return observers_first_seen(self.raw.observers_raw, self.species_observations)
+
+    taxa = property(lambda self: self._get("taxa"))
+    species_geospatial = property(lambda self: self._get("species_geospatial"))
+    species_observations = property(lambda self: self._get("species_observations"))
+    observers = property(lambda self: self._get("observers"))
 
 
 def transform(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
               sizes: DimensionSizes | None = None) -> Warehouse:
-    """Production tables from staging tables, in dependency order.
+    """Production tables from staging tables (lazily, in dependency order).
 
     All broadcast decisions come from one measuring job over the inputs.
     """
-    sizes = sizes or measure(raw, scope)
-    taxa = explode_ancestry(raw.taxa_raw, scope, broadcast_lookup=sizes.lookup_fits)
-    species_dim(taxa, scope, fits=sizes.species_fits)
-    ranges = species_ranges(raw.species_geospatial_raw, taxa, scope)
-    fact = species_observations(raw.observations_raw, taxa, raw.species_geospatial_raw, scope,
-                                geometry_fits=sizes.geometry_fits)
-    observers = observers_first_seen(raw.observers_raw, fact)
-    return Warehouse(raw, taxa, ranges, fact, observers, scope)
+    return Warehouse(raw, scope, sizes=sizes)
 
 
 def build(spark: SparkSession, sf_dir: str, scope: ClassScope = DEFAULT_SCOPE) -> Warehouse:
@@ -57,11 +87,11 @@ def load(spark: SparkSession, root: str, scope: ClassScope = DEFAULT_SCOPE) -> W
         return spark.read.parquet(f"{root}/{layer}/{name}")
 
     raw = RawTables(
-        taxa_raw=rd("staging", "taxa_raw"),
-        observations_raw=rd("staging", "observations_raw"),
-        observers_raw=rd("staging", "observers_raw"),
-        species_geospatial_raw=rd("staging", "species_geospatial_raw"),
+        taxa_raw=lambda: rd("staging", "taxa_raw"),
+        observations_raw=lambda: rd("staging", "observations_raw"),
+        observers_raw=lambda: rd("staging", "observers_raw"),
+        species_geospatial_raw=lambda: rd("staging", "species_geospatial_raw"),
     )
-    return Warehouse(raw, rd("production", "taxa"), rd("production", "species_geospatial"),
-                     rd("production", "species_observations"), rd("production", "observers"),
-                     scope)
+    tables = {n: rd("production", n) for n in
+              ("taxa", "species_geospatial", "species_observations", "observers")}
+    return Warehouse(raw, scope, tables=tables)

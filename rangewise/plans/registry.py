@@ -15,6 +15,7 @@ from rangewise.operators import quality
 from rangewise.plans import reports as R
 from rangewise.plans.model import Warehouse, build
 from rangewise.schemas import PRODUCTION, STAGING
+from rangewise.sources.parallel import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,8 +73,8 @@ def text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
-        "doc_id", "text", "lang", "source", "n_chars")
+    docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", "text", "lang", "source", "n_chars"))
     return clean_ops.clean(docs, ["text", "lang", "source"])
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rangewise.schemas import IUCN_CATEGORIES
 from rangewise.sources.layer import build_layer
+from rangewise.sources.parallel import spread
 
 # --- fixed values -----------------------------------------------------------
 ROOT_TAXON_ID = 48460        # "Life", ancestry ''
@@ -75,7 +76,9 @@ def taxa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def observations_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
+    li = spread(_read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag",
+        "l_shipdate"))
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return li.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).selectExpr(
         "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING),"
@@ -104,7 +107,8 @@ def _sql_list(values) -> str:
 
 def layer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The range layer as delivered: attributes + WKT, one row per geometry."""
-    part = _read(spark, sf_dir, "part").filter("p_partkey % 5 <> 0")
+    part = spread(_read(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_size")
+                  .filter("p_partkey % 5 <> 0"))
     # k = 0 for every part, k = 1 as a second geometry row for even parts
     rows = part.selectExpr("*", "explode(CASE WHEN p_partkey % 2 = 0 THEN array(0, 1)"
                                 " ELSE array(0) END) AS k")
@@ -140,18 +144,34 @@ def species_geospatial_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_layer(layer_source(spark, sf_dir), wkt_col="wkt")
 
 
-@dataclass
 class RawTables:
-    taxa_raw: DataFrame
-    observations_raw: DataFrame
-    observers_raw: DataFrame
-    species_geospatial_raw: DataFrame
+    """The four staging inputs. Frames may be given directly or as zero-argument
+    builders; a builder runs on first access, so a job only constructs the
+    inputs it reads."""
+
+    _NAMES = ("taxa_raw", "observations_raw", "observers_raw", "species_geospatial_raw")
+
+    def __init__(self, taxa_raw, observations_raw, observers_raw, species_geospatial_raw):
+        self._src = dict(zip(self._NAMES, (taxa_raw, observations_raw, observers_raw,
+                                           species_geospatial_raw)))
+        self._built: dict[str, DataFrame] = {}
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            v = self._src[name]
+            self._built[name] = v if isinstance(v, DataFrame) else v()
+        return self._built[name]
+
+    taxa_raw = property(lambda self: self._get("taxa_raw"))
+    observations_raw = property(lambda self: self._get("observations_raw"))
+    observers_raw = property(lambda self: self._get("observers_raw"))
+    species_geospatial_raw = property(lambda self: self._get("species_geospatial_raw"))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
     return RawTables(
-        taxa_raw=taxa_raw(spark, sf_dir),
-        observations_raw=observations_raw(spark, sf_dir),
-        observers_raw=observers_raw(spark, sf_dir),
-        species_geospatial_raw=species_geospatial_raw(spark, sf_dir),
+        taxa_raw=lambda: taxa_raw(spark, sf_dir),
+        observations_raw=lambda: observations_raw(spark, sf_dir),
+        observers_raw=lambda: observers_raw(spark, sf_dir),
+        species_geospatial_raw=lambda: species_geospatial_raw(spark, sf_dir),
     )
