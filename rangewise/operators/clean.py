@@ -36,7 +36,7 @@ def columns_to_clean(df: DataFrame, columns: list[str] | None = None) -> list[st
 
 
 def clean(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Clean the string columns that need it (all of them if ``columns`` is None)."""
+    """Clean the string columns (of ``columns``, default all) that need it."""
     todo = columns_to_clean(df, columns)
     if not todo:
         return df

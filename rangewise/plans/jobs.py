@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangewise.functions.geo import edges_area, rings_to_edges
+from rangewise.functions.geo import edges_area
 from rangewise.plans.refresh import refresh
 from rangewise.schemas import PRODUCTION, STAGING, TAXA_RAW
 from rangewise.session import scratch_path
@@ -73,4 +73,14 @@ def refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-__all__ = ["tsv_load_roundtrip", "ring_simplify", "refresh_idempotent", "rings_to_edges"]
+def clean_layer(layer_src: DataFrame, out_path: str) -> list[str]:
+    """Stand-alone layer cleaning: profile the text columns (one pass), clean
+    exactly the flagged ones, write the result with its schema. Returns the
+    cleaned column names."""
+    from rangewise.functions.text import clean_text
+    from rangewise.operators.clean import columns_to_clean
+
+    todo = columns_to_clean(layer_src)
+    layer_src.withColumns({c: clean_text(F.col(c)) for c in todo}) \
+        .write.mode("overwrite").parquet(out_path)
+    return todo
