@@ -128,6 +128,19 @@ def point(lon: str, lat: str) -> Column:
     )
 
 
+_PIP_STEP = """(a, s) ->
+            CASE
+              WHEN a < 0 THEN a
+              WHEN (s.x2 - s.x1) * ({y} - s.y1) = (s.y2 - s.y1) * ({x} - s.x1)
+                   AND {x} BETWEEN least(s.x1, s.x2) AND greatest(s.x1, s.x2)
+                   AND {y} BETWEEN least(s.y1, s.y2) AND greatest(s.y1, s.y2) THEN -1
+              WHEN (s.y1 > {y}) <> (s.y2 > {y})
+                   AND {x} < (s.x2 - s.x1) * ({y} - s.y1) / (s.y2 - s.y1) + s.x1 THEN a + 1
+              ELSE a
+            END,
+            a -> a > 0 AND a % 2 = 1"""
+
+
 def within(lon: str, lat: str, edges: str, xmin: str = "xmin", ymin: str = "ymin",
            xmax: str = "xmax", ymax: str = "ymax") -> Column:
     """Strict point-in-polygon over an edge array (even-odd rule).
@@ -139,21 +152,42 @@ def within(lon: str, lat: str, edges: str, xmin: str = "xmin", ymin: str = "ymin
     """
     x, y, e = _sql(lon), _sql(lat), _sql(edges)
     bx0, by0, bx1, by1 = _sql(xmin), _sql(ymin), _sql(xmax), _sql(ymax)
+    step = _PIP_STEP.format(x=x, y=y)
     return F.expr(
         f"""CASE
           WHEN {x} IS NULL OR {y} IS NULL OR {e} IS NULL THEN CAST(NULL AS BOOLEAN)
           WHEN size({e}) = 0 OR {x} < {bx0} OR {x} > {bx1} OR {y} < {by0} OR {y} > {by1}
             THEN false
-          ELSE aggregate({e}, 0, (a, s) ->
-            CASE
-              WHEN a < 0 THEN a
-              WHEN (s.x2 - s.x1) * ({y} - s.y1) = (s.y2 - s.y1) * ({x} - s.x1)
-                   AND {x} BETWEEN least(s.x1, s.x2) AND greatest(s.x1, s.x2)
-                   AND {y} BETWEEN least(s.y1, s.y2) AND greatest(s.y1, s.y2) THEN -1
-              WHEN (s.y1 > {y}) <> (s.y2 > {y})
-                   AND {x} < (s.x2 - s.x1) * ({y} - s.y1) / (s.y2 - s.y1) + s.x1 THEN a + 1
-              ELSE a
-            END,
-            a -> a > 0 AND a % 2 = 1)
+          ELSE aggregate({e}, 0, {step})
+        END"""
+    )
+
+
+def band_of(value_sql: str, ymin: str, band_h: str, n_bands: str) -> str:
+    """Band index of a y value: floor((y - ymin) / h) clamped to [0, n - 1]
+    (monotone in y, so an edge's band range covers every y on it)."""
+    return (f"CASE WHEN {band_h} > 0 THEN least(greatest(CAST(floor(({value_sql} - {ymin}) / "
+            f"{band_h}) AS INT), 0), {n_bands} - 1) ELSE 0 END")
+
+
+def within_banded(lon: str, lat: str, bands: str, band_h: str = "band_h",
+                  xmin: str = "xmin", ymin: str = "ymin", xmax: str = "xmax",
+                  ymax: str = "ymax") -> Column:
+    """:func:`within` over a banded edge index (``array<array<edge>>``).
+
+    A horizontal ray from the point only meets edges whose y-span holds the
+    point's y, and each edge is stored in every band its span touches, so
+    testing the point's own band gives the same answer with ~E / bands work.
+    """
+    x, y, b = _sql(lon), _sql(lat), _sql(bands)
+    bx0, by0, bx1, by1, h = _sql(xmin), _sql(ymin), _sql(xmax), _sql(ymax), _sql(band_h)
+    step = _PIP_STEP.format(x=x, y=y)
+    idx = band_of(y, by0, h, f"size({b})")
+    return F.expr(
+        f"""CASE
+          WHEN {x} IS NULL OR {y} IS NULL OR {b} IS NULL THEN CAST(NULL AS BOOLEAN)
+          WHEN size({b}) = 0 OR {x} < {bx0} OR {x} > {bx1} OR {y} < {by0} OR {y} > {by1}
+            THEN false
+          ELSE aggregate({b}[{idx}], 0, {step})
         END"""
     )

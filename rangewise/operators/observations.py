@@ -23,8 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.functions.geo import point, within
+from rangewise.functions.geo import point, within, within_banded
 from rangewise.operators.joins import bounded_broadcast, salted_join_keys
+from rangewise.operators.spatial_index import band_index
 from rangewise.operators.taxa import species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
@@ -40,31 +41,43 @@ def class_geometry(layer: DataFrame, taxa: DataFrame,
     duplicate names in the taxonomy do not multiply geometry rows here.
     """
     sp = species_dim(taxa, scope)
-    geo = layer.select(F.col("binomial").alias("taxon_name"), "edges", "xmin", "ymin", "xmax",
-                       "ymax", "geom_bytes")
+    geo = layer.select("geom_row_id", F.col("binomial").alias("taxon_name"), "edges", "xmin",
+                       "ymin", "xmax", "ymax", "geom_bytes")
     return geo.join(sp.select("taxon_name"), "taxon_name", "left_semi")
 
 
 def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: DataFrame,
                          scope: ClassScope = DEFAULT_SCOPE, *, with_point: bool = True,
                          force_shuffle: bool = False,
-                         geometry_fits: bool | None = None) -> DataFrame:
+                         geometry_fits: bool | None = None,
+                         band_edges: int | None = None) -> DataFrame:
+    """``band_edges``: build a banded edge index with about this many edges
+    per band (for layers of large polygons); None or 0 tests full edge lists."""
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
     # observations of the class's species, with the species name
     obs = obs.join(species_dim(taxa, scope), "taxon_id")
     geo = class_geometry(layer, taxa, scope)
+    if band_edges:
+        geo = band_index(geo, band_edges)
+        # bands replicate edges that span several of them: measure the index
+        size = F.lit(64) + F.expr("aggregate(bands, 0L, (a, b) -> a + size(b))") * 32
+        geometry_fits = None
+    else:
+        size = F.col("geom_bytes")
     if force_shuffle:
         geo_b, fits = geo, False
     elif geometry_fits is not None:
         geo_b, fits = (F.broadcast(geo), True) if geometry_fits else (geo, False)
     else:
-        geo_b, fits = bounded_broadcast(geo, size_expr=F.col("geom_bytes"))
+        geo_b, fits = bounded_broadcast(geo, size_expr=size)
     if fits:
         pairs = obs.join(geo_b, "taxon_name")
     else:
         o, g = salted_join_keys(obs, geo, "taxon_name", F.col("observation_uuid"))
         pairs = o.join(g, ["taxon_name", "_salt"]).drop("_salt")
-    flagged = pairs.select(*OBS_KEYS, within("longitude", "latitude", "edges").alias("_inside"))
+    test = (within_banded("longitude", "latitude", "bands") if band_edges
+            else within("longitude", "latitude", "edges"))
+    flagged = pairs.select(*OBS_KEYS, test.alias("_inside"))
     fact = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("observed_in_known_area"))
     cols = [
         "observation_uuid", "observer_id", "latitude", "longitude",

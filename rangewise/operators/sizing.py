@@ -22,6 +22,8 @@ from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables
 # Per-row in-memory width used for the two row-counted relations (bytes):
 # (int id, 2 strings, int, boolean) and (int id, string).
 LOOKUP_ROW_BYTES = 16 + 4 + 32 + 4 + 32 + 1
+# Geometry rows whose size bound exceeds this get a banded edge index.
+BAND_ABOVE_BYTES = 16 * 1024
 SPECIES_ROW_BYTES = 16 + 4 + 32
 
 
@@ -30,7 +32,9 @@ class DimensionSizes:
     taxa_rows: int
     species_rows: int
     geometry_bytes: int
+    max_geometry_row_bytes: int = 0
     budget: int = BROADCAST_BUDGET
+    band_above_bytes: int = BAND_ABOVE_BYTES
 
     @property
     def lookup_fits(self) -> bool:
@@ -44,6 +48,11 @@ class DimensionSizes:
     def geometry_fits(self) -> bool:
         return self.geometry_bytes <= self.budget
 
+    @property
+    def band_geometry(self) -> bool:
+        """Index large polygons by y-bands (see operators.spatial_index)."""
+        return self.max_geometry_row_bytes > self.band_above_bytes
+
 
 def measure(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
             budget: int = BROADCAST_BUDGET) -> DimensionSizes:
@@ -57,7 +66,7 @@ def measure(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
         F.count(F.lit(1)).alias("a"),
         F.coalesce(F.sum(F.when(is_species, occurrences).otherwise(0)), F.lit(0)).alias("b"))
     geo = raw.species_geospatial_raw.agg(
-        F.lit(0).cast("long").alias("a"),
+        F.coalesce(F.max("geom_bytes"), F.lit(0)).cast("long").alias("a"),
         F.coalesce(F.sum("geom_bytes"), F.lit(0)).alias("b"))
     rows = taxa.select(F.lit("taxa").alias("k"), F.col("a").cast("long").alias("a"),
                        F.col("b").cast("long").alias("b")) \
@@ -65,4 +74,5 @@ def measure(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
         .collect()
     got = {r["k"]: r for r in rows}
     return DimensionSizes(taxa_rows=got["taxa"]["a"], species_rows=got["taxa"]["b"],
-                          geometry_bytes=got["geo"]["b"], budget=budget)
+                          geometry_bytes=got["geo"]["b"],
+                          max_geometry_row_bytes=got["geo"]["a"], budget=budget)

@@ -15,6 +15,7 @@ from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
 from rangewise.operators.sizing import DimensionSizes, measure
+from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables, raw_tables
 
@@ -55,9 +56,11 @@ class Warehouse:
         return species_ranges(self.raw.species_geospatial_raw, self.taxa, self.scope)
 
     def _build_species_observations(self) -> DataFrame:
+        sz = self.sizes
         return species_observations(self.raw.observations_raw, self.taxa,
                                     self.raw.species_geospatial_raw, self.scope,
-                                    geometry_fits=self.sizes.geometry_fits)
+                                    geometry_fits=sz.geometry_fits,
+                                    band_edges=DEFAULT_TARGET_EDGES if sz.band_geometry else None)
 
     def _build_observers(self) -> DataFrame:
         return observers_first_seen(self.raw.observers_raw, self.species_observations)

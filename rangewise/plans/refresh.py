@@ -12,12 +12,14 @@ Layout, per the distribution notes of the model:
 * taxa: sorted by (rank, ancestor) inside files - small, broadcast on read;
 * species ranges: sorted by category;
 * observers: sorted by first date;
-* fact: rebalanced on the observation date (AQE splits a hot date), sorted
-  by taxon inside files so the skewed taxon key clusters for row-group skips.
+* fact: written as its aggregate leaves it (hash-distributed on a key that
+  holds the observation id: even, no extra shuffle), sorted by (taxon, date)
+  inside files so row-group statistics skip for species and date filters.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +29,7 @@ from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
 from rangewise.operators.sizing import measure
+from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.plans.model import Warehouse, load
 from rangewise.schemas import LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING
@@ -44,13 +47,22 @@ class RefreshResult:
 def _write(df: DataFrame, path: str, table: str | None = None) -> None:
     lay = LAYOUT.get(table or "", {})
     out = df
-    if "distribute" in lay:
-        out = out.hint("rebalance", lay["distribute"])
     if "sort" in lay:
         out = out.sortWithinPartitions(*lay["sort"])
     out.write.mode("overwrite").parquet(path)
 
 
+def _run_parallel(tasks, max_workers: int = 4) -> None:
+    """Submit independent write jobs concurrently (Spark schedules jobs from
+    several threads side by side); the first failure is re-raised."""
+    if len(tasks) == 1:
+        tasks[0]()
+        return
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()
+
+
 def register_tables(spark: SparkSession, root: str) -> None:
     """Create both databases and one catalog table per written folder, with
     the declared key recorded as a table property."""
@@ -77,8 +89,8 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
         "taxa_raw": raw.taxa_raw,
         "species_geospatial_raw": raw.species_geospatial_raw,
     }
-    for name, df in staged.items():
-        _write(df, f"{root}/{STAGING}/{name}")
+    _run_parallel([(lambda df=df, name=name: _write(df, f"{root}/{STAGING}/{name}"))
+                   for name, df in staged.items()])
 
     def rd(layer: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{root}/{layer}/{name}")
@@ -97,12 +109,16 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
     taxa = rd(PRODUCTION, "taxa")
     species_dim(taxa, scope, fits=sizes.species_fits)
 
-    # 4. ranges and fact (independent), then observers from the written fact
-    _write(species_ranges(raw_w.species_geospatial_raw, taxa, scope),
-           f"{root}/{PRODUCTION}/species_geospatial", "species_geospatial")
-    _write(species_observations(raw_w.observations_raw, taxa, raw_w.species_geospatial_raw, scope,
-                                geometry_fits=sizes.geometry_fits),
-           f"{root}/{PRODUCTION}/species_observations", "species_observations")
+    # 4. ranges and fact (independent, run side by side), then observers
+    ranges = species_ranges(raw_w.species_geospatial_raw, taxa, scope)
+    fact_df = species_observations(raw_w.observations_raw, taxa, raw_w.species_geospatial_raw,
+                                   scope, geometry_fits=sizes.geometry_fits,
+                                   band_edges=DEFAULT_TARGET_EDGES if sizes.band_geometry else None)
+    _run_parallel([
+        lambda: _write(ranges, f"{root}/{PRODUCTION}/species_geospatial", "species_geospatial"),
+        lambda: _write(fact_df, f"{root}/{PRODUCTION}/species_observations",
+                       "species_observations"),
+    ])
     fact = rd(PRODUCTION, "species_observations")
     _write(observers_first_seen(raw_w.observers_raw, fact), f"{root}/{PRODUCTION}/observers",
            "observers")

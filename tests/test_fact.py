@@ -96,3 +96,41 @@ def test_observers_first_seen(spark):
     # observer 9 has no fact row; the duplicate raw row of observer 1 collapses;
     # observer 3's only fact row has no date, so the first date is NULL
     assert out == {1: D, 2: D, 3: None}
+
+
+def test_banded_index_matches_full_edge_lists(spark):
+    """Large random polygons: the banded test equals the full-edge test."""
+    import math
+    import random
+
+    from rangewise.schemas import OBSERVATIONS_RAW as OBS
+
+    rnd = random.Random(11)
+    wkts, obs, first_vertex = [], [], None
+    for s_id, name in ((10, "sp_a"), (11, "sp_b")):
+        for k in range(3):
+            n = rnd.randint(40, 90)
+            cx, cy = rnd.uniform(-20, 20), rnd.uniform(-20, 20)
+            pts = []
+            for i in range(n):  # a star-shaped, very non-convex ring
+                a = 2 * math.pi * i / n
+                r = rnd.uniform(2, 12)
+                pts.append((round(cx + r * math.cos(a), 3), round(cy + r * math.sin(a), 3)))
+            pts.append(pts[0])
+            first_vertex = first_vertex or pts[0]
+            wkts.append((s_id, name, "DD", "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in pts) + "))"))
+        for i in range(300):
+            obs.append((f"{name}-{i}", 1, rnd.uniform(-35, 35), rnd.uniform(-35, 35), 1, s_id,
+                        "research", D))
+    # a point exactly on a vertex of the first polygon: not within
+    obs.append(("vertex", 1, first_vertex[1], first_vertex[0], 1, 10, "research", D))
+    taxa, _, _ = _world(spark)
+    layer = build_layer(spark.createDataFrame(
+        wkts, "id_no int, binomial string, category string, wkt string"))
+    o = spark.createDataFrame(obs, OBS)
+    full = species_observations(o, taxa, layer, SCOPE)
+    banded = species_observations(o, taxa, layer, SCOPE, band_edges=4)
+    a = {r["observation_uuid"]: r["observed_in_known_area"] for r in full.collect()}
+    b = {r["observation_uuid"]: r["observed_in_known_area"] for r in banded.collect()}
+    assert a == b and len(a) == 601
+    assert a["vertex"] is False and 0 < sum(a.values()) < 600
