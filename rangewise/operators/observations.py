@@ -50,7 +50,8 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
                          scope: ClassScope = DEFAULT_SCOPE, *, with_point: bool = True,
                          force_shuffle: bool = False,
                          geometry_fits: bool | None = None,
-                         band_edges: int | None = None) -> DataFrame:
+                         band_edges: int | None = None,
+                         salt_target_rows: int = 2_000_000) -> DataFrame:
     """``band_edges``: build a banded edge index with about this many edges
     per band (for layers of large polygons); None or 0 tests full edge lists."""
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
@@ -73,7 +74,8 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
     if fits:
         pairs = obs.join(geo_b, "taxon_name")
     else:
-        o, g = salted_join_keys(obs, geo, "taxon_name", F.col("observation_uuid"))
+        o, g = salted_join_keys(obs, geo, "taxon_name", F.col("observation_uuid"),
+                                target_rows=salt_target_rows)
         pairs = o.join(g, ["taxon_name", "_salt"]).drop("_salt")
     test = (within_banded("longitude", "latitude", "bands") if band_edges
             else within("longitude", "latitude", "edges"))

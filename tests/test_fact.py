@@ -134,3 +134,36 @@ def test_banded_index_matches_full_edge_lists(spark):
     b = {r["observation_uuid"]: r["observed_in_known_area"] for r in banded.collect()}
     assert a == b and len(a) == 601
     assert a["vertex"] is False and 0 < sum(a.values()) < 600
+
+
+def test_hot_species_salted_equals_broadcast(spark):
+    """One species holding most rows: the salted shuffle join spreads it and
+    still gives the broadcast join's answer."""
+    from rangewise.schemas import OBSERVATIONS_RAW as OBS
+
+    taxa, layer, _ = _world(spark)
+    rows = [(f"h{i}", i % 7, float(i % 40) - 5.5, float(i % 30) - 2.5, 1, 10, "research", D)
+            for i in range(3000)]
+    rows += [(f"c{i}", 1, 0.25, 0.25, 1, 11, "casual", D) for i in range(20)]
+    obs = spark.createDataFrame(rows, OBS)
+    a = species_observations(obs, taxa, layer, SCOPE)
+    b = species_observations(obs, taxa, layer, SCOPE, force_shuffle=True, salt_target_rows=200)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan  # only the bounded hot-key list is broadcast
+
+
+def test_refresh_registers_tables(spark, tmp_dir):
+    from rangewise.plans.refresh import refresh
+    from rangewise.sources.fixtures import raw_tables
+
+    res = refresh(spark, raw_tables(spark, "/root/testdata/sf0.001"), root=tmp_dir + "/wh",
+                  register=True)
+    assert {r["table_name"] for r in res.production_checks} == {
+        "taxa", "species_geospatial", "observers", "species_observations"}
+    n = spark.sql("SELECT count(*) AS n FROM production.species_observations").first()["n"]
+    assert n == next(r["records"] for r in res.production_checks
+                     if r["table_name"] == "species_observations")
+    props = {r["key"]: r["value"] for r in
+             spark.sql("SHOW TBLPROPERTIES staging.observations_raw").collect()}
+    assert props.get("primary_key") == "observation_uuid"
