@@ -84,3 +84,18 @@ def clean_layer(layer_src: DataFrame, out_path: str) -> list[str]:
     layer_src.withColumns({c: clean_text(F.col(c)) for c in todo}) \
         .write.mode("overwrite").parquet(out_path)
     return todo
+
+
+def refresh_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """End to end through the delivered formats: export the raw inputs as
+    escaped gzip TSV + a WKT layer, refresh the warehouse from those files,
+    report fact rows by grade and known-area flag."""
+    from rangewise.plans.model import load
+    from rangewise.plans.reports import known_area_counts
+    from rangewise.sources.files import export_files, raw_from_files
+
+    base = scratch_path(spark, "delivered")
+    export_files(fixtures.raw_tables(spark, sf_dir), fixtures.layer_source(spark, sf_dir),
+                 base, f"{base}/layer")
+    res = refresh(spark, raw_from_files(spark, base, f"{base}/layer"))
+    return known_area_counts(load(spark, res.root))

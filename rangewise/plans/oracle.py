@@ -227,6 +227,9 @@ def oracle_sql() -> dict[str, str]:
         "known_area_counts": with_ctes(
             "SELECT quality_grade, observed_in_known_area, count(*) AS observations "
             "FROM fact GROUP BY ALL"),
+        "refresh_from_files": with_ctes(
+            "SELECT quality_grade, observed_in_known_area, count(*) AS observations "
+            "FROM fact GROUP BY ALL"),
         "taxa_ancestry": with_ctes("SELECT * FROM taxa_x"),
         "species_ranges": with_ctes("SELECT * FROM ranges"),
         "species_observations": with_ctes(f"SELECT {fact_cols} FROM fact"),

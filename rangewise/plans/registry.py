@@ -127,4 +127,5 @@ def queries() -> dict[str, Query]:
         "tsv_load_roundtrip": jobs.tsv_load_roundtrip,
         "ring_simplify": jobs.ring_simplify,
         "refresh_idempotent": jobs.refresh_idempotent,
+        "refresh_from_files": jobs.refresh_from_files,
     }

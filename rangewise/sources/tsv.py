@@ -41,7 +41,20 @@ def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         files = pdf["_file"].to_numpy()
         starts = pdf["_start"].to_numpy()
-        lines = pdf["value"].tolist()
+        values = pdf["value"]
+        # fast path (the common case): no pending record, no line ending in
+        # an odd run of backslashes -> drop header lines, emit the rest as is
+        trailing = values.str.len() - values.str.rstrip("\\").str.len()
+        if carry is None and not (trailing % 2 == 1).any():
+            prev = pd.Series(files).shift(1)
+            if len(prev):
+                prev.iloc[0] = last_file
+            new_file = (pd.Series(files) != prev).to_numpy()
+            header = new_file & (starts == 0)
+            last_file = files[-1] if len(files) else last_file
+            yield pd.DataFrame({"record": values[~header].to_numpy()}, dtype=object)
+            continue
+        lines = values.tolist()
         out = []
         for i, line in enumerate(lines):
             f = files[i]
