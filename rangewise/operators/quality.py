@@ -9,10 +9,11 @@ from a catalog lookup, and every key column is checked.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from rangewise.schemas import PRIMARY_KEYS
@@ -62,3 +63,31 @@ def run_checks(layer: str, tables: Mapping[str, DataFrame]) -> list[dict]:
                 f"{layer}.{r['table_name']} has {r['null_keys']} rows with NULL "
                 f"in key column {r['key_column']}")
     return rows
+
+
+def observed(layer: str, table: str, df: DataFrame,
+             extra: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """Attach the gate's metrics (and ``extra`` aggregates) to ``df``: they
+    are collected while the next action - the table's write - runs, so the
+    gate costs no job of its own."""
+    keys = key_columns(layer, table)
+    ob = Observation(f"{layer}.{table}.{uuid.uuid4().hex[:8]}")
+    exprs = [F.count(F.lit(1)).alias("records")]
+    exprs += [F.count(F.when(F.col(k).isNull(), 1)).alias(f"null:{k}") for k in keys]
+    exprs += [c.alias(k) for k, c in (extra or {}).items()]
+    return df.observe(ob, *exprs), ob
+
+
+def check_observed(layer: str, table: str, ob: Observation) -> list[dict]:
+    """Gate on metrics observed during the write; raise like :func:`run_checks`."""
+    m = ob.get
+    rows = [{"layer": layer, "table_name": table, "records": m["records"], "key_column": k,
+             "null_keys": m[f"null:{k}"]} for k in key_columns(layer, table)]
+    for r in rows:
+        if r["records"] == 0:
+            raise DataQualityError(f"{layer}.{table} is empty")
+        if r["null_keys"]:
+            raise DataQualityError(
+                f"{layer}.{table} has {r['null_keys']} rows with NULL in key column "
+                f"{r['key_column']}")
+    return rows

@@ -54,25 +54,48 @@ class DimensionSizes:
         return self.max_geometry_row_bytes > self.band_above_bytes
 
 
-def measure(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
-            budget: int = BROADCAST_BUDGET) -> DimensionSizes:
+def taxa_metrics(scope: ClassScope = DEFAULT_SCOPE) -> dict[str, F.Column]:
+    """Aggregates over the raw taxa that bound the lookup and species sides."""
     from rangewise.operators.taxa import in_scope_condition
 
     occurrences = F.expr(
         "size(filter(split(ancestry, '/'), x -> try_cast(trim(x) AS INT) = "
         f"{int(scope.class_id)}))")
     is_species = in_scope_condition(scope) & (F.col("rank") == "species")
-    taxa = raw.taxa_raw.agg(
-        F.count(F.lit(1)).alias("a"),
-        F.coalesce(F.sum(F.when(is_species, occurrences).otherwise(0)), F.lit(0)).alias("b"))
-    geo = raw.species_geospatial_raw.agg(
-        F.coalesce(F.max("geom_bytes"), F.lit(0)).cast("long").alias("a"),
-        F.coalesce(F.sum("geom_bytes"), F.lit(0)).alias("b"))
-    rows = taxa.select(F.lit("taxa").alias("k"), F.col("a").cast("long").alias("a"),
-                       F.col("b").cast("long").alias("b")) \
-        .unionByName(geo.select(F.lit("geo").alias("k"), "a", F.col("b").cast("long").alias("b"))) \
+    return {
+        "taxa_rows": F.count(F.lit(1)).cast("long"),
+        "species_rows": F.coalesce(F.sum(F.when(is_species, occurrences).otherwise(0)),
+                                   F.lit(0)).cast("long"),
+    }
+
+
+def layer_metrics() -> dict[str, F.Column]:
+    """Aggregates over the layer that bound the geometry side."""
+    return {
+        "geometry_bytes": F.coalesce(F.sum("geom_bytes"), F.lit(0)).cast("long"),
+        "max_geometry_row_bytes": F.coalesce(F.max("geom_bytes"), F.lit(0)).cast("long"),
+    }
+
+
+def from_metrics(metrics: dict, budget: int = BROADCAST_BUDGET) -> DimensionSizes:
+    """Sizes from metrics already gathered (e.g. observed while staging)."""
+    return DimensionSizes(taxa_rows=metrics["taxa_rows"], species_rows=metrics["species_rows"],
+                          geometry_bytes=metrics["geometry_bytes"],
+                          max_geometry_row_bytes=metrics["max_geometry_row_bytes"],
+                          budget=budget)
+
+
+def measure(raw: RawTables, scope: ClassScope = DEFAULT_SCOPE,
+            budget: int = BROADCAST_BUDGET) -> DimensionSizes:
+    """Run the measuring job: both aggregates under one union, one action."""
+    t = raw.taxa_raw.agg(*[c.alias(k) for k, c in taxa_metrics(scope).items()])
+    g = raw.species_geospatial_raw.agg(*[c.alias(k) for k, c in layer_metrics().items()])
+    rows = t.select(F.lit("taxa").alias("k"), F.col("taxa_rows").alias("a"),
+                    F.col("species_rows").alias("b")) \
+        .unionByName(g.select(F.lit("geo").alias("k"), F.col("geometry_bytes").alias("a"),
+                              F.col("max_geometry_row_bytes").alias("b"))) \
         .collect()
     got = {r["k"]: r for r in rows}
-    return DimensionSizes(taxa_rows=got["taxa"]["a"], species_rows=got["taxa"]["b"],
-                          geometry_bytes=got["geo"]["b"],
-                          max_geometry_row_bytes=got["geo"]["a"], budget=budget)
+    return from_metrics({"taxa_rows": got["taxa"]["a"], "species_rows": got["taxa"]["b"],
+                         "geometry_bytes": got["geo"]["a"],
+                         "max_geometry_row_bytes": got["geo"]["b"]}, budget)

@@ -28,10 +28,9 @@ from rangewise.operators import quality
 from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
-from rangewise.operators.sizing import measure
+from rangewise.operators.sizing import from_metrics, layer_metrics, taxa_metrics
 from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
-from rangewise.plans.model import Warehouse, load
 from rangewise.schemas import LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING
 from rangewise.session import scratch_path
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables
@@ -79,33 +78,49 @@ def register_tables(spark: SparkSession, root: str) -> None:
 
 def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
             scope: ClassScope = DEFAULT_SCOPE, register: bool = False) -> RefreshResult:
+    """Stage, gate, transform, gate. The gate metrics and the broadcast size
+    bounds are observed while the tables are written (``DataFrame.observe``),
+    so beyond the writes the refresh runs no extra job."""
     root = root or scratch_path(spark, "warehouse")
     res = RefreshResult(root)
 
-    # 1. stage (full replace)
+    def rd(layer: str, name: str) -> DataFrame:
+        return spark.read.parquet(f"{root}/{layer}/{name}")
+
+    def write_observed(layer, name, df, extra=None, table=None):
+        out, ob = quality.observed(layer, name, df, extra)
+        _write(out, f"{root}/{layer}/{name}", table)
+        return ob
+
+    # 1. stage (full replace), gate metrics and size bounds observed on the way
     staged = {
-        "observers_raw": raw.observers_raw,
-        "observations_raw": raw.observations_raw,
-        "taxa_raw": raw.taxa_raw,
-        "species_geospatial_raw": raw.species_geospatial_raw,
+        "observers_raw": (raw.observers_raw, None),
+        "observations_raw": (raw.observations_raw, None),
+        "taxa_raw": (raw.taxa_raw, taxa_metrics(scope)),
+        "species_geospatial_raw": (raw.species_geospatial_raw, layer_metrics()),
     }
-    _run_parallel([(lambda df=df, name=name: _write(df, f"{root}/{STAGING}/{name}"))
-                   for name, df in staged.items()])
+    obs = {}
 
-    def rd(layer: str, name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{layer}/{name}")
+    def stage(name):
+        df, extra = staged[name]
+        obs[name] = write_observed(STAGING, name, df, extra)
+
+    _run_parallel([(lambda n=n: stage(n)) for n in staged])
+
+    # 2. gate on staging (no job: metrics came with the writes)
+    res.staging_checks = [r for n in staged for r in quality.check_observed(STAGING, n, obs[n])]
+    metrics = {**obs["taxa_raw"].get, **obs["species_geospatial_raw"].get}
+    sizes = from_metrics(metrics)
 
     raw_w = RawTables(*(rd(STAGING, n) for n in
                         ("taxa_raw", "observations_raw", "observers_raw", "species_geospatial_raw")))
-    # 2. gate on staging
-    res.staging_checks = quality.run_checks(STAGING, {
-        "observers_raw": raw_w.observers_raw, "observations_raw": raw_w.observations_raw,
-        "taxa_raw": raw_w.taxa_raw, "species_geospatial_raw": raw_w.species_geospatial_raw})
 
     # 3. taxa first: ranges and fact read it
-    sizes = measure(raw_w, scope)
-    _write(explode_ancestry(raw_w.taxa_raw, scope, broadcast_lookup=sizes.lookup_fits),
-           f"{root}/{PRODUCTION}/taxa", "taxa")
+    prod = {}
+    prod["taxa"] = write_observed(
+        PRODUCTION, "taxa",
+        explode_ancestry(raw_w.taxa_raw, scope, broadcast_lookup=sizes.lookup_fits),
+        table="taxa")
     taxa = rd(PRODUCTION, "taxa")
     species_dim(taxa, scope, fits=sizes.species_fits)
 
@@ -114,20 +129,19 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
     fact_df = species_observations(raw_w.observations_raw, taxa, raw_w.species_geospatial_raw,
                                    scope, geometry_fits=sizes.geometry_fits,
                                    band_edges=DEFAULT_TARGET_EDGES if sizes.band_geometry else None)
-    _run_parallel([
-        lambda: _write(ranges, f"{root}/{PRODUCTION}/species_geospatial", "species_geospatial"),
-        lambda: _write(fact_df, f"{root}/{PRODUCTION}/species_observations",
-                       "species_observations"),
-    ])
+
+    def write_prod(name, df):
+        prod[name] = write_observed(PRODUCTION, name, df, table=name)
+
+    _run_parallel([lambda: write_prod("species_geospatial", ranges),
+                   lambda: write_prod("species_observations", fact_df)])
     fact = rd(PRODUCTION, "species_observations")
-    _write(observers_first_seen(raw_w.observers_raw, fact), f"{root}/{PRODUCTION}/observers",
-           "observers")
+    write_prod("observers", observers_first_seen(raw_w.observers_raw, fact))
 
     # 5. gate on production
-    final: Warehouse = load(spark, root, scope)
-    res.production_checks = quality.run_checks(PRODUCTION, {
-        "taxa": final.taxa, "species_geospatial": final.species_geospatial,
-        "observers": final.observers, "species_observations": final.species_observations})
+    res.production_checks = [r for n in ("taxa", "species_geospatial", "observers",
+                                         "species_observations")
+                             for r in quality.check_observed(PRODUCTION, n, prod[n])]
     if register:
         register_tables(spark, root)
     return res

@@ -76,3 +76,21 @@ def test_douglas_peucker_matches_brute_force():
         exp = {0, n - 1}
         rec(0, n - 1, exp)
         assert sorted(keep.tolist()) == sorted(exp)
+
+
+def test_refresh_stops_at_the_staging_gate(spark, tmp_dir):
+    import os
+
+    from rangewise.plans.refresh import refresh
+    from rangewise.sources import fixtures as FX
+
+    sf = "/root/testdata/sf0.001"
+    raw = FX.RawTables(
+        taxa_raw=lambda: FX.taxa_raw(spark, sf),
+        observations_raw=lambda: FX.observations_raw(spark, sf),
+        observers_raw=lambda: FX.observers_raw(spark, sf).limit(0),  # empty delivery
+        species_geospatial_raw=lambda: FX.species_geospatial_raw(spark, sf),
+    )
+    with pytest.raises(quality.DataQualityError, match="observers_raw is empty"):
+        refresh(spark, raw, root=tmp_dir + "/wh")
+    assert not os.path.exists(tmp_dir + "/wh/production")
