@@ -1,7 +1,6 @@
 """Ancestry explode: root, NULL, depth, malformed ids, prefix rules, self ids."""
 
 import pytest
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from rangewise.operators.taxa import explode_ancestry
 from rangewise.schemas import TAXA_RAW
