@@ -94,3 +94,17 @@ def test_refresh_stops_at_the_staging_gate(spark, tmp_dir):
     with pytest.raises(quality.DataQualityError, match="observers_raw is empty"):
         refresh(spark, raw, root=tmp_dir + "/wh")
     assert not os.path.exists(tmp_dir + "/wh/production")
+
+
+def test_clean_layer_job(spark, tmp_dir):
+    from rangewise.plans.jobs import clean_layer
+
+    src = spark.createDataFrame([
+        (1, "Sánchez\r\net al.", "Ok", "POLYGON ((0 0, 1 0, 1 1, 0 0))"),
+        (2, "Müller", "Fine", None),
+    ], "id_no int, compiler string, citation string, wkt string")
+    done = clean_layer(src, tmp_dir + "/clean")
+    assert done == ["compiler"]
+    back = {r["id_no"]: r for r in spark.read.parquet(tmp_dir + "/clean").collect()}
+    assert back[1]["compiler"] == "Sanchezet al." and back[2]["compiler"] == "Muller"
+    assert back[1]["citation"] == "Ok" and back[1]["wkt"].startswith("POLYGON")

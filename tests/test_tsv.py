@@ -49,3 +49,12 @@ def test_round_trip(spark, tmp_dir):
     back = read_escaped_tsv(spark, path, SCHEMA)
     assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == \
         sorted(map(tuple, df.collect()), key=lambda r: r[0])
+
+
+def test_exploration_read_honours_quotes_and_infers_types(spark, tmp_dir):
+    from rangewise.sources.tsv import explore_tsv
+
+    _write(os.path.join(tmp_dir, "obs.csv.gz"), 'id\tname\tx\n1\t"Life"\t2.5\n2\tplain\t3\n')
+    df = explore_tsv(spark, os.path.join(tmp_dir, "obs.csv.gz"))
+    assert dict(df.dtypes) == {"id": "int", "name": "string", "x": "double"}
+    assert [r["name"] for r in df.orderBy("id").collect()] == ["Life", "plain"]
