@@ -14,9 +14,12 @@ Reading is two steps:
 2. field splitting, unescaping and typing as column expressions (JVM-side).
    A record with the wrong field count or a malformed number fails the job.
 
-Plain (uncompressed) files are split by Spark; a record whose escaped
-newline straddles a split boundary is not glued. Deliver gzip, as upstream
-does, or one file per split.
+Gzip files (the upstream format) are one split each: one pass. Plain files
+are split by Spark, and a record may straddle a split boundary; each split
+then also emits at most two boundary fragments (its leading lines up to the
+first record end, its unfinished last record), glued per file in split
+order by a small grouped step. That path evaluates the assembly twice (once
+per branch of the union); it is taken only when a splittable file is read.
 """
 
 from __future__ import annotations
@@ -34,47 +37,92 @@ _ESC_BACKSLASH = "\u0001"  # placeholders while splitting (control chars)
 _ESC_TAB = "\u0002"
 
 
-def _assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Drop header lines, glue escaped-newline continuations (order-preserving)."""
-    last_file = None
-    carry = None  # an unfinished record from the previous batch
-    for pdf in batches:
-        files = pdf["_file"].to_numpy()
-        starts = pdf["_start"].to_numpy()
-        values = pdf["value"]
-        # fast path (the common case): no pending record, no line ending in
-        # an odd run of backslashes -> drop header lines, emit the rest as is
-        trailing = values.str.len() - values.str.rstrip("\\").str.len()
-        if carry is None and not (trailing % 2 == 1).any():
-            prev = pd.Series(files).shift(1)
-            if len(prev):
-                prev.iloc[0] = last_file
-            new_file = (pd.Series(files) != prev).to_numpy()
-            header = new_file & (starts == 0)
-            last_file = files[-1] if len(files) else last_file
-            yield pd.DataFrame({"record": values[~header].to_numpy()}, dtype=object)
-            continue
-        lines = values.tolist()
-        out = []
-        for i, line in enumerate(lines):
-            f = files[i]
-            if f != last_file:
-                if carry is not None:  # a file ending inside a record
-                    out.append(carry)
-                    carry = None
-                last_file = f
-                if starts[i] == 0:
-                    continue  # header line of this file
-            rec = line if carry is None else carry + "\n" + line
-            trailing = len(rec) - len(rec.rstrip("\\"))
-            if trailing % 2 == 1:
-                carry = rec
-            else:
+_FRAGMENTS = "kind string, file string, start long, text string, closed boolean"
+
+
+def _odd_backslashes(values: pd.Series) -> pd.Series:
+    return (values.str.len() - values.str.rstrip("\\").str.len()) % 2 == 1
+
+
+def _assembler(splittable: bool):
+    """Per partition, in file order: drop each file's header line, glue escaped
+    line feeds. A later split of a splittable file may begin inside a record
+    whose start lies in the previous split: its leading lines up to the first
+    record end are emitted as a ``head`` fragment, an unfinished record at a
+    split's end as a ``tail`` fragment; :func:`_glue` joins them per file.
+    Without splittable files (gzip) a tail can only end its file: a record."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seg = None        # (file, block start) of the current split
+        in_head = False   # inside the leading lines of a later split
+        carry = None      # unfinished text
+
+        def close():
+            if carry is None:
+                return []
+            if in_head:
+                return [("head", seg[0], seg[1], carry, False)]
+            return [("tail" if splittable else "rec", seg[0], seg[1], carry, None)]
+
+        for pdf in batches:
+            files, starts = pdf["_file"].to_numpy(), pdf["_start"].to_numpy()
+            values = pdf["value"]
+            odd = _odd_backslashes(values).to_numpy()
+            if (seg is not None and carry is None and not in_head and not odd.any()
+                    and (files == seg[0]).all() and (starts == seg[1]).all()):
+                # fast path: one split, nothing pending, no continuation
+                yield pd.DataFrame({"kind": "rec", "file": seg[0], "start": seg[1],
+                                    "text": values.to_numpy(), "closed": None})
+                continue
+            out = []
+            for line, f, st, o in zip(values.tolist(), files, starts, odd):
+                if seg is None or f != seg[0] or st != seg[1]:
+                    out += close()
+                    carry, seg = None, (f, int(st))
+                    if st == 0:
+                        in_head = False
+                        continue  # the file's header line
+                    in_head = splittable
+                text = line if carry is None else carry + "\n" + line
+                if o:
+                    carry = text
+                    continue
                 carry = None
-                out.append(rec)
-        yield pd.DataFrame({"record": out}, dtype=object)
-    if carry is not None:
-        yield pd.DataFrame({"record": [carry]}, dtype=object)
+                if in_head:
+                    out.append(("head", f, int(st), text, True))
+                    in_head = False
+                else:
+                    out.append(("rec", f, int(st), text, None))
+            yield pd.DataFrame(out, columns=["kind", "file", "start", "text", "closed"])
+        tail = close()
+        if tail:
+            yield pd.DataFrame(tail, columns=["kind", "file", "start", "text", "closed"])
+
+    return run
+
+
+def _glue(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One file's boundary fragments (at most two per split), in split order."""
+    out, pending = [], None
+    for st in sorted(pdf["start"].unique()):
+        part = pdf[pdf["start"] == st]
+        head = part[part["kind"] == "head"]
+        if len(head):
+            h = head.iloc[0]
+            piece = h["text"] if pending is None else pending + "\n" + h["text"]
+            if bool(h["closed"]):
+                out.append(piece)
+                pending = None
+            else:
+                pending = piece  # the whole split continues one record
+        tail = part[part["kind"] == "tail"]
+        if len(tail):
+            if pending is not None:  # a record ended without its continuation
+                out.append(pending)
+            pending = tail.iloc[0]["text"]
+    if pending is not None:
+        out.append(pending)
+    return pd.DataFrame({"text": out}, dtype=object)
 
 
 def _unescape(field: Column) -> Column:
@@ -93,9 +141,17 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
 
 def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Load escaped TSV file(s) (a path, directory or glob) into ``schema``."""
-    lines = spark.read.option("lineSep", "\n").text(path).select(
+    reader = spark.read.option("lineSep", "\n").text(path)
+    splittable = any(not f.lower().endswith(".gz") for f in reader.inputFiles())
+    lines = reader.select(
         "value", F.input_file_name().alias("_file"), F.input_file_block_start().alias("_start"))
-    records = lines.mapInPandas(_assemble, schema="record string")
+    frags = lines.mapInPandas(_assembler(splittable), schema=_FRAGMENTS)
+    records = frags.filter(F.col("kind") == "rec").select(F.col("text").alias("record"))
+    if splittable:
+        # boundary fragments: at most two rows per split, glued per file
+        glued = frags.filter(F.col("kind") != "rec").groupBy("file").applyInPandas(
+            _glue, schema="text string")
+        records = records.unionByName(glued.select(F.col("text").alias("record")))
     protected = F.replace(F.replace(F.col("record"), F.lit("\\\\"), F.lit(_ESC_BACKSLASH)),
                           F.lit("\\\t"), F.lit(_ESC_TAB))
     n = len(schema.fields)
