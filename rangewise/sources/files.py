@@ -14,14 +14,17 @@ from rangewise.sources.tsv import read_prefix, write_escaped_tsv
 
 def raw_from_files(spark: SparkSession, base: str, layer_path: str, *,
                    layer_format: str = "parquet", wkt_col: str = "wkt",
-                   simplify_tolerance: float | None = None) -> RawTables:
+                   simplify_tolerance: float | None = None,
+                   simplify_max_vertices: int | None = None) -> RawTables:
+    """``simplify_max_vertices`` turns on the automatic simplification of
+    geometry rows above that many vertices (the load's SIMPLIFY AUTO)."""
     return RawTables(
         taxa_raw=lambda: read_prefix(spark, base, "taxa", TAXA_RAW),
         observations_raw=lambda: read_prefix(spark, base, "observations", OBSERVATIONS_RAW),
         observers_raw=lambda: read_prefix(spark, base, "observers", OBSERVERS_RAW),
         species_geospatial_raw=lambda: build_layer(
             spark.read.format(layer_format).load(layer_path), wkt_col=wkt_col,
-            simplify_tolerance=simplify_tolerance),
+            simplify_tolerance=simplify_tolerance, simplify_max_vertices=simplify_max_vertices),
     )
 
 

@@ -6,9 +6,11 @@ source (Parquet, CSV, JSON...) with a WKT column. Parsing, edge building,
 bounding boxes, length and area are all column expressions, so the build is
 one narrow (shuffle-free) stage however large the layer is.
 
-Optional vertex reduction (the load's automatic simplification) is a
-Douglas-Peucker pass per ring, applied only to rings above a vertex limit. It
-runs in ``mapInPandas``: per geometry row, no grouping, no shuffle.
+Optional vertex reduction is a Douglas-Peucker pass per ring, either with a
+given tolerance or automatically (the load's automatic simplification): only
+geometry rows above a vertex limit are reduced, each with the smallest
+tolerance that makes it fit. It runs in ``mapInPandas``: per geometry row,
+no grouping, no shuffle.
 """
 
 from __future__ import annotations
@@ -26,7 +28,8 @@ from rangewise.schemas import LAYER_ATTRIBUTES, SPECIES_GEOSPATIAL_RAW
 
 
 def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: float | None = None,
-                simplify_min_vertices: int = 64) -> DataFrame:
+                simplify_min_vertices: int = 64,
+                simplify_max_vertices: int | None = None) -> DataFrame:
     """Delivered layer rows -> staging layer rows (one per geometry row).
 
     ``geom_row_id`` is kept when the source has one, else generated; the
@@ -41,9 +44,10 @@ def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: flo
     # too), so 64 + 24 * length is an upper bound computable without parsing.
     df = src.selectExpr("*", f"{rid} AS _rid", f"{wkt_rings_sql(wkt_col)} AS _rings",
                         f"64 + coalesce(length({w}), 0) * 24 AS _geom_bytes")
-    if simplify_tolerance is not None:
+    if simplify_tolerance is not None or simplify_max_vertices is not None:
         df = simplify_rings(df.withColumnRenamed("_rings", "rings"), simplify_tolerance,
-                            simplify_min_vertices).withColumnRenamed("rings", "_rings")
+                            simplify_min_vertices, simplify_max_vertices) \
+            .withColumnRenamed("rings", "_rings")
     df = df.selectExpr("*", f"{rings_to_edges_sql('_rings')} AS _edges")
     cols = []
     for f in SPECIES_GEOSPATIAL_RAW.fields:
@@ -107,13 +111,53 @@ def _simplify_ring(xs, ys, tol: float, min_vertices: int):
     if len(xs) <= min_vertices:
         return xs, ys
     idx = _douglas_peucker(xs, ys, tol)
-    if len(idx) < 4:  # a ring needs 3 distinct vertices + closure
-        return xs, ys
+    if len(idx) < 4:
+        # too coarse: keep a minimal ring instead - the first vertex, the one
+        # farthest from it, and the one farthest from that chord (+ closure)
+        n = len(xs)
+        k1 = int(np.argmax(np.hypot(xs - xs[0], ys - ys[0])))
+        dx, dy = xs[k1] - xs[0], ys[k1] - ys[0]
+        k2 = int(np.argmax(np.abs(dy * (xs - xs[0]) - dx * (ys - ys[0]))))
+        idx = np.array(sorted({0, k1, k2, n - 1}))
+        if len(idx) < 4:  # degenerate ring (collinear / repeated points)
+            return xs, ys
     return xs[idx], ys[idx]
 
 
-def simplify_rings(df: DataFrame, tolerance: float, min_vertices: int = 64) -> DataFrame:
-    """Reduce vertices of rings longer than ``min_vertices`` (planar tolerance)."""
+def _auto_tolerance(rings, max_vertices: int, min_vertices: int, iters: int = 40) -> float:
+    """Smallest tolerance (to bisection precision) that brings a geometry row
+    to at most ``max_vertices`` vertices (vertex counts fall monotonically
+    with the tolerance, down to 4 per ring); 0 when it already fits."""
+    total = sum(len(x) for x, _ in rings)
+    if total <= max_vertices:
+        return 0.0
+    xs = np.concatenate([np.asarray(x, dtype=float) for x, _ in rings])
+    ys = np.concatenate([np.asarray(y, dtype=float) for _, y in rings])
+    lo, hi = 0.0, float(np.hypot(np.ptp(xs), np.ptp(ys))) or 1.0
+
+    def count(t):
+        return sum(len(_simplify_ring(x, y, t, min_vertices)[0]) for x, y in rings)
+
+    if count(hi) > max_vertices:  # even minimal rings do not fit: go minimal
+        return hi
+    for _ in range(iters):
+        mid = (lo + hi) / 2
+        if count(mid) <= max_vertices:
+            hi = mid
+        else:
+            lo = mid
+    return hi
+
+
+def simplify_rings(df: DataFrame, tolerance: float | None, min_vertices: int = 64,
+                   max_vertices: int | None = None) -> DataFrame:
+    """Reduce vertices of rings longer than ``min_vertices``.
+
+    With a ``tolerance`` every such ring is simplified with it (planar units).
+    With ``tolerance=None`` and ``max_vertices`` (automatic mode) only geometry
+    rows above ``max_vertices`` vertices are simplified, each with the
+    smallest tolerance that makes it fit.
+    """
     staged = df.withColumn("_xs", F.expr("transform(rings, r -> transform(r, v -> v.x))")) \
                .withColumn("_ys", F.expr("transform(rings, r -> transform(r, v -> v.y))")) \
                .drop("rings")
@@ -127,7 +171,11 @@ def simplify_rings(df: DataFrame, tolerance: float, min_vertices: int = 64) -> D
                     new_x.append(None)
                     new_y.append(None)
                     continue
-                out = [_simplify_ring(a, b, tolerance, min_vertices) for a, b in zip(rxs, rys)]
+                tol = tolerance
+                if tol is None:
+                    tol = _auto_tolerance(list(zip(rxs, rys)), max_vertices, min_vertices)
+                out = ([_simplify_ring(a, b, tol, min_vertices) for a, b in zip(rxs, rys)]
+                       if tol > 0 else [(a, b) for a, b in zip(rxs, rys)])
                 new_x.append([list(a) for a, _ in out])
                 new_y.append([list(b) for _, b in out])
             pdf["_xs"] = new_x

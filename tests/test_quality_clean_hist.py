@@ -108,3 +108,22 @@ def test_clean_layer_job(spark, tmp_dir):
     back = {r["id_no"]: r for r in spark.read.parquet(tmp_dir + "/clean").collect()}
     assert back[1]["compiler"] == "Sanchezet al." and back[2]["compiler"] == "Muller"
     assert back[1]["citation"] == "Ok" and back[1]["wkt"].startswith("POLYGON")
+
+
+def test_automatic_simplification_fits_the_limit(spark):
+    import math
+
+    from rangewise.sources.layer import build_layer
+
+    n = 400
+    pts = [(round(10 * math.cos(2 * math.pi * i / n) + 0.3 * math.sin(37 * i), 6),
+            round(10 * math.sin(2 * math.pi * i / n), 6)) for i in range(n)]
+    big = "POLYGON ((" + ", ".join(f"{x} {y}" for x, y in pts + pts[:1]) + "))"
+    small = "POLYGON ((0 0, 1 0, 1 1, 0 0))"
+    src = spark.createDataFrame([(1, big), (2, small)], "id_no int, wkt string")
+    out = {r["id_no"]: r for r in build_layer(src, simplify_max_vertices=60,
+                                              simplify_min_vertices=4).collect()}
+    v_big = sum(len(r) for r in out[1]["rings"])
+    assert 4 <= v_big <= 60  # reduced to fit
+    assert sum(len(r) for r in out[2]["rings"]) == 4  # under the limit: untouched
+    assert abs(out[1]["shape_area"] - math.pi * 100) / (math.pi * 100) < 0.1
