@@ -60,3 +60,29 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's output."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(shuffle_bytes: int, executors: int, cores_per_executor: int,
+                     target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings for a cluster run, sized from the expected shuffle
+    volume (for the refresh: about the fact's width x rows).
+
+    * initial shuffle partitions: enough for ``target_partition_bytes`` each,
+      at least two waves of tasks; AQE coalesces what turns out smaller;
+    * splits of 256 MB for the Parquet / text scans;
+    * AQE skew handling for joins and rebalances, with a skew threshold tied
+      to the partition target.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, -(-int(shuffle_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
