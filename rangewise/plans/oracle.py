@@ -288,6 +288,11 @@ def oracle_sql() -> dict[str, str]:
         "active_species": with_ctes(
             f"SELECT * FROM taxa_raw WHERE ancestry IS NOT NULL "
             f"AND contains(lower(ancestry), '{CLASS_ID}') AND rank = 'species' AND active = true"),
+        "active_species_observations": with_ctes(
+            "SELECT taxon_id, count(*) AS records FROM fact WHERE taxon_id IN ("
+            "SELECT taxon_id FROM taxa_raw WHERE ancestry IS NOT NULL "
+            f"AND contains(lower(ancestry), '{CLASS_ID}') AND rank = 'species' AND active = true) "
+            "GROUP BY taxon_id"),
         "distinct_ranks": with_ctes("SELECT DISTINCT rank FROM taxa_raw WHERE ancestry IS NOT NULL"),
         "distinct_grades": with_ctes("SELECT DISTINCT quality_grade FROM obs_raw"),
         "layer_species_counts": with_ctes(

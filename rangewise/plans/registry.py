@@ -112,6 +112,7 @@ def queries() -> dict[str, Query]:
         "taxa_fanout": _w(R.taxa_fanout),
         "taxon_lookup": _w(R.taxon_lookup),
         "active_species": _w(R.active_species),
+        "active_species_observations": _w(R.active_species_observations),
         "distinct_ranks": _w(R.distinct_ranks),
         "distinct_grades": _w(R.distinct_grades),
         "layer_species_counts": _w(R.layer_species_counts),

@@ -160,6 +160,18 @@ def active_species(w: Warehouse, needle: str | None = None) -> DataFrame:
                     & (F.col("rank") == "species") & (F.col("active") == F.lit(True)))
 
 
+def active_species_ids(w: Warehouse, needle: str | None = None) -> DataFrame:
+    """The active species' ids as a one-column frame: the set stays on the
+    executors and is used as a semi-join source, never a driver-side list."""
+    return active_species(w, needle).select("taxon_id").distinct()
+
+
+def active_species_observations(w: Warehouse) -> DataFrame:
+    """Fact rows per active species of the class (semi join on the id set)."""
+    return (w.species_observations.join(active_species_ids(w), "taxon_id", "left_semi")
+            .groupBy("taxon_id").agg(F.count(F.lit(1)).alias("records")))
+
+
 def distinct_ranks(w: Warehouse) -> DataFrame:
     return w.raw.taxa_raw.dropna(subset=["ancestry"]).select("rank").distinct()
 
