@@ -85,8 +85,7 @@ def taxa_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"concat_ws('/', '{ROOT_TAXON_ID}', CAST({REGION_TAXON_BASE} + n_regionkey AS STRING))"
         " AS ancestry",
         "20.0D AS rank_level", "'genus' AS rank", "n_name AS name", "true AS active")
-    # nation is 25 rows: a broadcast of a fixed-size dimension
-    species = part.join(F.broadcast(nation), F.expr("p_partkey % 25 = n_nationkey")).selectExpr(
+    species = part.join(nation, F.expr("p_partkey % 25 = n_nationkey")).selectExpr(
         f"CAST({PART_TAXON_BASE} + p_partkey AS INT) AS taxon_id",
         f"concat_ws('/', '{ROOT_TAXON_ID}', CAST({REGION_TAXON_BASE} + n_regionkey AS STRING),"
         f" CAST({NATION_TAXON_BASE} + n_nationkey AS STRING)) AS ancestry",
