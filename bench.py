@@ -39,7 +39,7 @@ WAREHOUSE_REPORTS = {
     "obs_by_category": lambda s, w: R.obs_by_category(w),
     "out_of_range_share": lambda s, w: R.out_of_range_share(w),
 }
-FROM_RAW = ["known_area_counts", "species_observations"]
+FROM_RAW = ["known_area_counts", "species_observations", "dd_out_of_range_top5"]
 
 
 def _timed(fn, reps):
