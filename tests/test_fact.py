@@ -130,9 +130,13 @@ def test_banded_index_matches_full_edge_lists(spark):
     o = spark.createDataFrame(obs, OBS)
     full = species_observations(o, taxa, layer, SCOPE)
     banded = species_observations(o, taxa, layer, SCOPE, band_edges=4)
+    # the path of a layer too large to broadcast: bands through a salted shuffle
+    banded_shuffled = species_observations(o, taxa, layer, SCOPE, band_edges=4,
+                                           force_shuffle=True, salt_target_rows=50)
     a = {r["observation_uuid"]: r["observed_in_known_area"] for r in full.collect()}
     b = {r["observation_uuid"]: r["observed_in_known_area"] for r in banded.collect()}
-    assert a == b and len(a) == 601
+    c = {r["observation_uuid"]: r["observed_in_known_area"] for r in banded_shuffled.collect()}
+    assert a == b == c and len(a) == 601
     assert a["vertex"] is False and 0 < sum(a.values()) < 600
 
 
