@@ -5,7 +5,6 @@ from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from rangewise.functions.geo import edges_area, edges_bbox, edges_length, rings_to_edges, within, wkt_rings
 

@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from rangewise.operators import quality
 from rangewise.operators.clean import clean, profile
