@@ -7,7 +7,9 @@ Plan (one shuffle on the fact):
    keeps the class's observations and adds the species name;
 2. x the class's range geometry rows on the name: a broadcast hash join when
    the geometry's size bound fits the budget (no shuffle of the fact, a hot
-   species is harmless), else a shuffle join salted on hot species;
+   species is harmless); else a spatially partitioned shuffle join on
+   (species, latitude band), where each observation meets only its band's
+   edges and hot (species, band) keys are salted;
 3. per (observation, geometry row) the strict point-in-polygon test;
 4. GROUP BY the 8 observation columns with ``max(flag)``: collapses exact
    duplicate observation rows and ORs the geometry rows (NULL ignored). The
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from rangewise.functions.geo import point, within, within_banded
 from rangewise.operators.joins import bounded_broadcast, salted_join_keys
-from rangewise.operators.spatial_index import band_index
+from rangewise.operators.spatial_index import DEFAULT_BAND_DEGREES, band_index, band_rows
 from rangewise.operators.taxa import species_dim
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
@@ -51,9 +53,12 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
                          force_shuffle: bool = False,
                          geometry_fits: bool | None = None,
                          band_edges: int | None = None,
-                         salt_target_rows: int = 2_000_000) -> DataFrame:
+                         salt_target_rows: int = 2_000_000,
+                         band_height: float = DEFAULT_BAND_DEGREES) -> DataFrame:
     """``band_edges``: build a banded edge index with about this many edges
-    per band (for layers of large polygons); None or 0 tests full edge lists."""
+    per band (for layers of large polygons); None or 0 tests full edge lists.
+    A geometry side over the broadcast budget (or ``force_shuffle``) takes the
+    band-partitioned shuffle join instead (``band_height`` degrees)."""
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
     # observations of the class's species, with the species name
     obs = obs.join(species_dim(taxa, scope), "taxon_id")
@@ -73,14 +78,12 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
         geo_b, fits = bounded_broadcast(geo, size_expr=size)
     if fits:
         pairs = obs.join(geo_b, "taxon_name")
+        test = (within_banded("longitude", "latitude", "bands") if band_edges
+                else within("longitude", "latitude", "edges"))
+        flagged = pairs.select(*OBS_KEYS, test.alias("_inside"))
+        fact = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("observed_in_known_area"))
     else:
-        o, g = salted_join_keys(obs, geo, "taxon_name", F.col("observation_uuid"),
-                                target_rows=salt_target_rows)
-        pairs = o.join(g, ["taxon_name", "_salt"]).drop("_salt")
-    test = (within_banded("longitude", "latitude", "bands") if band_edges
-            else within("longitude", "latitude", "edges"))
-    flagged = pairs.select(*OBS_KEYS, test.alias("_inside"))
-    fact = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("observed_in_known_area"))
+        fact = _band_partitioned(obs, layer, taxa, scope, band_height, salt_target_rows)
     cols = [
         "observation_uuid", "observer_id", "latitude", "longitude",
         F.col("positional_accuracy").cast("double").alias("positional_accuracy_in_metres"),
@@ -92,3 +95,39 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
         cols.append(point("longitude", "latitude").alias("observation_geom_point"))
     cols.append("observed_in_known_area")
     return fact.select(*cols)
+
+
+def _band_partitioned(obs: DataFrame, layer: DataFrame, taxa: DataFrame, scope: ClassScope,
+                      band_height: float, salt_target_rows: int) -> DataFrame:
+    """Spatially partitioned join for a geometry side too large to broadcast.
+
+    Both sides meet on (species, latitude band): an observation is shuffled
+    once, with the edges of its own band only. Hot (species, band) keys are
+    salted. The join is a left join so that an observation whose band misses
+    every geometry row of its species survives; it is then ``false`` when the
+    species has any non-NULL geometry and NULL otherwise - the same answer
+    as testing every geometry row. Species without geometry rows drop out.
+    """
+    geo = class_geometry(layer, taxa, scope)
+    # per species: does any geometry row carry a geometry? (one row per
+    # species of the class: bounded by the measured species dimension)
+    info = geo.groupBy("taxon_name").agg(
+        F.max(F.col("edges").isNotNull()).alias("_has_geometry"))
+    info = info.join(species_dim(taxa, scope).select("taxon_name"), "taxon_name", "left_semi")
+    o = obs.join(info, "taxon_name").withColumn(
+        "_k", F.concat_ws("#", "taxon_name",
+                          F.floor(F.col("latitude") / float(band_height)).cast("string")))
+    g = band_rows(geo, band_height).withColumn(
+        "_k", F.concat_ws("#", "taxon_name", F.col("_band").cast("string"))) \
+        .select("_k", "edges", "xmin", "ymin", "xmax", "ymax")
+    o, g = salted_join_keys(o, g, "_k", F.col("observation_uuid"), target_rows=salt_target_rows)
+    pairs = o.join(g, ["_k", "_salt"], "left")
+    flagged = pairs.select(*OBS_KEYS, "_has_geometry",
+                           within("longitude", "latitude", "edges").alias("_inside"))
+    agg = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("_any"),
+                                         F.max("_has_geometry").alias("_has"))
+    flag = (F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit(None))
+            .when(F.col("_any"), F.lit(True))
+            .when(F.col("_has"), F.lit(False))
+            .otherwise(F.lit(None)).cast("boolean"))
+    return agg.select(*OBS_KEYS, flag.alias("observed_in_known_area"))

@@ -48,3 +48,26 @@ def band_index(geo: DataFrame, target_edges: int = DEFAULT_TARGET_EDGES) -> Data
     banded = per_row.select(*attrs, "band_h",
                             F.expr("transform(_sorted, s -> s._edges)").alias("bands"))
     return small.unionByName(banded)
+
+
+DEFAULT_BAND_DEGREES = 1.0
+
+
+def band_rows(geo: DataFrame, band_height: float = DEFAULT_BAND_DEGREES) -> DataFrame:
+    """Cut geometry rows into global latitude bands for a partitioned join.
+
+    ``geo`` (taxon_name, geom_row_id, edges, xmin, ymin, xmax, ymax) -> one row
+    per (geometry row, band it spans) with only the edges whose y-span touches
+    the band; band = floor(y / band_height). Every band inside a row's
+    y-range holds at least two edges (the boundary crosses it), so a point
+    of that band is tested exactly as against the whole edge list.
+    """
+    keys = ["taxon_name", "geom_row_id", "xmin", "ymin", "xmax", "ymax"]
+    h = float(band_height)
+    per_edge = geo.filter(F.col("edges").isNotNull()).select(
+        *keys, F.explode("edges").alias("_e"))
+    per_band = per_edge.select(
+        *keys, "_e",
+        F.explode(F.sequence(F.floor(F.least("_e.y1", "_e.y2") / h),
+                             F.floor(F.greatest("_e.y1", "_e.y2") / h))).alias("_band"))
+    return per_band.groupBy(*keys, "_band").agg(F.collect_list("_e").alias("edges"))

@@ -171,3 +171,19 @@ def test_refresh_registers_tables(spark, tmp_dir):
     props = {r["key"]: r["value"] for r in
              spark.sql("SHOW TBLPROPERTIES staging.observations_raw").collect()}
     assert props.get("primary_key") == "observation_uuid"
+
+
+def test_band_partitioned_join_on_fixture(spark):
+    """The shuffle path (layer too large to broadcast) gives the broadcast
+    path's fact on the driver-derived fixture, at several band heights."""
+    from rangewise.plans.model import build
+
+    w = build(spark, "/root/testdata/sf0.001")
+    raw, taxa = w.raw, w.taxa
+    a = sorted(map(tuple, species_observations(
+        raw.observations_raw, taxa, raw.species_geospatial_raw, with_point=False).collect()))
+    for h in (0.5, 7.0, 100.0):
+        b = sorted(map(tuple, species_observations(
+            raw.observations_raw, taxa, raw.species_geospatial_raw, with_point=False,
+            force_shuffle=True, band_height=h, salt_target_rows=20).collect()))
+        assert a == b, h
