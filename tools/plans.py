@@ -9,6 +9,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from rangewise.operators.observations import species_observations  # noqa: E402
 from rangewise.operators.observers import observers_first_seen  # noqa: E402
 from rangewise.plans import reports as R  # noqa: E402
 from rangewise.plans.model import build, load  # noqa: E402
@@ -34,6 +35,9 @@ def main() -> None:
     items = [
         ("Fact from raw inputs (flagship: counts by grade and known-area flag)",
          R.known_area_counts(w)),
+        ("Fact with a layer too large to broadcast: (species, latitude band) shuffle join",
+         species_observations(w.raw.observations_raw, w.taxa, w.raw.species_geospatial_raw,
+                              force_shuffle=True)),
         ("Observers dimension from the written fact",
          observers_first_seen(wh.raw.observers_raw, wh.species_observations)),
         ("Top-5 data-deficient species outside their range (written warehouse)",
