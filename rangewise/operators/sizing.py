@@ -88,13 +88,19 @@ def from_metrics(metrics: dict, budget: int = BROADCAST_BUDGET) -> DimensionSize
 _MEASURED: dict[tuple, dict] = {}
 
 
+# Inputs with more files than this are measured every time rather than keyed
+# (one status call per file from the driver would cost more than the job).
+_MAX_KEYED_FILES = 1000
+
+
 def _input_identity(*dfs) -> tuple | None:
     """(path, length, modification time) of every file the frames read, via
-    the Hadoop file system; None when a frame has no file inputs to key on."""
+    the Hadoop file system; None when a frame has no file inputs to key on
+    or too many to stat cheaply."""
     out = []
     for df in dfs:
         files = df.inputFiles()
-        if not files:
+        if not files or len(files) > _MAX_KEYED_FILES:
             return None
         jvm = df.sparkSession.sparkContext._jvm
         conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
