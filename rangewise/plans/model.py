@@ -17,6 +17,7 @@ from rangewise.operators.ranges import species_ranges
 from rangewise.operators.sizing import DimensionSizes, measure
 from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
+from rangewise.schemas import SCHEMAS
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables, raw_tables
 
 
@@ -87,7 +88,8 @@ def build(spark: SparkSession, sf_dir: str, scope: ClassScope = DEFAULT_SCOPE) -
 def load(spark: SparkSession, root: str, scope: ClassScope = DEFAULT_SCOPE) -> Warehouse:
     """Tables written by :func:`rangewise.plans.refresh.refresh` under ``root``."""
     def rd(layer: str, name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{layer}/{name}")
+        # written by the refresh with the declared schema
+        return spark.read.schema(SCHEMAS[(layer, name)]).parquet(f"{root}/{layer}/{name}")
 
     raw = RawTables(
         taxa_raw=lambda: rd("staging", "taxa_raw"),

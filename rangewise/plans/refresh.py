@@ -85,7 +85,8 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
     res = RefreshResult(root)
 
     def rd(layer: str, name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{layer}/{name}")
+        # the declared schema: planning needs no footer reads
+        return spark.read.schema(SCHEMAS[(layer, name)]).parquet(f"{root}/{layer}/{name}")
 
     def write_observed(layer, name, df, extra=None, table=None):
         out, ob = quality.observed(layer, name, df, extra)

@@ -187,3 +187,15 @@ def test_band_partitioned_join_on_fixture(spark):
             raw.observations_raw, taxa, raw.species_geospatial_raw, with_point=False,
             force_shuffle=True, band_height=h, salt_target_rows=20).collect()))
         assert a == b, h
+
+
+def test_written_tables_follow_the_declared_schemas(spark, tmp_dir):
+    from rangewise.plans.refresh import refresh
+    from rangewise.schemas import SCHEMAS
+    from rangewise.sources.fixtures import raw_tables
+
+    root = refresh(spark, raw_tables(spark, "/root/testdata/sf0.001"), root=tmp_dir + "/wh").root
+    for (layer, name), schema in SCHEMAS.items():
+        got = spark.read.parquet(f"{root}/{layer}/{name}").schema
+        assert [(f.name, f.dataType) for f in got.fields] == \
+            [(f.name, f.dataType) for f in schema.fields], (layer, name)
