@@ -22,8 +22,8 @@ def tree(df) -> str:
     jvm = df.sparkSession.sparkContext._jvm
     text = jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     head = text.split("\n\n")[0]
-    scans = [ln for ln in text.splitlines()
-             if ln.startswith(("PushedFilters", "ReadSchema", "Location"))]
+    scans = list(dict.fromkeys(ln for ln in text.splitlines()
+                               if ln.startswith(("PushedFilters", "ReadSchema"))))
     return re.sub(r"#\d+L?", "", head + "\n\nScan details:\n" + "\n".join(scans))
 
 
