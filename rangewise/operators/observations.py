@@ -1,7 +1,7 @@
 """Fact table: observations of the class's species, flagged inside / outside
 the species' known range.
 
-Plan (one shuffle on the fact):
+Plan (when the geometry fits a broadcast: one shuffle of the fact):
 
 1. observations x species of the class on ``taxon_id`` (broadcast, measured):
    keeps the class's observations and adds the species name;
