@@ -86,3 +86,10 @@ def test_plain_file_split_inside_records(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == sorted(rows)
+
+
+def test_malformed_number_fails_the_load(spark, tmp_dir):
+    """Fail fast like the load does: a non-numeric id is an error, not a NULL."""
+    _write(os.path.join(tmp_dir, "bad_num.gz"), "id\ttxt\tx\tok\nabc\tt\t1.0\tt\n")
+    with pytest.raises(Exception):
+        read_escaped_tsv(spark, os.path.join(tmp_dir, "bad_num.gz"), SCHEMA).collect()
