@@ -130,13 +130,21 @@ def _unescape(field: Column) -> Column:
     return F.replace(F.replace(f, F.lit(_ESC_TAB), F.lit("\t")), F.lit(_ESC_BACKSLASH), F.lit("\\"))
 
 
-def _typed(raw: Column, dtype: T.DataType) -> Column:
+def _typed(raw: Column, dtype: T.DataType, name: str) -> Column:
+    """Unescape and type one field. A non-empty value that does not parse as
+    the column's type fails the job whatever the session's ANSI setting
+    (fail fast, as a load error would)."""
     value = _unescape(raw)
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         typed = value
     else:
-        typed = F.when(value == "", F.lit(None)).otherwise(value.cast(dtype))
-    return F.when(raw == NULL_MARKER, F.lit(None).cast(dtype)).otherwise(typed.cast(dtype))
+        parsed = value.try_cast(dtype)
+        typed = (F.when(value == "", F.lit(None).cast(dtype))
+                 .when(parsed.isNull(), F.raise_error(
+                     F.concat(F.lit(f"malformed {dtype.simpleString()} in column {name}: "),
+                              value)).cast(dtype))
+                 .otherwise(parsed))
+    return F.when(raw == NULL_MARKER, F.lit(None).cast(dtype)).otherwise(typed)
 
 
 def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -162,7 +170,8 @@ def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> Da
                                    F.size("_f").cast("string")))
         ).alias("_f"))
     return checked.select(*[
-        _typed(F.col("_f")[i], f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
+        _typed(F.col("_f")[i], f.dataType, f.name).alias(f.name)
+        for i, f in enumerate(schema.fields)
     ])
 
 

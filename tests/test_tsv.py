@@ -93,3 +93,14 @@ def test_malformed_number_fails_the_load(spark, tmp_dir):
     _write(os.path.join(tmp_dir, "bad_num.gz"), "id\ttxt\tx\tok\nabc\tt\t1.0\tt\n")
     with pytest.raises(Exception):
         read_escaped_tsv(spark, os.path.join(tmp_dir, "bad_num.gz"), SCHEMA).collect()
+
+
+def test_malformed_number_fails_without_ansi(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        _write(os.path.join(tmp_dir, "bad_num2.gz"), "id\ttxt\tx\tok\n1\tt\tnot-a-number\tt\n")
+        with pytest.raises(Exception, match="malformed double in column x"):
+            read_escaped_tsv(spark, os.path.join(tmp_dir, "bad_num2.gz"), SCHEMA).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
