@@ -42,7 +42,8 @@ def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
     * ``ancestry = ''`` (the root) gives one row, position 1, NULL ancestor.
     * ``ancestry IS NULL`` gives no row.
     * Every position is kept (no cap on depth).
-    * An id that is not a number (e.g. after a trailing slash) fails the cast.
+    * An id that is not a number (e.g. after a trailing slash) fails the job,
+      whatever the session's ANSI setting.
     """
     m = in_scope(taxa_raw, scope).select(
         "taxon_id", "ancestry", "rank_level", "rank", "name", "active",
@@ -50,7 +51,9 @@ def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
     ).select(
         "*",
         F.when(F.col("ancestry") == "", F.lit(None).cast("int"))
-        .otherwise(F.trim(F.col("_elem")).cast("int")).alias("ancestry_id"),
+        .when(F.trim(F.col("_elem")).try_cast("int").isNull(), F.raise_error(
+            F.concat(F.lit("malformed ancestry id in path "), F.col("ancestry"))).cast("int"))
+        .otherwise(F.trim(F.col("_elem")).try_cast("int")).alias("ancestry_id"),
         (F.col("_pos") + 1).cast("int").alias("ancestry_position"),
     )
     lookup = taxa_raw.select(

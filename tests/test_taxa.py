@@ -68,5 +68,11 @@ def test_spaces_and_self_reference(spark):
 
 def test_trailing_slash_fails(spark):
     rows = [(6, "48460/1001/", 10.0, "species", "bad", True)]
-    with pytest.raises(Exception):
-        explode_ancestry(_taxa(spark, rows), SCOPE).collect()
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception, match="malformed ancestry id"):
+                explode_ancestry(_taxa(spark, rows), SCOPE).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
