@@ -4,7 +4,8 @@ Bins follow the plotting convention: ``n`` bins spanning [min, max], the
 last bin closed on the right (the maximum lands in bin n-1, not n); when
 min = max the range widens to [v - 0.5, v + 0.5]. One global aggregate
 gives min/max (two scalars to the driver), one grouped count gives the bin
-sizes; empty bins are reported with frequency 0.
+sizes; empty bins are reported with frequency 0. The input is written once
+(a small grouped table) so both passes read it rather than recompute it.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rangewise.session import scratch_path
+
 
 def bin_range(df: DataFrame, col: str) -> tuple[float, float] | None:
     r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
@@ -23,8 +26,19 @@ def bin_range(df: DataFrame, col: str) -> tuple[float, float] | None:
     return lo, hi
 
 
-def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 50) -> DataFrame:
-    """Rows ``(bin, bin_lo, bin_hi, frequency)`` for ``bins`` bins."""
+def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 50,
+              materialize: bool = True) -> DataFrame:
+    """Rows ``(bin, bin_lo, bin_hi, frequency)`` for ``bins`` bins.
+
+    ``df`` is usually a grouped count (one row per taxon / day / month). With
+    ``materialize`` it is written once to the shared scratch folder, so the
+    range pass and the binning pass both read that small table instead of
+    recomputing the counts (and scanning the fact) twice.
+    """
+    if materialize:
+        path = scratch_path(spark, "hist-input")
+        df.select(col).write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
     rng = bin_range(df, col)
     lo, hi = rng if rng else (0.0, 1.0)
     idx = F.least(F.floor((F.col(col).cast("double") - F.lit(lo)) * bins / F.lit(hi - lo)),
