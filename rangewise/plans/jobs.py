@@ -12,12 +12,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangewise.functions.geo import edges_area
+from rangewise.functions.geo import edges_area, rings_to_edges
 from rangewise.plans.refresh import refresh
 from rangewise.schemas import PRODUCTION, STAGING, TAXA_RAW
 from rangewise.session import scratch_path
 from rangewise.sources import fixtures
-from rangewise.sources.layer import build_layer
+from rangewise.sources.layer import build_layer, simplify_rings
 from rangewise.sources.tsv import read_escaped_tsv, write_escaped_tsv
 
 SIMPLIFY_TOLERANCE = 25.0
@@ -32,17 +32,15 @@ def tsv_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ring_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vertex counts and area before / after Douglas-Peucker reduction."""
-    src = fixtures.layer_source(spark, sf_dir)
-    before = build_layer(src).select(
-        "geom_row_id", "id_no",
-        F.expr("aggregate(rings, 0, (a, r) -> a + size(r))").alias("vertices_before"))
-    after = build_layer(src, simplify_tolerance=SIMPLIFY_TOLERANCE,
-                        simplify_min_vertices=SIMPLIFY_MIN_VERTICES).select(
-        "geom_row_id",
-        F.expr("aggregate(rings, 0, (a, r) -> a + size(r))").alias("vertices_after"),
-        edges_area("edges").alias("shape_area_after"))
-    return before.join(after, "geom_row_id")
+    """Vertex counts and area before / after Douglas-Peucker reduction, in
+    one pass over the layer (no self join)."""
+    vertices = "aggregate(rings, 0, (a, r) -> a + size(r))"
+    layer = build_layer(fixtures.layer_source(spark, sf_dir)).select(
+        "geom_row_id", "id_no", "rings", F.expr(vertices).alias("vertices_before"))
+    simplified = simplify_rings(layer, SIMPLIFY_TOLERANCE, SIMPLIFY_MIN_VERTICES)
+    return simplified.withColumn("_edges", rings_to_edges("rings")).select(
+        "geom_row_id", "id_no", "vertices_before", F.expr(vertices).alias("vertices_after"),
+        edges_area("_edges").alias("shape_area_after"))
 
 
 def _compare(a: DataFrame, b: DataFrame) -> DataFrame:
