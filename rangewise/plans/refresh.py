@@ -19,10 +19,13 @@ Layout, per the distribution notes of the model:
 
 from __future__ import annotations
 
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rangewise.operators import quality
 from rangewise.operators.observations import species_observations
@@ -32,7 +35,7 @@ from rangewise.operators.sizing import from_metrics, layer_metrics, taxa_metrics
 from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
 from rangewise.schemas import LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING
-from rangewise.session import scratch_path
+from rangewise.session import scratch_path, shared_dir
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables
 
 
@@ -76,8 +79,35 @@ def register_tables(spark: SparkSession, root: str) -> None:
             f"LOCATION '{root}/{layer}/{name}' TBLPROPERTIES ('primary_key' = '{keys}')")
 
 
+def _pointer_dir(spark: SparkSession, pointers: str | None) -> str:
+    return pointers or f"{shared_dir(spark)}/warehouse-pointers"
+
+
+def publish(spark: SparkSession, root: str, pointers: str | None = None) -> str:
+    """Make ``root`` the current warehouse: add a pointer entry named by time
+    (never overwrite one), so readers switch only after a complete, gated
+    refresh and a failed run leaves the previous warehouse current."""
+    name = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    spark.range(1).select(F.lit(root).alias("value")).write.text(
+        f"{_pointer_dir(spark, pointers)}/{name}")
+    return name
+
+
+def current_root(spark: SparkSession, pointers: str | None = None) -> str | None:
+    """The most recently published warehouse root (None if none yet)."""
+    path = _pointer_dir(spark, pointers)
+    try:
+        entries = spark.read.text(f"{path}/*").select(
+            "value", F.input_file_name().alias("f"))
+        latest = entries.orderBy(F.desc("f")).first()
+    except Exception:  # nothing published yet
+        return None
+    return latest["value"] if latest else None
+
+
 def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
-            scope: ClassScope = DEFAULT_SCOPE, register: bool = False) -> RefreshResult:
+            scope: ClassScope = DEFAULT_SCOPE, register: bool = False,
+            publish_to: str | None = None) -> RefreshResult:
     """Stage, gate, transform, gate. The gate metrics and the broadcast size
     bounds are observed while the tables are written (``DataFrame.observe``),
     so beyond the writes the refresh runs no extra job."""
@@ -145,4 +175,6 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
                              for r in quality.check_observed(PRODUCTION, n, prod[n])]
     if register:
         register_tables(spark, root)
+    if publish_to is not None:
+        publish(spark, root, publish_to or None)
     return res

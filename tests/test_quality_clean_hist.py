@@ -126,3 +126,25 @@ def test_automatic_simplification_fits_the_limit(spark):
     assert 4 <= v_big <= 60  # reduced to fit
     assert sum(len(r) for r in out[2]["rings"]) == 4  # under the limit: untouched
     assert abs(out[1]["shape_area"] - math.pi * 100) / (math.pi * 100) < 0.1
+
+
+def test_publish_switches_only_after_a_gated_refresh(spark, tmp_dir):
+    from rangewise.plans.refresh import current_root, refresh
+    from rangewise.sources import fixtures as FX
+
+    sf = "/root/testdata/sf0.001"
+    ptr = tmp_dir + "/pointers"
+    assert current_root(spark, ptr) is None
+    first = refresh(spark, FX.raw_tables(spark, sf), root=tmp_dir + "/a", publish_to=ptr).root
+    assert current_root(spark, ptr) == first
+    bad = FX.RawTables(
+        taxa_raw=lambda: FX.taxa_raw(spark, sf),
+        observations_raw=lambda: FX.observations_raw(spark, sf),
+        observers_raw=lambda: FX.observers_raw(spark, sf).limit(0),
+        species_geospatial_raw=lambda: FX.species_geospatial_raw(spark, sf),
+    )
+    with pytest.raises(quality.DataQualityError):
+        refresh(spark, bad, root=tmp_dir + "/b", publish_to=ptr)
+    assert current_root(spark, ptr) == first  # the failed run did not switch readers
+    second = refresh(spark, FX.raw_tables(spark, sf), root=tmp_dir + "/c", publish_to=ptr).root
+    assert current_root(spark, ptr) == second
