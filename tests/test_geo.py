@@ -83,3 +83,29 @@ def test_random_polygons_against_brute_force(spark, poly, points):
     for (w, px, py), g in zip(pts, got):
         exp = _brute(poly, px, py)
         assert g == (False if exp is None else exp), (poly, px, py)
+
+
+def test_banded_equals_full_on_a_grid_with_band_boundaries(spark):
+    """Grid points hit band boundaries exactly; a notched polygon with
+    negative coordinates and a zero-height polygon; one edge per band."""
+    from pyspark.sql import functions as F
+
+    from rangewise.functions.geo import within_banded
+    from rangewise.operators.spatial_index import band_index
+    from rangewise.sources.layer import build_layer
+
+    src = spark.createDataFrame([
+        (1, "POLYGON ((-3 -3, 3 -3, 3 3, -1 0.5, -3 3, -3 -3))"),
+        (2, "POLYGON ((0 1, 5 1, 0 1))"),
+    ], "id_no int, wkt string")
+    geo = build_layer(src).select("geom_row_id", "edges", "xmin", "ymin", "xmax", "ymax")
+    g = geo.join(band_index(geo, target_edges=1).select("geom_row_id", "bands", "band_h"),
+                 "geom_row_id")
+    ids = [r["geom_row_id"] for r in geo.select("geom_row_id").collect()]
+    pts = spark.createDataFrame([(i, x / 2.0, y / 4.0) for i in ids
+                                 for x in range(-8, 9) for y in range(-16, 17)],
+                                "geom_row_id long, lon double, lat double")
+    out = pts.join(g, "geom_row_id").select(
+        within("lon", "lat", "edges").alias("a"), within_banded("lon", "lat", "bands").alias("b"))
+    assert out.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
+    assert out.filter("a").count() > 0
