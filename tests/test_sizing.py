@@ -31,3 +31,13 @@ def test_bounds_and_cache(spark, tmp_dir):
     assert measure(_raw(spark, tmp_dir, 3), SCOPE) == s1  # rewritten but same content
     s2 = measure(_raw(spark, tmp_dir, 5), SCOPE)  # new files: measured again
     assert (s2.taxa_rows, s2.species_rows) == (6, 5)
+
+
+def test_cluster_settings_sizes_partitions():
+    from rangewise.session import cluster_settings
+
+    big = cluster_settings(20 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20 * 2**40 // (256 * 2**20)
+    small = cluster_settings(10 * 2**20, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80  # at least two waves
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
