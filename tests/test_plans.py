@@ -34,3 +34,16 @@ def test_warehouse_reports_push_filters_into_the_scan(spark, tmp_dir):
     plan = _plan(R.obs_per_taxon(w))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(observation_date", plan)
     assert re.search(r"ReadSchema: struct<taxon_id:int,observation_date:date>", plan)
+
+
+def test_large_layer_path_is_a_band_keyed_shuffle_join(spark):
+    from rangewise.operators.observations import species_observations
+
+    w = build(spark, SF)
+    fact = species_observations(w.raw.observations_raw, w.taxa, w.raw.species_geospatial_raw,
+                                force_shuffle=True)
+    plan = _plan(fact)
+    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    # the geometry side is joined on the (species, band) key plus salt
+    assert re.search(r"(SortMergeJoin|ShuffledHashJoin) \[_k#\d+, _salt#\d+\]", plan)
+    assert re.search(r"LeftOuter", plan)
