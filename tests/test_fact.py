@@ -199,3 +199,25 @@ def test_written_tables_follow_the_declared_schemas(spark, tmp_dir):
         got = spark.read.parquet(f"{root}/{layer}/{name}").schema
         assert [(f.name, f.dataType) for f in got.fields] == \
             [(f.name, f.dataType) for f in schema.fields], (layer, name)
+
+
+def test_hot_observer_first_seen(spark):
+    """One observer holds a third of the fact: the per-observer fold happens
+    map-side and the first date is still exact."""
+    import datetime as dt2
+
+    from rangewise.schemas import OBSERVERS_RAW, SPECIES_OBSERVATIONS
+
+    rows = []
+    for i in range(3000):
+        obs_id = 1 if i % 3 == 0 else 2 + i % 50
+        day = dt2.date(2000, 1, 1) + dt2.timedelta(days=(i * 7) % 400)
+        rows.append((f"u{i}", obs_id, 0.0, 0.0, 1.0, 10, "casual", day, None, False))
+    fact = spark.createDataFrame(rows, SPECIES_OBSERVATIONS).repartition(8)
+    observers = spark.createDataFrame([(k, f"l{k}", f"n{k}") for k in range(1, 60)], OBSERVERS_RAW)
+    got = {r["observer_id"]: r["first_observation_date"]
+           for r in observers_first_seen(observers, fact).collect()}
+    expected = {}
+    for r in rows:
+        expected[r[1]] = min(expected.get(r[1], r[7]), r[7])
+    assert got == expected
