@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -39,27 +40,68 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """Root of the shared scratch folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when unset (tests, local runs) a private
-    temp folder is created and registered as the checkpoint dir.
+    Read from the session. Where it is unset, a local master (tests, benches)
+    gets a private temp folder registered as the checkpoint dir; any other
+    master is refused, because a folder of one machine is invisible to the
+    others.
     """
     sc = spark.sparkContext
-    current = None
-    try:
-        current = sc.getCheckpointDir()
-    except Exception:  # older API surface
-        current = None
-    if not current:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="rangewise-ckpt-")
-        sc.setCheckpointDir(current)
-        current = sc.getCheckpointDir() or current
+        master = sc.master or ""
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                f"spark.checkpoint.dir is not set and the master is {master!r}: "
+                "name a folder that the driver and all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="rangewise-ckpt-"))
+        current = sc.getCheckpointDir()
     return current.rstrip("/")
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's output."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
+    """Delete the scratch paths this process made, but for ``keep``.
+
+    Call it when the frames that read them have been consumed. Returns the
+    number of paths that existed.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    gone = 0
+    for path in [p for p in _SCRATCH if p not in keep]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        gone += bool(p.getFileSystem(conf).delete(p, True))
+        _SCRATCH.remove(path)
+    return gone
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so Python
+    functions of its modules can be imported there without any installation."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="rangewise-pkg-"), "rangewise_pkg.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
 
 
 def cluster_settings(shuffle_bytes: int, executors: int, cores_per_executor: int,
