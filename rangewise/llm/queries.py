@@ -17,6 +17,7 @@ from rangewise.llm import (
     quality_classifier,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
     token_counts,
     token_output,
 )
@@ -46,6 +47,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
@@ -65,7 +70,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_token_counts, op3_best_fit_packing, op4_decontamination,
-        op6_quality_rules, op8_quality_classifier, op9_token_output, op10_minhash)}
+        op5_suffix_dedup, op6_quality_rules, op8_quality_classifier, op9_token_output, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
