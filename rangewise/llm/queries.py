@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rangewise.llm import (
     decontaminate,
+    lm_score,
     minhash,
     packing,
     quality_classifier,
@@ -55,6 +56,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(documents(spark, sf_dir))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
 
@@ -70,7 +75,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_token_counts, op3_best_fit_packing, op4_decontamination,
-        op5_suffix_dedup, op6_quality_rules, op8_quality_classifier, op9_token_output, op10_minhash)}
+        op5_suffix_dedup, op6_quality_rules, op7_lm_scoring,
+        op8_quality_classifier, op9_token_output, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
