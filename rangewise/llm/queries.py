@@ -53,7 +53,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(documents(spark, sf_dir))
+    return quality_rules.quality_rules(documents(spark, sf_dir)).drop("longest_repeat")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,5 +79,161 @@ def queries() -> dict[str, Query]:
         op8_quality_classifier, op9_token_output, op10_minhash)}
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SPACED = r"'[^\x20\x09-\x0D]+'"
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+_OP1 = rf"""
+WITH cut AS (
+  SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL
+), lines AS (
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS unit FROM cut
+), placed AS (
+  SELECT doc_id, unit, line, strlen(line) AS size,
+         sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - strlen(line) - 1 AS start,
+         trim(regexp_replace({_LOWER.format("line")}, '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS norm
+  FROM lines
+), ranked AS (
+  SELECT *, len(string_split(norm, ' ')) >= {substring_dedup.MIN_WORDS} AND norm <> ''
+            AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
+  FROM placed
+)
+SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
+       coalesce(sum(size) FILTER (WHERE gone), 0)::BIGINT AS removed_bytes,
+       coalesce(string_agg(start::BIGINT || '-' || (start + size)::BIGINT, ',' ORDER BY unit)
+                FILTER (WHERE gone), '') AS removed_spans,
+       coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (WHERE NOT gone), '') AS text
+FROM ranked GROUP BY doc_id
+UNION ALL
+SELECT doc_id, 0, 0, 0, '', NULL FROM documents WHERE text IS NULL
+"""
+
+_OP4 = rf"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_WORDS}) AS w FROM documents
+), iw AS (
+  SELECT item_id::VARCHAR AS item_id, regexp_extract_all({_LOWER.format("text")}, {_WORDS}) AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT item_id, w, least({decontaminate.WINDOW}, len(w)) AS n,
+               unnest(range(1, len(w) - least({decontaminate.WINDOW}, len(w)) + 2)) AS p
+        FROM iw WHERE len(w) > 0)
+), doc_windows AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM dw, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n)
+), found AS (
+  SELECT doc_id, n, p, item_id FROM doc_windows JOIN item_windows USING (n, win)
+), hits AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_OP5 = f"""
+WITH d AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), starts AS (
+  SELECT doc_id, p, row_number() OVER (PARTITION BY win ORDER BY doc_id, p) > 1 AS again
+  FROM (SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH})) AS win
+        FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - {suffix_dedup.LENGTH} + 1)) AS p
+              FROM d WHERE strlen(h) >= {2 * suffix_dedup.LENGTH}))
+), bytes AS (
+  SELECT doc_id, unnest(range(0, strlen(h) // 2)) AS p, h FROM d
+), marked AS (
+  SELECT b.doc_id, b.p, substr(h, 2 * b.p + 1, 2) AS x,
+         coalesce(max(CASE WHEN again THEN b.p END) OVER (
+           PARTITION BY b.doc_id ORDER BY b.p) > b.p - {suffix_dedup.LENGTH}, false) AS gone
+  FROM bytes b LEFT JOIN starts s ON b.doc_id = s.doc_id AND b.p = s.p
+), edges AS (
+  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens
+  FROM marked
+), done AS (
+  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+         coalesce(string_agg(x, '' ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
+  FROM edges GROUP BY doc_id
+)
+SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN done USING (doc_id)
+"""
+
+_LONG = quality_rules.MAX_LONGEST + 1  # a repeat over the limit has a repeated window of this size
+_OP6 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), {_SPACED}) AS w FROM documents
+), windows AS (
+  SELECT doc_id, n, p, hash(w[p:p + n - 1]) AS h
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+        FROM d, (VALUES ({quality_rules.BASE_WORDS}), ({quality_rules.COVER_WORDS}), ({_LONG})) t(n)
+        WHERE len(w) >= n)
+), again AS (
+  SELECT doc_id, n, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, n, h) AS c FROM windows)
+  WHERE c > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) FILTER (WHERE n = {quality_rules.BASE_WORDS}) AS base,
+         count(DISTINCT q) FILTER (WHERE n = {quality_rules.COVER_WORDS}) AS cover,
+         count(*) FILTER (WHERE n = {_LONG}) AS long
+  FROM (SELECT doc_id, n, unnest(range(p, p + n)) AS q FROM again) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, {_SPACED}) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, len(w) AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(base, 0) AS n_repeat_words,
+         coalesce(cover, 0) AS n_covered_words, coalesce(long, 0) AS long
+  FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN lines USING (doc_id)
+), based AS (
+  SELECT *, n_words < {quality_rules.BASE_LEAST}
+            OR 100 * n_repeat_words > {quality_rules.BASE_COVERED} * n_words AS base_failed
+  FROM counted
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND long = 0
+         AND 100 * n_covered_words <= {quality_rules.MAX_COVERED} * n_words AS kept,
+       n_covered_words
+FROM based
+"""
+
+_OP10 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, {_SPACED}) AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + {minhash.SHINGLE - 1}], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {minhash.SHINGLE - 1}, 1) + 1)) AS p
+        FROM d WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+    FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * i >= {minhash.PERCENT} * (p.n + q.n - i)
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, b) AS component_id,
+       doc_id = least(doc_id, b) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Operators on tokenizer ids and trained models have no SQL; tests hold
+    those against brute force."""
+    return {"op1_substring_dedup": _OP1, "op4_decontamination": _OP4, "op5_suffix_dedup": _OP5,
+            "op6_quality_rules": _OP6, "op10_minhash": _OP10}
