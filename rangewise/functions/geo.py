@@ -33,28 +33,54 @@ def wkt_rings(wkt_col: str) -> Column:
     return F.expr(wkt_rings_sql(wkt_col))
 
 
+# One ordinate, and the tag with its optional dimension (a space before it or not).
+_NUMBER = r"[-+]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][-+]?[0-9]+)?"
+_SPACE = "[ \\\\t\\\\r\\\\n]+"
+_TAG = r"^\s*(MULTI)?POLYGON\s*(ZM|Z|M)?\s*"
+
+
+def _lit(pattern: str) -> str:
+    """A pattern as a raw SQL literal."""
+    return f"r'{pattern}'"
+
+
 def wkt_rings_sql(wkt_col: str) -> str:
-    """Parse POLYGON / MULTIPOLYGON WKT text into rings.
+    """Parse POLYGON / MULTIPOLYGON WKT text into rings; NULL stays NULL.
 
     Each innermost parenthesised group is one ring's vertex list, so nesting
-    depth (parts, holes) does not matter for even-odd containment.
-    Malformed numbers raise under ANSI mode (fail fast, like a load error).
+    depth (parts, holes) does not matter for even-odd containment. Z / M
+    ordinates are read and left out; ``EMPTY`` has no rings.
+
+    Whatever is not such text fails the job in both ANSI modes: another tag,
+    unbalanced or misplaced parentheses, a vertex without exactly the number
+    of numbers that the tag asks for, anything after the end.
     """
     w = _sql(wkt_col)
-    # Per ring: one scan for its numbers (literal patterns are compiled once
-    # per task), then pair them up by index. Z / M ordinates are skipped by
-    # striding over 3 or 4 numbers per vertex.
-    stride = (f"(2 + CASE WHEN upper({w}) RLIKE '^\\\\s*\\\\w+\\\\s+(Z|M)\\\\s*\\\\(' THEN 1 "
-              f"WHEN upper({w}) RLIKE '^\\\\s*\\\\w+\\\\s+ZM\\\\s*\\\\(' THEN 2 ELSE 0 END)")
-    # element_at(transform(array(v), st -> ...), 1) binds the stride once per
-    # row instead of re-testing the WKT tag for every vertex.
-    return (
-        f"""element_at(transform(array({stride}), st -> transform(
-              transform(regexp_extract_all({w}, '\\\\(([^()]*)\\\\)', 1),
-                        s -> cast(regexp_extract_all(s, '([-+0-9.eE]+)', 1) AS array<double>)),
-              c -> transform(sequence(0, CAST(size(c) DIV st AS INT) - 1),
-                             i -> named_struct('x', c[i * st], 'y', c[i * st + 1])))), 1)"""
-    )
+    tag = f"upper(regexp_extract({w}, {_lit('(?i)' + _TAG)}, 0))"
+    fail = f"raise_error(concat('malformed polygon text: ', left({w}, 80)))"
+    # Bound once per row: s.d numbers a vertex, s.body the text after the tag.
+    bound = (f"named_struct('d', 2 + length(regexp_extract({tag}, {_lit('(ZM|Z|M)?[ ]*$')}, 1)), "
+             f"'multi', {tag} LIKE '%MULTI%', "
+             f"'body', trim(regexp_replace({w}, {_lit('(?i)' + _TAG)}, '')))")
+    # Rings replaced by a letter, then lists folded: what is left must be one
+    # ring in one polygon (in one multipolygon).
+    outline = (f"replace(replace(regexp_replace(regexp_replace(s.body, {_lit('[(][^()]*[)]')}, 'R'), "
+               f"{_lit(_SPACE)}, ''), ',R', ''), ',(R)', '')")
+    vertex = {d: _lit(r"^\s*" + _NUMBER + (r"(\s+" + _NUMBER + "){%d}" % (d - 1)) + r"\s*$")
+              for d in (2, 3, 4)}
+    whole = " ".join(f"WHEN s.d = {d} THEN v RLIKE {vertex[d]}" for d in vertex)
+    point = (f"CASE WHEN (CASE {whole} END) THEN transform(array(split(trim(v), {_lit(_SPACE)})), "
+             f"c -> named_struct('x', cast(c[0] AS double), 'y', cast(c[1] AS double)))[0] "
+             f"ELSE {fail} END")
+    rings = (f"transform(regexp_extract_all(s.body, {_lit('[(]([^()]*)[)]')}, 1), "
+             f"r -> transform(split(r, ','), v -> {point}))")
+    none = "cast(array() AS array<array<struct<x:double,y:double>>>)"
+    return (f"""CASE WHEN {w} IS NULL THEN NULL
+        WHEN NOT {w} RLIKE {_lit('(?i)' + _TAG + '([(]|EMPTY)')} THEN {fail}
+        ELSE transform(array({bound}), s ->
+          CASE WHEN upper(s.body) = 'EMPTY' THEN {none}
+               WHEN {outline} = CASE WHEN s.multi THEN '((R))' ELSE '(R)' END THEN {rings}
+               ELSE {fail} END)[0] END""")
 
 
 def rings_to_edges(rings_col: str) -> Column:

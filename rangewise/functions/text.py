@@ -3,9 +3,11 @@
 * ``needs_cleaning``: the value holds a character outside ``\\x1F-\\x7F`` -
   any non-ASCII character, and also tab, newline, carriage return and the
   other control characters below 0x1F.
-* ``transliterate``: non-ASCII letters to their closest ASCII spelling with a
-  fixed table (multi-letter replacements first, then a one-to-one
-  ``translate``); anything left outside ASCII is dropped.
+* ``transliterate``: letters to an ASCII spelling. Latin letters with marks
+  come from Unicode's own decomposition (a rule, not a list); letters that do
+  not decompose, Greek, Cyrillic and common punctuation from the short tables
+  below. A character without an entry **stays as it is**: nothing vanishes,
+  and ``unmapped`` counts what stayed.
 * ``strip_line_breaks``: remove CR LF pairs, then lone LF. A lone CR stays.
 
 NULL stays NULL throughout.
@@ -13,53 +15,78 @@ NULL stays NULL throughout.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 # Pattern that marks a value for cleaning (characters outside 0x1F..0x7F).
 NEEDS_CLEANING_PATTERN = r"[^\x1F-\x7F]"
-# Anything still outside 7-bit ASCII after transliteration is dropped.
 NON_ASCII_PATTERN = r"[^\x00-\x7F]"
-# Characters spelled with more than one ASCII letter, applied in this order.
-MULTI_CHAR = [
-    ("ß", "ss"), ("Æ", "AE"), ("æ", "ae"), ("Œ", "OE"), ("œ", "oe"),
-    ("Þ", "Th"), ("þ", "th"), ("Ĳ", "IJ"), ("ĳ", "ij"),
-    ("…", "..."), ("€", "EUR"), ("£", "PS"), ("©", "(c)"), ("®", "(r)"),
-    ("«", "<<"), ("»", ">>"), ("™", "(tm)"), ("°", "deg"),
-]
-# One-to-one replacements: the n-th character of FROM becomes the n-th of TO.
-ONE_CHAR_FROM = (
-    "ÀÁÂÃÄÅàáâãäåĀāĂăĄą"
-    "ÇçĆćĈĉĊċČč"
-    "ÐðĎďĐđ"
-    "ÈÉÊËèéêëĒēĔĕĖėĘęĚě"
-    "ĜĝĞğĠġĢģĤĥĦħ"
-    "ÌÍÎÏìíîïĨĩĪīĬĭĮįİı"
-    "ĴĵĶķĹĺĻļĽľĿŀŁł"
-    "ÑñŃńŅņŇň"
-    "ÒÓÔÕÖØòóôõöøŌōŎŏŐő"
-    "ŔŕŖŗŘřŚśŜŝŞşŠšŢţŤťŦŧ"
-    "ÙÚÛÜùúûüŨũŪūŬŭŮůŰűŲų"
-    "ŴŵÝýÿŶŷŸŹźŻżŽž"
-    "\u00a0‘’‚“”„–—×÷¡¿·"
-)
-ONE_CHAR_TO = (
-    "AAAAAAaaaaaaAaAaAa"
-    "CcCcCcCcCc"
-    "DdDdDd"
-    "EEEEeeeeEeEeEeEeEe"
-    "GgGgGgGgHhHh"
-    "IIIIiiiiIiIiIiIiIi"
-    "JjKkLlLlLlLlLl"
-    "NnNnNnNn"
-    "OOOOOOooooooOoOoOo"
-    "RrRrRrSsSsSsSsTtTtTt"
-    "UUUUuuuuUuUuUuUuUuUu"
-    "WwYyyYyYZzZzZz"
-    " '''\"\"\"--x/!?."
-)
-assert len(ONE_CHAR_FROM) == len(ONE_CHAR_TO)
+# Latin letters that Unicode does not decompose, and punctuation.
+LATIN = {
+    "Æ": "AE", "æ": "ae", "Œ": "OE", "œ": "oe", "Ø": "O", "ø": "o", "ß": "ss", "ẞ": "SS",
+    "Þ": "Th", "þ": "th", "Ð": "D", "ð": "d", "Đ": "D", "đ": "d", "Ħ": "H", "ħ": "h",
+    "Ł": "L", "ł": "l", "Ŧ": "T", "ŧ": "t", "ı": "i", "ĸ": "k", "Ŋ": "NG", "ŋ": "ng",
+    "Ə": "E", "ə": "e", "Ɓ": "B", "ɓ": "b", "Ɗ": "D", "ɗ": "d", "Ƙ": "K", "ƙ": "k",
+    "Ɛ": "E", "ɛ": "e", "Ɔ": "O", "ɔ": "o", "Ƴ": "Y", "ƴ": "y", "Ɖ": "D", "ɖ": "d",
+    "Ɩ": "I", "ɩ": "i", "Ʋ": "V", "ʋ": "v", "ʼ": "'", "ʻ": "'", "ʹ": "'", "ʺ": '"',
+}
+PUNCTUATION = {
+    "‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"', "‹": "<", "›": ">",
+    "«": "<<", "»": ">>", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-",
+    "×": "x", "÷": "/", "¡": "!", "¿": "?", "·": ".", "•": "*", "€": "EUR", "£": "PS",
+    "©": "(c)", "®": "(r)", "°": "deg", "−": "-", "⁄": "/", "†": "+", "§": "SS",
+}
+# Greek after ISO 843 (transcription), Cyrillic after the BGN/PCGN romanisations.
+GREEK = {
+    "α": "a", "β": "v", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "i", "θ": "th", "ι": "i",
+    "κ": "k", "λ": "l", "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "σ": "s",
+    "ς": "s", "τ": "t", "υ": "y", "φ": "f", "χ": "ch", "ψ": "ps", "ω": "o",
+}
+CYRILLIC = {
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i",
+    "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t",
+    "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'",
+    "ы": "y", "ь": "'", "э": "e", "ю": "yu", "я": "ya", "і": "i", "є": "ye", "ґ": "g",
+    "й": "y", "ё": "yo", "ї": "yi", "ў": "w",
+    "ђ": "dj", "ј": "j", "љ": "lj", "њ": "nj", "ћ": "c", "џ": "dz", "ѕ": "dz",
+}
+# Blocks whose letters are decomposed: Latin-1 to Extended-B with the marks,
+# Greek and Cyrillic (their accented letters), the additional and extended
+# Latin and Greek blocks, general punctuation, letter-like signs, ligatures
+# and full-width forms.
+BLOCKS = [(0x00A0, 0x0530), (0x1E00, 0x2070), (0x2100, 0x2150), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
+
+
+def _with_capitals(table: dict[str, str]) -> dict[str, str]:
+    upper = {k.upper(): v.capitalize() for k, v in table.items() if len(k.upper()) == 1}
+    return upper | table
+
+
+@lru_cache(maxsize=1)
+def spellings() -> dict[str, str]:
+    """Every mapped character and its ASCII spelling; marks on their own map
+    to nothing, as they belong to the letter before them."""
+    base = LATIN | PUNCTUATION | _with_capitals(GREEK) | _with_capitals(CYRILLIC)
+    out = dict(base)
+    for start, end in BLOCKS:
+        for code in range(start, end):
+            c = chr(code)
+            if c in out:
+                continue
+            if unicodedata.combining(c):
+                out[c] = ""
+                continue
+            parts = unicodedata.normalize("NFKD", c)
+            if parts == c:
+                continue
+            spelled = "".join("" if unicodedata.combining(p) else base.get(p, p) for p in parts)
+            if spelled.isascii():
+                out[c] = spelled
+    return out
 
 
 def needs_cleaning(c: Column) -> Column:
@@ -67,11 +94,21 @@ def needs_cleaning(c: Column) -> Column:
 
 
 def transliterate(c: Column) -> Column:
-    out = c
-    for src, dst in MULTI_CHAR:
-        out = F.replace(out, F.lit(src), F.lit(dst))
-    out = F.translate(out, ONE_CHAR_FROM, ONE_CHAR_TO)
-    return F.regexp_replace(out, NON_ASCII_PATTERN, "")
+    """One ``translate`` for all characters of one letter or none, and a
+    ``replace`` for each of several letters."""
+    table = spellings()
+    single = {k: v for k, v in table.items() if len(v) == 1}
+    gone = "".join(k for k, v in table.items() if not v)
+    out = F.translate(c, "".join(single) + gone, "".join(single.values()))
+    for src, dst in table.items():
+        if len(dst) > 1:
+            out = F.replace(out, F.lit(src), F.lit(dst))
+    return out
+
+
+def unmapped(c: Column) -> Column:
+    """Characters outside ASCII that a transliterated value still holds."""
+    return F.char_length(F.regexp_replace(transliterate(c), r"[\x00-\x7F]", ""))
 
 
 def strip_line_breaks(c: Column) -> Column:
@@ -83,14 +120,7 @@ def clean_text(c: Column) -> Column:
     return strip_line_breaks(transliterate(c))
 
 
-def sql_clean_text(col_sql: str) -> str:
-    """The same cleaning as DuckDB SQL text (used by the oracle queries)."""
-    def q(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
-    out = col_sql
-    for src, dst in MULTI_CHAR:
-        out = f"replace({out}, {q(src)}, {q(dst)})"
-    out = f"translate({out}, {q(ONE_CHAR_FROM)}, {q(ONE_CHAR_TO)})"
-    out = f"regexp_replace({out}, '{NON_ASCII_PATTERN}', '', 'g')"
-    out = f"replace(replace({out}, chr(13) || chr(10), ''), chr(10), '')"
-    return out
+def cleaned(c: Column) -> Column:
+    """``clean_text`` of the values that need it. A value of printable ASCII
+    alone is its own clean form, so testing first only saves the work."""
+    return F.when(needs_cleaning(c), clean_text(c)).otherwise(c)

@@ -1,8 +1,7 @@
 """Join helpers: broadcast only behind a measured size, salt hot keys.
 
-A broadcast side is measured before it is hinted, either by a capped row
-count (``limit(n + 1).count()`` stops reading once the cap is passed) or by a
-byte estimate aggregated on the executors. Above the budget the join is left
+A broadcast side is measured before it is hinted, by a row count or by a
+byte estimate, either aggregated on the executors. Above the budget the join is left
 to a shuffle, where AQE's skew handling and :func:`salted_join_keys` keep a
 hot key from landing in one task.
 """
@@ -16,9 +15,13 @@ from pyspark.sql import functions as F
 # 8 GB hard cap and small enough to ship to a thousand executors.
 BROADCAST_BUDGET = 128 * 1024 * 1024
 
+# Bytes a text column of a dimension may take in a row (its declared width).
+TEXT_BYTES = 256
+
 
 def _row_bytes(df: DataFrame) -> int:
-    """Rough per-row width from the schema (strings / arrays count 32 bytes)."""
+    """Per-row width from the schema: strings at their longest (names of up to
+    256 characters), arrays at 32 bytes (measure those by ``size_expr``)."""
     total = 16
     for f in df.schema.fields:
         s = f.dataType.simpleString()
@@ -28,6 +31,8 @@ def _row_bytes(df: DataFrame) -> int:
             total += 8
         elif s == "boolean":
             total += 1
+        elif s.startswith(("string", "varchar", "char")):
+            total += TEXT_BYTES
         else:
             total += 32
     return total
@@ -45,35 +50,34 @@ def bounded_broadcast(df: DataFrame, budget: int = BROADCAST_BUDGET,
         total = df.agg(F.sum(size_expr).alias("b")).first()["b"] or 0
         fits = total <= budget
     else:
-        cap = max(1, budget // _row_bytes(df))
-        fits = df.limit(cap + 1).count() <= cap
+        # a count per task; no row moves
+        fits = df.agg(F.count(F.lit(1))).first()[0] * _row_bytes(df) <= budget
     return (F.broadcast(df), True) if fits else (df, False)
 
 
-def hot_key_salts(big: DataFrame, key: str, target_rows: int,
-                  max_salts: int = 8192) -> DataFrame:
+def hot_key_salts(big: DataFrame, key: str, target_rows: int) -> DataFrame:
     """Keys of ``big`` holding more than ``target_rows`` rows, with a salt count.
 
-    The result has at most ``count(big) / target_rows`` rows, so it is
-    bounded by construction and safe to broadcast. ``max_salts`` only limits
-    how far one key is spread (a key of 1/3 of 10^11 rows still gets ~4M rows
-    per task); every row still meets all its partners.
+    The result has at most ``count(big) / target_rows`` rows of a key and a
+    number (a few MB for 10^11 rows at the default target), so it is bounded
+    by construction and safe to broadcast.
     """
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return counts.filter(F.col("_n") > target_rows).select(
-        key, F.least(F.lit(max_salts), F.ceil(F.col("_n") / target_rows)).cast("int").alias("_salts")
-    )
+        key, F.ceil(F.col("_n") / target_rows).cast("int").alias("_salts"))
 
 
 def salted_join_keys(big: DataFrame, small: DataFrame, key: str, row_id: Column,
-                     target_rows: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+                     target_rows: int = 2_000_000,
+                     counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Add a ``_salt`` column to both sides so a hot ``key`` spreads over tasks.
 
     Rows of a hot key on the big side get ``pmod(hash(row_id), salts)``; the
     small side's rows of that key are replicated once per salt. Cold keys use
-    salt 0 and are not replicated. Join on ``(key, _salt)``.
+    salt 0 and are not replicated. Join on ``(key, _salt)``. ``counted``: a
+    cheaper frame with the big side's keys (or more) to count them on.
     """
-    salts = F.broadcast(hot_key_salts(big, key, target_rows))
+    salts = F.broadcast(hot_key_salts(big if counted is None else counted, key, target_rows))
     b = big.join(salts, key, "left").withColumn(
         "_salt", F.when(F.col("_salts").isNull(), F.lit(0))
         .otherwise(F.pmod(F.xxhash64(row_id), F.col("_salts")).cast("int"))

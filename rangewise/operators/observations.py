@@ -9,7 +9,8 @@ Plan (when the geometry fits a broadcast: one shuffle of the fact):
    the geometry's size bound fits the budget (no shuffle of the fact, a hot
    species is harmless); else a spatially partitioned shuffle join on
    (species, latitude band), where each observation meets only its band's
-   edges and hot (species, band) keys are salted;
+   edges and hot (species, band) keys are salted. That path shuffles the
+   observations twice: for the join and for the aggregate;
 3. per (observation, geometry row) the strict point-in-polygon test;
 4. GROUP BY the 8 observation columns with ``max(flag)``: collapses exact
    duplicate observation rows and ORs the geometry rows (NULL ignored). The
@@ -27,8 +28,9 @@ from pyspark.sql import functions as F
 
 from rangewise.functions.geo import point, within, within_banded
 from rangewise.operators.joins import bounded_broadcast, salted_join_keys
-from rangewise.operators.spatial_index import DEFAULT_BAND_DEGREES, band_index, band_rows
-from rangewise.operators.taxa import species_dim
+from rangewise.operators.spatial_index import (DEFAULT_BAND_DEGREES, INDEX_GROWTH, band_index,
+                                               band_rows)
+from rangewise.operators.taxa import species_dim, with_hint_of
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
 OBS_KEYS = ["observation_uuid", "observer_id", "latitude", "longitude", "positional_accuracy",
@@ -60,30 +62,23 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
     A geometry side over the broadcast budget (or ``force_shuffle``) takes the
     band-partitioned shuffle join instead (``band_height`` degrees)."""
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
-    # observations of the class's species, with the species name
-    obs = obs.join(species_dim(taxa, scope), "taxon_id")
     geo = class_geometry(layer, taxa, scope)
-    if band_edges:
-        geo = band_index(geo, band_edges)
-        # bands replicate edges that span several of them: measure the index
-        size = F.lit(64) + F.expr("aggregate(bands, 0L, (a, b) -> a + size(b))") * 32
-        geometry_fits = None
+    if not force_shuffle and geometry_fits is None:
+        # an index holds at most INDEX_GROWTH times the edges it is built from
+        size = F.col("geom_bytes") * (INDEX_GROWTH if band_edges else 1)
+        geo, geometry_fits = bounded_broadcast(geo, size_expr=size)
+    if force_shuffle or not geometry_fits:
+        fact = _band_partitioned(obs, geo, taxa, scope, band_height, salt_target_rows)
     else:
-        size = F.col("geom_bytes")
-    if force_shuffle:
-        geo_b, fits = geo, False
-    elif geometry_fits is not None:
-        geo_b, fits = (F.broadcast(geo), True) if geometry_fits else (geo, False)
-    else:
-        geo_b, fits = bounded_broadcast(geo, size_expr=size)
-    if fits:
-        pairs = obs.join(geo_b, "taxon_name")
+        # observations of the class's species, with the species name
+        obs = obs.join(species_dim(taxa, scope), "taxon_id")
+        if band_edges:
+            geo = band_index(geo, band_edges)
+        pairs = obs.join(F.broadcast(geo), "taxon_name")
         test = (within_banded("longitude", "latitude", "bands") if band_edges
                 else within("longitude", "latitude", "edges"))
         flagged = pairs.select(*OBS_KEYS, test.alias("_inside"))
         fact = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("observed_in_known_area"))
-    else:
-        fact = _band_partitioned(obs, layer, taxa, scope, band_height, salt_target_rows)
     cols = [
         "observation_uuid", "observer_id", "latitude", "longitude",
         F.col("positional_accuracy").cast("double").alias("positional_accuracy_in_metres"),
@@ -97,30 +92,38 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
     return fact.select(*cols)
 
 
-def _band_partitioned(obs: DataFrame, layer: DataFrame, taxa: DataFrame, scope: ClassScope,
+def _band_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: ClassScope,
                       band_height: float, salt_target_rows: int) -> DataFrame:
     """Spatially partitioned join for a geometry side too large to broadcast.
 
-    Both sides meet on (species, latitude band): an observation is shuffled
-    once, with the edges of its own band only. Hot (species, band) keys are
-    salted. The join is a left join so that an observation whose band misses
-    every geometry row of its species survives; it is then ``false`` when the
-    species has any non-NULL geometry and NULL otherwise - the same answer
-    as testing every geometry row. Species without geometry rows drop out.
+    Both sides meet on (taxon, latitude band): an observation is shuffled
+    with the edges of its own band only. Hot (taxon, band) keys are salted by
+    the row's position in its input split, so copies of one row spread too;
+    they are counted on two columns of the observations. The join is a left
+    join so that an observation whose band misses every geometry row of its
+    species survives; it is then ``false`` when the species has any non-NULL
+    geometry and NULL otherwise - the same answer as testing every geometry
+    row. Species without geometry rows drop out: they are not in the species
+    side, which is small x small and carries the "has geometry" flag.
     """
-    geo = class_geometry(layer, taxa, scope)
-    # per species: does any geometry row carry a geometry? (one row per
-    # species of the class: bounded by the measured species dimension)
-    info = geo.groupBy("taxon_name").agg(
-        F.max(F.col("edges").isNotNull()).alias("_has_geometry"))
-    info = info.join(species_dim(taxa, scope).select("taxon_name"), "taxon_name", "left_semi")
-    o = obs.join(info, "taxon_name").withColumn(
-        "_k", F.concat_ws("#", "taxon_name",
-                          F.floor(F.col("latitude") / float(band_height)).cast("string")))
-    g = band_rows(geo, band_height).withColumn(
-        "_k", F.concat_ws("#", "taxon_name", F.col("_band").cast("string"))) \
-        .select("_k", "edges", "xmin", "ymin", "xmax", "ymax")
-    o, g = salted_join_keys(o, g, "_k", F.col("observation_uuid"), target_rows=salt_target_rows)
+    has = geo.groupBy("taxon_name").agg(F.max(F.col("edges").isNotNull()).alias("_has_geometry"))
+    species = species_dim(taxa, scope)
+    info = with_hint_of(species, species.join(has, "taxon_name"))
+
+    def band(y: str):
+        return F.floor(F.col(y) / float(band_height))
+
+    def key(band_column) -> F.Column:
+        return F.concat_ws("#", F.col("taxon_id").cast("string"), band_column.cast("string"))
+
+    counts = obs.select(key(band("latitude")).alias("_k"))
+    o = (obs.withColumn("_position", F.monotonically_increasing_id())
+         .join(info.select("taxon_id", "_has_geometry"), "taxon_id")
+         .withColumn("_k", key(band("latitude"))))
+    g = (band_rows(geo, band_height).join(species, "taxon_name")
+         .select(key(F.col("_band")).alias("_k"), "edges", "xmin", "ymin", "xmax", "ymax"))
+    o, g = salted_join_keys(o, g, "_k", F.col("_position"), target_rows=salt_target_rows,
+                            counted=counts)
     pairs = o.join(g, ["_k", "_salt"], "left")
     flagged = pairs.select(*OBS_KEYS, "_has_geometry",
                            within("longitude", "latitude", "edges").alias("_inside"))

@@ -1,7 +1,8 @@
 """Data-quality gates run between the refresh stages.
 
-Check 1: a table is not empty. Check 2: no declared key column holds NULL.
-Both are measured in one aggregation per table (a single scan, partial
+Check 1: a table is not empty. Check 2: no declared key column (or column
+declared NOT NULL) holds NULL. Check 3: no text is longer than declared.
+They are measured in one aggregation per table (a single scan, partial
 aggregates on the executors); only a handful of numbers reach the driver.
 The declared keys come from the registry in :mod:`rangewise.schemas`, never
 from a catalog lookup, and every key column is checked.
@@ -16,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rangewise.schemas import PRIMARY_KEYS
+from rangewise.schemas import NOT_NULL, PRIMARY_KEYS, WIDTHS
 
 
 class DataQualityError(ValueError):
@@ -48,8 +49,10 @@ def measure(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def row_count_checks(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    return measure(layer, tables).select("layer", "table_name", "records").dropDuplicates(
-        ["layer", "table_name"])
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "records")
+        for name, df in tables.items()])
 
 
 def run_checks(layer: str, tables: Mapping[str, DataFrame]) -> list[dict]:
@@ -73,7 +76,10 @@ def observed(layer: str, table: str, df: DataFrame,
     keys = key_columns(layer, table)
     ob = Observation(f"{layer}.{table}.{uuid.uuid4().hex[:8]}")
     exprs = [F.count(F.lit(1)).alias("records")]
-    exprs += [F.count(F.when(F.col(k).isNull(), 1)).alias(f"null:{k}") for k in keys]
+    exprs += [F.count(F.when(F.col(k).isNull(), 1)).alias(f"null:{k}")
+              for k in (*keys, *NOT_NULL.get((layer, table), ()))]
+    exprs += [F.count(F.when(F.char_length(c) > n, 1)).alias(f"long:{c}")
+              for c, n in WIDTHS[(layer, table)].items() if c in df.columns]
     exprs += [c.alias(k) for k, c in (extra or {}).items()]
     return df.observe(ob, *exprs), ob
 
@@ -90,4 +96,12 @@ def check_observed(layer: str, table: str, ob: Observation) -> list[dict]:
             raise DataQualityError(
                 f"{layer}.{table} has {r['null_keys']} rows with NULL in key column "
                 f"{r['key_column']}")
+    for name, n in m.items():
+        kind, _, column = name.partition(":")
+        if n and kind == "long":
+            raise DataQualityError(
+                f"{layer}.{table} has {n} values of {column} longer than "
+                f"{WIDTHS[(layer, table)][column]} characters")
+        if n and kind == "null":
+            raise DataQualityError(f"{layer}.{table} has {n} rows with NULL in {column}")
     return rows

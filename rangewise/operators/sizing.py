@@ -16,15 +16,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
-from rangewise.operators.joins import BROADCAST_BUDGET
+from rangewise.operators.joins import BROADCAST_BUDGET, TEXT_BYTES
+from rangewise.operators.spatial_index import INDEX_GROWTH
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables
 
 # Per-row in-memory width used for the two row-counted relations (bytes):
 # (int id, 2 strings, int, boolean) and (int id, string).
-LOOKUP_ROW_BYTES = 16 + 4 + 32 + 4 + 32 + 1
+LOOKUP_ROW_BYTES = 16 + 4 + TEXT_BYTES + 4 + TEXT_BYTES + 1
 # Geometry rows whose size bound exceeds this get a banded edge index.
 BAND_ABOVE_BYTES = 16 * 1024
-SPECIES_ROW_BYTES = 16 + 4 + 32
+SPECIES_ROW_BYTES = 16 + 4 + TEXT_BYTES
 
 
 @dataclass(frozen=True)
@@ -50,8 +51,10 @@ class DimensionSizes:
 
     @property
     def band_geometry(self) -> bool:
-        """Index large polygons by y-bands (see operators.spatial_index)."""
-        return self.max_geometry_row_bytes > self.band_above_bytes
+        """Index large polygons by y-bands (see operators.spatial_index), if
+        the index is sure to fit too."""
+        return (self.max_geometry_row_bytes > self.band_above_bytes
+                and INDEX_GROWTH * self.geometry_bytes <= self.budget)
 
 
 def taxa_metrics(scope: ClassScope = DEFAULT_SCOPE) -> dict[str, F.Column]:

@@ -20,14 +20,20 @@ from pyspark.sql import functions as F
 from rangewise.functions.geo import band_of
 
 DEFAULT_TARGET_EDGES = 32
+# An index holds at most so many times the edges of the geometry.
+INDEX_GROWTH = 3
 
 
 def band_index(geo: DataFrame, target_edges: int = DEFAULT_TARGET_EDGES) -> DataFrame:
     """``geo`` (geom_row_id, edges, xmin, ymin, xmax, ymax, + attributes) ->
     same attributes + ``bands: array<array<edge>>`` + ``band_h``; drops ``edges``."""
     attrs = [c for c in geo.columns if c != "edges"]
-    g = geo.withColumn("_n", F.greatest(F.lit(1), F.ceil(F.size("edges") / target_edges))
-                       .cast("int")) \
+    # An edge of y-span s lies in at most s / band_h + 2 bands. So no more bands
+    # than (edges * height / sum of spans) keep the index under 3 edges per edge.
+    spans = F.aggregate("edges", F.lit(0.0), lambda a, e: a + F.abs(e["y2"] - e["y1"]))
+    room = F.floor(F.size("edges") * (F.col("ymax") - F.col("ymin")) / F.nullif(spans, F.lit(0.0)))
+    g = geo.withColumn("_n", F.greatest(F.lit(1), F.least(
+        F.ceil(F.size("edges") / target_edges), F.coalesce(room, F.lit(1)))).cast("int")) \
            .withColumn("band_h", (F.col("ymax") - F.col("ymin")) / F.col("_n"))
     small = g.filter((F.col("_n") <= 1) | F.col("edges").isNull()).select(
         *attrs, "band_h",

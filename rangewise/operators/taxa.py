@@ -111,7 +111,16 @@ def species_dim(taxa: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
     if scope not in per_taxa:
         sp = class_species(taxa, scope).select("taxon_id", "taxon_name")
         if fits is None:
-            per_taxa[scope] = bounded_broadcast(sp)[0]
-        else:
-            per_taxa[scope] = F.broadcast(sp) if fits else sp
+            fits = bounded_broadcast(sp)[1]
+        per_taxa[scope] = F.broadcast(sp) if fits else sp
+        _HINTED[per_taxa[scope]] = fits
     return per_taxa[scope]
+
+
+_HINTED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def with_hint_of(side: DataFrame, df: DataFrame) -> DataFrame:
+    """``df`` (no more and no much wider rows than ``side``, a species
+    dimension) broadcast-hinted if ``side`` is."""
+    return F.broadcast(df) if _HINTED.get(side) else df

@@ -71,17 +71,13 @@ def refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def clean_layer(layer_src: DataFrame, out_path: str) -> list[str]:
-    """Stand-alone layer cleaning: profile the text columns (one pass), clean
-    exactly the flagged ones, write the result with its schema. Returns the
-    cleaned column names."""
-    from rangewise.functions.text import clean_text
-    from rangewise.operators.clean import columns_to_clean
-
-    todo = columns_to_clean(layer_src)
-    layer_src.withColumns({c: clean_text(F.col(c)) for c in todo}) \
-        .write.mode("overwrite").parquet(out_path)
-    return todo
+def clean_layer(layer_src: DataFrame, out_path: str) -> DataFrame:
+    """Stand-alone layer cleaning: one pass over the text columns (geometry
+    text excluded), written with the source's schema and read back."""
+    from rangewise.operators.clean import clean
+
+    clean(layer_src).write.mode("overwrite").parquet(out_path)
+    return layer_src.sparkSession.read.schema(layer_src.schema).parquet(out_path)
 
 
 def refresh_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:

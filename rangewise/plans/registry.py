@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rangewise.operators import clean as clean_ops
 from rangewise.operators import quality
@@ -72,10 +73,19 @@ def text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         clean_ops.profile(part, "part", ["p_name", "p_brand", "p_type"]))
 
 
+# Letters that the two alphabets spell with one Latin letter, in the same order.
+_LATIN_GREEK = ("adegiklmnoprstzyfx", "άδέγίκλμνόπρστζύφξ")
+_LATIN_CYRILLIC = ("abvgdeziklmnoprstuf", "абвгдезиклмнопрстуф")
+
+
 def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cleaned, also after spelling them in Greek and Cyrillic
+    letters (which cleaning must undo)."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id", "text", "lang", "source", "n_chars"))
-    return clean_ops.clean(docs, ["text", "lang", "source"])
+    docs = docs.withColumns({f"text_{k}": F.translate("text", *pair) for k, pair in (
+        ("greek", _LATIN_GREEK), ("cyrillic", _LATIN_CYRILLIC))})
+    return clean_ops.clean(docs)
 
 
 def _fact_no_point(w: Warehouse) -> DataFrame:

@@ -105,7 +105,7 @@ def obs_per_taxon(w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
 
 
 def obs_per_month(w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
-    return _since(w, since).groupBy(F.trunc("observation_date", "month").alias("month")) \
+    return _since(w, since).groupBy(F.date_trunc("month", F.col("observation_date").cast("timestamp_ntz")).alias("month")) \
         .agg(F.count(F.lit(1)).alias("total_observations")).select("total_observations", "month")
 
 
@@ -160,6 +160,25 @@ def active_species(w: Warehouse, needle: str | None = None) -> DataFrame:
                     & (F.col("rank") == "species") & (F.col("active") == F.lit(True)))
 
 
+def taxa_by_ancestry_pattern(w: Warehouse, pattern: str | None = None) -> DataFrame:
+    """Taxa whose ancestry matches a regular expression anywhere, any case
+    (the general form of ``active_species``' substring); by default paths on
+    which the class id is a whole step."""
+    pattern = pattern or rf"(^|/){w.scope.class_id}(/|$)"
+    return w.raw.taxa_raw.dropna(subset=["ancestry"]).filter(
+        F.col("ancestry").rlike(f"(?i){pattern}"))
+
+
+def preview(df: DataFrame, order: list[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows in the order of a key (the limit is the feature:
+    a top-n, so no full sort)."""
+    return df.orderBy(*order).limit(n)
+
+
+def taxa_preview(w: Warehouse, n: int = 5) -> DataFrame:
+    return preview(w.taxa, ["taxon_id", "ancestry_position"], n)
+
+
 def active_species_ids(w: Warehouse, needle: str | None = None) -> DataFrame:
     """The active species' ids as a one-column frame: the set stays on the
     executors and is used as a semi-join source, never a driver-side list."""
@@ -185,7 +204,8 @@ def layer_species_counts(w: Warehouse) -> DataFrame:
     return w.raw.species_geospatial_raw.agg(
         F.count(F.lit(1)).alias("geometry_rows"),
         (F.countDistinct("binomial")
-         + F.max(F.col("binomial").isNull().cast("int"))).cast("long").alias("species"),
+         + F.coalesce(F.max(F.col("binomial").isNull().cast("int")), F.lit(0)))
+        .cast("long").alias("species"),
     )
 
 

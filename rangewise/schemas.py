@@ -178,17 +178,45 @@ PRIMARY_KEYS = {
     (PRODUCTION, "species_observations"): ("observation_uuid",),
 }
 
+# Declared widths of text columns (characters), by table; columns that are not
+# listed are unbounded. The gates count values that are longer.
+WIDTHS = {
+    (STAGING, "observers_raw"): {"login": 256, "name": 256},
+    (STAGING, "observations_raw"): {"observation_uuid": 50, "quality_grade": 50},
+    (STAGING, "taxa_raw"): {"ancestry": 256, "rank": 20, "name": 256},
+    (STAGING, "species_geospatial_raw"): {
+        c: 256 for c in ("compiler", "subspecies", "subpop", "source", "island", "tax_comm",
+                         "dist_comm", "legend", "kingdom", "phylum", "class", "order_", "family",
+                         "genus", "category")},
+    (PRODUCTION, "taxa"): {"taxon_rank": 100, "taxon_name": 256, "ancestry_rank": 100,
+                           "ancestry_name": 256},
+    (PRODUCTION, "species_geospatial"): {"iucn_category_id": 2, "iucn_category_name": 50},
+    (PRODUCTION, "observers"): {},
+    (PRODUCTION, "species_observations"): {"observation_uuid": 50, "quality_grade": 20},
+}
+
+# Columns besides the keys that must not be NULL.
+NOT_NULL = {(PRODUCTION, "species_geospatial"): ("taxon_id",)}
+
+
+def declared_type(layer: str, table: str, field: T.StructField) -> str:
+    """A column's type as the catalog declares it."""
+    width = WIDTHS[(layer, table)].get(field.name)
+    return f"varchar({width})" if width else field.dataType.simpleString()
+
+
 # Physical layout per production table: how it is written so later scans
-# can skip data (sort) and later joins avoid shuffles (broadcast / partition).
+# can skip data (range: which file, sort: where in it) and later joins avoid
+# shuffles (broadcast).
 LAYOUT = {
     "taxa": {"sort": ("taxon_rank", "ancestry_id"), "broadcast": True},
     "species_geospatial": {"sort": ("iucn_category_id",), "broadcast": True},
     "observers": {"sort": ("first_observation_date",), "broadcast": False},
-    # the fact leaves its 8-key aggregate evenly hash-distributed (the key
-    # holds the observation id), so it is written without another shuffle;
-    # sorting inside files by (taxon, date) lets row-group statistics serve
-    # both the skewed species filters and the date-bounded profiles
-    "species_observations": {"sort": ("taxon_id", "observation_date"), "broadcast": False},
+    # the fact is dealt out by date ranges (a hot date is divided by the
+    # observation id), so a date bound skips whole files, and sorted by taxon
+    # inside them, so a species filter skips row groups
+    "species_observations": {"range": ("observation_date", "observation_uuid"),
+                             "sort": ("taxon_id", "observation_date"), "broadcast": False},
 }
 
 # --- fixed values -----------------------------------------------------------

@@ -9,8 +9,8 @@ one narrow (shuffle-free) stage however large the layer is.
 Optional vertex reduction is a Douglas-Peucker pass per ring, either with a
 given tolerance or automatically (the load's automatic simplification): only
 geometry rows above a vertex limit are reduced, each with the smallest
-tolerance that makes it fit. It runs in ``mapInPandas``: per geometry row,
-no grouping, no shuffle.
+tolerance that makes it fit. It runs in ``mapInArrow``: per geometry row,
+no grouping, no shuffle, and only the ring column leaves Arrow.
 """
 
 from __future__ import annotations
@@ -18,13 +18,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from rangewise.functions.geo import (edges_area_sql, edges_bbox_sql, edges_length_sql,
                                      rings_to_edges_sql, wkt_rings_sql)
 from rangewise.schemas import LAYER_ATTRIBUTES, SPECIES_GEOSPATIAL_RAW
+from rangewise.session import ship_package
+
+#: Bytes of an edge in an array of structs (a pointer, null bits, four
+#: doubles) and of a geometry row besides; both for size bounds.
+EDGE_BYTES, BASE_BYTES = 48, 64
 
 
 def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: float | None = None,
@@ -39,15 +43,14 @@ def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: flo
     """
     w = f"`{wkt_col}`"
     rid = "geom_row_id" if "geom_row_id" in src.columns else "monotonically_increasing_id()"
-    # A vertex takes at least 3 characters of WKT ("0 0") and yields at most
-    # one 32-byte edge (+1 closing edge per ring, whose "(" is a character
-    # too), so 64 + 24 * length is an upper bound computable without parsing.
+    # A vertex takes at least 4 characters of WKT ("0 0,") and yields at most
+    # one edge; a ring's closing edge goes with its "(", ")" and "," at least.
+    # So an edge per 3 characters is a bound computable without parsing.
     df = src.selectExpr("*", f"{rid} AS _rid", f"{wkt_rings_sql(wkt_col)} AS _rings",
-                        f"64 + coalesce(length({w}), 0) * 24 AS _geom_bytes")
+                        f"{BASE_BYTES} + coalesce(length({w}), 0) * {EDGE_BYTES // 3} AS _geom_bytes")
     if simplify_tolerance is not None or simplify_max_vertices is not None:
-        df = simplify_rings(df.withColumnRenamed("_rings", "rings"), simplify_tolerance,
-                            simplify_min_vertices, simplify_max_vertices) \
-            .withColumnRenamed("rings", "_rings")
+        df = simplify_rings(df.drop(wkt_col), simplify_tolerance, simplify_min_vertices,
+                            simplify_max_vertices, rings="_rings", bound="_geom_bytes")
     df = df.selectExpr("*", f"{rings_to_edges_sql('_rings')} AS _edges")
     cols = []
     for f in SPECIES_GEOSPATIAL_RAW.fields:
@@ -79,6 +82,10 @@ def layer_from_parquet(spark, path: str, wkt_col: str = "wkt", **kw) -> DataFram
 
 # -- vertex reduction -----------------------------------------------------------
 
+#: A closed ring of an area has at least this many vertices.
+_LEAST_RING = 4
+
+
 def _douglas_peucker(xs: np.ndarray, ys: np.ndarray, tol: float) -> np.ndarray:
     """Indices of the vertices kept by Douglas-Peucker (iterative, numpy)."""
     n = len(xs)
@@ -106,8 +113,6 @@ def _douglas_peucker(xs: np.ndarray, ys: np.ndarray, tol: float) -> np.ndarray:
 
 
 def _simplify_ring(xs, ys, tol: float, min_vertices: int):
-    xs = np.asarray(xs, dtype=float)
-    ys = np.asarray(ys, dtype=float)
     if len(xs) <= min_vertices:
         return xs, ys
     idx = _douglas_peucker(xs, ys, tol)
@@ -124,22 +129,24 @@ def _simplify_ring(xs, ys, tol: float, min_vertices: int):
     return xs[idx], ys[idx]
 
 
-def _auto_tolerance(rings, max_vertices: int, min_vertices: int, iters: int = 40) -> float:
+def _auto_tolerance(rings, max_vertices: int, iters: int = 40) -> float:
     """Smallest tolerance (to bisection precision) that brings a geometry row
     to at most ``max_vertices`` vertices (vertex counts fall monotonically
-    with the tolerance, down to 4 per ring); 0 when it already fits."""
+    with the tolerance, down to 4 per ring); 0 when it already fits. A row
+    whose rings do not fit even at 4 vertices each fails the job."""
     total = sum(len(x) for x, _ in rings)
     if total <= max_vertices:
         return 0.0
-    xs = np.concatenate([np.asarray(x, dtype=float) for x, _ in rings])
-    ys = np.concatenate([np.asarray(y, dtype=float) for _, y in rings])
+    xs = np.concatenate([x for x, _ in rings])
+    ys = np.concatenate([y for _, y in rings])
     lo, hi = 0.0, float(np.hypot(np.ptp(xs), np.ptp(ys))) or 1.0
 
     def count(t):
-        return sum(len(_simplify_ring(x, y, t, min_vertices)[0]) for x, y in rings)
+        return sum(len(_simplify_ring(x, y, t, _LEAST_RING)[0]) for x, y in rings)
 
-    if count(hi) > max_vertices:  # even minimal rings do not fit: go minimal
-        return hi
+    if count(hi) > max_vertices:
+        raise ValueError(f"a geometry row of {len(rings)} rings and {total} vertices cannot be "
+                         f"simplified to {max_vertices} vertices")
     for _ in range(iters):
         mid = (lo + hi) / 2
         if count(mid) <= max_vertices:
@@ -149,45 +156,68 @@ def _auto_tolerance(rings, max_vertices: int, min_vertices: int, iters: int = 40
     return hi
 
 
-def simplify_rings(df: DataFrame, tolerance: float | None, min_vertices: int = 64,
-                   max_vertices: int | None = None) -> DataFrame:
-    """Reduce vertices of rings longer than ``min_vertices``.
+def _ring_arrays(column: pa.Array) -> list[list[tuple[np.ndarray, np.ndarray]] | None]:
+    """Rings of each row as coordinate arrays (None for a NULL geometry)."""
+    column = pa.concat_arrays([column])
+    rows, rings = column.offsets.to_numpy(), column.values.offsets.to_numpy()
+    vertices = column.values.values
+    xs, ys = (vertices.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+    return [[(xs[s:e], ys[s:e]) for s, e in zip(rings[a:b], rings[a + 1:b + 1])] if valid else None
+            for a, b, valid in zip(rows[:-1], rows[1:], column.is_valid().to_pylist())]
 
-    With a ``tolerance`` every such ring is simplified with it (planar units).
-    With ``tolerance=None`` and ``max_vertices`` (automatic mode) only geometry
-    rows above ``max_vertices`` vertices are simplified, each with the
-    smallest tolerance that makes it fit.
+
+def _ring_column(rows, kind: pa.DataType) -> pa.Array:
+    """The reverse of ``_ring_arrays``."""
+    flat = [r for row in rows if row is not None for r in row]
+    sizes = [0 if row is None else len(row) for row in rows]
+    join = (lambda k: np.concatenate([r[k] for r in flat]) if flat else np.empty(0))
+    vertex = kind.value_type.value_type
+    vertices = pa.StructArray.from_arrays([pa.array(join(0)), pa.array(join(1))],
+                                          fields=[vertex.field(0), vertex.field(1)])
+    rings = pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0] + [len(x) for x, _ in flat]).astype(np.int32)), vertices)
+    return pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0] + sizes).astype(np.int32)), rings,
+        mask=pa.array([row is None for row in rows])).cast(kind)
+
+
+def simplify_rings(df: DataFrame, tolerance: float | None, min_vertices: int = 64,
+                   max_vertices: int | None = None, rings: str = "rings",
+                   bound: str | None = None) -> DataFrame:
+    """Reduce the vertices of column ``rings``.
+
+    With a ``tolerance`` every ring longer than ``min_vertices`` is simplified
+    with it (planar units). With ``tolerance=None`` and ``max_vertices``
+    (automatic mode) only geometry rows above ``max_vertices`` vertices are
+    simplified, each with the smallest tolerance that makes it fit,
+    whatever its rings' sizes. ``bound`` names a column of size bounds
+    (bytes) to be renewed for simplified rows. All other columns stay Arrow
+    data and are handed through.
     """
-    staged = df.withColumn("_xs", F.expr("transform(rings, r -> transform(r, v -> v.x))")) \
-               .withColumn("_ys", F.expr("transform(rings, r -> transform(r, v -> v.y))")) \
-               .drop("rings")
-    schema = staged.schema
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            new_x, new_y = [], []
-            for rxs, rys in zip(pdf["_xs"], pdf["_ys"]):
-                if rxs is None:
-                    new_x.append(None)
-                    new_y.append(None)
-                    continue
-                tol = tolerance
-                if tol is None:
-                    tol = _auto_tolerance(list(zip(rxs, rys)), max_vertices, min_vertices)
-                out = ([_simplify_ring(a, b, tol, min_vertices) for a, b in zip(rxs, rys)]
-                       if tol > 0 else [(a, b) for a, b in zip(rxs, rys)])
-                new_x.append([list(a) for a, _ in out])
-                new_y.append([list(b) for _, b in out])
-            pdf["_xs"] = new_x
-            pdf["_ys"] = new_y
-            yield pdf
-
-    out = staged.mapInPandas(run, schema=schema)
-    rings = F.expr(
-        "transform(arrays_zip(_xs, _ys), r -> transform(arrays_zip(r._xs, r._ys), "
-        "v -> named_struct('x', v._xs, 'y', v._ys)))"
-    )
-    return out.withColumn("rings", rings).drop("_xs", "_ys")
+    at = df.columns.index(rings)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            before = _ring_arrays(b.column(at))
+            after = []
+            for row in before:
+                tol = 0.0
+                if row:
+                    tol = (_auto_tolerance(row, max_vertices) if tolerance is None else tolerance)
+                least = _LEAST_RING if tolerance is None else min_vertices
+                after.append([_simplify_ring(x, y, tol, least) for x, y in row] if tol > 0 else row)
+            columns = list(b.columns)
+            columns[at] = _ring_column(after, b.schema.field(at).type)
+            if bound:
+                k = b.schema.names.index(bound)
+                columns[k] = pa.array([
+                    old if new is was else BASE_BYTES + EDGE_BYTES * sum(len(x) + 1 for x, _ in new)
+                    for old, was, new in zip(b.column(k).to_pylist(), before, after)],
+                    b.schema.field(k).type)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
+
+    ship_package(df.sparkSession)
+    return df.mapInArrow(run, df.schema)
 
 
 __all__ = ["build_layer", "layer_from_parquet", "simplify_rings", "LAYER_ATTRIBUTES"]

@@ -33,8 +33,11 @@ from pyspark.sql import types as T
 
 # --- fixed values -----------------------------------------------------------
 NULL_MARKER = "\\N"        # a field holding exactly backslash-N is NULL
-_ESC_BACKSLASH = "\u0001"  # placeholders while splitting (control chars)
-_ESC_TAB = "\u0002"
+# While a record is split, U+0001 begins a two-character code: itself, an
+# escaped backslash, an escaped TAB. Coding U+0001 too keeps data that holds it.
+_MARK = "\u0001"
+_CODES = [("\u0001", _MARK + "0"), ("\\\\", _MARK + "1"), ("\\\t", _MARK + "2")]
+_MEANT = [(_MARK + "2", "\t"), (_MARK + "1", "\\"), (_MARK + "0", "\u0001")]
 
 
 _FRAGMENTS = "kind string, file string, start long, text string, closed boolean"
@@ -125,9 +128,17 @@ def _glue(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"text": out}, dtype=object)
 
 
+def _protected(record: Column) -> Column:
+    for text, code in _CODES:
+        record = F.replace(record, F.lit(text), F.lit(code))
+    return record
+
+
 def _unescape(field: Column) -> Column:
-    f = F.regexp_replace(field, r"(?s)\\(.)", "$1")
-    return F.replace(F.replace(f, F.lit(_ESC_TAB), F.lit("\t")), F.lit(_ESC_BACKSLASH), F.lit("\\"))
+    out = F.regexp_replace(field, r"(?s)\\(.)", "$1")
+    for code, meant in _MEANT:
+        out = F.replace(out, F.lit(code), F.lit(meant))
+    return out
 
 
 def _typed(raw: Column, dtype: T.DataType, name: str) -> Column:
@@ -160,10 +171,8 @@ def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> Da
         glued = frags.filter(F.col("kind") != "rec").groupBy("file").applyInPandas(
             _glue, schema="text string")
         records = records.unionByName(glued.select(F.col("text").alias("record")))
-    protected = F.replace(F.replace(F.col("record"), F.lit("\\\\"), F.lit(_ESC_BACKSLASH)),
-                          F.lit("\\\t"), F.lit(_ESC_TAB))
     n = len(schema.fields)
-    fields = records.select(F.split(protected, "\t", -1).alias("_f"))
+    fields = records.select(F.split(_protected(F.col("record")), "\t", -1).alias("_f"))
     checked = fields.select(
         F.when(F.size("_f") == n, F.col("_f")).otherwise(
             F.raise_error(F.concat(F.lit(f"malformed record: expected {n} fields, got "),

@@ -38,6 +38,19 @@ def test_clean_only_flagged_columns(spark):
     assert [r["c"] for r in out] == ["plain", "ascii", "x"]
 
 
+def test_no_letter_vanishes(spark):
+    from rangewise.functions.text import clean_text, unmapped
+    from pyspark.sql import functions as F
+
+    names = {"Ștefan": "Stefan", "Nguyễn": "Nguyen", "Ḥasan": "Hasan", "Γεώργιος": "Georgios",
+             "王伟": "王伟", "Щукин": "Shchukin", "Ёлка": "Yolka", "Łódź": "Lodz", "e\u0301": "e",
+             "naïve – “x”…": 'naive - "x"...', "ﬁ ½ №": "fi 1/2 No", "क": "क", None: None}
+    df = spark.createDataFrame([(k,) for k in names], "a string")
+    out = df.select("a", clean_text(F.col("a")).alias("b"), unmapped(F.col("a")).alias("n")).collect()
+    assert {r.a: r.b for r in out} == names
+    assert {r.a: r.n for r in out if r.n} == {"王伟": 2, "क": 1}
+
+
 def test_histogram_bins(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 2, 10]], "v double")
     h = {r["bin"]: r["frequency"] for r in histogram(spark, df, "v", 5).collect()}
@@ -102,9 +115,8 @@ def test_clean_layer_job(spark, tmp_dir):
         (1, "Sánchez\r\net al.", "Ok", "POLYGON ((0 0, 1 0, 1 1, 0 0))"),
         (2, "Müller", "Fine", None),
     ], "id_no int, compiler string, citation string, wkt string")
-    done = clean_layer(src, tmp_dir + "/clean")
-    assert done == ["compiler"]
-    back = {r["id_no"]: r for r in spark.read.parquet(tmp_dir + "/clean").collect()}
+    back = {r["id_no"]: r for r in clean_layer(src, tmp_dir + "/clean").collect()}
+    assert spark.read.parquet(tmp_dir + "/clean").columns == src.columns
     assert back[1]["compiler"] == "Sanchezet al." and back[2]["compiler"] == "Muller"
     assert back[1]["citation"] == "Ok" and back[1]["wkt"].startswith("POLYGON")
 

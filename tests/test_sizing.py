@@ -27,7 +27,7 @@ def test_bounds_and_cache(spark, tmp_dir):
     s1 = measure(_raw(spark, tmp_dir, 3), SCOPE)
     assert (s1.taxa_rows, s1.species_rows) == (4, 3)
     wkt_len = len("POLYGON ((0 0, 1 0, 1 1, 0 0))")
-    assert s1.geometry_bytes == 64 + 24 * wkt_len and s1.geometry_fits
+    assert s1.geometry_bytes == 64 + 16 * wkt_len and s1.geometry_fits
     assert measure(_raw(spark, tmp_dir, 3), SCOPE) == s1  # rewritten but same content
     s2 = measure(_raw(spark, tmp_dir, 5), SCOPE)  # new files: measured again
     assert (s2.taxa_rows, s2.species_rows) == (6, 5)
