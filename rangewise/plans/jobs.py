@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rangewise.functions.geo import edges_area, rings_to_edges
 from rangewise.plans.refresh import refresh
-from rangewise.schemas import PRODUCTION, STAGING, TAXA_RAW
+from rangewise.schemas import OBSERVATIONS_RAW, OBSERVERS_RAW, PRODUCTION, STAGING, TAXA_RAW
 from rangewise.session import scratch_path
 from rangewise.sources import fixtures
 from rangewise.sources.layer import build_layer, simplify_rings
@@ -24,11 +24,42 @@ SIMPLIFY_TOLERANCE = 25.0
 SIMPLIFY_MIN_VERTICES = 4
 
 
+# Characters put into the text for the round trip: TAB, backslash, line feed,
+# carriage return, and control characters next to those.
+TSV_ODD = [(" ,.", "\t\\\n"), ("aeo", "\x01\x02\\"), ("t", "\r")]
+
+
 def tsv_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export raw taxa as escaped gzip TSV, load them back by position."""
-    path = scratch_path(spark, "tsv-taxa")
-    write_escaped_tsv(fixtures.taxa_raw(spark, sf_dir), path)
-    return read_escaped_tsv(spark, path, TAXA_RAW)
+    """Export three tables as escaped gzip TSV, their text columns made of
+    document texts with TABs, backslashes, line breaks and control
+    characters, and load them back by position."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    a, b = F.col("text"), F.col("text")
+    a = F.translate(F.translate(a, *TSV_ODD[0]), *TSV_ODD[2])
+    b = F.translate(b, *TSV_ODD[1])
+    number = F.col("doc_id").cast("int")
+    tables = {
+        "observers_raw": (OBSERVERS_RAW, docs.select(number, a, b)),
+        "observations_raw": (OBSERVATIONS_RAW, docs.select(
+            a, number, F.col("doc_id") / 8, F.lit(None).cast("double"), number, number, b,
+            F.date_add(F.lit("1999-12-31").cast("date"), number))),
+        "taxa_raw": (TAXA_RAW, docs.select(
+            number, a, F.col("doc_id") / 4, "lang", b, F.col("doc_id") % 2 == 0)),
+    }
+    parts = []
+    for name, (schema, df) in tables.items():
+        path = scratch_path(spark, f"tsv-{name}")
+        write_escaped_tsv(df.toDF(*schema.names), path)
+        back = read_escaped_tsv(spark, path, schema)
+        parts.append(back.select(F.lit(name).alias("table_name"),
+                                 *[F.col(c).cast("string") if c in back.columns else
+                                   F.lit(None).cast("string").alias(c) for c in TSV_COLUMNS]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+TSV_COLUMNS = ["observer_id", "login", "name", "observation_uuid", "latitude", "longitude",
+               "positional_accuracy", "taxon_id", "quality_grade", "observed_on", "ancestry",
+               "rank_level", "rank", "active"]
 
 
 def ring_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +74,87 @@ def ring_simplify(spark: SparkSession, sf_dir: str) -> DataFrame:
         edges_area("_edges").alias("shape_area_after"))
 
 
+SIMPLIFY_MAX_VERTICES = 200
+
+
+def ring_simplify_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Automatic simplification of the awkward layer: which rows were above
+    the limit, whether they fit now, and their area."""
+    vertices = "coalesce(aggregate(rings, 0, (a, r) -> a + size(r)), 0)"
+    plain = build_layer(fixtures.case_layer_source(spark, sf_dir)).select(
+        "geom_row_id", F.expr(f"{vertices} > {SIMPLIFY_MAX_VERTICES}").alias("was_above"))
+    auto = build_layer(fixtures.case_layer_source(spark, sf_dir),
+                       simplify_max_vertices=SIMPLIFY_MAX_VERTICES).select(
+        "geom_row_id", F.expr(f"{vertices} <= {SIMPLIFY_MAX_VERTICES}").alias("fits"),
+        F.round("shape_area", 6).alias("shape_area"))
+    return plain.join(auto, "geom_row_id")
+
+
+def geometry_cases(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
+    """The fact over awkward geometry (holes, parts, a third ordinate, NULL,
+    EMPTY, very many vertices) and awkward rows."""
+    from rangewise.operators.observations import species_observations
+    from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
+    from rangewise.plans.model import build
+
+    w = build(spark, sf_dir)
+    # staged first, as a refresh does: each use of the layer reads parsed rings
+    layer = build_layer(fixtures.case_layer_source(spark, sf_dir))
+    path = scratch_path(spark, "case-layer")
+    layer.write.parquet(path)
+    return species_observations(
+        fixtures.case_observations(spark, sf_dir), w.taxa,
+        spark.read.schema(layer.schema).parquet(path),
+        band_edges=DEFAULT_TARGET_EDGES, force_shuffle=shuffled, with_point=False,
+        salt_target_rows=50 if shuffled else 2_000_000,
+        band_height=3.0 if shuffled else 1.0)
+
+
+def species_observations_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by the path of a layer too large to broadcast, with a salt
+    target so small that the fixture has hot keys."""
+    from rangewise.operators.observations import species_observations
+    from rangewise.plans.model import build
+
+    w = build(spark, sf_dir)
+    return species_observations(w.raw.observations_raw, w.taxa, w.raw.species_geospatial_raw,
+                                force_shuffle=True, salt_target_rows=20, band_height=7.0,
+                                with_point=False)
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refresh with registration, then what the catalog declares."""
+    from rangewise.plans.refresh import catalog_tables
+    refresh(spark, fixtures.raw_tables(spark, sf_dir), register=True)
+    # the staged layer holds parsed geometry beyond the declared columns
+    return catalog_tables(spark).where("table_name <> 'species_geospatial_raw'")
+
+
+def explore_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exploration read (header, quotes, inferred types) of a plain export."""
+    from rangewise.sources.tsv import explore_tsv
+
+    path = scratch_path(spark, "explore")
+    spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        "c_custkey", "c_name", "c_acctbal",
+        F.concat("c_mktsegment", F.lit('\t"quoted"')).alias("note")).write.csv(
+        path, sep="\t", header=True, escape='"')
+    found = explore_tsv(spark, path)
+    return found.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal", "note",
+                        F.lit(dict(found.dtypes)["c_acctbal"]).alias("balance_type"))
+
+
+def cleaned_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer with accents and line breaks put into two columns, cleaned,
+    written and read back; the geometry text must come through untouched."""
+    src = fixtures.layer_source(spark, sf_dir).withColumns({
+        "compiler": F.concat(F.lit("Č"), "compiler", F.lit("é\r\nß\n")),
+        "wkt": F.concat("wkt", F.lit("é"))})
+    return clean_layer(src, scratch_path(spark, "clean-layer")).select(
+        "geom_row_id", "compiler", "citation", F.char_length("wkt").alias("wkt_chars"),
+        F.col("wkt").endswith("é").alias("wkt_kept"))
+
+
 def _compare(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` and how many rows differ between ``a`` and ``b`` (as
     multisets): one grouped count over both, no pairwise comparison."""

@@ -9,7 +9,10 @@ row, edge), crossings summed per pair - so it checks the Spark per-row
 
 from __future__ import annotations
 
+import re
+
 from rangewise.functions.text import NEEDS_CLEANING_PATTERN
+from rangewise.plans.jobs import TSV_COLUMNS
 from rangewise.schemas import IUCN_CATEGORIES
 from rangewise.sources.fixtures import (CLASS_ANCESTORS, CLASS_ID, CLASS_PATH, ORDERS,
                                         POLYGON_OFFSETS)
@@ -222,6 +225,95 @@ def _checks(with_keys: bool, compare: bool = False) -> str:
     return with_ctes(" UNION ALL ".join(parts))
 
 
+def _cases_sql() -> str:
+    """Shapes are unions of squares, so strictly inside is plain comparisons."""
+    dx, dy = "(longitude - (p * 7 % 40 - 20))", "(latitude - (p * 11 % 30 - 15))"
+
+    def inside(a: int, b: int, op: str = "<") -> str:
+        return f"({a} {op} {dx} AND {dx} {op} {b} AND {a} {op} {dy} AND {dy} {op} {b})"
+
+    return with_ctes(f"""
+    , case_rows AS (
+      SELECT DISTINCT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS observation_uuid,
+        CAST(l_orderkey % 50 AS INTEGER) AS observer_id,
+        CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_partkey * 11 % 30 - 15
+             + (l_orderkey * 5 + l_linenumber * 7) % 13 - 1 AS DOUBLE) END AS latitude,
+        CASE WHEN l_orderkey % 17 <> 0 THEN CAST(l_partkey * 7 % 40 - 20
+             + (l_orderkey * 3 + l_linenumber) % 13 - 1 AS DOUBLE) END AS longitude,
+        CAST(l_linenumber AS DOUBLE) AS positional_accuracy_in_metres,
+        CAST(100000 + l_partkey AS INTEGER) AS taxon_id, 'research' AS quality_grade,
+        CASE WHEN l_orderkey % 23 <> 0 THEN CAST(l_shipdate AS DATE) END AS observation_date,
+        l_partkey AS p
+      FROM lineitem WHERE l_orderkey % 19 <> 0)
+    SELECT * EXCLUDE (p), CASE
+        WHEN latitude IS NULL OR longitude IS NULL OR p % 6 = 3 THEN NULL
+        WHEN p % 6 = 4 THEN false
+        WHEN p % 6 = 0 THEN {inside(0, 10)} AND NOT {inside(3, 7, "<=")}
+        WHEN p % 6 = 1 THEN {inside(0, 4)} OR {inside(6, 10)}
+        ELSE {inside(0, 10)} END AS observed_in_known_area
+    FROM case_rows WHERE taxon_id IN (SELECT taxon_id FROM species_cls)""")
+
+
+def _tsv_sql() -> str:
+    a = "translate(translate(text, ' ,.', chr(9) || chr(92) || chr(10)), 't', chr(13))"
+    b = "translate(text, 'aeo', chr(1) || chr(2) || chr(92))"
+    n = "NULL::VARCHAR"
+
+    def row(table: str, **columns: str) -> str:
+        return f"SELECT '{table}' AS table_name, " + ", ".join(
+            f"({columns.get(c, n)})::VARCHAR AS {c}" for c in TSV_COLUMNS) + " FROM documents"
+
+    return " UNION ALL ".join([
+        row("observers_raw", observer_id="doc_id", login=a, name=b),
+        row("observations_raw", observation_uuid=a, observer_id="doc_id", latitude="(doc_id / 8)::DOUBLE",
+            positional_accuracy="doc_id", taxon_id="doc_id", quality_grade=b,
+            observed_on="DATE '1999-12-31' + doc_id::INTEGER"),
+        row("taxa_raw", taxon_id="doc_id", ancestry=a, rank_level="(doc_id / 4)::DOUBLE", rank="lang",
+            name=b, active="doc_id % 2 = 0")])
+
+
+# The tables as declared (column type, in order; * marks key columns).
+_DECLARED = {
+    ("staging", "observers_raw", "observers_raw"):
+        "observer_id int*, login varchar(256), name varchar(256)",
+    ("staging", "observations_raw", "obs_raw"):
+        "observation_uuid varchar(50)*, observer_id int, latitude double, longitude double, "
+        "positional_accuracy int, taxon_id int, quality_grade varchar(50), observed_on date",
+    ("staging", "taxa_raw", "taxa_raw"):
+        "taxon_id int*, ancestry varchar(256), rank_level double, rank varchar(20), "
+        "name varchar(256), active boolean",
+    ("production", "taxa", "taxa_x"):
+        "taxon_id int*, taxon_rank varchar(100), taxon_rank_level int, taxon_name varchar(256), "
+        "taxon_active boolean, taxon_ancestry string, ancestry_id int, ancestry_position int, "
+        "ancestry_rank varchar(100), ancestry_rank_level int, ancestry_name varchar(256), "
+        "ancestry_active boolean",
+    ("production", "observers", "observers_dim"):
+        "observer_id int*, login_name string, observer_name string, first_observation_date date",
+    ("production", "species_observations", "fact"):
+        "observation_uuid varchar(50)*, observer_id int, latitude double, longitude double, "
+        "positional_accuracy_in_metres double, taxon_id int, quality_grade varchar(20), "
+        "observation_date date, observation_geom_point struct<lon:double,lat:double,srid:int>, "
+        "observed_in_known_area boolean",
+    ("production", "species_geospatial", "ranges"):
+        "iucn_id int*, taxon_id int, compiled_by string, citation string, year_compiled int, "
+        "iucn_category_id varchar(2), iucn_category_name varchar(50), marine boolean, "
+        "terrestrial boolean, freshwater boolean, shape_length double, shape_area double, "
+        "geometry array<array<struct<x:double,y:double>>>",
+}
+
+
+def _catalog_sql() -> str:
+    parts = []
+    for (layer, name, cte), declared in _DECLARED.items():
+        columns = re.findall(r"(\w+) ([^ ,*]+(?:,\w+:[^ *]+)?)(\*?)(?:, |$)", declared)
+        for column, kind, key in columns:
+            parts.append(
+                f"SELECT '{layer}' AS layer, '{name}' AS table_name, '{column}' AS column_name, "
+                f"'{kind}' AS data_type, {'1' if key else 'NULL'}::INTEGER AS key_position, "
+                f"(SELECT count(*) FROM {cte}) AS records")
+    return with_ctes(" UNION ALL ".join(parts))
+
+
 def oracle_sql() -> dict[str, str]:
     fact_cols = ("observation_uuid, observer_id, latitude, longitude, positional_accuracy_in_metres, "
                  "taxon_id, quality_grade, observation_date, observed_in_known_area")
@@ -233,8 +325,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT quality_grade, observed_in_known_area, count(*) AS observations "
             "FROM fact GROUP BY ALL"),
         "taxa_ancestry": with_ctes("SELECT * FROM taxa_x"),
-        "species_ranges": with_ctes("SELECT * FROM ranges"),
-        "species_observations": with_ctes(f"SELECT {fact_cols} FROM fact"),
+        "species_ranges": with_ctes("SELECT *, CAST(7 AS INTEGER) AS geometry FROM ranges"),
+        "species_observations": with_ctes(
+            f"SELECT {fact_cols}, printf('4326 %.2f %.2f', longitude, latitude)"
+            " AS observation_geom_point FROM fact"),
+        "species_observations_partitioned": with_ctes(f"SELECT {fact_cols} FROM fact"),
+        "geometry_cases": _cases_sql(),
+        "geometry_cases_partitioned": _cases_sql(),
         "observers_first_seen": with_ctes("SELECT * FROM observers_dim"),
         "observers_per_year": with_ctes(
             "SELECT count(DISTINCT observer_id) AS observers, "
@@ -325,7 +422,25 @@ def oracle_sql() -> dict[str, str]:
         "text_profile": _profile_sql("documents", ["text", "lang", "source"]) + " UNION ALL "
         + _profile_sql("part", ["p_name", "p_brand", "p_type"]),
         "text_clean": _clean_sql(),
-        "tsv_load_roundtrip": with_ctes("SELECT * FROM taxa_raw"),
+        "tsv_load_roundtrip": _tsv_sql(),
+        "ring_simplify_auto": (
+            "SELECT p_partkey AS geom_row_id, p_partkey % 6 = 5 AS was_above, true AS fits, "
+            "CASE p_partkey % 6 WHEN 0 THEN 116.0 WHEN 1 THEN 32.0 WHEN 3 THEN NULL "
+            "WHEN 4 THEN 0.0 ELSE 100.0 END::DOUBLE AS shape_area FROM part"),
+        "clean_layer": with_ctes(
+            "SELECT gid AS geom_row_id, 'C' || compiler || 'ess' AS compiler, citation, "
+            "CAST(length('POLYGON ((, , , , , , ))é') + (SELECT sum(length((x0 + dx)::VARCHAR || ' ' || "
+            "(y0 + dy)::VARCHAR)) FROM (VALUES " + ", ".join(
+                f"({x}, {y})" for x, y in POLYGON_OFFSETS + POLYGON_OFFSETS[:1])
+            + ") v(dx, dy)) AS INTEGER) AS wkt_chars, true AS wkt_kept FROM geo_rows"),
+        "explore_tsv": (
+            "SELECT c_custkey, c_name, c_acctbal, c_mktsegment || chr(9) || '\"quoted\"' AS note, "
+            "'double' AS balance_type FROM customer"),
+        "catalog_tables": _catalog_sql(),
+        "taxa_by_ancestry_pattern": with_ctes(
+            f"SELECT * FROM taxa_raw WHERE list_contains(string_split(ancestry, '/'), '{CLASS_ID}')"),
+        "taxa_preview": with_ctes(
+            "SELECT * FROM taxa_x ORDER BY taxon_id, ancestry_position LIMIT 5"),
         "ring_simplify": with_ctes(
             "SELECT gid AS geom_row_id, id_no, 7 AS vertices_before, 4 AS vertices_after, "
             "CAST(1200.0 AS DOUBLE) AS shape_area_after FROM geo_rows"),

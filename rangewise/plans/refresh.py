@@ -37,7 +37,7 @@ from rangewise.operators.ranges import species_ranges
 from rangewise.operators.sizing import from_metrics, layer_metrics, taxa_metrics
 from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
 from rangewise.operators.taxa import explode_ancestry, species_dim
-from rangewise.schemas import (LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING,
+from rangewise.schemas import (LAYOUT, PRIMARY_KEYS, PRODUCTION, SCHEMAS, STAGING, WIDTHS,
                                declared_type)
 from rangewise.session import scratch_path, shared_dir
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope, RawTables
@@ -81,10 +81,14 @@ def register_tables(spark: SparkSession, root: str) -> None:
     for (layer, name), schema in SCHEMAS.items():
         cols = ", ".join(f"`{f.name}` {declared_type(layer, name, f)}" for f in schema.fields)
         keys = ",".join(PRIMARY_KEYS[(layer, name)])
+        widths = ",".join(f"{c}:{n}" for c, n in WIDTHS[(layer, name)].items())
         location = f"{root}/{layer}/{name}"
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {layer}.{name} ({cols}) USING parquet "
-            f"LOCATION '{location}' TBLPROPERTIES ('primary_key' = '{keys}')")
+            f"LOCATION '{location}' "
+            f"TBLPROPERTIES ('primary_key' = '{keys}', 'text_widths' = '{widths}')")
+        # SET LOCATION makes varchar columns strings in the catalog; the widths
+        # stay declared in the property
         spark.sql(f"ALTER TABLE {layer}.{name} SET LOCATION '{location}'")
         spark.catalog.refreshTable(f"{layer}.{name}")
 
@@ -95,16 +99,21 @@ def catalog_tables(spark: SparkSession) -> DataFrame:
     parts = []
     for layer, name in SCHEMAS:
         described = spark.sql(f"DESCRIBE TABLE {layer}.{name}").where("col_name not like '#%'")
-        keys = spark.sql(f"SHOW TBLPROPERTIES {layer}.{name} ('primary_key')").select(
-            F.split("value", ",").alias("_keys"))
+        facts = spark.sql(f"SHOW TBLPROPERTIES {layer}.{name}").groupBy().agg(
+            F.split(F.max(F.when(F.col("key") == "primary_key", F.col("value"))), ",").alias("_keys"),
+            F.str_to_map(F.max(F.when(F.col("key") == "text_widths", F.col("value"))),
+                         F.lit(","), F.lit(":")).alias("_widths"))
         records = spark.table(f"{layer}.{name}").agg(F.count(F.lit(1)).alias("records"))
         # a table's columns beside two one-row facts about it
-        facts = described.withColumn("_one", F.lit(1)).join(
-            keys.withColumn("_one", F.lit(1)), "_one").join(
-            records.withColumn("_one", F.lit(1)), "_one")
-        parts.append(facts.select(
+        one = F.lit(1)
+        rows = described.withColumn("_one", one).join(facts.withColumn("_one", one), "_one").join(
+            records.withColumn("_one", one), "_one")
+        width = F.element_at("_widths", F.col("col_name"))
+        parts.append(rows.select(
             F.lit(layer).alias("layer"), F.lit(name).alias("table_name"),
-            F.col("col_name").alias("column_name"), F.col("data_type"),
+            F.col("col_name").alias("column_name"),
+            F.coalesce(F.concat(F.lit("varchar("), width, F.lit(")")), F.col("data_type"))
+            .alias("data_type"),
             F.nullif(F.array_position("_keys", F.col("col_name")), F.lit(0))
             .cast("int").alias("key_position"), "records"))
     return reduce(DataFrame.unionByName, parts)

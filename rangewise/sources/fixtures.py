@@ -159,6 +159,61 @@ def layer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# -- awkward geometry and rows -------------------------------------------------
+
+# Vertices on each side of the many-vertex square (its text is well above 16 KB).
+CASE_SIDE_VERTICES = 400
+
+
+def case_layer_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One geometry row per part, its shape by ``p_partkey % 6``: 0 a square
+    with a hole, 1 two parts, 2 with a third ordinate, 3 NULL, 4 EMPTY, 5 a
+    square of very many vertices. Squares have side 10 and begin at (x0, y0)."""
+    part = _read(spark, sf_dir, "part").select("p_partkey").selectExpr(
+        "p_partkey", "p_partkey * 7 % 40 - 20 AS x0", "p_partkey * 11 % 30 - 15 AS y0")
+
+    def ring(points, z: str = "") -> str:
+        corner = [f"concat(x0 + {x}, ' ', y0 + {y}{z})" for x, y in [*points, points[0]]]
+        return f"concat('(', concat_ws(', ', {', '.join(corner)}), ')')"
+
+    def box(a: int, b: int):
+        return [(a, a), (b, a), (b, b), (a, b)]
+
+    n = CASE_SIDE_VERTICES
+    step = f"cast(i AS double) * 10 / {n}"
+    side = (f"concat_ws(', ', transform(sequence(0, {n} - 1), i -> concat({{}}, ' ', {{}})))")
+    dense = "concat_ws(', ', " + ", ".join(side.format(x, y) for x, y in (
+        (f"x0 + {step}", "y0"), ("x0 + 10", f"y0 + {step}"),
+        (f"x0 + 10 - {step}", "y0 + 10"), ("x0", f"y0 + 10 - {step}"))) + ", concat(x0, ' ', y0))"
+    wkt = f"""CASE p_partkey % 6
+        WHEN 0 THEN concat('POLYGON (', {ring(box(0, 10))}, ', ', {ring(box(3, 7))}, ')')
+        WHEN 1 THEN concat('MULTIPOLYGON ((', {ring(box(0, 4))}, '), (', {ring(box(6, 10))}, '))')
+        WHEN 2 THEN concat('POLYGON Z (', {ring(box(0, 10), ", ' 5'")}, ')')
+        WHEN 4 THEN 'POLYGON EMPTY'
+        WHEN 5 THEN concat('POLYGON ((', {dense}, '))') END"""
+    return part.selectExpr("p_partkey AS geom_row_id", "CAST(p_partkey AS INT) AS id_no",
+                           "concat('species_', p_partkey) AS binomial", "'DD' AS category",
+                           f"{wkt} AS wkt")
+
+
+def case_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations at whole coordinates, so that many lie on edges and
+    vertices, with NULL ids, dates and coordinates, each row twice."""
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_shipdate")
+    rows = li.selectExpr(
+        "CASE WHEN l_orderkey % 19 <> 0 THEN concat_ws('-', l_orderkey, l_linenumber, l_partkey) END"
+        " AS observation_uuid",
+        "CAST(l_orderkey % 50 AS INT) AS observer_id",
+        "CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_partkey * 11 % 30 - 15"
+        " + (l_orderkey * 5 + l_linenumber * 7) % 13 - 1 AS DOUBLE) END AS latitude",
+        "CASE WHEN l_orderkey % 17 <> 0 THEN CAST(l_partkey * 7 % 40 - 20"
+        " + (l_orderkey * 3 + l_linenumber) % 13 - 1 AS DOUBLE) END AS longitude",
+        "CAST(l_linenumber AS INT) AS positional_accuracy",
+        f"CAST({PART_TAXON_BASE} + l_partkey AS INT) AS taxon_id", "'research' AS quality_grade",
+        "CASE WHEN l_orderkey % 23 <> 0 THEN to_date(l_shipdate) END AS observed_on")
+    return rows.unionByName(rows)
+
+
 def species_geospatial_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_layer(layer_source(spark, sf_dir), wkt_col="wkt")
 

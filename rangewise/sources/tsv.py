@@ -192,7 +192,7 @@ def read_prefix(spark: SparkSession, base: str, key: str, schema: T.StructType)
 
 def explore_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Exploration read: quotes honoured, types inferred (not for loads)."""
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=True)
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=True, escape='"')
 
 
 def _escape(c: Column) -> Column:
