@@ -9,7 +9,8 @@
   and the top-5 report this way).
 
 Runs on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR`` (default sf0.1). Each
-item runs once to warm up, then ``$BENCH_REPS`` times (median reported);
+item runs once to warm up (``first_runs``: these include measuring the
+inputs for broadcasts), then ``$BENCH_REPS`` times (median reported);
 queries execute fully into Spark's ``noop`` sink. Prints one JSON line.
 """
 
@@ -43,8 +44,13 @@ WAREHOUSE_REPORTS = {
 FROM_RAW = ["known_area_counts", "species_observations", "dd_out_of_range_top5"]
 
 
-def _timed(fn, reps):
+COLD = {}
+
+
+def _timed(name, fn, reps):
+    t0 = time.perf_counter()
     fn()  # warm-up
+    COLD[name] = round(time.perf_counter() - t0, 3)
     out = []
     for _ in range(reps):
         t0 = time.perf_counter()
@@ -65,15 +71,15 @@ def main() -> None:
     def do_refresh():
         roots.append(refresh(spark, raw_tables(spark, sf_dir)).root)
 
-    times["full_refresh"] = _timed(do_refresh, max(1, reps - 1))
+    times["full_refresh"] = _timed("full_refresh", do_refresh, max(1, reps - 1))
     w = load(spark, roots[-1])
     for name, fn in WAREHOUSE_REPORTS.items():
         times[f"wh_{name}"] = _timed(
-            lambda fn=fn: fn(spark, w).write.format("noop").mode("overwrite").save(), reps)
+            f"wh_{name}", lambda fn=fn: fn(spark, w).write.format("noop").mode("overwrite").save(), reps)
     qs = registry.queries()
     for name in FROM_RAW:
         times[f"raw_{name}"] = _timed(
-            lambda name=name: qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save(),
+            f"raw_{name}", lambda name=name: qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save(),
             reps)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
@@ -81,6 +87,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},
+        "first_runs": COLD,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }))

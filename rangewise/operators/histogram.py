@@ -2,10 +2,10 @@
 
 Bins follow the plotting convention: ``n`` bins spanning [min, max], the
 last bin closed on the right (the maximum lands in bin n-1, not n); when
-min = max the range widens to [v - 0.5, v + 0.5]. One global aggregate
-gives min/max (two scalars to the driver), one grouped count gives the bin
-sizes; empty bins are reported with frequency 0. The input is written once
-(a small grouped table) so both passes read it rather than recompute it.
+min = max the range widens to [v - 0.5, v + 0.5]. The range is a scalar
+subquery over the same frame as the counts, so the whole is one lazy plan and
+the shuffle that groups the input is made once and reused. Empty bins are
+reported with frequency 0.
 """
 
 from __future__ import annotations
@@ -13,43 +13,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangewise.session import scratch_path
 
-
-def bin_range(df: DataFrame, col: str) -> tuple[float, float] | None:
-    r = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if r["lo"] is None:
-        return None
-    lo, hi = float(r["lo"]), float(r["hi"])
-    if lo == hi:
-        lo, hi = lo - 0.5, hi + 0.5
-    return lo, hi
-
-
-def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 50,
-              materialize: bool = True) -> DataFrame:
-    """Rows ``(bin, bin_lo, bin_hi, frequency)`` for ``bins`` bins.
-
-    ``df`` is usually a grouped count (one row per taxon / day / month). With
-    ``materialize`` it is written once to the shared scratch folder, so the
-    range pass and the binning pass both read that small table instead of
-    recomputing the counts (and scanning the fact) twice.
-    """
-    if materialize:
-        path = scratch_path(spark, "hist-input")
-        df.select(col).write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-    rng = bin_range(df, col)
-    lo, hi = rng if rng else (0.0, 1.0)
-    idx = F.least(F.floor((F.col(col).cast("double") - F.lit(lo)) * bins / F.lit(hi - lo)),
-                  F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(col).isNotNull()).groupBy(idx.alias("bin")).agg(
-        F.count(F.lit(1)).alias("frequency"))
-    width = (hi - lo) / bins
+def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 50) -> DataFrame:
+    """Rows ``(bin, bin_lo, bin_hi, frequency)`` for ``bins`` bins (over
+    [0, 1] when there is no value). ``df`` is usually a grouped count (one
+    row per taxon / day / month)."""
+    values = df.select(F.col(col).cast("double").alias("v"))
+    lo, hi = F.min("v"), F.max("v")
+    half = F.when(lo == hi, 0.5).otherwise(0.0)
+    span = values.agg(F.struct(F.coalesce(lo - half, F.lit(0.0)).alias("lo"),
+                               F.coalesce(hi + half, F.lit(1.0)).alias("hi")).alias("r"))
+    r = span.scalar()
+    width = (r["hi"] - r["lo"]) / bins
+    index = F.least(F.floor((F.col("v") - r["lo"]) * bins / (r["hi"] - r["lo"])), F.lit(bins - 1))
+    counts = (values.where(F.col("v").isNotNull()).select(index.cast("int").alias("bin"))
+              .groupBy("bin").agg(F.count(F.lit(1)).alias("frequency")))
     edges = spark.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (F.lit(lo) + F.col("id") * F.lit(width)).alias("bin_lo"),
-        (F.lit(lo) + (F.col("id") + 1) * F.lit(width)).alias("bin_hi"),
-    )
+        F.col("id").cast("int").alias("bin"), (r["lo"] + F.col("id") * width).alias("bin_lo"),
+        (r["lo"] + (F.col("id") + 1) * width).alias("bin_hi"))
+    # one row per bin at most
     return edges.join(F.broadcast(counts), "bin", "left").select(
         "bin", "bin_lo", "bin_hi", F.coalesce("frequency", F.lit(0)).cast("long").alias("frequency"))

@@ -93,7 +93,7 @@ _MEASURED: dict[tuple, dict] = {}
 
 # Inputs with more files than this are measured every time rather than keyed
 # (one status call per file from the driver would cost more than the job).
-_MAX_KEYED_FILES = 1000
+_MAX_KEYED_FILES = 64
 
 
 def _input_identity(*dfs) -> tuple | None:

@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rangewise.session import ship_package
+
 # --- fixed values -----------------------------------------------------------
 NULL_MARKER = "\\N"        # a field holding exactly backslash-N is NULL
 # While a record is split, U+0001 begins a two-character code: itself, an
@@ -160,6 +162,7 @@ def _typed(raw: Column, dtype: T.DataType, name: str) -> Column:
 
 def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Load escaped TSV file(s) (a path, directory or glob) into ``schema``."""
+    ship_package(spark)
     reader = spark.read.option("lineSep", "\n").text(path)
     splittable = any(not f.lower().endswith(".gz") for f in reader.inputFiles())
     lines = reader.select(
@@ -204,6 +207,7 @@ def _escape(c: Column) -> Column:
 
 def write_escaped_tsv(df: DataFrame, path: str, compression: str = "gzip") -> None:
     """Write ``df`` in the same format: one header per file, escaped fields."""
+    ship_package(df.sparkSession)
     header = "\t".join(df.columns)
     lines = df.select(F.concat_ws("\t", *[_escape(F.col(c)) for c in df.columns]).alias("value"))
 
