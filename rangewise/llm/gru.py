@@ -103,7 +103,10 @@ class Lanes:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _run(p: Params, given: np.ndarray, h: np.ndarray, keep: list | None) -> np.ndarray:
@@ -126,27 +129,46 @@ def _run(p: Params, given: np.ndarray, h: np.ndarray, keep: list | None) -> np.n
     return out
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _shift(x: np.ndarray) -> None:
+    """Lower values so that their exponentials neither overflow nor all
+    vanish in a row: by one number for all rows if they lie close enough."""
+    top = x.max() if x.size else 0.0
+    x -= top if x.size == 0 or top - x.min() < 60 else x.max(axis=1, keepdims=True)
+
+
+def _softmax(x: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probability of each row's target, and the rows' probabilities.
+    ``x`` is overwritten."""
+    _shift(x)
+    chosen = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
+    return chosen - np.log(total), np.divide(x, total[:, None], out=x)
+
+
+def _log_prob(x: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log probability of each row's target. ``x`` is overwritten."""
+    _shift(x)
+    chosen = x[np.arange(len(x)), target]
+    return chosen - np.log(np.exp(x, out=x) @ np.ones(x.shape[1], x.dtype))
 
 
 def _predict(p: Params, h: np.ndarray, target: np.ndarray, grad: Params | None,
              weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probabilities of the targets from states (n, units); with ``grad``
     also adds the gradients and returns that of the states."""
-    n = len(target)
     cls = target // SIZE  # REST // SIZE is the last class
-    rows = np.arange(n)
-    log_class = _log_softmax(h @ p["class_w"] + p["class_b"])
-    out = log_class[rows, cls].astype(float)
+    logits = h @ p["class_w"] + p["class_b"]
     back = None
-    if grad is not None:
-        d = np.exp(log_class)
-        d[rows, cls] -= 1
+    if grad is None:
+        out = _log_prob(logits, cls).astype(float)
+    else:
+        logs, d = _softmax(logits, cls)
+        out = logs.astype(float)
+        d[np.arange(len(d)), cls] -= 1
         d *= weight[:, None]
         grad["class_w"] += h.T @ d
-        grad["class_b"] += d.sum(axis=0)
+        grad["class_b"] += np.ones(len(d), d.dtype) @ d
         back = d @ p["class_w"].T
     order = np.argsort(cls.astype(np.int16), kind="stable")
     edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
@@ -155,15 +177,17 @@ def _predict(p: Params, h: np.ndarray, target: np.ndarray, grad: Params | None,
         if not len(k):
             continue
         hc, word = h[k], target[k] - c * SIZE
-        logs = _log_softmax(hc @ p["word_w"][c] + p["word_b"][c])
-        out[k] += logs[np.arange(len(k)), word]
-        if grad is not None:
-            d = np.exp(logs)
-            d[np.arange(len(k)), word] -= 1
-            d *= weight[k][:, None]
-            grad["word_w"][c] += hc.T @ d
-            grad["word_b"][c] += d.sum(axis=0)
-            back[k] += d @ p["word_w"][c].T
+        logits = hc @ p["word_w"][c] + p["word_b"][c]
+        if grad is None:
+            out[k] += _log_prob(logits, word)
+            continue
+        logs, d = _softmax(logits, word)
+        out[k] += logs
+        d[np.arange(len(k)), word] -= 1
+        d *= weight[k][:, None]
+        grad["word_w"][c] += hc.T @ d
+        grad["word_b"][c] += np.ones(len(d), d.dtype) @ d
+        back[k] += d @ p["word_w"][c].T
     return out, back
 
 
