@@ -66,3 +66,16 @@ def test_pipeline_of_empty_documents(spark):
     docs = documents(spark, SF).where("false")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_pipeline_with_awkward_rows_and_clashing_columns(spark, clashing):
+    texts = ["a clean text of more than ten words that nobody wrote before, I hope so", None, "",
+             "another clean text of ten words and a few more words besides these ones"]
+    out = clashing([*enumerate(texts), (0, texts[0]), (None, texts[3] + " or not at all")])
+    columns = out.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, out, SF)
+        assert out.columns == columns, name
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out.collect()) == [
+        (False, 0), (False, 0), (False, 3), (True, 0)]
+    assert corpus_pipeline.STAGES[-1][1](spark, out, SF).count() == 4

@@ -159,6 +159,38 @@ def test_near_duplicates_beyond_the_hub(docs):
     assert got == {k: v[1] for k, v in brute.near_components(rows).items()}
 
 
+def test_near_duplicates_near_the_limit(docs):
+    """Many variants of one text, most pairs just under the limit: buckets
+    hold members that no star links, and tiles must find the links left."""
+    base = varied(130).split()
+    rnd = random.Random(3)
+    rows = []
+    for k in range(90):
+        w = list(base)
+        for _ in range(4):
+            w[rnd.randrange(len(w))] = f"v{k}x{rnd.randrange(9)}"
+        rows.append((k, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(rows)).collect()}
+    want = {k: v[1] for k, v in brute.near_components(rows).items()}
+    assert len(set(want.values())) > 3 and got == want
+
+
+def test_tiles_join_components(spark):
+    """Members of a bucket in different components, without any star."""
+    base = varied(60)
+    texts = [varied(60), base, edited(base, 1), varied(60), edited(base, 2), base + " tail"]
+    bodies = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    shared = spark.createDataFrame([(7, k) for k in range(6)] + [(8, 0), (8, 3), (8, 1)], "key long, id long")
+    labels = spark.createDataFrame([(4, 4), (5, 4)], "id long, component long")
+    rest = minhash._unfinished(shared, labels)
+    assert {r.n for r in rest.collect()} == {6, 3}
+    found = minhash._tile_links(minhash._tiles(rest), bodies, 75).collect()
+    assert minhash.components(spark.createDataFrame(found, "a long, b long")).where(
+        "id <> component").collect() != []
+    joined = {frozenset((r.a, r.b)) for r in found}
+    assert joined <= {frozenset(x) for x in ((1, 2), (1, 4), (2, 4))} and len(joined) >= 2
+
+
 def test_near_duplicates_repeated_rows(docs):
     rows = [(5, PASSAGE), (5, PASSAGE), (9, shout(PASSAGE)), (7, None), (7, None), (None, "")]
     out = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in minhash.near_duplicates(docs(rows)).collect())
