@@ -13,7 +13,7 @@ import weakref
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.operators.joins import bounded_broadcast
+from rangewise.operators.joins import bounded_broadcast, salted_join_keys
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
 
@@ -36,7 +36,8 @@ def in_scope(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE) -> DataFram
 
 
 def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
-                     broadcast_lookup: bool | None = None) -> DataFrame:
+                     broadcast_lookup: bool | None = None,
+                     salt_target_rows: int = 2_000_000) -> DataFrame:
     """Build ``production.taxa`` from ``staging.taxa_raw``.
 
     * ``ancestry = ''`` (the root) gives one row, position 1, NULL ancestor.
@@ -64,17 +65,19 @@ def explode_ancestry(taxa_raw: DataFrame, scope: ClassScope = DEFAULT_SCOPE,
         F.col("active").alias("ancestry_active"),
     )
     # The taxonomy is a bounded dimension; broadcast it when it fits, else a
-    # shuffle join whose hot ancestor ids (the root is on every path) are
-    # split by AQE's skew-join handling.
+    # shuffle join with the hot ancestors (the root is on every path) salted.
     if broadcast_lookup is None:
-        lookup, _ = bounded_broadcast(lookup)
-    elif broadcast_lookup:
-        lookup = F.broadcast(lookup)
-    joined = m.join(
-        lookup,
-        (F.col("ancestry_id") == F.col("_a_id")) & (F.col("ancestry_id") != F.col("taxon_id")),
-        "left",
-    )
+        lookup, broadcast_lookup = bounded_broadcast(lookup)
+    other = F.col("ancestry_id") != F.col("taxon_id")
+    if broadcast_lookup:
+        joined = m.join(F.broadcast(lookup), (F.col("ancestry_id") == F.col("_a_id")) & other, "left")
+    else:
+        m, lookup = salted_join_keys(
+            m.withColumn("_k", F.col("ancestry_id")), lookup.withColumnRenamed("_a_id", "_k"), "_k",
+            F.struct("taxon_id", "ancestry_position"), target_rows=salt_target_rows)
+        lookup = lookup.withColumnsRenamed({"_k": "_a_id", "_salt": "_a_salt"})
+        joined = m.join(lookup, (F.col("ancestry_id") == F.col("_a_id"))
+                        & (F.col("_salt") == F.col("_a_salt")) & other, "left")
     return joined.select(
         "taxon_id",
         F.col("rank").alias("taxon_rank"),

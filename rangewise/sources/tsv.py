@@ -107,24 +107,21 @@ def _assembler(splittable: bool):
 
 
 def _glue(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One file's boundary fragments (at most two per split), in split order."""
+    """One file's boundary fragments (at most two per split), in split order:
+    a split's head continues what is pending, its tail begins anew."""
     out, pending = [], None
-    for st in sorted(pdf["start"].unique()):
-        part = pdf[pdf["start"] == st]
-        head = part[part["kind"] == "head"]
-        if len(head):
-            h = head.iloc[0]
-            piece = h["text"] if pending is None else pending + "\n" + h["text"]
-            if bool(h["closed"]):
+    ordered = pdf.sort_values(["start", "kind"])  # "head" before "tail"
+    for kind, text, closed in zip(ordered["kind"], ordered["text"], ordered["closed"]):
+        if kind == "head":
+            piece = text if pending is None else pending + "\n" + text
+            # an open head: the whole split continues one record
+            pending = None if closed else piece
+            if closed:
                 out.append(piece)
-                pending = None
-            else:
-                pending = piece  # the whole split continues one record
-        tail = part[part["kind"] == "tail"]
-        if len(tail):
+        else:
             if pending is not None:  # a record ended without its continuation
                 out.append(pending)
-            pending = tail.iloc[0]["text"]
+            pending = text
     if pending is not None:
         out.append(pending)
     return pd.DataFrame({"text": out}, dtype=object)
