@@ -1,36 +1,30 @@
 """Tokenising Arrow batches of text with a public tokenizer file.
 
 A word-level BPE never joins tokens over white space, nor over a letter and
-the ASCII punctuation after it (but for an apostrophe). So each distinct
-piece of a batch is encoded once and its ids are gathered for every
-occurrence. Texts that hold the string of a special token are encoded whole,
+the ASCII punctuation after it (but for an apostrophe). So texts are cut
+there, each distinct piece of a batch is encoded once, and its ids are
+gathered for every occurrence. Texts that hold the string of a special token are encoded whole,
 since such a string may contain a cut.
 
-A process keeps ids of recent words and pieces between batches. Once
+A process keeps ids of recent pieces between batches. Once
 ``CACHE_WORDS`` are held, those not asked for since the last such turn are
 forgotten, so memory is bounded and frequent words stay.
 """
 
 from __future__ import annotations
 
-import functools
 import itertools
 import os
 import re
-import unicodedata
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rangewise.llm.common import plain, words
-
-#: Distinct words, and pieces, after which a process's cache forgets old ones.
-CACHE_WORDS = 400_000
-
-_ASCII = re.compile(r"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
-_TAIL = re.compile(r"(.*[^\W\d_])([!-&(-/:-@\[-`{-~]+)", re.S)
+from rangewise.llm.common import LOWER, plain, raw_bytes, words
 
+#: Distinct pieces after which a process's cache forgets old ones.
+CACHE_WORDS = 600_000
 
 def default_path() -> str:
     """The installed vocabulary that the queries use."""
@@ -38,11 +32,32 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-@functools.lru_cache(maxsize=1 << 16)
-def _letter_end(char: str) -> bool:
-    """Whether ``char``, normalised and in lower case, ends with a letter
-    (a few letters become a letter and a mark)."""
-    return unicodedata.normalize("NFC", char).lower()[-1].isalpha()
+# Bytes that end a letter: ASCII letters, and the second byte of the letters
+# U+00C0-U+00FF (all but the signs at 0x97 and 0xB7); ASCII punctuation but
+# for the apostrophe, which may begin a token that goes on with letters.
+_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
+_LATIN_END = np.array([0x80 <= b <= 0xBF and b not in (0x97, 0xB7) for b in range(256)])
+_PUNCTUATION = np.array([33 <= b < 127 and not chr(b).isalnum() and b != 39 for b in range(256)])
+
+
+def separated(arr: pa.Array) -> pa.Array:
+    """Texts in lower case (A-Z) with a space between a letter and the
+    punctuation after it, over which no token reaches."""
+    data, offsets = raw_bytes(arr)
+    if not len(data):
+        return arr
+    cut = np.zeros(len(data), bool)
+    before = data[:-1]
+    letter = _LETTER[before]
+    letter[1:] |= _LATIN_END[before[1:]] & (before[:-1] == 0xC3)
+    cut[1:] = letter & _PUNCTUATION[data[1:]]
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = False  # not over texts
+    moved = np.cumsum(cut)
+    out = np.full(len(data) + int(moved[-1]), 32, np.uint8)
+    out[np.arange(len(data)) + moved] = LOWER[data]
+    shift = np.concatenate([[0], moved])  # inserted up to and with byte k - 1
+    return pa.LargeStringArray.from_buffers(
+        len(arr), pa.py_buffer(np.ascontiguousarray(offsets + shift[offsets])), pa.py_buffer(out))
 
 
 class _Recent:
@@ -77,7 +92,7 @@ class Encoder:
         self.size = self.tokenizer.get_vocab_size()
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = "|".join(re.escape(t) for t in added)
-        self.known, self.pieces = _Recent(CACHE_WORDS), _Recent(CACHE_WORDS)
+        self.known = _Recent(CACHE_WORDS)
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece, as little-endian 32-bit integers."""
@@ -90,43 +105,30 @@ class Encoder:
             out += [flat[a:b] for a, b in zip([0, *ends], ends)]
         return out
 
-    @staticmethod
-    def _cut(word: str) -> tuple[str, str]:
-        """A word as (piece, piece or '') that no token crosses."""
-        if word.isascii():
-            m = _ASCII.fullmatch(word)
-            return (m[1].lower(), m[2]) if m else (word, "")
-        m = _TAIL.fullmatch(word)
-        return (m[1], m[2]) if m and _letter_end(m[1][-1]) else (word, "")
-
-    def _words(self, vocab: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the given words in a row, and offsets per word (n + 1)."""
+    def _pieces(self, vocab: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the given pieces in a row, and offsets per piece (n + 1)."""
         known = self.known
         new = [w for w in vocab if not known.has(w)]
-        cut = [self._cut(w) for w in new]
-        pieces = [p for p in dict.fromkeys(p for pair in cut for p in pair) if not self.pieces.has(p)]
-        self.pieces.young.update(zip(pieces, self._encode_pieces(pieces)))
-        ids = self.pieces.young
-        known.young.update(zip(new, [ids[a] + ids[b] for a, b in cut]))
+        known.young.update(zip(new, self._encode_pieces(new)))
         got = list(map(known.young.__getitem__, vocab))
         ends = np.cumsum(np.fromiter(map(len, got), np.int64, len(got)) // 4)
         known.age()
-        self.pieces.age()
         return np.frombuffer(b"".join(got), "<u4"), np.concatenate([[0], ends])
 
     def encode(self, arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row (uint32) and offsets per text (n + 1)."""
         arr = plain(arr)
         whole = np.zeros(len(arr), bool)
-        if self.special and not self.tokenizer.encode_special_tokens:
-            whole = pc.match_substring_regex(arr, self.special).to_numpy(zero_copy_only=False)
+        if self.special:  # in lower case, as that is how pieces are encoded
+            whole = pc.match_substring_regex(arr, self.special, ignore_case=True)
+            whole = whole.to_numpy(zero_copy_only=False)
             if whole.any():
                 direct = {i: np.array(self.tokenizer.encode(
                     arr[i].as_py(), add_special_tokens=False).ids, np.uint32)
                     for i in np.flatnonzero(whole).tolist()}
                 arr = pc.if_else(pa.array(whole), pa.scalar("", arr.type), arr)
-        codes, offsets, vocab = words(arr)
-        word_ids, word_at = self._words(vocab.to_pylist())
+        codes, offsets, vocab = words(separated(plain(arr)))
+        word_ids, word_at = self._pieces(vocab.to_pylist())
         sizes = np.diff(word_at)[codes]
         total = np.concatenate([[0], np.cumsum(sizes)])
         index = np.arange(total[-1]) + np.repeat(word_at[codes] - total[:-1], sizes)
