@@ -52,7 +52,7 @@ from rangewise.session import ship_package
 #: Bytes of a string that counts as repeated, and of an anchor.
 LENGTH, GRAM = 100, 32
 #: Different segments of an anchor above which it is divided.
-HOT_VARIANTS = 20_000
+HOT_VARIANTS = 2000
 #: Bytes hashed at once, and symbols in one batch of suffix arrays.
 HASH_BYTES, SORT_SYMBOLS = 1 << 20, 2 << 20
 
