@@ -11,10 +11,11 @@ banded buckets, star-shaped candidate edges, links confirmed on full sets.
    bucket of n gives n - 1 edges, never n^2.
 4. Edges that size or sketch rule out are dropped; the others are confirmed
    by intersecting the full sets of both texts.
-5. A bucket whose members are then not all connected is not finished: further
-   stars around other members link its parts, and at last every pair of
-   members from different components is confirmed, so that bounding the stars
-   loses no link between documents that share a bucket.
+5. A bucket whose members are then not all connected is not finished: its
+   members outside its largest component are compared with all its members,
+   in bounded tiles that intersect full sets as bit sets and return only the
+   components they join. So bounding the stars loses no link between
+   documents that share a bucket, and no pairs are emitted for it.
 
 Components are least ids, found by alternating large- and small-star steps
 on edge tables in the shared folder. Only counts reach the driver.
@@ -63,8 +64,8 @@ BINS = BANDS * ROWS
 #: differ in so many of the sketch's ``BINS`` bits (a similarity of 0.75 gives 20 on
 #: average; 52 is over five standard deviations more).
 SKETCH_FROM, SKETCH_BITS = 128, 52
-#: Stars after the first, before the pairs left are taken whatever their number.
-STARS = 6
+#: Most rows (expected) and columns of a tile.
+TILE_ROWS, TILE_COLUMNS = 512, 2048
 
 SIGNED = ("doc_id long, n_shingles long, set_key binary, "
           "s0 long, s1 long, s2 long, bands array<long>")
@@ -149,22 +150,16 @@ def signed(docs: DataFrame, rows: int = 4096) -> DataFrame:
     return docs.mapInArrow(sign, SIGNED)
 
 
-def _plausible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that set sizes and sketches leave possible."""
-    for k in "ab":
-        pairs = pairs.join(sketches.select(*[F.col(c).alias(c if c == "id" else f"{k}_{c}")
-                                             for c in sketches.columns]).withColumnRenamed("id", k), k)
-    differ = sum((F.bit_count(F.col(f"a_s{j}").bitwiseXOR(F.col(f"b_s{j}"))) for j in range(3)),
-                 F.lit(0))
-    small, large = F.least("a_n", "b_n"), F.greatest("a_n", "b_n")
-    return pairs.where((100 * small >= percent * large)
-                       & ((small < SKETCH_FROM) | (differ <= SKETCH_BITS))).select("a", "b")
-
-
 def _confirmed(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    both = (pairs.join(bodies.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(bodies.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a"))
+    """The pairs (a, b) whose full sets are similar enough. Pairs that set
+    sizes or sketches rule out are dropped before sets are made."""
+    for k in "ba":
+        side = bodies.select(*[F.col(c).alias(k if c == "id" else f"{c}_{k}") for c in bodies.columns])
+        pairs = pairs.join(side, k)
+    differ = sum((F.bit_count(F.col(f"s{j}_a").bitwiseXOR(F.col(f"s{j}_b"))) for j in range(3)), F.lit(0))
+    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    both = pairs.where((100 * small >= percent * large)
+                       & ((small < SKETCH_FROM) | (differ <= SKETCH_BITS)))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: tuple[int, np.ndarray] | None = None  # hubs come in runs
@@ -188,75 +183,168 @@ def _confirmed(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long")
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether each u has one v and no v is a u: then stars are components."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("child")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("child")))
+    return not (ends.groupBy("x").agg(F.sum("child").alias("parents"), F.count("*").alias("n"))
+                .where("parents > 1 or (parents = 1 and n > 1)").take(1))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in the edges (a, b): the least id that can
-    be reached. Alternates large-star and small-star until nothing changes."""
+    be reached. Alternates large-star and small-star until stars are left."""
     spark = edges.sparkSession
-    now = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    state = None
-    while True:
+    now = written(spark, edges.where("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    while not _is_forest(now):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = (both.join(least, "u").where("v > u and v <> m")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(spark, small.unionByName(least.select("u", F.col("m").alias("v")))
                       .where("u <> v").distinct(), "star")
-        found = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if found == state:
-            break
-        state = found
     return now.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
 
 
 def _unfinished(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, hub, id, component) of buckets with members apart."""
-    now = shared.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    apart = (now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                    F.count("*").alias("n"))
-             .where("x <> y and n > 2").select("key"))
-    return now.join(apart, "key", "left_semi")
+    """(key, id, component, minor, n_minor, n) of buckets with members apart.
+    ``minor``: not of the bucket's largest component."""
+    now = shared.join(labels, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component"))
+    each = now.groupBy("key", "component").count()
+    sizes = (each.groupBy("key").agg(
+        F.max_by("component", F.struct("count", "component")).alias("major"),
+        F.max("count").alias("most"), F.sum("count").alias("n"))
+        .where("most < n and n > 2"))
+    return now.join(sizes, "key").select(
+        "key", "id", "component", (F.col("component") != F.col("major")).alias("minor"),
+        (F.col("n") - F.col("most")).alias("n_minor"), "n")
+
+
+def _tiles(rest: DataFrame) -> DataFrame:
+    """Members dealt to tiles of their bucket: tile (i, j) holds block i of
+    the minor members as rows and block j of all members as columns, so a
+    tile is bounded and each pair with a minor member is in one tile."""
+    def block(n, size: int, salt: int):
+        count = F.ceil(F.col(n) / size)
+        return count, F.pmod(F.xxhash64("id", F.lit(salt)), count)
+
+    (n_rows, row), (n_columns, column) = block("n_minor", TILE_ROWS, 1), block("n", TILE_COLUMNS, 2)
+    up_to = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    base = ["key", "id", "component"]
+    return (rest.select(*base, up_to(n_rows).alias("i"), column.alias("j"), F.lit(False).alias("row"))
+            .unionByName(rest.where("minor").select(
+                *base, row.alias("i"), up_to(n_columns).alias("j"), F.lit(True).alias("row"))))
+
+
+def similar_pairs(rows: list[np.ndarray], columns: list[np.ndarray],
+                  percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of sets that are similar enough, by intersecting bit
+    sets over the shingles that two or more of the sets hold."""
+    sets = rows + columns
+    sizes = np.array([len(x) for x in sets])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    values, place, times = np.unique(flat, return_inverse=True, return_counts=True)
+    useful = times > 1
+    number = np.cumsum(useful) - 1
+    keep = useful[place]
+    owner, place = owner[keep], number[place[keep]]
+    total = int(useful.sum())
+    common = np.zeros((len(rows), len(columns)), np.int64)
+    width = max(64, (32 << 20) // max(len(sets), 1) // 64 * 64)
+    for s in range(0, total, width):
+        here = (place >= s) & (place < s + width)
+        n = min(width, total - s)
+        flags = np.zeros((len(sets), -(-n // 64) * 64), bool)
+        flags[owner[here], place[here] - s] = True
+        bits = np.packbits(flags, axis=1).view(np.uint64)
+        del flags
+        for r in range(len(rows)):
+            common[r] += np.bitwise_count(bits[len(rows):] & bits[r]).sum(axis=1, dtype=np.int64)
+    both = sizes[:len(rows), None] + sizes[None, len(rows):]
+    return np.nonzero(100 * common >= percent * (both - common))
+
+
+def _joined(ids: list[int], parts: list[int], is_row: list[bool], sets: list[np.ndarray],
+            percent: int) -> list[tuple[int, int]]:
+    """Pairs of components of a tile that a link joins, none twice over."""
+    rows = [k for k, r in enumerate(is_row) if r]
+    columns = [k for k, r in enumerate(is_row) if not r]
+    if not rows or not columns:
+        return []
+    found: list[tuple[int, int]] = []
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    r, c = similar_pairs([sets[k] for k in rows], [sets[k] for k in columns], percent)
+    for x, y in zip(r.tolist(), c.tolist()):
+        a, b = parts[rows[x]], parts[columns[y]]
+        if a != b and top(a) != top(b):
+            root[top(a)] = top(b)
+            found.append((a, b))
+    return found
 
 
-def links(spark, reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) among representatives, enough to connect all
-    that are linked. ``reps``: signed rows; ``docs``: (doc_id, text)."""
+def _tile_links(tiles: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
+    """(a, b): components that links of a tile join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, ([], [], [], [])
+        out: list[tuple[int, int]] = []
+        for big in batches:
+            for s in range(0, big.num_rows, 2048):
+                b = big.slice(s, 2048)
+                sets = shingle_sets(b.column("text"))
+                columns = [b.column(c).to_pylist() for c in ("key", "i", "j", "id", "component", "row")]
+                for k, (key, i, j, *values) in enumerate(zip(*columns)):
+                    if (key, i, j) != now:
+                        out += _joined(*held, percent)
+                        now, held = (key, i, j), ([], [], [], [])
+                    for x, v in zip(held, (*values, sets[k])):
+                        x.append(v)
+        out += _joined(*held, percent)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)],
+                                         names=["a", "b"])
+
+    dealt = (tiles.join(bodies, "id").repartition("key", "i", "j")
+             .sortWithinPartitions("key", "i", "j"))
+    return dealt.select("key", "i", "j", "id", "component", "row", "text").mapInArrow(run, "a long, b long")
+
+
+def linked(reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(id, component) of representatives that are linked. ``reps``: signed
+    rows; ``docs``: (doc_id, text)."""
+    spark = docs.sparkSession
     bands = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
     hubs = (bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("other"))
             .where("hub <> other").select("key", "hub"))
     shared = written(spark, bands.join(hubs, "key"), "buckets")
-    sketches = reps.select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1", "s2")
     star = shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     met = shared.select("id").distinct()
-    bodies = written(spark, docs.join(met, F.col("doc_id") == F.col("id"), "left_semi")
-                     .select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "bodies")
-    found = written(spark, _confirmed(_plausible(star, sketches, percent), bodies, percent), "links")
-    for turn in range(STARS + 1):
-        rest = written(spark, _unfinished(shared, components(found)), "apart")
-        # pairs of different components in a bucket, hubs' own not counted again
-        sizes = (rest.where("id <> hub").groupBy("key", "component").count()
-                 .groupBy("key").agg((F.sum("count") * F.sum("count")
-                                      - F.sum(F.col("count") * F.col("count"))).alias("x")))
-        left = (sizes.agg(F.sum("x")).first()[0] or 0) // 2
-        if not left:
-            break
-        last = turn == STARS or left <= 4 * rest.count()
-        if last:
-            x, y = (rest.where("id <> hub").select("key", F.col("id").alias(k),
-                                                   F.col("component").alias(f"{k}_c")) for k in "ab")
-            pairs = x.join(y, "key").where("a < b and a_c <> b_c").select("a", "b")
-        else:
-            center = rest.groupBy("key").agg(F.min_by(
-                F.struct("id", "component"), F.xxhash64("id", F.lit(turn))).alias("c"))
-            pairs = (rest.join(center, "key").where("component <> c.component and id <> hub and c.id <> hub")
-                     .select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")))
-        more = _confirmed(_plausible(pairs.distinct(), sketches, percent), bodies, percent)
-        found = written(spark, found.unionByName(more), "links")
-        if last:
-            break
-    return found
+    known = reps.join(met, F.col("doc_id") == F.col("id"), "left_semi").select(
+        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1", "s2")
+    bodies = written(spark, docs.join(known, F.col("doc_id") == F.col("id"))
+                     .select("id", "text", "n", "s0", "s1", "s2").dropDuplicates(["id"]), "bodies")
+    labels = components(_confirmed(star, bodies, percent))
+    rest = written(spark, _unfinished(shared.select("key", "id"), labels), "apart")
+    more = written(spark, _tile_links(_tiles(rest), bodies.select("id", "text"), percent), "tile-links")
+    if not more.take(1):
+        return labels
+    again = components(more).toDF("component", "joined")
+    every = labels.unionByName(  # representatives that only a tile linked
+        more.select(F.col("a").alias("id")).unionByName(more.select(F.col("b").alias("id")))
+        .distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("component")))
+    return written(spark, every.join(again, "component", "left").select(
+        "id", F.coalesce("joined", "component").alias("component")), "joined")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -269,7 +357,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other")))
     reps = sig.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"],
                     "left_semi").dropDuplicates(["doc_id", "set_key"])
-    labels = components(links(spark, reps, docs, percent)).withColumnRenamed("id", "rep")
+    labels = linked(reps, docs, percent).withColumnRenamed("id", "rep")
     named = classes.join(labels, "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("component"))
     return (sig.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
