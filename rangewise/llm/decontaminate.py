@@ -297,26 +297,26 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     whose every word was hit is dropped. The rows of ``found`` that have
     spans are joined by ``doc_id``."""
     hits = (found.where(F.size("spans") > 0)
-            .select(F.col("doc_id").alias("_hit_id"), "spans",
+            .select(F.col("doc_id").alias("_hit_id"), F.col("spans").alias("_hit"),
                     (F.aggregate("spans", F.lit(0).cast("long"),
                                  lambda a, x: a + x["word_end"] - x["word_start"])
                      >= F.col("n_words")).alias("_all")))
     raw = F.encode(F.col("text"), "UTF-8")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda x: x["byte_end"]))
-    starts = F.concat(F.transform("spans", lambda x: x["byte_start"]),
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_hit", lambda x: x["byte_end"]))
+    starts = F.concat(F.transform("_hit", lambda x: x["byte_start"]),
                       F.array(F.octet_length("text").cast("long")))
     pieces = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")),
                          lambda p: F.decode(F.substring(raw, (p["a"] + 1).cast("int"),
                                                         (p["b"] - p["a"]).cast("int")), "UTF-8"))
     joined = docs.join(hits, F.col("doc_id") == F.col("_hit_id"), "left").where(
         ~F.coalesce("_all", F.lit(False)))
-    new = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat_ws("", pieces))
+    new = F.when(F.col("_hit").isNull(), F.col("text")).otherwise(F.concat_ws("", pieces))
     out = []
     for c in docs.columns:
         if c == "text":
             out.append(F.col("_new").alias("text"))
         elif c == "n_chars":
-            out.append(F.when(F.col("spans").isNull(), F.col("n_chars"))
+            out.append(F.when(F.col("_hit").isNull(), F.col("n_chars"))
                        .otherwise(F.char_length("_new").cast("long")).alias("n_chars"))
         else:
             out.append(F.col(c))

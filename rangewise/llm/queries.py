@@ -140,28 +140,30 @@ FROM dw LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 _OP5 = f"""
 WITH d AS (
   SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
-), starts AS (
-  SELECT doc_id, p, row_number() OVER (PARTITION BY win ORDER BY doc_id, p) > 1 AS again
-  FROM (SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH})) AS win
-        FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - {suffix_dedup.LENGTH} + 1)) AS p
-              FROM d WHERE strlen(h) >= {2 * suffix_dedup.LENGTH}))
-), bytes AS (
-  SELECT doc_id, unnest(range(0, strlen(h) // 2)) AS p, h FROM d
-), marked AS (
-  SELECT b.doc_id, b.p, substr(h, 2 * b.p + 1, 2) AS x,
-         coalesce(max(CASE WHEN again THEN b.p END) OVER (
-           PARTITION BY b.doc_id ORDER BY b.p) > b.p - {suffix_dedup.LENGTH}, false) AS gone
-  FROM bytes b LEFT JOIN starts s ON b.doc_id = s.doc_id AND b.p = s.p
-), edges AS (
-  SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS opens
-  FROM marked
+), starts AS MATERIALIZED (
+  SELECT doc_id, p, md5(substr(h, 2 * p + 1, {2 * suffix_dedup.LENGTH})) AS win
+  FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - {suffix_dedup.LENGTH} + 1)) AS p
+        FROM d WHERE strlen(h) >= {2 * suffix_dedup.LENGTH})
+), firsts AS (
+  SELECT win, min(doc_id * 1000000000 + p) AS f FROM starts GROUP BY win HAVING count(*) > 1
+), again AS (
+  SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+  FROM starts JOIN firsts USING (win) WHERE doc_id * 1000000000 + p <> f
+), runs AS (
+  SELECT doc_id, p, sum(CASE WHEN p <= before + {suffix_dedup.LENGTH} THEN 0 ELSE 1 END)
+           OVER (PARTITION BY doc_id ORDER BY p) AS run FROM again
+), spans AS (
+  SELECT doc_id, min(p) AS s, max(p) + {suffix_dedup.LENGTH} AS e FROM runs GROUP BY doc_id, run
+), gaps AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS g FROM spans
 ), done AS (
-  SELECT doc_id, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
-         coalesce(string_agg(x, '' ORDER BY p) FILTER (WHERE NOT gone), '') AS kept
-  FROM edges GROUP BY doc_id
+  SELECT doc_id, sum(e - s)::BIGINT AS n_removed, count(*) AS n_spans, max(e) AS last,
+         string_agg(substr(h, 2 * g + 1, 2 * (s - g)), '' ORDER BY s) AS kept
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
 )
 SELECT doc_id, strlen(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed,
-       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+       coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN done USING (doc_id)
 """
 

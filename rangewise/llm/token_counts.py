@@ -131,4 +131,6 @@ def counted(docs: DataFrame) -> DataFrame:
     found = token_counts(spark, path).select(
         F.regexp_extract("path", r"part-(\d+)\.ids$", 1).cast("long").alias("part"),
         "ordinal", "start", "n_tokens")
-    return found.join(placed, ["part", "ordinal"]).select("doc_id", "n_tokens", "part", "start")
+    # as many rows as documents: never to be broadcast, however small as files
+    return found.join(placed.hint("merge"), ["part", "ordinal"]).select(
+        "doc_id", "n_tokens", "part", "start")
