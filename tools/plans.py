@@ -48,7 +48,7 @@ def main() -> None:
     out = ["# Physical plans", "",
            f"Generated by `python tools/plans.py {sf}` (AQE initial plans, ids stripped).", "",
            "What to look for: the fact side is only ever joined by broadcast (size-checked),",
-           "its one key-based `Exchange` is the 8-key aggregate (plus the id-hash spread of",
+           "its one key-based `Exchange` is the 8-key aggregate on the broadcast path (plus the id-hash spread of",
            "the single-row-group test input, a no-op at scale); the observers build and",
            "the reports aggregate before they exchange; filters and column pruning reach",
            "the Parquet scans (`PushedFilters`, `ReadSchema`).", ""]
