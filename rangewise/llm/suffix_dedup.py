@@ -408,8 +408,13 @@ def _sort(segments: DataFrame, buckets: int) -> DataFrame:
         n = n.astype(np.int64)
         size = n + (LENGTH - 1)
         begin = np.cumsum(size) - size
+        # whole keys per batch, about SORT_SYMBOLS symbols each; keys of like
+        # size together, as a batch takes as many steps as its largest text
         order = np.argsort(key, kind="stable")
-        # whole keys per batch, about SORT_SYMBOLS symbols each
+        edge = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
+        weight = np.empty(len(order), np.int64)
+        weight[order] = np.repeat(np.add.reduceat(size[order], edge), np.diff(np.append(edge, len(order))))
+        order = np.lexsort((key, weight))
         total = np.cumsum(size[order])
         edge = np.flatnonzero(np.append(True, key[order][1:] != key[order][:-1]))
         turn = (total[edge] // SORT_SYMBOLS)
