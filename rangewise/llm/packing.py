@@ -7,10 +7,10 @@ a sequence. Multiplicative weights solve the covering program: each round a
 bounded-knapsack dynamic program prices the lengths and gives the most
 valuable configuration, it is taken as often as its scarcest length allows,
 and the weights of the lengths it covers shrink. The fractional counts are
-then rounded down. The program is solved again for what stays uncovered,
-which shrinks several times over each turn, and best-fit decreasing (on the histogram, so
-its work follows distinct sequences) places the last ``LOOSE`` pieces and
-what no full configuration can hold.
+then rounded down, and the program is solved again for what stays uncovered
+until rounding down takes nothing, at any size of table. Best-fit decreasing
+(on the histogram, so its work follows distinct sequences) places what
+rounding left.
 
 Spark does the per-row part: pieces are measured in one map pass, their
 histogram is a ``groupBy``, each piece's rank within its length comes from a
@@ -43,11 +43,6 @@ from rangewise.session import ship_package
 CAPACITY = 2048
 #: Rounds of multiplicative weights in one solution of the program.
 ROUNDS = 200
-#: Pieces that best-fit decreasing may place; above it, the program is solved
-#: again for what rounding down left.
-LOOSE = 50_000
-#: Ids that a configuration may leave empty to be used after rounding.
-WASTE = 0
 #: How fast a covered length's weight falls.
 RATE = 0.5
 
@@ -174,8 +169,7 @@ class Plan:
 
 
 def solve(histogram: dict[int, int], capacity: int = CAPACITY,
-          rounds: int = ROUNDS, loose: int = LOOSE,
-          waste: int = WASTE) -> Plan:
+          rounds: int = ROUNDS) -> Plan:
     """The packing plan of a length histogram."""
     lengths = np.array(sorted(n for n, c in histogram.items() if c and n < capacity), np.int64)
     left = np.array([histogram[n] for n in lengths.tolist()], np.int64)
@@ -186,17 +180,15 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY,
             taken.append((config, times))
             left[:] -= config * times
 
-    while left.sum() > loose:
+    while left.any():
         live, before = left > 0, int(left.sum())
         for config, x in sorted(fractional(lengths[live], left[live], capacity, rounds),
                                 key=lambda c: -c[1]):
             whole = np.zeros(len(lengths), np.int64)
             whole[live] = config
-            if capacity - int((whole * lengths).sum()) > waste:
-                continue  # its lengths may fit better elsewhere
             used = whole > 0
-            take(whole, min(int(x), int((left[used] // whole[used]).min())))
-        if left.sum() > before / 2:
+            take(whole, min(int(x + 1e-9), int((left[used] // whole[used]).min())))
+        if left.sum() == before:
             break
     for config, times in best_fit(lengths, left, capacity):
         take(config, times)

@@ -160,6 +160,22 @@ def test_packing_plan_is_close_to_the_bound():
     assert plan.sequences <= 1.001 * (int(n.sum()) / 2048) + 2
 
 
+def test_small_tables_are_packed_by_the_program(docs, monkeypatch):
+    rest, whole = [], packing.best_fit
+
+    def spied(lengths, counts, capacity):
+        rest.append(int(counts.sum()))
+        return whole(lengths, counts, capacity)
+
+    monkeypatch.setattr(packing, "best_fit", spied)
+    texts = ["word " * n for n in (300, 700, 900, 1100) for _ in range(30)]
+    rows = packing.pack(docs(texts)).collect()
+    check_packing(rows, 2048)
+    assert len(rows) == 120 and rest[0] < 60
+    # no configuration of this length is full
+    assert packing.solve({1500: 100}).sequences == 100 and rest[1] <= 1
+
+
 def test_knapsack_is_optimal():
     import itertools
     rng = np.random.default_rng(1)
