@@ -1,7 +1,8 @@
 """A small gated recurrent language model in numpy.
 
-Vocabulary: ``classes * size`` frequent words dealt to classes by rank, and one more
-class for every other word. P(word) is P(class | state) * P(word | class,
+Vocabulary: frequent words, a square number of them, dealt by rank to as many
+classes as a class has words, and one more class for every other word. The
+parameters' shapes carry the vocabulary's size. P(word) is P(class | state) * P(word | class,
 state), both softmaxes; a word of the last class has its share of that class
 from corpus counts, which the caller adds. Texts run back to back in lanes;
 the state starts at zero with each text and is carried from window to window.
@@ -11,32 +12,41 @@ Training is truncated backpropagation through one window, with Adam.
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
 
-#: Words a class, classes of words, units of the state, steps in a window.
-SIZE, CLASSES, UNITS, STEPS = 16, 16, 16, 16
+#: Units of the state, steps in a window, least words of the vocabulary.
+UNITS, STEPS, WORDS = 16, 16, 256
 #: Texts run side by side.
 LANES = 1024
 RATE, DECAY1, DECAY2 = 0.01, 0.9, 0.98
-WORDS = SIZE * CLASSES
-REST, START = WORDS, WORDS + 1
-
-_SHAPES = {
-    "embed": (WORDS + 2, 3 * UNITS), "state": (UNITS, 3 * UNITS),
-    "class_w": (UNITS, CLASSES + 1), "class_b": (CLASSES + 1,),
-    "word_w": (CLASSES, UNITS, SIZE), "word_b": (CLASSES, SIZE),
-}
+#: The word before a text's first: the last row of ``embed``. "Any other
+#: word" has the id that follows the vocabulary's.
+START = -1
+
 Params = dict[str, np.ndarray]
 
 
+def grid(words: int) -> int:
+    """Classes of a vocabulary of at least ``words`` words, and words a class."""
+    return max(math.isqrt(max(words, WORDS) - 1) + 1, 1)
+
+
+def _shapes(size: int) -> dict[str, tuple[int, ...]]:
+    return {"embed": (size * size + 2, 3 * UNITS), "state": (UNITS, 3 * UNITS),
+            "class_w": (UNITS, size + 1), "class_b": (size + 1,),
+            "word_w": (size, UNITS, size), "word_b": (size, size)}
+
+
 def initial(counts: np.ndarray, rest: float) -> Params:
     """Parameters that give corpus frequencies whatever the state. ``counts``:
     of the vocabulary's words, in order; ``rest``: of all others."""
     rng = np.random.default_rng(7)
-    p = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in _SHAPES.items()}
-    by_class = (counts.astype(float) + 1).reshape(CLASSES, SIZE)
+    size = grid(len(counts))
+    p = {k: (rng.standard_normal(s) * 0.1).astype(np.float32) for k, s in _shapes(size).items()}
+    by_class = (counts.astype(float) + 1).reshape(size, size)
     total = np.append(by_class.sum(axis=1), rest + 1)
     p["class_b"] = np.log(total / total.sum()).astype(np.float32)
     p["word_b"] = np.log(by_class / by_class.sum(axis=1, keepdims=True)).astype(np.float32)
@@ -46,12 +56,12 @@ def initial(counts: np.ndarray, rest: float) -> Params:
 
 
 def flat(p: Params) -> np.ndarray:
-    return np.concatenate([p[k].ravel() for k in _SHAPES])
+    return np.concatenate([p[k].ravel() for k in _shapes(len(p["word_b"]))])
 
 
-def unflat(x: np.ndarray) -> Params:
+def unflat(x: np.ndarray, size: int) -> Params:
     out, at = {}, 0
-    for k, s in _SHAPES.items():
+    for k, s in _shapes(size).items():
         n = int(np.prod(s))
         out[k] = x[at:at + n].reshape(s).astype(np.float32)
         at += n
@@ -157,7 +167,8 @@ def _predict(p: Params, h: np.ndarray, target: np.ndarray, grad: Params | None,
              weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log probabilities of the targets from states (n, units); with ``grad``
     also adds the gradients and returns that of the states."""
-    cls = target // SIZE  # REST // SIZE is the last class
+    size = len(p["word_b"])
+    cls = target // size  # of any other word: the last class
     logits = h @ p["class_w"] + p["class_b"]
     back = None
     if grad is None:
@@ -171,12 +182,12 @@ def _predict(p: Params, h: np.ndarray, target: np.ndarray, grad: Params | None,
         grad["class_b"] += np.ones(len(d), d.dtype) @ d
         back = d @ p["class_w"].T
     order = np.argsort(cls.astype(np.int16), kind="stable")
-    edge = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+    edge = np.searchsorted(cls[order], np.arange(size + 1))
+    for c in range(size):
         k = order[edge[c]:edge[c + 1]]
         if not len(k):
             continue
-        hc, word = h[k], target[k] - c * SIZE
+        hc, word = h[k], target[k] - c * size
         logits = hc @ p["word_w"][c] + p["word_b"][c]
         if grad is None:
             out[k] += _log_prob(logits, word)
@@ -208,14 +219,15 @@ def _backward(p: Params, given: np.ndarray, kept: list, back: np.ndarray, grad:
         carry = d * z + d_state @ p["state"].T
         carry[fresh] = 0
     word = given.ravel()
-    order = np.argsort(word.astype(np.int16), kind="stable")
+    order = np.argsort(word, kind="stable")
     word = word[order]
     edge = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
     grad["embed"][word[edge]] += np.add.reduceat(d_in.reshape(-1, 3 * UNITS)[order], edge, axis=0)
 
 
 class Trainer:
-    """Truncated backpropagation with Adam, one step a window."""
+    """Truncated backpropagation with Adam, one step a window. Words and
+    classes that a window does not have keep their parameters and moments."""
 
     def __init__(self, params: Params):
         self.p = {k: v.copy() for k, v in params.items()}
@@ -225,28 +237,38 @@ class Trainer:
 
     def learn(self, lanes: Lanes) -> None:
         h = np.zeros((len(lanes.length), UNITS), np.float32)
+        size = len(self.p["word_b"])
+        grad = {k: np.zeros_like(v) for k, v in self.p.items()}
         for at, valid in lanes.windows():
             given, kept = lanes.given[at], []
             states = _run(self.p, given, h[:at.shape[1]], kept)
             h = states[-1]
-            grad = {k: np.zeros_like(v) for k, v in self.p.items()}
             weight = (valid / max(int(valid.sum()), 1)).astype(np.float32).ravel()
             _, back = _predict(self.p, states.reshape(-1, UNITS), lanes.target[at].ravel(), grad, weight)
             _backward(self.p, given, kept, back.reshape(states.shape), grad)
-            self._step(grad)
+            classes = np.unique(lanes.target[at] // size)
+            rows = {"embed": np.unique(given), "word_w": classes[classes < size]}
+            self._step(grad, rows | {"word_b": rows["word_w"]})
             self.tokens += int(valid.sum())
 
-    def _step(self, grad: Params) -> None:
+    def _step(self, grad: Params, rows: dict[str, np.ndarray]) -> None:
+        """One step with the gradients' ``rows`` (all, if not given), which
+        are zero afterwards."""
         self.n += 1
-        norm = float(np.sqrt(sum(float((g * g).sum()) for g in grad.values())))
+        some = {k: g[rows[k]] if k in rows else g.copy() for k, g in grad.items()}
+        norm = float(np.sqrt(sum(float((g * g).sum()) for g in some.values())))
         clip = min(1.0, 1.0 / max(norm, 1e-9))
-        for k, g in grad.items():
-            g = g * np.float32(clip)
-            self.m[k] += np.float32(1 - DECAY1) * (g - self.m[k])
-            self.v[k] += np.float32(1 - DECAY2) * (g * g - self.v[k])
-            m = self.m[k] / (1 - DECAY1 ** self.n)
-            v = self.v[k] / (1 - DECAY2 ** self.n)
-            self.p[k] -= np.float32(RATE) * m / (np.sqrt(v) + np.float32(1e-6))
+        for k, g in some.items():
+            at = rows.get(k, slice(None))
+            g *= np.float32(clip)
+            m, v = self.m[k][at], self.v[k][at]
+            m = m + np.float32(1 - DECAY1) * (g - m)
+            v = v + np.float32(1 - DECAY2) * (g * g - v)
+            self.m[k][at], self.v[k][at] = m, v
+            m = m / np.float32(1 - DECAY1 ** self.n)
+            v = v / np.float32(1 - DECAY2 ** self.n)
+            self.p[k][at] -= np.float32(RATE) * m / (np.sqrt(v) + np.float32(1e-6))
+            grad[k][at] = 0
 
 
 def log_likelihood(p: Params, lanes: Lanes, texts: int) -> np.ndarray:

@@ -4,8 +4,10 @@
    ``groupBy``. The table is written and never leaves Spark whole.
 2. The model is trained on every training document in ``TURNS`` turns, each
    over its share of the documents: tasks train copies, and the copies'
-   parameters are averaged, weighted by tokens, in a ``groupBy`` over parameter
-   numbers. Only the averaged parameters (a fixed number) reach the driver.
+   parameters, in blocks, are averaged, weighted by tokens, after a shuffle by
+   block. Only the averaged parameters reach the driver. Every word that makes
+   up one in ``SHARE`` training tokens, and occurs ``LEAST`` times, is in the
+   model's vocabulary, so it has under ``SHARE`` words whatever the corpus.
 3. Every document is scored whole: the model gives the probability of
    frequent words and of "another word"; that word's share of the others
    comes from its count. The ``HEAD`` most frequent words' counts go to the
@@ -36,6 +38,14 @@ from rangewise.session import ship_package
 
 #: Most frequent words whose counts are sent to the tasks.
 HEAD = 1 << 19
+#: A word of the model's vocabulary is at least one in so many training
+#: tokens, and occurs at least so often.
+SHARE, LEAST = 1 << 18, 2
+#: Parameters in a block.
+BLOCK = 1 << 16
+BLOCKS = "k int, tokens long, x binary"
+#: Tasks that average blocks.
+AVERAGERS = 8
 #: Turns of training; each document is in one of them.
 TURNS = 2
 #: The end token's place among word hashes.
@@ -82,16 +92,19 @@ def _counts(found: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
 class Head:
     """The most frequent words' counts, and the model's vocabulary in them."""
 
-    def __init__(self, found: np.ndarray, times: np.ndarray):
+    def __init__(self, found: np.ndarray, times: np.ndarray, total: int):
         top = np.lexsort((found, -times))
+        frequent = int((times >= max(LEAST, total / SHARE)).sum())
+        self.size = gru.grid(frequent + 1)
+        self.rest = self.size * self.size  # the model's id of any other word
         # the end is always in the vocabulary, then words by count
-        chosen = [END] + [w for w in found[top[:gru.WORDS]] if w != END][:gru.WORDS - 1]
+        chosen = [END] + [w for w in found[top[:self.rest]] if w != END][:self.rest - 1]
         order = np.argsort(found)
         self.words, self.counts = found[order], times[order]
         self.vocab = np.array(chosen, np.uint64)
         self.vocab_order = np.argsort(self.vocab)
         have = self.count(self.vocab)
-        self.vocab_counts = np.zeros(gru.WORDS, np.int64)
+        self.vocab_counts = np.zeros(self.rest, np.int64)
         self.vocab_counts[:len(have)] = np.maximum(have, 0)
 
     def count(self, h: np.ndarray) -> np.ndarray:
@@ -105,7 +118,7 @@ class Head:
         """The model's id of each word hash."""
         at = np.minimum(np.searchsorted(self.vocab, h, sorter=self.vocab_order), len(self.vocab) - 1)
         at = self.vocab_order[at]
-        return np.where(self.vocab[at] == h, at, gru.REST)
+        return np.where(self.vocab[at] == h, at, self.rest)
 
 
 def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Params:
@@ -115,25 +128,44 @@ def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Pa
         now = gru.flat(params)
 
         def learn(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            trainer = gru.Trainer(gru.unflat(now))
+            trainer = gru.Trainer(gru.unflat(now, head.size))
             for b in chunks(batches):
                 codes, offsets, h = _hashed(b.column("text"))
                 trainer.learn(gru.Lanes.of(head.ids(h)[codes], offsets))
             if trainer.tokens:
-                x = gru.flat(trainer.p).astype(float) * trainer.tokens
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(-1, len(x), dtype=np.int32)),
-                     pa.array(np.concatenate([[trainer.tokens], x]))], names=["k", "x"])
+                x = gru.flat(trainer.p)
+                yield _blocks({k: (trainer.tokens, x[k * BLOCK:(k + 1) * BLOCK])
+                               for k in range(-(-len(x) // BLOCK))})
 
         share = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(turns)) == turn)
-        rows = share.mapInArrow(learn, "k int, x double").groupBy("k").agg(F.sum("x").alias("x")).toArrow()
-        if rows.num_rows:  # one row per parameter
-            order = np.argsort(rows["k"].to_numpy())
-            x = rows["x"].to_numpy()[order]
-            params = gru.unflat(x[1:] / x[0])
+        rows = (share.mapInArrow(learn, BLOCKS).repartition(AVERAGERS, "k")
+                .mapInArrow(_average, BLOCKS).toArrow().sort_by("k"))
+        if rows.num_rows:  # one row per block
+            params = gru.unflat(np.concatenate(
+                [np.frombuffer(x, np.float32) for x in rows["x"].to_pylist()]), head.size)
     return params
 
 
+def _blocks(found: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([
+        pa.array(list(found), pa.int32()), pa.array([n for n, _ in found.values()], pa.int64()),
+        pa.array([x.astype(np.float32).tobytes() for _, x in found.values()], pa.binary())],
+        names=["k", "tokens", "x"])
+
+
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each block once, averaged by tokens. What is held follows the number of
+    parameters, not of copies."""
+    total: dict[int, list] = {}
+    for b in batches:
+        for k, n, x in zip(*(c.to_pylist() for c in b.columns)):
+            held = total.setdefault(k, [0, 0.0])
+            held[0] += n
+            held[1] = held[1] + np.frombuffer(x, np.float32).astype(float) * n
+    if total:
+        yield _blocks({k: (n, x / n) for k, (n, x) in total.items()})
+
+
 SCORED = ("row long, doc_id long, n_tokens long, n_known long, n_rest long, known_log double, "
           "rest_log double, model_log double, rare array<struct<word: long, n: int>>")
 
@@ -143,7 +175,7 @@ def _score(docs: DataFrame, head: Head, params: gru.Params) -> DataFrame:
     weights = gru.flat(params)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = gru.unflat(weights)
+        p = gru.unflat(weights, head.size)
         row = TaskContext.get().partitionId() << 40
         for b in chunks(batches):
             codes, offsets, h = _hashed(b.column("text"))
@@ -152,7 +184,7 @@ def _score(docs: DataFrame, head: Head, params: gru.Params) -> DataFrame:
             ids, count = head.ids(h), head.count(h)
             model = gru.log_likelihood(p, gru.Lanes.of(ids[codes], offsets), n)
             logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-            rest = ids == gru.REST
+            rest = ids == head.rest
             key, times = np.unique((text * len(h) + codes)[count[codes] < 0], return_counts=True)
             where = np.searchsorted(key // len(h), np.arange(n + 1))
             rare = pa.ListArray.from_arrays(
@@ -184,7 +216,7 @@ def lm_score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds:
     total, types = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     # at most head_words rows of two integers
     top = counts.orderBy(F.desc("c"), "word").limit(head_words).toArrow()
-    head = Head(top["word"].to_numpy().view(np.uint64), top["c"].to_numpy())
+    head = Head(top["word"].to_numpy().view(np.uint64), top["c"].to_numpy(), int(total))
     scored = written(spark, _score(docs, head, train(training, head, total)), "lm-scored")
     rare = (scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
             .join(counts, "word")

@@ -279,3 +279,15 @@ def test_lm_scores(clashing, texts, head):
             out[k], len(x), sum(count[w] > 0 for w in x), n)
         base = sum(math.log10((count[w] + 1) / (n + v + 1)) for w in x)
         assert abs(r.base_score - base) < 1e-6 * max(1, abs(base)) and r.score < 0
+
+
+def test_lm_vocabulary_follows_the_corpus(docs):
+    """Words come in fixed pairs, none among the 256 most frequent alone."""
+    rnd = random.Random(4)
+    pairs = [f"a{k} b{k}" for k in range(450)]
+    rows = [" ".join(rnd.choice(pairs) for _ in range(150)) for _ in range(300)]
+    found = np.arange(1, 901, dtype=np.uint64)
+    head = lm_score.Head(found, np.full(900, 50), 45_000)
+    assert set(head.ids(found).tolist()) == set(range(1, 901)) and head.rest == 31 * 31
+    held = [r for r in lm_score.lm_score(docs(rows)).collect() if r.held_out]
+    assert len(held) > 20 and all(r.score > r.base_score for r in held)
