@@ -3,7 +3,9 @@ all documents, the earliest ranked occurrence stays and the rest go.
 
 A unit is a ``\\n``-separated line. Its normal form has A-Z in lower case and
 runs of ASCII white space as one space. Units of under ``MIN_WORDS`` words
-are never removed (a lone "Yes." is no passage). Rank is (doc_id, row's text
+are never removed (a lone "Yes." is no passage); ``deduped``, the pipeline's
+form, also takes units of ``MIN_BYTES`` bytes or more, so text without spaces,
+long addresses and encoded lines are compared too. Rank is (doc_id, row's text
 hash, unit number), so the result does not depend on partitioning.
 
 Shape of the job: one map pass makes (digest, rank, offsets) rows; a
@@ -33,15 +35,17 @@ from rangewise.session import ship_package
 
 #: Least words of a unit that may be removed.
 MIN_WORDS = 5
+#: Bytes of a normal form that is long enough whatever its words (``deduped``).
+MIN_BYTES = 40
 
 _LOWER = LOWER.tobytes()
 UNITS = "doc_id long, text_hash long, unit int, start long, end long, digest binary"
 
 
 def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-          min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit that is long enough: its document, number, byte
-    offsets in the original text, and digest."""
+          min_words: int = MIN_WORDS, min_bytes: int | None = None) -> DataFrame:
+    """One row per unit that is long enough, by words or (if given) by bytes:
+    its document, number, byte offsets in the original text, and digest."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches):
@@ -52,8 +56,9 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 for k, line in enumerate(value.as_buffer().to_pybytes().split(b"\n")
                                          if value.is_valid else ()):
                     parts = line.translate(_LOWER).split()
-                    if len(parts) >= min_words:
-                        unit = hashlib.blake2b(b" ".join(parts), digest_size=16).digest()
+                    norm = b" ".join(parts)
+                    if len(parts) >= min_words or min_bytes and len(norm) >= min_bytes:
+                        unit = hashlib.blake2b(norm, digest_size=16).digest()
                         for column, x in zip(out, (doc, key, k, start, start + len(line), unit)):
                             column.append(x)
                     start += len(line) + 1
@@ -81,11 +86,11 @@ def repeats(found: DataFrame) -> DataFrame:
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-           min_words: int = MIN_WORDS) -> DataFrame:
+           min_words: int = MIN_WORDS, min_bytes: int | None = None) -> DataFrame:
     """``docs`` with repeated units cut from ``text``, and the columns
     ``_units`` (lines in the original) and ``_removed`` (numbers and byte
     offsets in the original of the lines that went)."""
-    gone = repeats(units(docs, doc_id, text, min_words)).select(
+    gone = repeats(units(docs, doc_id, text, min_words, min_bytes)).select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed").alias("_removed"))
     joined = docs.join(gone, F.col(doc_id).cast("long").eqNullSafe(F.col("_id"))
                        & (F.xxhash64(F.col(text)) == F.col("_hash")), "left").drop("_id", "_hash")
@@ -126,7 +131,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def deduped(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated units gone and ``n_chars`` made to fit."""
-    out = remove(docs)
+    out = remove(docs, min_bytes=MIN_BYTES)
     return out.select(*[
         F.when(F.col("_removed").isNull(), F.col(c)).otherwise(
             F.char_length("text").cast("long")).alias(c) if c == "n_chars" else F.col(c)

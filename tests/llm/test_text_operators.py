@@ -65,6 +65,13 @@ def test_line_dedup_keeps_columns_and_counts_characters(docs):
     assert out[0].text == PASSAGE
 
 
+def test_pipeline_line_dedup_takes_long_lines_without_spaces(docs):
+    lines = ["これは空白のない長い段落です。" * 3, "https://example.org/" + "a1b2" * 10]
+    rows = [lines[0] + "\nYes.\n" + lines[1], "Yes.\n" + lines[1].upper() + "\n" + lines[0]]
+    out = {r.doc_id: r for r in substring_dedup.deduped(docs(rows)).collect()}
+    assert out[0].text == rows[0] and out[1].text == "Yes." and out[1].n_chars == 4
+
+
 ITEMS = [("7", varied(25)), ("10", varied(14)), ("9", "Short item, only five words"), ("3", ""),
          ("4", None), (None, PASSAGE), ("8", "solo"), ("11", None)]
 ITEMS[1] = ("10", " ".join(ITEMS[0][1].split()[5:19]) + " tail")
