@@ -36,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def benchmark_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of benchmark items are cut out."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.without_spans(docs, decontaminate.decontaminate(docs, benchmark))
+    return decontaminate.cleaned(docs, benchmark)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

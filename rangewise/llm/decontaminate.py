@@ -9,10 +9,12 @@ Only words that could matter are streamed: numpy marks neighbouring words
 that are neighbours in some item, and runs of such pairs as long as the
 shortest window go to the automaton. Everything else cannot hold a window.
 
-Documents are never shuffled. Items are split into blocks of at most
-``BLOCK_BYTES`` of text; a block's items are what is sent to the tasks, so
-that size is bounded whatever the benchmark's size. With several blocks each
-is matched against all documents and the spans are merged per document.
+Documents are never shuffled or joined. Items are split into blocks of at most
+``BLOCK_BYTES`` of text (or one item), so an automaton is bounded whatever the
+benchmark's size. With several blocks a task holds about ``GROUP_BYTES`` of
+documents, matches one block after the other against them and merges the
+spans row by row; rows that share an id, or have none, stay apart. The texts
+of all items go to every task.
 
 Defined cases: null or wordless texts have no words and no hits; null item
 ids are left out, as are null and wordless items; the same item twice counts
@@ -22,7 +24,6 @@ table gives no hits or no rows; extra columns are not read.
 
 from __future__ import annotations
 
-import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -39,6 +40,8 @@ from rangewise.session import ship_package
 WINDOW = 10
 #: Most text bytes of items in one automaton.
 BLOCK_BYTES = 1 << 20
+#: Bytes of documents that a task matches against one block after the other.
+GROUP_BYTES = 64 << 20
 
 #: Lower-cases A-Z and turns every other byte that is no word byte
 #: ([0-9a-z] and all of multi-byte characters) into a space.
@@ -203,16 +206,59 @@ def _word_edges(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str,
+            block_bytes: int) -> list[list[tuple[str, str]]]:
     items = (benchmark.select(F.col(item_id).cast("string").alias("item_id"),
                               F.col(text).alias("text"))
              .dropna().dropDuplicates(["item_id"]))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = math.ceil(size / block_bytes)
-    if n <= 1:
-        return [items]
-    # a block's expected size is half the bound; ids are spread by hash
-    return [items.where(F.pmod(F.xxhash64("item_id"), F.lit(2 * n)) == k) for k in range(2 * n)]
+    blocks: list[list[tuple[str, str]]] = [[]]
+    size = 0
+    for item in sorted((r.item_id, r.text) for r in items.collect()):
+        n = len(item[1].encode())
+        if blocks[-1] and size + n > block_bytes:
+            blocks.append([])
+            size = 0
+        blocks[-1].append(item)
+        size += n
+    return blocks
+
+
+def _matched(batches: Iterator[pa.RecordBatch], blocks: list[list[tuple[str, str]]], window: int):
+    """(batch, its mapped texts, words of every row, spans and items of each
+    row with a hit)."""
+    only = Matcher(blocks[0], window) if len(blocks) == 1 else None
+
+    def settled(held: list[pa.RecordBatch]):
+        out = [[b, mapped(plain(b.column("text")), WORD_BYTES), None, {}] for b in held]
+        for items in blocks:
+            matcher = only or Matcher(items, window)
+            for row in out:
+                row[2], found = matcher.find(row[1])
+                for d, (spans, seen) in found.items():
+                    before, known = row[3].get(d, ([], set()))
+                    row[3][d] = merged(before + spans), known | seen
+        return out
+
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in chunks(batches):
+        held.append(b)
+        size += b.nbytes
+        if only or size >= GROUP_BYTES:
+            yield from settled(held)
+            held, size = [], 0
+    if held:
+        yield from settled(held)
+
+
+def _byte_spans(arr: pa.Array, found: dict) -> dict[int, list[tuple[int, int]]]:
+    """Byte spans of the word spans of each row with a hit."""
+    data, offsets = raw_bytes(arr)
+    out = {}
+    for d, (spans, _) in found.items():
+        first, last = _word_edges(data[offsets[d]:offsets[d + 1]])
+        out[d] = [(int(first[s]), int(last[e - 1])) for s, e in spans]
+    return out
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
@@ -221,63 +267,55 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     """One row per document: its words, the merged hit spans (in words and in
     bytes of the text) and the items found (columns: ``SCHEMA``)."""
     ship_package(docs.sparkSession)
-    parts = []
-    for block in _blocks(benchmark, item_id, item_text, block_bytes):
-        # at most block_bytes of test items, whatever the documents' size
-        items = sorted((r.item_id, r.text) for r in block.collect())
-
-        def match(batches: Iterator[pa.RecordBatch], items=items) -> Iterator[pa.RecordBatch]:
-            matcher = None
-            for b in chunks(batches):
-                matcher = matcher or Matcher(items, window)
-                arr = mapped(plain(b.column("text")), WORD_BYTES)
-                n_words, found = matcher.find(arr)
-                data, offsets = raw_bytes(arr)
-                spans = []
-                for d in range(b.num_rows):
-                    if d in found:
-                        first, last = _word_edges(data[offsets[d]:offsets[d + 1]])
-                        spans.append([{"word_start": s, "word_end": e, "byte_start": int(first[s]),
-                                       "byte_end": int(last[e - 1])} for s, e in found[d][0]])
-                    else:
-                        spans.append([])
-                yield pa.RecordBatch.from_arrays([
-                    b.column("doc_id"), pa.array(n_words),
-                    pa.array(spans, pa.list_(pa.struct([(k, pa.int64()) for k in (
-                        "word_start", "word_end", "byte_start", "byte_end")]))),
-                    pa.array([sorted(found[d][1]) if d in found else []
-                              for d in range(b.num_rows)], pa.list_(pa.string())),
-                ], names=["doc_id", "n_words", "spans", "items"])
-
-        parts.append(texts(docs, doc_id, text).mapInArrow(match, SCHEMA))
-    if len(parts) == 1:
-        return parts[0]
-    return _merge_blocks(parts)
-
-
-def _merge_blocks(parts: list[DataFrame]) -> DataFrame:
-    """Spans of all blocks per document. A document has one row per block,
-    and rows without a hit carry nothing but the id. Documents that share an
-    id are one document here."""
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    grouped = every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    union = F.aggregate(
-        "spans", F.expr(f"cast(array() as {SPANS})"),
-        lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["word_end"] >= x["word_start"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["word_start"].alias("word_start"),
-                F.greatest(F.element_at(acc, -1)["word_end"], x["word_end"]).alias("word_end"),
-                F.element_at(acc, -1)["byte_start"].alias("byte_start"),
-                F.greatest(F.element_at(acc, -1)["byte_end"], x["byte_end"]).alias("byte_end")))),
-        ).otherwise(F.concat(acc, F.array(x))))
-    return grouped.select("doc_id", "n_words", F.when(F.size("spans") > 0, union)
-                          .otherwise(F.col("spans")).alias("spans"), "items")
+    blocks = _blocks(benchmark, item_id, item_text, block_bytes)
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, arr, n_words, found in _matched(batches, blocks, window):
+            places = _byte_spans(arr, found)
+            spans = [[{"word_start": s, "word_end": e, "byte_start": x, "byte_end": y}
+                      for (s, e), (x, y) in zip(found[d][0], places[d])] if d in found else []
+                     for d in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array(n_words),
+                pa.array(spans, pa.list_(pa.struct([(k, pa.int64()) for k in (
+                    "word_start", "word_end", "byte_start", "byte_end")]))),
+                pa.array([sorted(found[d][1]) if d in found else []
+                          for d in range(b.num_rows)], pa.list_(pa.string())),
+            ], names=["doc_id", "n_words", "spans", "items"])
+
+    return texts(docs, doc_id, text).mapInArrow(match, SCHEMA)
+
+
+def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
+            block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` with the hit spans cut out of ``text`` in the pass that finds
+    them, and ``n_chars`` made to fit; rows without a hit are returned as they
+    are, and a row whose every word was hit is dropped."""
+    ship_package(docs.sparkSession)
+    blocks = _blocks(benchmark, "item_id", "text", block_bytes)
+    at = docs.columns.index("text")
+    chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, arr, n_words, found in _matched(batches, blocks, window):
+            keep = np.ones(b.num_rows, bool)
+            new, sizes = b.column(at).to_pylist(), {}
+            for d, spans in _byte_spans(arr, found).items():
+                keep[d] = sum(e - s for s, e in found[d][0]) < n_words[d]
+                raw, end, left = new[d].encode(), 0, []
+                for s, e in spans:
+                    left.append(raw[end:s])
+                    end = e
+                new[d] = b"".join([*left, raw[end:]]).decode()
+                sizes[d] = len(new[d])
+            columns = list(b.columns)
+            columns[at] = pa.array(new, b.schema.field(at).type)
+            if chars is not None and sizes:
+                columns[chars] = pa.array([sizes.get(d, n) for d, n in enumerate(
+                    b.column(chars).to_pylist())], b.schema.field(chars).type)
+            yield pa.RecordBatch.from_arrays(columns, names=b.schema.names).filter(pa.array(keep))
+
+    return docs.mapInArrow(cut, docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -295,7 +333,8 @@ def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` with the hit spans cut out of ``text`` and ``n_chars`` made to
     fit; documents without a hit are returned as they are, and a document
     whose every word was hit is dropped. The rows of ``found`` that have
-    spans are joined by ``doc_id``."""
+    spans are joined by ``doc_id``, so it must be unique and not null;
+    ``cleaned`` needs no id."""
     hits = (found.where(F.size("spans") > 0)
             .select(F.col("doc_id").alias("_hit_id"), F.col("spans").alias("_hit"),
                     (F.aggregate("spans", F.lit(0).cast("long"),

@@ -105,6 +105,22 @@ def test_contaminated_spans_are_cut(spark, docs):
     assert 1 not in out and out[2].text == texts[2] and out[3].text is None and out[4].text == ""
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_contamination_of_rows_that_share_an_id_or_have_none(spark, docs, block_bytes):
+    one, two = varied(20), varied(20)
+    bench = spark.createDataFrame([("1", one), ("2", two)], "item_id string, text string")
+    rows = [(5, "a " + one), (5, "longer head here " + two + " b"), (5, "clean"),
+            (None, "c " + two), (None, "d clean"), (None, one), (7, one + " e " + two)]
+    found = decontaminate.decontaminate(docs(rows), bench, block_bytes=block_bytes).collect()
+    want = [(i, *brute.contamination(t, [("1", one), ("2", two)])) for i, t in rows]
+    assert sorted(((r.doc_id, r.n_words, sum(s.word_end - s.word_start for s in r.spans), r.items)
+                   for r in found), key=str) == sorted(want, key=str)
+    out = decontaminate.cleaned(docs(rows), bench, block_bytes=block_bytes).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=str) == sorted([
+        (5, "a "), (5, "longer head here  b"), (5, "clean"), (None, "c "), (None, "d clean"), (7, " e ")], key=str)
+    assert all(r.n_chars == len(r.text) and r.lang == "en" for r in out)
+
+
 def test_contamination_of_empty_tables(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.digest(decontaminate.decontaminate(docs(["a b"]), empty)).first().n_hit == 0
