@@ -128,6 +128,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, salt: int = 0):
     empty = np.empty(0, np.int64)
     if not len(usable):
         return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+    assert len(data) < 1 << _PLACE_BITS  # a place must leave the hash bits alone
     hasher = _Hasher(data)
     gram = hasher.grams(GRAM)
     order = mix(gram + np.uint64(salt)) if salt else gram
@@ -149,15 +150,29 @@ def anchors(data: np.ndarray, offsets: np.ndarray, salt: int = 0):
     return text, start, n, gram[place[first]], hasher(start, start + n + (LENGTH - 1))
 
 
+def _anchors_by_part(data: np.ndarray, offsets: np.ndarray, salt: int = 0) -> list[np.ndarray]:
+    """``anchors`` of short texts of any total size, about ``HASH_BYTES`` at a
+    time."""
+    cut = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(offsets[1:] // HASH_BYTES)) + 1,
+                                    [len(offsets) - 1]]))
+    found = []
+    for a, b in zip(cut, cut[1:]):
+        text, start, *rest = anchors(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], salt)
+        found.append((text + a, start + offsets[a], *rest))
+    return [np.concatenate(x) for x in zip(*found)]
+
+
 def _pieces(arr: pa.Array, ids: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(bytes, offsets, id and base of each text) with at most about
-    ``HASH_BYTES`` bytes; a longer text comes in pieces that overlap so that
-    each 100-byte string lies in one."""
+    ``HASH_BYTES`` bytes and a text of at most as many; a longer text comes by
+    itself, in pieces that overlap so that each 100-byte string lies in one."""
     data, offsets = raw_bytes(arr)
     lengths = np.diff(offsets)
-    cut = np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(lengths) // HASH_BYTES)) + 1, [len(arr)]])
+    long = np.flatnonzero(lengths > HASH_BYTES)
+    cut = np.unique(np.concatenate([[0], np.flatnonzero(np.diff(np.cumsum(lengths) // HASH_BYTES)) + 1,
+                                    long, long + 1, [len(arr)]]))
     for a, b in zip(cut, cut[1:]):
-        if b - a == 1 and lengths[a] > 2 * HASH_BYTES:
+        if lengths[a] > HASH_BYTES:
             for s in range(0, int(lengths[a]) - LENGTH + 1, HASH_BYTES):
                 x = data[offsets[a] + s:min(offsets[a] + s + HASH_BYTES + LENGTH - 1, offsets[b])]
                 yield x, np.array([0, len(x)]), ids[a:b], np.array([s])
@@ -326,7 +341,7 @@ def _send(left: pa.Table, right: pa.Table, buckets: int) -> pa.Table:
     if hot.any():  # second anchors inside the segments of hot ones
         parts = data[_ranges(begin[hot], size[hot])]
         cut = np.concatenate([[0], np.cumsum(size[hot])])
-        text, at, count, gram, _ = anchors(parts, cut, salt=1)
+        text, at, count, gram, _ = _anchors_by_part(parts, cut, salt=1)
         within = at - cut[text]
         with np.errstate(over="ignore"):
             new = mix(key[hot][text] + (gram >> np.uint64(1)))

@@ -257,6 +257,46 @@ def test_suffix_dedup_of_a_text_in_pieces(docs, monkeypatch):
     assert got == {k: v[1] for k, v in brute.byte_dedup(rows).items()}
 
 
+def test_long_text_before_small_ones_is_cut(monkeypatch):
+    """Places stay under 2 ** _PLACE_BITS, and every 100-byte string has the
+    anchor that it has alone."""
+    import numpy as np
+    import pyarrow as pa
+
+    from rangewise.llm.common import plain
+    monkeypatch.setattr(suffix_dedup, "HASH_BYTES", 700)
+    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 12)
+    texts = [varied(30), varied(1500), *(varied(40) for _ in range(8)), varied(300), varied(5)]
+    seen = {}
+    for data, offsets, ids, base in suffix_dedup._pieces(plain(pa.array(texts)), np.arange(len(texts))):
+        assert len(data) < 1 << 12
+        text, start, n, key, _ = suffix_dedup.anchors(data, offsets)
+        for t, s, m, k in zip(text, start, n, key):
+            for p in range(m):
+                place = (int(ids[t]), int(s - offsets[t] + base[t]) + p)
+                assert place not in seen
+                seen[place] = k
+    raw = [t.encode() for t in texts]
+    assert set(seen) == {(i, p) for i, b in enumerate(raw) for p in range(len(b) - 99)}
+    for (i, p), k in list(seen.items())[::50]:
+        alone = np.frombuffer(raw[i][p:p + 100], np.uint8)
+        assert suffix_dedup.anchors(alone, np.array([0, 100]))[3].tolist() == [k]
+
+
+def test_second_anchors_of_many_segments(monkeypatch):
+    import numpy as np
+    parts = [varied(40).encode()[:130] for _ in range(60)]
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    cut = np.cumsum([0] + [len(x) for x in parts])
+    want = suffix_dedup.anchors(data, cut, salt=1)
+    monkeypatch.setattr(suffix_dedup, "HASH_BYTES", 700)
+    monkeypatch.setattr(suffix_dedup, "_PLACE_BITS", 12)
+    text, start, n, gram, seg = suffix_dedup._anchors_by_part(data, cut, salt=1)
+    assert set(text.tolist()) == set(range(60)) and n.sum() == want[2].sum()
+    assert (gram == np.concatenate([suffix_dedup.anchors(
+        np.frombuffer(x, np.uint8), np.array([0, len(x)]), salt=1)[3] for x in parts])).all()
+
+
 def test_lyndon_suffix_arrays():
     import numpy as np
 
