@@ -18,7 +18,7 @@ of all items go to every task.
 
 Defined cases: null or wordless texts have no words and no hits; null item
 ids are left out, as are null and wordless items; the same item twice counts
-once; equal items under two ids both count; an empty benchmark or document
+once, and all texts of one id are searched; equal items under two ids both count; an empty benchmark or document
 table gives no hits or no rows; extra columns are not read.
 """
 
@@ -210,7 +210,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str,
             block_bytes: int) -> list[list[tuple[str, str]]]:
     items = (benchmark.select(F.col(item_id).cast("string").alias("item_id"),
                               F.col(text).alias("text"))
-             .dropna().dropDuplicates(["item_id"]))
+             .dropna().dropDuplicates(["item_id", "text"]))
     blocks: list[list[tuple[str, str]]] = [[]]
     size = 0
     for item in sorted((r.item_id, r.text) for r in items.collect()):

@@ -121,6 +121,15 @@ def test_contamination_of_rows_that_share_an_id_or_have_none(spark, docs, block_
     assert all(r.n_chars == len(r.text) and r.lang == "en" for r in out)
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_contamination_by_all_texts_of_an_item(spark, docs, block_bytes):
+    one, two = varied(20), varied(12)
+    bench = spark.createDataFrame([("1", one), ("1", two), ("1", one)], "item_id string, text string")
+    found = decontaminate.decontaminate(docs([one, "x " + two, "clean"]), bench, block_bytes=block_bytes)
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontaminate.digest(found).collect()}
+    assert got == {0: (20, 1), 1: (12, 1), 2: (0, 0)}
+
+
 def test_contamination_of_empty_tables(spark, docs):
     empty = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.digest(decontaminate.decontaminate(docs(["a b"]), empty)).first().n_hit == 0
