@@ -9,14 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rangewise.llm import (
+    bit_sliced,
     decontaminate,
+    filter_audit,
     lm_score,
     minhash,
     packing,
     quality_classifier,
     quality_rules,
+    spelling_variants,
     substring_dedup,
     suffix_dedup,
     token_counts,
@@ -72,11 +76,24 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, sf_dir), _table(spark, sf_dir, "labels"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_substring_dedup, op2_token_counts, op3_best_fit_packing, op4_decontamination,
         op5_suffix_dedup, op6_quality_rules, op7_lm_scoring,
-        op8_quality_classifier, op9_token_output, op10_minhash)}
+        op8_quality_classifier, op9_token_output, op10_minhash,
+        op11_bit_sliced_top_k, op12_filter_audit, op13_spelling_variants)}
 
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -233,9 +250,132 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, b) AS component_id,
 FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
 """
 
+_OP11 = f"""
+WITH v AS (
+  SELECT vec_id, [floor({bit_sliced.SCALE} * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         coalesce(list_sum([z[1] * z[2] FOR z IN list_zip(a.q, b.q)]), 0)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= {bit_sliced.TOP}
+"""
+
+_OP12 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), firsts AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text
+), f AS (
+  SELECT part, (CASE WHEN len(w) < 50 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 5 * length(text) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN coalesce(doc_id > least, false) THEN 16 ELSE 0 END) AS failed,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND quality = 1) AS good,
+    EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id AND toxic = 1) AS toxic
+  FROM d JOIN firsts USING (text)
+), c AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (WHERE good) AS good,
+         count(*) FILTER (WHERE toxic) AS toxic FROM f GROUP BY ALL
+), orders AS (
+  SELECT '' AS o UNION ALL
+  SELECT o || x FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) t(x) WHERE NOT contains(o, x)
+), steps AS (
+  SELECT o, k, list_sum([1 << (ascii(y) - 65) for y in string_split(o[1:k - 1], '') if y <> '']) AS before,
+         1 << (ascii(o[k]) - 65) AS bit
+  FROM (SELECT o, unnest(range(1, 6)) AS k FROM orders WHERE length(o) = 5)
+), e AS (
+  SELECT part, o, k, bit, failed, n, good, toxic, (failed & coalesce(before, 0)::INTEGER) = 0 AS met,
+         (failed & bit) <> 0 AS fails FROM c, steps
+), s AS (
+  SELECT part, o, k, bit, coalesce(sum(n) FILTER (WHERE met AND NOT fails), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE met AND fails), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE NOT met AND fails), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE failed = bit), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE met AND fails), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (WHERE met AND fails), 0)::BIGINT AS toxic_lost
+  FROM e GROUP BY part, o, k, bit
+)
+SELECT part, o AS filter_order, k::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM s
+"""
+
+# A CRC is linear: that of a text is the one of as many zero bytes, changed by
+# each byte's own remainder after the bytes behind it (table ``t``).
+_RUNS = _LOWER.format(r"unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+'))")
+_OP13 = rf"""
+WITH RECURSIVE one AS (
+  SELECT b, 0 AS bit, b::BIGINT AS v FROM range(256) r(b)
+  UNION ALL
+  SELECT b, bit + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM one WHERE bit < 8
+), t0 AS MATERIALIZED (SELECT b, v FROM one WHERE bit = 8
+), runs AS MATERIALIZED (
+  SELECT doc_id, run, count(*) AS c, coalesce(doc_id::VARCHAR, '') || ':' || run AS s
+  FROM (SELECT doc_id, {_RUNS} AS run
+        FROM documents) GROUP BY doc_id, run
+), t AS (
+  SELECT b, 0 AS k, v FROM t0
+  UNION ALL
+  SELECT t.b, t.k + 1, xor(t.v >> 8, t0.v) FROM t JOIN t0 ON t0.b = t.v & 255
+  WHERE t.k < (SELECT max(strlen(s)) FROM runs)
+), zeros AS (
+  SELECT 0 AS k, 4294967295 AS v
+  UNION ALL
+  SELECT z.k + 1, xor(z.v >> 8, t0.v) FROM zeros z JOIN t0 ON t0.b = z.v & 255
+  WHERE z.k < (SELECT max(strlen(s)) FROM runs)
+), bytes AS (
+  SELECT doc_id, run, n, n - i - 1 AS k, ('0x' || substr(x, 2 * i + 1, 2))::BIGINT AS b
+  FROM (SELECT doc_id, run, strlen(s) AS n, lower(hex(encode(s))) AS x, unnest(range(strlen(s))) AS i FROM runs)
+), sums AS (
+  SELECT doc_id, run, any_value(n) AS n, bit_xor(t.v) AS v FROM bytes JOIN t USING (k, b) GROUP BY doc_id, run
+), checked AS (
+  SELECT r.run, r.c, xor(xor(s.v, z.v), 4294967295) AS h FROM runs r
+  JOIN sums s ON s.run = r.run AND s.doc_id IS NOT DISTINCT FROM r.doc_id JOIN zeros z ON z.k = s.n
+), w AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % {spelling_variants.EDIT_EVERY} <> 0 THEN run
+                   ELSE substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) END AS word
+    FROM checked)
+  WHERE length(word) >= {spelling_variants.LEAST_LETTERS}
+  GROUP BY word HAVING sum(c) >= {spelling_variants.LEAST_COUNT}
+), cut AS MATERIALIZED (
+  SELECT word, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)
+), near AS (
+  SELECT x.word, y.word AS other FROM cut x JOIN cut y ON x.a || '_' || x.z = y.a || '_' || y.z AND x.word <> y.word
+  UNION
+  SELECT cut.word, w.word FROM cut JOIN w ON w.word = cut.a || cut.z
+  UNION
+  SELECT w.word, cut.word FROM cut JOIN w ON w.word = cut.a || cut.z
+), ranked AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+         row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, encode(other)) AS r
+  FROM near JOIN w o ON o.word = other
+), formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= {spelling_variants.FORM_TIMES} * w.n THEN other END AS form,
+         CASE WHEN other_n >= {spelling_variants.FORM_TIMES} * w.n THEN other_n END AS form_n
+  FROM w LEFT JOIN ranked ON ranked.word = w.word AND r = 1
+), walk AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL
+  SELECT walk.word, formed.form FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NOT NULL
+), ends AS (
+  SELECT walk.word, walk.root FROM walk JOIN formed ON formed.word = walk.root WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """Operators on tokenizer ids and trained models have no SQL; tests hold
     those against brute force."""
     return {"op1_substring_dedup": _OP1, "op4_decontamination": _OP4, "op5_suffix_dedup": _OP5,
-            "op6_quality_rules": _OP6, "op10_minhash": _OP10}
+            "op6_quality_rules": _OP6, "op10_minhash": _OP10, "op11_bit_sliced_top_k": _OP11,
+            "op12_filter_audit": _OP12, "op13_spelling_variants": _OP13}

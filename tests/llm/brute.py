@@ -1,6 +1,9 @@
 """Plain Python versions of what the operators compute, for small inputs."""
 
+import itertools
+import math
 import re
+import zlib
 from collections import Counter
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,3 +92,75 @@ def near_components(rows, percent=75):
                     x, y = top(a), top(b)
                     root[max(x, y)] = min(x, y)
     return {i: (len(sets[i]), top(i)) for i in ids}
+
+
+def top_k(rows, queries, k=5, scale=256):
+    """(query id, rank, id, score) for (id, vector) rows, in order."""
+    def whole(v):
+        return v is not None and all(x is not None and math.isfinite(x) for x in v)
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if i is not None and whole(v)]
+    out = []
+    for i, q in sorted({(i, tuple(v)) for i, v in kept if queries(i)}):
+        best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in kept
+                      if j != i and len(v) == len(q))
+        out += [(i, r, j, -s) for r, (s, j) in enumerate(best[:k], 1)]
+    return sorted(out)
+
+
+def audit(rows, labels):
+    """The rows of the filter audit, every order simulated document by document."""
+    facts = []
+    for i, text, part in rows:
+        text = text or ""
+        w = SPACED.findall(text)
+        fails = "".join(f for f, x in zip("ABCDE", (
+            len(w) < 50, 100 * len(set(w)) < 65 * len(w),
+            100 * sum("A" <= c <= "Z" for c in text) > 5 * len(text),
+            any(c in "#$%&*|" for c in text),
+            any(i is not None and j is not None and j < i and (t or "") == text for j, t, _ in rows))) if x)
+        facts.append((part or "", fails, (i, "quality") in labels, (i, "toxic") in labels))
+    out = {}
+    for part in {f[0] for f in facts}:
+        mine, worth = [f for f in facts if f[0] == part], Counter()
+        for order in itertools.permutations("ABCDE"):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [x for x in left if f in x[1]]
+                left = [x for x in left if f not in x[1]]
+                worth[f] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left), len(gone), sum(f in x[1] for x in mine) - len(gone),
+                    sum(x[1] == f for x in mine), sum(x[2] for x in gone), sum(x[3] for x in gone), f]
+        for (p, _, _), v in out.items():
+            if p == part:
+                v[-1] = worth[v[-1]]
+    return sorted((*k, *v) for k, v in out.items())
+
+
+def spelling(rows, every=199, least=5):
+    """(word, form, root, n, n_near, form_n) by cutting out every letter."""
+    count = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = low(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{w}".encode())
+            if h % every == 0:
+                w = w[:h % len(w)] + w[h % len(w) + 1:]
+            count[w] += 1
+    n = {w: c for w, c in count.items() if len(w) >= 6 and c >= least}
+    holes, near = {}, {w: set() for w in n}
+    for w in n:
+        for k in range(len(w)):
+            holes.setdefault((w[:k], w[k + 1:]), set()).add(w)
+            if (x := w[:k] + w[k + 1:]) in n:
+                near[w].add(x)
+                near[x].add(w)
+    for same in holes.values():
+        for w in same:
+            near[w] |= same - {w}
+    form = {w: min(x, key=lambda o: (-n[o], o)) for w, x in near.items() if x}
+    form = {w: f for w, f in form.items() if n[f] >= 5 * n[w]}
+
+    def root(w):
+        return root(form[w]) if w in form else w
+    return sorted((w, form.get(w) or "", root(w), n[w], len(near[w]), n.get(form.get(w), 0)) for w in n)
