@@ -10,11 +10,11 @@ per filter, and the bits of a document are combined. All orders then follow from
 the counts of the 32 bit combinations per part: a document goes at the first
 step whose filter it fails.
 
-Shape of the job: texts are read for hashes and bits in one pass; only texts
-whose hash repeats are shuffled. The side of the join with texts to compare has
-one row per distinct text (combined before the shuffle), and rows of a hash
-with more than ``SALT_ROWS`` copies are salted over as many tasks as their
-count asks for. The union and what follows carry ids and bits only. Orders are
+Shape of the job: rows whose hash repeats are written once, dealt by the hash;
+a hash with more rows than a task's share (``SALT_ROWS``) is salted over as
+many tasks as its count asks for, before its texts move. The side of the join
+with texts to compare has one row per distinct text, combined before its
+shuffle. The union and what follows carry ids and bits only. Orders are
 counted from at most 128 rows per part. Built-in functions throughout.
 
 A document's share of a filter (``shapley``): among all orders, each of the k
@@ -37,6 +37,8 @@ from itertools import permutations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rangewise.llm.common import written
+
 #: Filters in the order of their bits.
 FILTERS = "ABCDE"
 #: A: least words. B: least distinct words, percent. C: most capitals, percent.
@@ -45,8 +47,10 @@ LEAST_DISTINCT = 65
 MOST_CAPITALS = 5
 #: D: a document holds any of these.
 MARKS = "[#$%&*|]"
-#: Rows of one text hash that one task compares.
-SALT_ROWS = 20_000
+#: Rows of one text hash that one task compares: so many at least, and one in
+#: ``HOT_HASHES`` of all rows, which bounds the list of hashes above it.
+SALT_ROWS = 1000
+HOT_HASHES = 100_000
 
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -75,19 +79,26 @@ def copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: st
            salt_rows: int = SALT_ROWS) -> DataFrame:
     """doc_id, part, hash of the rows whose text a smaller id has."""
     rows = _rows(docs, doc_id, text, part)
-    salts = F.ceil(F.col("n") / salt_rows).cast("int")
-    repeated = (rows.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-                .select(F.col("hash").alias("again"), salts.alias("salts")))
-    rows = rows.join(repeated, F.col("hash") == F.col("again"))
-    left = rows.withColumn("salt", F.pmod(F.xxhash64("row"), "salts")).select(
-        "doc_id", "part", "hash", "text", "salt")
+    repeated = rows.groupBy("hash").agg(F.count("*").alias("copies")).where("copies > 1")
+    total = docs.select(F.lit(1)).count()
+    share = max(salt_rows, total // HOT_HASHES)
+    counted = repeated.select(F.col("hash").alias("again"),
+                              F.ceil(F.col("copies") / share).cast("int").alias("salts"))
+    # at most HOT_HASHES hashes have more rows than the share
+    hot = F.broadcast(counted.where("salts > 1").select(F.col("again").alias("hot"), "salts"))
+    dealt = rows.join(hot, F.col("hash") == F.col("hot"), "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64("row"), "salts"), F.lit(0)).cast("int"))
+    met = counted.select("again", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt_c"))
+    rows = written(docs.sparkSession, dealt.join(
+        met, (F.col("hash") == F.col("again")) & (F.col("salt") == F.col("salt_c")), "left_semi").select(
+            "doc_id", "part", "hash", "text", "salt", F.coalesce("salts", F.lit(1)).alias("salts")), "audit-copies")
     right = (rows.where(F.col("doc_id").isNotNull()).groupBy("hash", "text")
              .agg(F.min("doc_id").alias("least"), F.max("salts").alias("salts"))
              .select(F.col("hash").alias("hash_r"), F.col("text").alias("text_r"), "least",
                      F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt_r")))
     same = ((F.col("hash") == F.col("hash_r")) & (F.col("salt") == F.col("salt_r"))
             & (F.col("text") == F.col("text_r")) & (F.col("least") < F.col("doc_id")))
-    return left.join(right, same, "left_semi").select("doc_id", "part", "hash")
+    return rows.join(right, same, "left_semi").select("doc_id", "part", "hash")
 
 
 def failures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "source",

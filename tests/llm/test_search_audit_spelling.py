@@ -68,7 +68,7 @@ def test_search_of_nothing(spark):
 # -- filter audit -------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("salt_rows", [3, 20_000])
+@pytest.mark.parametrize("salt_rows", [3, 1000])
 def test_audit_equals_brute_force(spark, clashing, salt_rows):
     rng = random.Random(5)
     long = " ".join(f"w{k}" for k in range(60))
