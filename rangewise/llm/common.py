@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangewise.session import scratch_path, ship_package
@@ -43,6 +43,30 @@ def written(spark: SparkSession, df: DataFrame, name: str, part: str | None = No
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def salted(big: DataFrame, small: DataFrame, keys: list[str], rows: str, by: Column,
+           share: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an equi-join with a column ``salt`` to join on as well.
+    ``small`` has a row per key with the key's ``rows`` in ``big``; a key with more
+    rows than ``share`` is dealt over as many salts as that takes, by the hash
+    ``by``. The keys above the share are broadcast: the caller chooses it such that
+    they are few."""
+    salts = small.select(*keys, F.ceil(F.col(rows) / share).cast("int").alias("salts"))
+    hot = F.broadcast(salts.where("salts > 1"))
+    dealt = big.join(hot, keys, "left").withColumn(
+        "salt", F.coalesce(F.pmod(by, F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    spread = small.withColumn("salt", F.explode(F.sequence(
+        F.lit(0), F.ceil(F.col(rows) / share).cast("int") - 1)))
+    return dealt, spread
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
            size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of ``column`` (one

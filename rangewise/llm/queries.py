@@ -100,27 +100,71 @@ _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxy
 _SPACED = r"'[^\x20\x09-\x0D]+'"
 _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+# A word keeps the white space after it (``tok``), and the first of a line what is
+# before it (``lead``), so units tile their line.
 _OP1 = rf"""
 WITH cut AS (
   SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL
 ), lines AS (
-  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS unit FROM cut
-), placed AS (
-  SELECT doc_id, unit, line, strlen(line) AS size,
-         sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - strlen(line) - 1 AS start,
-         trim(regexp_replace({_LOWER.format("line")}, '[\x09-\x0D\x20]+', ' ', 'g'), ' ') AS norm
+  SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS k FROM cut
+), placed AS MATERIALIZED (
+  SELECT doc_id, k, line, regexp_extract(line, '^[\x09-\x0D\x20]*') AS lead,
+         sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - strlen(line) - 1 AS start
   FROM lines
+), toks AS (
+  SELECT doc_id, k, unnest(t) AS tok, generate_subscripts(t, 1) AS i
+  FROM (SELECT doc_id, k, regexp_extract_all(line, '[^\x09-\x0D\x20]+[\x09-\x0D\x20]*') AS t FROM placed)
+), checked AS (
+  SELECT *, substr(md5(word), 1, 16) AS h
+  FROM (SELECT *, {_LOWER.format(r"regexp_replace(tok, '[\x09-\x0D\x20]+$', '')")} AS word FROM toks)
+), begun AS (
+  SELECT *, CASE WHEN i = 1 OR {" AND ".join(f"h < coalesce({f}(h, {d}) OVER w, 'g')" for f in ("lag", "lead") for d in range(1, substring_dedup.REACH + 1))} THEN 1 ELSE 0 END AS b
+  FROM checked WINDOW w AS (PARTITION BY doc_id, k ORDER BY i)
+), dealt AS (
+  SELECT *, sum(b) OVER (PARTITION BY doc_id, k ORDER BY i) AS u FROM begun
+), split AS (
+  SELECT *, (row_number() OVER (PARTITION BY doc_id, k, u ORDER BY i) - 1) // {substring_dedup.LONGEST} AS v FROM dealt
+), units AS (
+  SELECT doc_id, k, u, v, string_agg(word, ' ' ORDER BY i) AS norm, count(*) AS n_words,
+         string_agg(tok, '' ORDER BY i) AS body
+  FROM split GROUP BY doc_id, k, u, v
 ), ranked AS (
-  SELECT *, len(string_split(norm, ' ')) >= {substring_dedup.MIN_WORDS} AND norm <> ''
-            AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS gone
-  FROM placed
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k, u, v) AS unit,
+         row_number() OVER (PARTITION BY norm ORDER BY doc_id, k, u, v) > 1 AS again FROM units
+), islands AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id, again ORDER BY unit) AS island FROM ranked
+), ruled AS (
+  SELECT *, again AND (sum(n_words) OVER r >= {substring_dedup.RUN_WORDS}
+                       OR sum(strlen(norm)) OVER r >= {substring_dedup.RUN_BYTES}) AS gone
+  FROM islands WINDOW r AS (PARTITION BY doc_id, again, island)
+), located AS (
+  SELECT r.*, p.start, CASE WHEN u = 1 AND v = 0 THEN p.lead ELSE '' END || body AS whole,
+         sum(strlen(CASE WHEN u = 1 AND v = 0 THEN p.lead ELSE '' END || body))
+           OVER (PARTITION BY doc_id, k ORDER BY u, v) + p.start AS finish
+  FROM ruled r JOIN placed p USING (doc_id, k)
+), spans AS (
+  SELECT doc_id, min(finish - strlen(whole)) AS s, max(finish) AS e, count(*) AS c
+  FROM (SELECT *, sum(CASE WHEN finish - strlen(whole) = before THEN 0 ELSE 1 END)
+                    OVER (PARTITION BY doc_id ORDER BY unit) AS g
+        FROM (SELECT *, lag(finish) OVER (PARTITION BY doc_id ORDER BY unit) AS before FROM located WHERE gone))
+  GROUP BY doc_id, g
+), removed AS (
+  SELECT doc_id, sum(c)::BIGINT AS n_removed, sum(e - s)::BIGINT AS removed_bytes,
+         string_agg(s::BIGINT || '-' || e::BIGINT, ',' ORDER BY s) AS removed_spans
+  FROM spans GROUP BY doc_id
+), line_left AS (
+  SELECT doc_id, k, count(*) AS n_units, bool_and(gone) AS went,
+         coalesce(string_agg(whole, '' ORDER BY u, v) FILTER (WHERE NOT gone), '') AS rest
+  FROM located GROUP BY doc_id, k
+), left_over AS (
+  SELECT doc_id, coalesce(sum(n_units), 0)::BIGINT AS n_units,
+         coalesce(string_agg(coalesce(rest, line), chr(10) ORDER BY k)
+                  FILTER (WHERE NOT coalesce(went, false)), '') AS text
+  FROM placed LEFT JOIN line_left USING (doc_id, k) GROUP BY doc_id
 )
-SELECT doc_id, count(*) AS n_units, count(*) FILTER (WHERE gone) AS n_removed,
-       coalesce(sum(size) FILTER (WHERE gone), 0)::BIGINT AS removed_bytes,
-       coalesce(string_agg(start::BIGINT || '-' || (start + size)::BIGINT, ',' ORDER BY unit)
-                FILTER (WHERE gone), '') AS removed_spans,
-       coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (WHERE NOT gone), '') AS text
-FROM ranked GROUP BY doc_id
+SELECT doc_id, n_units, coalesce(n_removed, 0) AS n_removed, coalesce(removed_bytes, 0) AS removed_bytes,
+       coalesce(removed_spans, '') AS removed_spans, text
+FROM left_over LEFT JOIN removed USING (doc_id)
 UNION ALL
 SELECT doc_id, 0, 0, 0, '', NULL FROM documents WHERE text IS NULL
 """

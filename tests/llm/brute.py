@@ -1,5 +1,6 @@
 """Plain Python versions of what the operators compute, for small inputs."""
 
+import hashlib
 import itertools
 import math
 import re
@@ -14,18 +15,45 @@ def low(text):
     return "".join(c.lower() if c.isascii() else c for c in text or "")
 
 
-def line_dedup(rows, least=5):
-    """{doc_id: kept text} for rows in rank order."""
+def line_units(line, reach=3, longest=32):
+    """[(start, end, normal form)] over the line's characters."""
+    found = [(m.start(), low(m.group())) for m in SPACED.finditer(line)]
+    sums = [hashlib.md5(w.encode()).digest()[:8] for _, w in found]
+    starts = []
+    for i, own in enumerate(sums):
+        around = sums[max(0, i - reach):i] + sums[i + 1:i + 1 + reach]
+        if i == 0 or all(own < x for x in around) or (i - starts[-1]) % longest == 0:
+            starts.append(i)
+    out = []
+    for a, z in zip(starts, [*starts[1:], len(found)]):
+        out.append((0 if a == 0 else found[a][0], len(line) if z == len(found) else found[z][0],
+                    tuple(w for _, w in found[a:z])))
+    return out
+
+
+def line_dedup(rows, words=24, size=200):
+    """{doc_id: (units, removed, text left)} for rows in rank order, ids unique."""
     seen, out = set(), {}
-    for i, text in sorted(rows):
+    for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines = [] if text is None else text.split("\n")
+        units = [(k, *u) for k, line in enumerate(lines) for u in line_units(line)]
+        again = []
+        for u in units:
+            again.append(u[3] in seen)
+            seen.add(u[3])
+        gone = [False] * len(units)
+        for flag, run in itertools.groupby(range(len(units)), again.__getitem__):
+            run = list(run)
+            if flag and (sum(len(units[r][3]) for r in run) >= words
+                         or sum(len(" ".join(units[r][3]).encode()) for r in run) >= size):
+                for r in run:
+                    gone[r] = True
         kept = []
-        for line in (text or "").split("\n"):
-            unit = tuple(SPACED.findall(low(line)))
-            if len(unit) >= least and unit in seen:
-                continue
-            seen.add(unit)
-            kept.append(line)
-        out[i] = None if text is None else "\n".join(kept)
+        for k, line in enumerate(lines):
+            mine = [(u, g) for u, g in zip(units, gone) if u[0] == k]
+            if not mine or not all(g for _, g in mine):
+                kept.append("".join(line[u[1]:u[2]] for u, g in mine if not g) if mine else line)
+        out[i] = len(units), sum(gone), None if text is None else "\n".join(kept)
     return out
 
 

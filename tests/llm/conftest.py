@@ -26,7 +26,9 @@ def clashing(docs):
     def make(rows):
         out = docs(rows)
         for name in ("start", "key", "id", "n", "bucket", "digest", "word", "row", "kept", "label",
-                     "component", "piece", "spans", "text_hash", "unit"):
+                     "component", "piece", "spans", "text_hash", "unit", "_id", "_hash", "_units", "_removed",
+                     "_kept_id", "rank", "again", "removed", "salt", "counts", "part", "hash", "text_r",
+                     "kept_id"):
             out = out.withColumn(name, F.lit("x"))
         return out
     return make

@@ -47,7 +47,7 @@ def test_pipeline_stages(spark):
     verdict = {r.doc_id: r.kept for r in queries.op6_quality_rules(spark, SF).collect()}
     assert ruled == {k: t for k, t in texts[0].items() if verdict[k]}
     assert near == {k: ruled[k] for k, (_, c) in brute.near_components(list(ruled.items())).items() if k == c}
-    assert lines == brute.line_dedup(list(near.items()))
+    assert lines == {k: t for k, (_, _, t) in brute.line_dedup(list(near.items())).items()}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     for k, t in lines.items():
         n, hit, _ = brute.contamination(t, items)

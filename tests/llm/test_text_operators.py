@@ -41,37 +41,62 @@ ODD = [None, "", " \t\n ", "one", "\n\n\n", "a b c d", prose(3000), PASSAGE,
 ODD += [ODD[8], ODD[16], ODD[16]]
 
 
-@pytest.mark.parametrize("texts", [ODD, [], [None]])
+LONG_LINES = [varied(30) + " " + PASSAGE + " " + varied(30), varied(10) + "\n\n" + PASSAGE + " end\n",
+              "and " * 300, "and " * 301 + "\nlast", PASSAGE + "\n" + PASSAGE, "\n" + PASSAGE + "\n\n" + PASSAGE,
+              "これは空白のない長い段落です。" * 8, "x これは空白のない長い段落です。\n" + "これは空白のない長い段落です。" * 8,
+              " \x0b" + PASSAGE.replace(" ", " \r ") + "\t\n é" + varied(5)]
+
+
+@pytest.mark.parametrize("texts", [ODD + LONG_LINES, [], [None], [""]])
 def test_line_dedup(docs, clashing, texts):
     got = {r.doc_id: r for r in substring_dedup.digest(clashing(texts)).collect()}
     want = brute.line_dedup(list(enumerate(texts)))
-    assert {k: r.text for k, r in got.items()} == want
+    assert {k: (r.n_units, r.n_removed, r.text) for k, r in got.items()} == want
     for k, r in got.items():
         raw = (texts[k] or "").encode()
         spans = [tuple(map(int, s.split("-"))) for s in r.removed_spans.split(",") if s]
-        assert r.n_removed == len(spans) and r.removed_bytes == sum(e - s for s, e in spans)
-        assert all(raw[e:e + 1] in (b"", b"\n") and (s == 0 or raw[s - 1:s] == b"\n") for s, e in spans)
+        assert r.removed_bytes == sum(e - s for s, e in spans) and (r.n_removed == 0) == (not spans)
+        left = raw
+        for s, e in reversed(spans):
+            left = left[:s] + left[e:]
+        # what else went are the line breaks of lines that went whole
+        assert left.replace(b"\n", b"") == (r.text or "").encode().replace(b"\n", b"")
+
+
+def test_line_dedup_salts_a_hot_unit(docs, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "SALT_ROWS", 3)
+    rows = [*enumerate([PASSAGE, varied(9)] * 12 + [varied(20) + " " + PASSAGE + " " + varied(20)] * 6)]
+    got = {r.doc_id: (r.n_units, r.n_removed, r.text) for r in substring_dedup.digest(docs(rows)).collect()}
+    assert got == brute.line_dedup(rows)
+
+
+def test_line_dedup_finds_passages_inside_lines(docs):
+    rows = [varied(40) + " " + varied(5) for _ in range(20)]
+    rows += [varied(RND.randint(5, 90)) + " " + PASSAGE + " " + varied(RND.randint(5, 90)) for _ in range(20)]
+    out = {r.doc_id: r.n_removed for r in substring_dedup.digest(docs(rows)).collect()}
+    assert [bool(out[k]) for k in range(40)] == [False] * 21 + [True] * 19
 
 
 def test_line_dedup_repeated_rows_are_one_document(docs):
     text = PASSAGE + "\n" + varied(10)
-    out = substring_dedup.digest(docs([(1, text), (1, text), (2, PASSAGE), (None, None)])).collect()
-    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, ""), (1, text), (1, text), (2, "")]
+    out = substring_dedup.digest(docs([(1, text), (1, text), (2, PASSAGE), (None, None), (None, PASSAGE),
+                                       (None, PASSAGE + " x")])).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [
+        (0, ""), (0, PASSAGE), (0, PASSAGE + " x"), (1, text[len(PASSAGE) + 1:]), (1, text[len(PASSAGE) + 1:]),
+        (2, "")]
+
+
+def test_line_dedup_rows_of_one_id_are_level(docs):
+    out = substring_dedup.digest(docs([(5, PASSAGE), (5, "And " + PASSAGE)])).collect()
+    assert sorted(r.text for r in out) == ["And " + PASSAGE, PASSAGE]
 
 
 def test_line_dedup_keeps_columns_and_counts_characters(docs):
     out = {r.doc_id: r for r in substring_dedup.deduped(docs([PASSAGE, varied(6) + "\n" + PASSAGE])).collect()}
-    assert out[1].n_chars == len(out[1].text) and out[1].lang == "en"
+    assert out[1].n_chars == len(out[1].text) < len(PASSAGE) and out[1].lang == "en"
     assert out[0].text == PASSAGE
 
 
-def test_pipeline_line_dedup_takes_long_lines_without_spaces(docs):
-    lines = ["これは空白のない長い段落です。" * 3, "https://example.org/" + "a1b2" * 10]
-    rows = [lines[0] + "\nYes.\n" + lines[1], "Yes.\n" + lines[1].upper() + "\n" + lines[0]]
-    out = {r.doc_id: r for r in substring_dedup.deduped(docs(rows)).collect()}
-    assert out[0].text == rows[0] and out[1].text == "Yes." and out[1].n_chars == 4
-
-
 ITEMS = [("7", varied(25)), ("10", varied(14)), ("9", "Short item, only five words"), ("3", ""),
          ("4", None), (None, PASSAGE), ("8", "solo"), ("11", None)]
 ITEMS[1] = ("10", " ".join(ITEMS[0][1].split()[5:19]) + " tail")
