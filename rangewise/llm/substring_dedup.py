@@ -231,14 +231,13 @@ def _without(arr: pa.Array, u: Units, gone: np.ndarray) -> list[bytes]:
     return out
 
 
-def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-           counts: str | None = None) -> tuple[DataFrame, str]:
+def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with repeated passages cut from ``text``, and the name of one
     more column, struct<n_units, n_removed, spans>: the document's units, those that
     went, and their byte ranges (start, end) in the original text, joined where they touch.
-    The name is ``counts`` or one that ``docs`` does not have."""
+    The name is one that ``docs`` does not have."""
     rank, key, again = (fresh(docs, x) for x in ("rank", "text_hash", "again"))
-    name = counts or fresh(docs, "removed")
+    name = fresh(docs, "removed")
     gone = repeats(docs, doc_id, text).select(
         F.col("rank").alias(rank), F.col("text_hash").alias(key), F.col("again").alias(again))
     joined = docs.join(gone, (_rank(doc_id) == F.col(rank)) & (F.xxhash64(F.col(text)) == F.col(key)),
@@ -249,12 +248,12 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, text):
-            yield _cut(b, at)
+            yield _cut(b, at, name)
 
     return joined.mapInArrow(cut, out.schema), name
 
 
-def _cut(b: pa.RecordBatch, at: int) -> pa.RecordBatch:
+def _cut(b: pa.RecordBatch, at: int, name: str) -> pa.RecordBatch:
     """A batch whose last column has the numbers of repeated units, cut."""
     lists, old = b.column(b.num_columns - 1), b.column(at)
     arr = plain(old)
@@ -288,7 +287,7 @@ def _cut(b: pa.RecordBatch, at: int) -> pa.RecordBatch:
         ["n_units", "n_removed", "spans"])
     columns = list(b.columns[:-1])
     columns[at] = new
-    return pa.RecordBatch.from_arrays([*columns, counts], names=[*b.schema.names[:-1], "counts"])
+    return pa.RecordBatch.from_arrays([*columns, counts], names=[*b.schema.names[:-1], name])
 
 
 def digest(docs: DataFrame) -> DataFrame:
