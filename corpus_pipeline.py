@@ -3,7 +3,15 @@ decontamination and packing, each stage written as Parquet and read again as
 the next one's documents.
 
 A stage is a function (spark, docs, sf_dir) -> DataFrame. All but the last
-return the columns of ``documents``; the last returns packed pieces.
+return the columns of ``documents``, whatever further columns and names these
+have; the last returns packed pieces.
+
+Defined cases: the quality rules reject null and empty texts, so later stages
+see neither unless a stage empties a text (its row stays). Among near copies
+the least doc_id stays; a null id is a group of its own unless its text is a near
+copy, and ranks before all others. Repeated rows (equal id and text) share every
+verdict and all stay. Texts of any length are taken whole. Empty tables give
+empty stages; an empty benchmark cuts nothing.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangewise.llm import decontaminate, minhash, packing, quality_rules, substring_dedup
-from rangewise.llm.common import documents, written
+from rangewise.llm.common import documents, fresh, written
 
 
 def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,12 +32,13 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the least id."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept_id = fresh(docs, "kept_id")
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(kept_id))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document or line has go."""
+    """Passages that an earlier document or place has go."""
     return substring_dedup.deduped(docs)
 
 
