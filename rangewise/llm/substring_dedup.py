@@ -59,6 +59,9 @@ RUN_BYTES = 200
 SALT_ROWS = 1000
 HOT_DIGESTS = 100_000
 
+#: Text bytes whose units a task holds at once (or one text, if larger).
+PASS_BYTES = 2 << 20
+
 UNITS = "rank long, text_hash long, unit int, again boolean, d1 long, d2 long"
 
 _WHITE = np.zeros(256, bool)
@@ -160,7 +163,7 @@ def units(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     and its digest."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches):
+        for b in chunks(batches, size=PASS_BYTES):
             u = units_of(plain(b.column("text")))
             at = pa.array(u.row)
             yield pa.RecordBatch.from_arrays(
@@ -247,7 +250,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     out = joined.withColumn(name, F.lit(None).cast(span)).drop(again)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, text):
+        for b in chunks(batches, text, PASS_BYTES):
             yield _cut(b, at, name)
 
     return joined.mapInArrow(cut, out.schema), name
