@@ -86,3 +86,20 @@ def salted_join_keys(big: DataFrame, small: DataFrame, key: str, row_id: Column,
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
     ).drop("_salts")
     return b, s
+
+
+def salted_by_count(big: DataFrame, small: DataFrame, keys: list[str], rows: str, by: Column,
+                    share: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an equi-join with a column ``salt`` to join on as well.
+
+    ``small`` has a row per key and knows the key's ``rows`` in ``big``, so
+    nothing is counted again. A key with more rows than ``share`` is dealt over as
+    many salts as that takes, by the hash ``by``. Keys above the share are
+    broadcast: there are at most rows(big) / share of them.
+    """
+    salts = F.ceil(F.col(rows) / share).cast("int")
+    hot = F.broadcast(small.select(*keys, salts.alias("salts")).where("salts > 1"))
+    dealt = big.join(hot, keys, "left").withColumn(
+        "salt", F.coalesce(F.pmod(by, F.col("salts")), F.lit(0)).cast("int")).drop("salts")
+    spread = small.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt, spread

@@ -8,9 +8,9 @@ Plan (when the geometry fits a broadcast: one shuffle of the fact):
 2. x the class's range geometry rows on the name: a broadcast hash join when
    the geometry's size bound fits the budget (no shuffle of the fact, a hot
    species is harmless); else a spatially partitioned shuffle join on
-   (species, latitude band), where each observation meets only its band's
-   edges and hot (species, band) keys are salted. That path shuffles the
-   observations twice: for the join and for the aggregate;
+   (species, cell of an adaptive index), where an observation tests a bounded
+   number of edges and hot (species, cell) keys are salted. That path shuffles
+   the observations twice: for the join and for the aggregate;
 3. per (observation, geometry row) the strict point-in-polygon test;
 4. GROUP BY the 8 observation columns with ``max(flag)``: collapses exact
    duplicate observation rows and ORs the geometry rows (NULL ignored). The
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from rangewise.functions.geo import point, within, within_banded
 from rangewise.operators.joins import bounded_broadcast, salted_join_keys
-from rangewise.operators.spatial_index import (DEFAULT_BAND_DEGREES, INDEX_GROWTH, band_index,
-                                               band_rows)
+from rangewise.operators.cell_index import EDGE_BOUND, cell_index, within_cell
+from rangewise.operators.spatial_index import INDEX_GROWTH, band_index, band_rows
 from rangewise.operators.taxa import species_dim, with_hint_of
 from rangewise.sources.fixtures import DEFAULT_SCOPE, ClassScope
 
@@ -56,11 +56,13 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
                          geometry_fits: bool | None = None,
                          band_edges: int | None = None,
                          salt_target_rows: int = 2_000_000,
-                         band_height: float = DEFAULT_BAND_DEGREES) -> DataFrame:
+                         band_height: float | None = None,
+                         edge_bound: int = EDGE_BOUND) -> DataFrame:
     """``band_edges``: build a banded edge index with about this many edges
     per band (for layers of large polygons); None or 0 tests full edge lists.
-    A geometry side over the broadcast budget (or ``force_shuffle``) takes the
-    band-partitioned shuffle join instead (``band_height`` degrees)."""
+    A geometry side over the broadcast budget (or ``force_shuffle``) is
+    shuffled by cells of an adaptive index (``edge_bound`` edges a cell), or, if
+    ``band_height`` degrees are given, by latitude bands."""
     obs = observations_raw.select(*OBS_KEYS).filter(F.col("observation_uuid").isNotNull())
     geo = class_geometry(layer, taxa, scope)
     if not force_shuffle and geometry_fits is None:
@@ -68,7 +70,9 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
         size = F.col("geom_bytes") * (INDEX_GROWTH if band_edges else 1)
         geo, geometry_fits = bounded_broadcast(geo, size_expr=size)
     if force_shuffle or not geometry_fits:
-        fact = _band_partitioned(obs, geo, taxa, scope, band_height, salt_target_rows)
+        fact = (_cell_partitioned(obs, geo, taxa, scope, edge_bound, salt_target_rows)
+                if band_height is None else
+                _band_partitioned(obs, geo, taxa, scope, band_height, salt_target_rows))
     else:
         # observations of the class's species, with the species name
         obs = obs.join(species_dim(taxa, scope), "taxon_id")
@@ -92,6 +96,60 @@ def species_observations(observations_raw: DataFrame, taxa: DataFrame, layer: Da
     return fact.select(*cols)
 
 
+def _settled(agg: DataFrame) -> DataFrame:
+    """Observations with ``_any`` (in some geometry row) and ``_has`` (its
+    species has one): NULL without a coordinate or a geometry."""
+    flag = (F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit(None))
+            .when(F.col("_any"), F.lit(True))
+            .when(F.col("_has"), F.lit(False))
+            .otherwise(F.lit(None)).cast("boolean"))
+    return agg.select(*OBS_KEYS, flag.alias("observed_in_known_area"))
+
+
+def _cell_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: ClassScope,
+                      edge_bound: int, salt_target_rows: int) -> DataFrame:
+    """Join for a geometry side too large to broadcast, on (taxon, cell).
+
+    An observation looks up its cell of every size that its species uses; the
+    cells of a geometry row do not overlap, so at most one of them answers, with at
+    most ``edge_bound`` edges to test. Look-ups that find no cell are dropped
+    but for an observation's first, which keeps it in the fact (outside every
+    range). Hot (taxon, cell) keys are salted by the row's position. Species
+    join by broadcast where small, with the sizes in use (at most some twenty).
+    """
+    index = cell_index(geo, edge_bound)
+    has = geo.groupBy("taxon_name").agg(F.max(F.col("edges").isNotNull()).alias("_has_geometry"))
+    sizes = index.groupBy("taxon_name").agg(F.collect_set("k").alias("_sizes"))
+    species = species_dim(taxa, scope)
+    info = with_hint_of(species, species.join(has, "taxon_name").join(sizes, "taxon_name", "left"))
+
+    def key(x, y) -> F.Column:
+        return F.concat_ws("#", *[F.col("taxon_id").cast("string"), F.col("k").cast("string"),
+                                  x.cast("string"), y.cast("string")])
+
+    def cell(ordinate: str) -> F.Column:
+        return F.floor(F.col(ordinate) / F.pow(F.lit(2.0), F.col("k")))
+
+    none = F.array(F.lit(0))  # a species without cells: one look-up that finds none
+
+    def looked_up(rows: DataFrame) -> DataFrame:
+        found = rows.join(info.select("taxon_id", "_has_geometry", "_sizes"), "taxon_id")
+        return found.select(*found.columns, F.posexplode(F.coalesce("_sizes", none)).alias(
+            "_look", "k")).drop("_sizes").withColumn("_k", key(cell("longitude"), cell("latitude")))
+
+    o = looked_up(obs.withColumn("_position", F.monotonically_increasing_id())).drop("k")
+    counts = looked_up(obs.select("taxon_id", "longitude", "latitude")).select("_k")
+    g = index.join(species, "taxon_name").select(key(F.col("ix"), F.col("iy")).alias("_k"), "k", "ix", "iy",
+                                                 "ref", "edges", F.lit(True).alias("_cell"))
+    o, g = salted_join_keys(o, g, "_k", F.col("_position"), target_rows=salt_target_rows,
+                            counted=counts)
+    pairs = o.join(g, ["_k", "_salt"], "left").where(F.col("_cell") | (F.col("_look") == 0))
+    flagged = pairs.select(*OBS_KEYS, "_has_geometry", F.when(
+        F.col("_cell"), within_cell("longitude", "latitude")).alias("_inside"))
+    return _settled(flagged.groupBy(*OBS_KEYS).agg(
+        F.max("_inside").alias("_any"), F.max("_has_geometry").alias("_has")))
+
+
 def _band_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: ClassScope,
                       band_height: float, salt_target_rows: int) -> DataFrame:
     """Spatially partitioned join for a geometry side too large to broadcast.
@@ -127,10 +185,5 @@ def _band_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: Cl
     pairs = o.join(g, ["_k", "_salt"], "left")
     flagged = pairs.select(*OBS_KEYS, "_has_geometry",
                            within("longitude", "latitude", "edges").alias("_inside"))
-    agg = flagged.groupBy(*OBS_KEYS).agg(F.max("_inside").alias("_any"),
-                                         F.max("_has_geometry").alias("_has"))
-    flag = (F.when(F.col("latitude").isNull() | F.col("longitude").isNull(), F.lit(None))
-            .when(F.col("_any"), F.lit(True))
-            .when(F.col("_has"), F.lit(False))
-            .otherwise(F.lit(None)).cast("boolean"))
-    return agg.select(*OBS_KEYS, flag.alias("observed_in_known_area"))
+    return _settled(flagged.groupBy(*OBS_KEYS).agg(
+        F.max("_inside").alias("_any"), F.max("_has_geometry").alias("_has")))

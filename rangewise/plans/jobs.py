@@ -90,9 +90,10 @@ def ring_simplify_auto(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain.join(auto, "geom_row_id")
 
 
-def geometry_cases(spark: SparkSession, sf_dir: str, shuffled: bool = False) -> DataFrame:
+def geometry_cases(spark: SparkSession, sf_dir: str, path: str = "broadcast") -> DataFrame:
     """The fact over awkward geometry (holes, parts, a third ordinate, NULL,
-    EMPTY, very many vertices) and awkward rows."""
+    EMPTY, very many vertices) and awkward rows. ``path``: how points meet
+    geometry (``broadcast``, ``bands`` or ``cells``)."""
     from rangewise.operators.observations import species_observations
     from rangewise.operators.spatial_index import DEFAULT_TARGET_EDGES
     from rangewise.plans.model import build
@@ -100,14 +101,50 @@ def geometry_cases(spark: SparkSession, sf_dir: str, shuffled: bool = False) ->
     w = build(spark, sf_dir)
     # staged first, as a refresh does: each use of the layer reads parsed rings
     layer = build_layer(fixtures.case_layer_source(spark, sf_dir))
-    path = scratch_path(spark, "case-layer")
-    layer.write.parquet(path)
+    staged = scratch_path(spark, "case-layer")
+    layer.write.parquet(staged)
+    shuffled = path != "broadcast"
     return species_observations(
         fixtures.case_observations(spark, sf_dir), w.taxa,
-        spark.read.schema(layer.schema).parquet(path),
+        spark.read.schema(layer.schema).parquet(staged),
         band_edges=DEFAULT_TARGET_EDGES, force_shuffle=shuffled, with_point=False,
         salt_target_rows=50 if shuffled else 2_000_000,
-        band_height=3.0 if shuffled else 1.0)
+        band_height=3.0 if path == "bands" else None, edge_bound=32)
+
+
+# A triangle per line item, in units of 1/10000 degree: its first side runs T
+# steps of (dx, dy), so a point of whole steps lies on that side exactly.
+OBLIQUE = {
+    "ax": "(l_orderkey * 7919 + l_partkey * 31) % 1700000 - 850000",
+    "ay": "(l_orderkey * 104729 + l_suppkey * 17) % 800000 - 400000",
+    "dx": "1 + (l_partkey * 13 + l_linenumber) % 97",
+    "dy": "1 + (l_suppkey * 7 + l_partkey) % 89",
+    "t_all": "50 + l_orderkey % 900",
+    "t": "1 + (l_partkey * l_linenumber) % 49",
+}
+#: Points on the side, one unit inside of it, one outside.
+OBLIQUE_SHIFTS = (0, 1, -1)
+
+
+def geometry_oblique_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points on, and a ten thousandth of a degree beside, oblique sides of
+    polygons: (line item, shift, inside)."""
+    from rangewise.functions.geo import edges_bbox, within, wkt_rings
+
+    def degrees(units) -> F.Column:
+        return (units / 10000).cast("decimal(12,4)").cast("string")
+
+    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", *[F.expr(f"CAST({v} AS BIGINT)").alias(k) for k, v in OBLIQUE.items()])
+    ax, ay, dx, dy, n, t = (F.col(k) for k in OBLIQUE)
+    corners = [(ax, ay), (ax + n * dx, ay + n * dy), (ax - n * dy, ay + n * dx), (ax, ay)]
+    wkt = F.concat(F.lit("POLYGON (("), F.concat_ws(", ", *[
+        F.concat_ws(" ", degrees(x), degrees(y)) for x, y in corners]), F.lit("))"))
+    shapes = items.withColumn("wkt", wkt).withColumn("rings", wkt_rings("wkt")).withColumn("edges", rings_to_edges("rings"))
+    shapes = shapes.withColumns(edges_bbox("edges")).withColumn(
+        "shift", F.explode(F.array(*map(F.lit, OBLIQUE_SHIFTS))))
+    points = shapes.withColumns({"lon": (ax + t * dx) / 10000, "lat": (ay + t * dy + F.col("shift")) / 10000})
+    return points.select("l_orderkey", "l_linenumber", "shift", within("lon", "lat", "edges").alias("inside"))
 
 
 def species_observations_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +159,18 @@ def species_observations_partitioned(spark: SparkSession, sf_dir: str) -> DataFr
                                 with_point=False)
 
 
+def species_observations_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact by the adaptive cell index, with few edges to a cell and a salt
+    target so small that the fixture has hot keys."""
+    from rangewise.operators.observations import species_observations
+    from rangewise.plans.model import build
+
+    w = build(spark, sf_dir)
+    return species_observations(w.raw.observations_raw, w.taxa, w.raw.species_geospatial_raw,
+                                force_shuffle=True, salt_target_rows=20, edge_bound=2,
+                                with_point=False)
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh with registration, then what the catalog declares."""
     from rangewise.plans.refresh import catalog_tables

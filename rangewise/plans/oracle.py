@@ -314,6 +314,35 @@ def _catalog_sql() -> str:
     return with_ctes(" UNION ALL ".join(parts))
 
 
+def _oblique_sql() -> str:
+    """In whole units: every product fits 64 bits."""
+    from rangewise.plans.jobs import OBLIQUE, OBLIQUE_SHIFTS
+    columns = ", ".join(f"({v})::BIGINT AS {k}" for k, v in OBLIQUE.items())
+    shifts = ", ".join(map(str, OBLIQUE_SHIFTS))
+    return f"""
+WITH items AS (
+  SELECT row_number() OVER () AS r, l_orderkey, l_linenumber, {columns} FROM lineitem
+), points AS (
+  SELECT r, l_orderkey, l_linenumber, shift, ax + t * dx AS px, ay + t * dy + shift AS py
+  FROM items, (SELECT unnest([{shifts}])::INTEGER AS shift)
+), sides AS (
+  SELECT r, ax AS x1, ay AS y1, ax + t_all * dx AS x2, ay + t_all * dy AS y2 FROM items
+  UNION ALL
+  SELECT r, ax + t_all * dx, ay + t_all * dy, ax - t_all * dy, ay + t_all * dx FROM items
+  UNION ALL
+  SELECT r, ax - t_all * dy, ay + t_all * dx, ax, ay FROM items
+), turned AS (
+  SELECT p.*, x1, y1, x2, y2, (x2 - x1) * (py - y1) - (y2 - y1) * (px - x1) AS turn
+  FROM points p JOIN sides USING (r)
+)
+SELECT l_orderkey, l_linenumber, shift,
+       NOT bool_or(turn = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2)
+                   AND py BETWEEN least(y1, y2) AND greatest(y1, y2))
+       AND count(*) FILTER (WHERE (y1 > py) <> (y2 > py) AND (turn > 0) = (y2 > y1)) % 2 = 1 AS inside
+FROM turned GROUP BY r, l_orderkey, l_linenumber, shift
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     fact_cols = ("observation_uuid, observer_id, latitude, longitude, positional_accuracy_in_metres, "
                  "taxon_id, quality_grade, observation_date, observed_in_known_area")
@@ -332,6 +361,9 @@ def oracle_sql() -> dict[str, str]:
         "species_observations_partitioned": with_ctes(f"SELECT {fact_cols} FROM fact"),
         "geometry_cases": _cases_sql(),
         "geometry_cases_partitioned": _cases_sql(),
+        "geometry_cases_cells": _cases_sql(),
+        "geometry_oblique_cases": _oblique_sql(),
+        "species_observations_cells": with_ctes(f"SELECT {fact_cols} FROM fact"),
         "observers_first_seen": with_ctes("SELECT * FROM observers_dim"),
         "observers_per_year": with_ctes(
             "SELECT count(DISTINCT observer_id) AS observers, "

@@ -120,7 +120,10 @@ def queries() -> dict[str, Query]:
         "species_observations": _w(_fact),
         "species_observations_partitioned": jobs.species_observations_partitioned,
         "geometry_cases": jobs.geometry_cases,
-        "geometry_cases_partitioned": lambda s, d: jobs.geometry_cases(s, d, shuffled=True),
+        "geometry_cases_partitioned": lambda s, d: jobs.geometry_cases(s, d, "bands"),
+        "geometry_cases_cells": lambda s, d: jobs.geometry_cases(s, d, "cells"),
+        "geometry_oblique_cases": jobs.geometry_oblique_cases,
+        "species_observations_cells": jobs.species_observations_cells,
         "observers_first_seen": _w(lambda w: w.observers),
         "observers_per_year": _w(R.observers_per_year),
         "dd_out_of_range_top5": _w(R.dd_out_of_range_top5),
