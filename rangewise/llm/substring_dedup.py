@@ -43,8 +43,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.llm.common import (LOWER, chunks, fresh, mapped, mix, plain, raw_bytes, salted,
-                                  words, written)
+from rangewise.llm.common import LOWER, chunks, fresh, mapped, mix, plain, raw_bytes, words, written
+from rangewise.operators.joins import salted_by_count
 from rangewise.session import ship_package
 
 #: A cut has the least checksum among so many words on either side.
@@ -190,7 +190,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         F.count("*").alias("rows")).where("least < most OR twice").select("d1", "d2", "least", "rows"),
         "repeated-units")
     total = first.agg(F.sum("rows")).first()[0] or 0
-    big, small = salted(found, first, ["d1", "d2"], "rows", F.xxhash64("rank", "text_hash", "unit"),
+    big, small = salted_by_count(found, first, ["d1", "d2"], "rows", F.xxhash64("rank", "text_hash", "unit"),
                         max(SALT_ROWS, total // HOT_DIGESTS))
     later = (big.join(small, ["d1", "d2", "salt"])
              .where((F.col("least") < F.col("rank")) | F.col("again")))
