@@ -129,31 +129,70 @@ def _simplify_ring(xs, ys, tol: float, min_vertices: int):
     return xs[idx], ys[idx]
 
 
-def _auto_tolerance(rings, max_vertices: int, iters: int = 40) -> float:
-    """Smallest tolerance (to bisection precision) that brings a geometry row
-    to at most ``max_vertices`` vertices (vertex counts fall monotonically
-    with the tolerance, down to 4 per ring); 0 when it already fits. A row
-    whose rings do not fit even at 4 vertices each fails the job."""
-    total = sum(len(x) for x, _ in rings)
-    if total <= max_vertices:
-        return 0.0
-    xs = np.concatenate([x for x, _ in rings])
-    ys = np.concatenate([y for _, y in rings])
-    lo, hi = 0.0, float(np.hypot(np.ptp(xs), np.ptp(ys))) or 1.0
+def significance(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """The tolerance at which Douglas-Peucker drops each vertex (infinite for
+    the ends): it stays while its own distance, and that of every vertex its
+    stretch was divided at before, is above the tolerance. One full division
+    tells what a reduction with any tolerance keeps."""
+    out = np.zeros(len(xs))
+    out[[0, -1]] = np.inf
+    stack = [(0, len(xs) - 1, np.inf)]
+    while stack:
+        i, j, most = stack.pop()
+        if j <= i + 1:
+            continue
+        px, py = xs[i + 1:j], ys[i + 1:j]
+        dx, dy = xs[j] - xs[i], ys[j] - ys[i]
+        seg = np.hypot(dx, dy)
+        if seg == 0.0:  # closed ring: distance to the anchor point
+            d = np.hypot(px - xs[i], py - ys[i])
+        else:
+            d = np.abs(dy * (px - xs[i]) - dx * (py - ys[i])) / seg
+        k = int(np.argmax(d))
+        m, own = i + 1 + k, min(float(d[k]), most)
+        if own > 0.0:  # else nothing in the stretch ever stays
+            out[m] = own
+            stack += [(i, m, own), (m, j, own)]
+    return out
 
-    def count(t):
-        return sum(len(_simplify_ring(x, y, t, _LEAST_RING)[0]) for x, y in rings)
 
-    if count(hi) > max_vertices:
+def _least_ring(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """Vertices that any reduction keeps: all of a ring of up to ``_LEAST_RING``
+    or of one without area; else the first, the one farthest from it, the one
+    farthest from that chord, and the closure."""
+    n = len(xs)
+    k1 = int(np.argmax(np.hypot(xs - xs[0], ys - ys[0])))
+    dx, dy = xs[k1] - xs[0], ys[k1] - ys[0]
+    k2 = int(np.argmax(np.abs(dy * (xs - xs[0]) - dx * (ys - ys[0]))))
+    least = np.array(sorted({0, k1, k2, n - 1}))
+    return np.arange(n) if n <= _LEAST_RING or len(least) < 4 else least
+
+
+def _fitted(rings, max_vertices: int):
+    """Rings with the smallest tolerance that leaves at most ``max_vertices``
+    vertices, by one division per ring and a selection over all
+    significances; the same rings if they fit. A row whose rings do not fit even at their
+    least fails the job."""
+    total = sum(len(x) for x, _ in rings)
+    if total <= max_vertices:
+        return rings
+    least = [_least_ring(x, y) for x, y in rings]
+    orders = [significance(x, y) if len(x) > _LEAST_RING else np.zeros(len(x)) for x, y in rings]
+    # a ring's four most significant vertices are its least; each further one that stays counts
+    more = np.concatenate([np.sort(o)[:-4] if len(keep) == 4 and len(o) > 4 else np.empty(0)
+                           for o, keep in zip(orders, least)])
+    # a ring without area stays whole until four of its vertices are significant
+    spare = max_vertices - sum(map(len, least))
+    if spare < 0:
         raise ValueError(f"a geometry row of {len(rings)} rings and {total} vertices cannot be "
                          f"simplified to {max_vertices} vertices")
-    for _ in range(iters):
-        mid = (lo + hi) / 2
-        if count(mid) <= max_vertices:
-            hi = mid
-        else:
-            lo = mid
-    return hi
+    tolerance = 0.0 if spare >= len(more) else float(np.partition(more, -spare - 1)[-spare - 1])
+    out = []
+    for (x, y), order, keep in zip(rings, orders, least):
+        stays = np.flatnonzero(order > tolerance)
+        at = stays if len(stays) >= 4 and len(x) > _LEAST_RING else keep
+        out.append((x[at], y[at]))
+    return out
 
 
 def _ring_arrays(column: pa.Array) -> list[list[tuple[np.ndarray, np.ndarray]] | None]:
@@ -201,11 +240,11 @@ def simplify_rings(df: DataFrame, tolerance: float | None, min_vertices: int = 6
             before = _ring_arrays(b.column(at))
             after = []
             for row in before:
-                tol = 0.0
-                if row:
-                    tol = (_auto_tolerance(row, max_vertices) if tolerance is None else tolerance)
-                least = _LEAST_RING if tolerance is None else min_vertices
-                after.append([_simplify_ring(x, y, tol, least) for x, y in row] if tol > 0 else row)
+                if row and tolerance is None:
+                    row = _fitted(row, max_vertices)
+                elif row and tolerance > 0:
+                    row = [_simplify_ring(x, y, tolerance, min_vertices) for x, y in row]
+                after.append(row)
             columns = list(b.columns)
             columns[at] = _ring_column(after, b.schema.field(at).type)
             if bound:

@@ -110,7 +110,8 @@ def test_band_path_plans_without_a_job_and_without_a_name_join(spark):
     taxa, layer, obs = w.taxa, w.raw.species_geospatial_raw, w.raw.observations_raw
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("band-plan", "")
-    fact = species_observations(obs, taxa, layer, geometry_fits=False, band_edges=32)
+    fact = species_observations(obs, taxa, layer, geometry_fits=False, band_edges=32,
+                                band_height=1.0)
     assert not tracker.getJobIdsForGroup("band-plan")
     spark.sparkContext.setJobGroup("rest", "")
     fact.collect()

@@ -160,3 +160,39 @@ def test_publish_switches_only_after_a_gated_refresh(spark, tmp_dir):
     assert current_root(spark, ptr) == first  # the failed run did not switch readers
     second = refresh(spark, FX.raw_tables(spark, sf), root=tmp_dir + "/c", publish_to=ptr).root
     assert current_root(spark, ptr) == second
+
+
+def test_significance_tells_every_reduction():
+    from rangewise.sources.layer import significance
+
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        n = int(rng.integers(2, 80))
+        xs, ys = rng.integers(0, 12, n).astype(float), rng.integers(0, 12, n).astype(float)
+        order = significance(xs, ys)
+        for tol in (0.0, 0.3, 1.0, 2.5, 7.0, 40.0):
+            assert np.flatnonzero(order > tol).tolist() == _douglas_peucker(xs, ys, tol).tolist()
+
+
+def test_automatic_reduction_divides_each_ring_once(monkeypatch):
+    from rangewise.sources import layer
+
+    rng = np.random.default_rng(3)
+
+    def ring(n):
+        a = np.sort(rng.uniform(0, 2 * np.pi, n))
+        r = rng.uniform(5, 9, n)
+        return np.append(r * np.cos(a), r[0] * np.cos(a[0])), np.append(r * np.sin(a), r[0] * np.sin(a[0]))
+
+    calls = []
+    plain = layer.significance
+    monkeypatch.setattr(layer, "significance", lambda x, y: calls.append(len(x)) or plain(x, y))
+    rings = [ring(300), ring(40), ring(3)]
+    for limit in (12, 13, 50, 200, 345):
+        calls.clear()
+        out = layer._fitted(rings, limit)
+        left = [len(x) for x, _ in out]
+        assert sum(left) == limit and min(left) >= 4 and calls == [301, 41]
+    assert layer._fitted(rings, 400) is rings
+    with pytest.raises(ValueError, match="cannot be simplified"):
+        layer._fitted(rings, 11)
