@@ -29,8 +29,8 @@ SIMPLIFY_MIN_VERTICES = 4
 TSV_ODD = [(" ,.", "\t\\\n"), ("aeo", "\x01\x02\\"), ("t", "\r")]
 
 
-def tsv_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export three tables as escaped gzip TSV, their text columns made of
+def tsv_load_roundtrip(spark: SparkSession, sf_dir: str, compression: str = "gzip") -> DataFrame:
+    """Export three tables as escaped TSV, their text columns made of
     document texts with TABs, backslashes, line breaks and control
     characters, and load them back by position."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
@@ -49,14 +49,22 @@ def tsv_load_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = []
     for name, (schema, df) in tables.items():
         path = scratch_path(spark, f"tsv-{name}")
-        write_escaped_tsv(df.toDF(*schema.names), path)
-        back = read_escaped_tsv(spark, path, schema)
+        write_escaped_tsv(df.toDF(*schema.names), path, compression)
+        # plain files: ranges so small that records and escapes span them
+        back = read_escaped_tsv(spark, path, schema, range_bytes=PLAIN_RANGE_BYTES)
         parts.append(back.select(F.lit(name).alias("table_name"),
                                  *[F.col(c).cast("string") if c in back.columns else
                                    F.lit(None).cast("string").alias(c) for c in TSV_COLUMNS]))
     return reduce(DataFrame.unionByName, parts)
 
 
+def tsv_plain_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through plain files, each read by many tasks."""
+    return tsv_load_roundtrip(spark, sf_dir, compression="none")
+
+
+PLAIN_RANGE_BYTES = 100_000
+
 TSV_COLUMNS = ["observer_id", "login", "name", "observation_uuid", "latitude", "longitude",
                "positional_accuracy", "taxon_id", "quality_grade", "observed_on", "ancestry",
                "rank_level", "rank", "active"]

@@ -455,6 +455,7 @@ def oracle_sql() -> dict[str, str]:
         + _profile_sql("part", ["p_name", "p_brand", "p_type"]),
         "text_clean": _clean_sql(),
         "tsv_load_roundtrip": _tsv_sql(),
+        "tsv_plain_roundtrip": _tsv_sql(),
         "ring_simplify_auto": (
             "SELECT p_partkey AS geom_row_id, p_partkey % 6 = 5 AS was_above, true AS fits, "
             "CASE p_partkey % 6 WHEN 0 THEN 116.0 WHEN 1 THEN 32.0 WHEN 3 THEN NULL "

@@ -15,11 +15,14 @@ Reading is two steps:
    A record with the wrong field count or a malformed number fails the job.
 
 Gzip files (the upstream format) are one split each: one pass. Plain files
-are split by Spark, and a record may straddle a split boundary; each split
+are read by ``sources.records``: byte ranges that own the records beginning in
+them, one pass, any number of tasks to a file. Only where tasks cannot open a
+plain file by themselves (a scheme that only Spark's readers know), Spark
+splits it, and a record may straddle a split boundary; each split
 then also emits at most two boundary fragments (its leading lines up to the
 first record end, its unfinished last record), glued per file in split
 order by a small grouped step. That path evaluates the assembly twice (once
-per branch of the union); it is taken only when a splittable file is read.
+per branch of the union).
 """
 
 from __future__ import annotations
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangewise.session import ship_package
+from rangewise.sources.records import RANGE_BYTES, read_records, readable
 
 # --- fixed values -----------------------------------------------------------
 NULL_MARKER = "\\N"        # a field holding exactly backslash-N is NULL
@@ -157,11 +161,27 @@ def _typed(raw: Column, dtype: T.DataType, name: str) -> Column:
     return F.when(raw == NULL_MARKER, F.lit(None).cast(dtype)).otherwise(typed)
 
 
-def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Load escaped TSV file(s) (a path, directory or glob) into ``schema``."""
+def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType,
+                     range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """Load escaped TSV file(s) (a path, directory or glob) into ``schema``.
+    ``range_bytes``: what a task reads of a plain file."""
     ship_package(spark)
     reader = spark.read.option("lineSep", "\n").text(path)
-    splittable = any(not f.lower().endswith(".gz") for f in reader.inputFiles())
+    files = reader.inputFiles()
+    plain = [f for f in files if not f.lower().endswith(".gz")]
+    splittable = bool(plain)
+    if plain and all(map(readable, plain)):
+        records = read_records(spark, plain, range_bytes)
+        if len(plain) < len(files):
+            packed = spark.read.option("lineSep", "\n").text([f for f in files if f not in set(plain)])
+            records = records.unionByName(_assembled(packed, splittable=False))
+    else:
+        records = _assembled(reader, splittable)
+    return _fields(records, schema)
+
+
+def _assembled(reader: DataFrame, splittable: bool) -> DataFrame:
+    """Records of text lines, assembled in file order."""
     lines = reader.select(
         "value", F.input_file_name().alias("_file"), F.input_file_block_start().alias("_start"))
     frags = lines.mapInPandas(_assembler(splittable), schema=_FRAGMENTS)
@@ -171,6 +191,10 @@ def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType) -> Da
         glued = frags.filter(F.col("kind") != "rec").groupBy("file").applyInPandas(
             _glue, schema="text string")
         records = records.unionByName(glued.select(F.col("text").alias("record")))
+    return records
+
+
+def _fields(records: DataFrame, schema: T.StructType) -> DataFrame:
     n = len(schema.fields)
     fields = records.select(F.split(_protected(F.col("record")), "\t", -1).alias("_f"))
     checked = fields.select(

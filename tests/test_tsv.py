@@ -60,11 +60,17 @@ def test_exploration_read_honours_quotes_and_infers_types(spark, tmp_dir):
     assert [r["name"] for r in df.orderBy("id").collect()] == ["Life", "plain"]
 
 
-def test_plain_file_split_inside_records(spark, tmp_dir):
+@pytest.mark.parametrize("opened", [True, False])
+def test_plain_file_split_inside_records(spark, tmp_dir, monkeypatch, opened):
     """An uncompressed file cut into many small splits: records whose escaped
-    line feeds straddle split boundaries are glued back whole."""
+    line feeds straddle split boundaries come back whole, whether tasks own
+    records or (where they cannot open the file) fragments are glued."""
     import random
 
+    from rangewise.sources import tsv
+
+    monkeypatch.setattr(tsv, "readable", lambda path: opened)
+
     rnd = random.Random(5)
     rows = []
     for i in range(400):
@@ -80,8 +86,10 @@ def test_plain_file_split_inside_records(spark, tmp_dir):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "173")
     try:
-        df = read_escaped_tsv(spark, path, SCHEMA)
+        df = read_escaped_tsv(spark, path, SCHEMA, range_bytes=173)
         assert df.rdd.getNumPartitions() > 20
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert ("MapInPandas" in plan) != opened and ("Union" in plan) != opened  # one pass
         got = sorted(map(tuple, df.collect()))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
@@ -104,3 +112,44 @@ def test_malformed_number_fails_without_ansi(spark, tmp_dir):
             read_escaped_tsv(spark, os.path.join(tmp_dir, "bad_num2.gz"), SCHEMA).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_owned_records_whatever_the_cuts(tmp_dir):
+    """Every cut of random bytes of backslashes, line feeds and letters gives
+    the records of the whole, each once."""
+    import random
+
+    from rangewise.sources.records import owned
+
+    def records(text):
+        lines = text.split(b"\n")[1:]  # no header
+        lines = lines[:-1] if lines and lines[-1] == b"" else lines
+        out, carry = [], None
+        for line in lines:
+            carry = line if carry is None else carry + b"\n" + line
+            if (len(line) - len(line.rstrip(b"\\"))) % 2 == 0:
+                out.append(carry)
+                carry = None
+        return out if carry is None else [*out, carry]
+
+    rnd = random.Random(11)
+    path = os.path.join(tmp_dir, "cuts.tsv")
+    for _ in range(400):
+        text = b"h" * rnd.randint(0, 3) + b"\n" + b"".join(rnd.choice(
+            [b"\\", b"\n", b"\n", b"a", "é\tc".encode(), b"\\\n", b"\\\\"]) for _ in range(rnd.randint(0, 40)))
+        with open(path, "wb") as f:
+            f.write(text)
+        step, block = rnd.randint(1, 30), rnd.choice([1, 2, 3, 7, 100])
+        got = [r for s in range(0, len(text), step)
+               for b in owned(path, s, min(s + step, len(text)), block)
+               for r in b.column(0).cast("binary").to_pylist()]
+        assert got == records(text)
+
+
+def test_plain_and_gzip_files_in_one_folder(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.tsv"), "w") as f:
+        f.write("id\ttxt\tx\tok\n1\ta\t1.0\tt")
+    _write(os.path.join(tmp_dir, "b.gz"), "id\ttxt\tx\tok\n2\tb\t2.0\tf\n")
+    with open(os.path.join(tmp_dir, "empty.tsv"), "w") as f:
+        f.write("")
+    assert sorted(r.txt for r in read_escaped_tsv(spark, tmp_dir, SCHEMA).collect()) == ["a", "b"]
