@@ -12,10 +12,11 @@ Layout, per the distribution notes of the model:
 * taxa: sorted by (rank, ancestor) inside files - small, broadcast on read;
 * species ranges: sorted by category;
 * observers: sorted by first date;
-* fact: range-partitioned by (date, observation id), so each file holds a span
-  of dates and a hot date is divided; sorted by taxon inside files, so
-  row-group statistics skip for species filters. The range exchange is one
-  shuffle of the finished fact more, paid once per refresh.
+* fact: range-partitioned by a space-filling key over (date rank, taxon rank),
+  so each file holds a box of both, and a bound on either skips most files; a
+  hot cell is divided by the observation id. The range exchange is one
+  shuffle of the finished fact more, paid once per refresh; class bounds come
+  from one aggregate over two columns.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangewise.operators import quality
+from rangewise.operators import layout, quality
 from rangewise.operators.observations import species_observations
 from rangewise.operators.observers import observers_first_seen
 from rangewise.operators.ranges import species_ranges
@@ -50,11 +51,22 @@ class RefreshResult:
     production_checks: list[dict] = field(default_factory=list)
 
 
-def _laid_out(df: DataFrame, table: str | None) -> DataFrame:
+def _ordinal(df: DataFrame, column: str) -> Column:
+    """A date's day number, or an integer column as it is."""
+    return F.unix_date(column) if dict(df.dtypes)[column] == "date" else F.col(column)
+
+
+def _space_bounds(df: DataFrame, table: str) -> dict[str, list[int]]:
+    """Class bounds of a table's space-filling key, from ``df`` with its columns."""
+    return layout.class_bounds(df, {c: _ordinal(df, c) for c in LAYOUT[table]["space"]})
+
+
+def _laid_out(df: DataFrame, table: str | None, bounds: dict[str, list[int]] | None = None) -> DataFrame:
     """``df`` dealt out and sorted as its table's layout says."""
     lay = LAYOUT.get(table or "", {})
-    if "range" in lay:
-        df = df.repartitionByRange(*lay["range"])
+    if "space" in lay:
+        df = layout.laid_out(df, {c: _ordinal(df, c) for c in lay["space"]},
+                             bounds or _space_bounds(df, table), lay["divided"])
     if "sort" in lay:
         df = df.sortWithinPartitions(*lay["sort"])
     return df
@@ -160,9 +172,9 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
         # the declared schema: planning needs no footer reads
         return spark.read.schema(SCHEMAS[(layer, name)]).parquet(f"{root}/{layer}/{name}")
 
-    def write_observed(layer, name, df, extra=None, table=None):
+    def write_observed(layer, name, df, extra=None, table=None, bounds=None):
         # observed last: the sampling of a range partitioning must not count
-        out, ob = quality.observed(layer, name, _laid_out(df, table), extra)
+        out, ob = quality.observed(layer, name, _laid_out(df, table, bounds), extra)
         out.write.mode("overwrite").parquet(f"{root}/{layer}/{name}")
         return ob
 
@@ -204,11 +216,16 @@ def refresh(spark: SparkSession, raw: RawTables, root: str | None = None,
                                    scope, geometry_fits=sizes.geometry_fits,
                                    band_edges=DEFAULT_TARGET_EDGES if sizes.band_geometry else None)
 
-    def write_prod(name, df):
-        prod[name] = write_observed(PRODUCTION, name, df, table=name)
+    def write_prod(name, df, bounds=None):
+        prod[name] = write_observed(PRODUCTION, name, df, table=name, bounds=bounds)
+
+    def write_fact():
+        # bounds from two columns of the class's staged rows: the fact is not computed for them
+        keys = raw_w.observations_raw.join(species_dim(taxa, scope), "taxon_id").select(
+            F.col("observed_on").alias("observation_date"), "taxon_id")
+        write_prod("species_observations", fact_df, _space_bounds(keys, "species_observations"))
 
-    _run_parallel([lambda: write_prod("species_geospatial", ranges),
-                   lambda: write_prod("species_observations", fact_df)])
+    _run_parallel([lambda: write_prod("species_geospatial", ranges), write_fact])
     fact = rd(PRODUCTION, "species_observations")
     write_prod("observers", observers_first_seen(raw_w.observers_raw, fact))
 

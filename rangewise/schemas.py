@@ -206,16 +206,17 @@ def declared_type(layer: str, table: str, field: T.StructField) -> str:
 
 
 # Physical layout per production table: how it is written so later scans
-# can skip data (range: which file, sort: where in it) and later joins avoid
+# can skip data (range or space: which file, sort: where in it) and later joins avoid
 # shuffles (broadcast).
 LAYOUT = {
     "taxa": {"sort": ("taxon_rank", "ancestry_id"), "broadcast": True},
     "species_geospatial": {"sort": ("iucn_category_id",), "broadcast": True},
     "observers": {"sort": ("first_observation_date",), "broadcast": False},
-    # the fact is dealt out by date ranges (a hot date is divided by the
-    # observation id), so a date bound skips whole files, and sorted by taxon
-    # inside them, so a species filter skips row groups
-    "species_observations": {"range": ("observation_date", "observation_uuid"),
+    # the fact is dealt out by a space-filling key over (date, taxon), so a file
+    # holds a box of both and a bound on either skips most files (a hot cell is
+    # divided by the observation id); sorted inside them for row groups
+    "species_observations": {"space": ("observation_date", "taxon_id"),
+                             "divided": ("observation_uuid",),
                              "sort": ("taxon_id", "observation_date"), "broadcast": False},
 }
 
