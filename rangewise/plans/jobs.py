@@ -120,6 +120,23 @@ def geometry_cases(spark: SparkSession, sf_dir: str, path: str = "broadcast") ->
         band_height=3.0 if path == "bands" else None, edge_bound=32)
 
 
+def layer_binary_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer written in the binary polygon formats and loaded from there,
+    with ranges so small that a file has several tasks."""
+    from rangewise.sources.polygon_files import read_layer, write_polygons
+
+    src = build_layer(fixtures.layer_source(spark, sf_dir))
+    folder = scratch_path(spark, "binary-layer")
+    attributes = [c for c in src.columns if c not in (
+        "edges", "xmin", "ymin", "xmax", "ymax", "geom_bytes", "shape_leng", "shape_area")]
+    write_polygons(src.select(*attributes), folder).write.parquet(f"{folder}-written")
+    back = build_layer(read_layer(spark, folder, range_bytes=20_000), rings_col="rings")
+    return back.select(
+        "geom_row_id", "id_no", "binomial", "compiler", "yrcompiled", "citation", "category", "order_",
+        "subspecies", "marine", "terrestrial", "freshwater", "shape_leng", "shape_area", "xmin", "ymin",
+        "xmax", "ymax", F.expr("aggregate(rings, 0, (a, r) -> a + size(r))").alias("vertices"))
+
+
 # A triangle per line item, in units of 1/10000 degree: its first side runs T
 # steps of (dx, dy), so a point of whole steps lies on that side exactly.
 OBLIQUE = {

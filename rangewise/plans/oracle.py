@@ -454,6 +454,15 @@ def oracle_sql() -> dict[str, str]:
         "text_profile": _profile_sql("documents", ["text", "lang", "source"]) + " UNION ALL "
         + _profile_sql("part", ["p_name", "p_brand", "p_type"]),
         "text_clean": _clean_sql(),
+        "layer_binary_load": with_ctes(
+            "SELECT g.gid AS geom_row_id, id_no, binomial, compiler, yrcompiled, citation, category, order_, "
+            "NULL::VARCHAR AS subspecies, marine, terrestrial, freshwater, e.leng AS shape_leng, "
+            "e.area AS shape_area, e.xmin, e.ymin, e.xmax, e.ymax, e.vertices FROM geo_rows g JOIN ("
+            "SELECT gid, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS leng, "
+            "abs(sum(x1 * y2 - x2 * y1)) / 2.0 AS area, min(least(x1, x2))::DOUBLE AS xmin, "
+            "min(least(y1, y2))::DOUBLE AS ymin, max(greatest(x1, x2))::DOUBLE AS xmax, "
+            "max(greatest(y1, y2))::DOUBLE AS ymax, (count(*) + 1)::INTEGER AS vertices "
+            "FROM geo_edges GROUP BY gid) e ON e.gid = g.gid"),
         "tsv_load_roundtrip": _tsv_sql(),
         "tsv_plain_roundtrip": _tsv_sql(),
         "ring_simplify_auto": (

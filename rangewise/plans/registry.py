@@ -158,6 +158,7 @@ def queries() -> dict[str, Query]:
         "text_profile": text_profile,
         "text_clean": text_clean,
         "tsv_load_roundtrip": jobs.tsv_load_roundtrip,
+        "layer_binary_load": jobs.layer_binary_load,
         "tsv_plain_roundtrip": jobs.tsv_plain_roundtrip,
         "ring_simplify": jobs.ring_simplify,
         "ring_simplify_auto": jobs.ring_simplify_auto,

@@ -1,8 +1,8 @@
 """Species-range polygon layer: from delivered rows (attributes + WKT) to the
 staging table ``species_geospatial_raw``.
 
-The binary shapefile codec is not rebuilt; a layer arrives as any Spark
-source (Parquet, CSV, JSON...) with a WKT column. Parsing, edge building,
+A layer arrives as any Spark source (Parquet, CSV, JSON...) with a WKT column,
+or in the binary polygon formats (``sources.polygon_files``). Parsing, edge building,
 bounding boxes, length and area are all column expressions, so the build is
 one narrow (shuffle-free) stage however large the layer is.
 
@@ -31,11 +31,14 @@ from rangewise.session import ship_package
 EDGE_BYTES, BASE_BYTES = 48, 64
 
 
-def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: float | None = None,
-                simplify_min_vertices: int = 64,
+def build_layer(src: DataFrame, wkt_col: str = "wkt", *, rings_col: str | None = None,
+                simplify_tolerance: float | None = None, simplify_min_vertices: int = 64,
                 simplify_max_vertices: int | None = None) -> DataFrame:
     """Delivered layer rows -> staging layer rows (one per geometry row).
 
+    Geometry is text in ``wkt_col`` or, if ``rings_col`` is given (a binary
+    layer), rings.
+
     ``geom_row_id`` is kept when the source has one, else generated; the
     declared key ``id_no`` is not unique per geometry row, so every
     per-geometry computation keys on ``geom_row_id``. The projections are
@@ -46,8 +49,11 @@ def build_layer(src: DataFrame, wkt_col: str = "wkt", *, simplify_tolerance: flo
     # A vertex takes at least 4 characters of WKT ("0 0,") and yields at most
     # one edge; a ring's closing edge goes with its "(", ")" and "," at least.
     # So an edge per 3 characters is a bound computable without parsing.
-    df = src.selectExpr("*", f"{rid} AS _rid", f"{wkt_rings_sql(wkt_col)} AS _rings",
-                        f"{BASE_BYTES} + coalesce(length({w}), 0) * {EDGE_BYTES // 3} AS _geom_bytes")
+    rings, bound = wkt_rings_sql(wkt_col), f"coalesce(length({w}), 0) * {EDGE_BYTES // 3}"
+    if rings_col:
+        wkt_col, rings = rings_col, f"`{rings_col}`"
+        bound = f"coalesce(aggregate({rings}, 0, (a, r) -> a + size(r) + 1), 0) * {EDGE_BYTES}"
+    df = src.selectExpr("*", f"{rid} AS _rid", f"{rings} AS _rings", f"{BASE_BYTES} + {bound} AS _geom_bytes")
     if simplify_tolerance is not None or simplify_max_vertices is not None:
         df = simplify_rings(df.drop(wkt_col), simplify_tolerance, simplify_min_vertices,
                             simplify_max_vertices, rings="_rings", bound="_geom_bytes")

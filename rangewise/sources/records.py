@@ -15,6 +15,7 @@ A task holds one block of its file (or one record, if that is longer).
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +35,30 @@ SCHEMES = ("", "file", "hdfs", "s3", "s3a", "gs")
 _NEWLINE, _BACKSLASH = 10, 92
 
 
-def _open(path: str):
+def _located(path: str) -> tuple[fs.FileSystem, str]:
     if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
+        return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     if "://" not in path:
-        return fs.LocalFileSystem().open_input_file(path)
-    system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def opened(path: str):
+    """A file for random access, from within a task or the driver."""
+    system, name = _located(path)
     return system.open_input_file(name)
 
 
+def created(path: str, data: bytes) -> None:
+    """A whole file under its name at once, so a task that runs again replaces it."""
+    system, name = _located(path)
+    system.create_dir(name.rpartition("/")[0], recursive=True)
+    temporary = f"{name}.{uuid.uuid4().hex}.part"
+    with system.open_output_stream(temporary) as out:
+        out.write(data)
+    system.move(temporary, name)
+
+
 def record_ends(data: np.ndarray, escaped: bool = False) -> np.ndarray:
     """Places of the line feeds that end records. ``escaped``: an odd number
     of backslashes stands before the data."""
@@ -85,7 +101,7 @@ def _batch(data: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
 
 def owned(path: str, start: int, end: int, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches of the records that begin in [start, end) of a file."""
-    with _open(path) as source:
+    with opened(path) as source:
         size = source.size()
         at = start
         if start:  # after the first line feed from the byte before that ends a record
