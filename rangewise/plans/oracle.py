@@ -354,7 +354,13 @@ def oracle_sql() -> dict[str, str]:
             "SELECT quality_grade, observed_in_known_area, count(*) AS observations "
             "FROM fact GROUP BY ALL"),
         "taxa_ancestry": with_ctes("SELECT * FROM taxa_x"),
-        "species_ranges": with_ctes("SELECT *, CAST(7 AS INTEGER) AS geometry FROM ranges"),
+        "species_ranges": with_ctes(
+            "SELECT r.*, v.geometry FROM ranges r JOIN (SELECT DISTINCT id_no, (count(*) OVER (PARTITION BY gid) + 1)"
+            "::INTEGER AS geometry FROM geo_rows JOIN geo_edges USING (gid)) v ON v.id_no = r.iucn_id"),
+        "observers_per_period": with_ctes(" UNION ALL ".join(
+            f"SELECT '{k}' AS kind, {p} AS period, count(DISTINCT observer_id) AS observers FROM fact GROUP BY 2"
+            for k, p in (("day", "observation_date"), ("month", "date_trunc('month', observation_date)::DATE"),
+                         ("year", "date_trunc('year', observation_date)::DATE")))),
         "species_observations": with_ctes(
             f"SELECT {fact_cols}, printf('4326 %.2f %.2f', longitude, latitude)"
             " AS observation_geom_point FROM fact"),

@@ -126,6 +126,7 @@ def queries() -> dict[str, Query]:
         "species_observations_cells": jobs.species_observations_cells,
         "observers_first_seen": _w(lambda w: w.observers),
         "observers_per_year": _w(R.observers_per_year),
+        "observers_per_period": _w(R.observers_per_period),
         "dd_out_of_range_top5": _w(R.dd_out_of_range_top5),
         "species_top_observers": _w(R.species_top_observers),
         "observation_total": _w(R.observation_total),

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rangewise.operators.histogram import histogram
+from rangewise.operators.histogram import fanout, histogram_of_counts
 from rangewise.operators.taxa import class_species
 from rangewise.plans.model import Warehouse
 
@@ -38,6 +38,21 @@ def observers_per_year(w: Warehouse) -> DataFrame:
             .orderBy(F.col("year").asc_nulls_last()))
 
 
+def observers_per_period(w: Warehouse) -> DataFrame:
+    """Distinct observers of each day, month and year, exactly, from one set of
+    bitmaps per day that are united for the longer periods: rows of the fact fold
+    into a bitmap per (day, 32,768 observer ids) before any shuffle, and no
+    (period, observer) row exists. A NULL date is a period of its own."""
+    daily = (w.species_observations.where(F.col("observer_id").isNotNull())
+             .groupBy(F.col("observation_date").alias("day"), F.bitmap_bucket_number("observer_id").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("observer_id")).alias("seen")))
+    periods = F.array(*[F.struct(F.lit(k).alias("kind"), start.alias("period")) for k, start in (
+        ("day", F.col("day")), ("month", F.trunc("day", "month")), ("year", F.trunc("day", "year")))])
+    united = (daily.select("bucket", "seen", F.explode(periods).alias("p")).groupBy("p.kind", "p.period", "bucket")
+              .agg(F.bitmap_or_agg("seen").alias("seen")))
+    return united.groupBy("kind", "period").agg(F.sum(F.bitmap_count("seen")).alias("observers"))
+
+
 def dd_out_of_range_top5(w: Warehouse, category: str = "DD", grade: str = "research",
                          k: int = 5) -> DataFrame:
     """Species of one Red List category most often seen outside their range.
@@ -116,15 +131,15 @@ def obs_per_day(w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
 
 
 def hist_taxon(spark: SparkSession, w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
-    return histogram(spark, obs_per_taxon(w, since), "records", HIST_BINS)
+    return histogram_of_counts(obs_per_taxon(w, since), "records", HIST_BINS)
 
 
 def hist_month(spark: SparkSession, w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
-    return histogram(spark, obs_per_month(w, since), "total_observations", HIST_BINS)
+    return histogram_of_counts(obs_per_month(w, since), "total_observations", HIST_BINS)
 
 
 def hist_day(spark: SparkSession, w: Warehouse, since: dt.date = DEFAULT_SINCE) -> DataFrame:
-    return histogram(spark, obs_per_day(w, since), "total_observations", HIST_BINS)
+    return histogram_of_counts(obs_per_day(w, since), "total_observations", HIST_BINS)
 
 
 # -- R8-R9: taxonomy roll-ups ----------------------------------------------------
@@ -139,8 +154,7 @@ def rank_rollup(w: Warehouse) -> DataFrame:
 def taxa_fanout(w: Warehouse) -> DataFrame:
     """How many exploded rows each taxon has: min / max / mean / median."""
     per = w.taxa.groupBy("taxon_id").agg(F.count(F.lit(1)).alias("cnt"))
-    return per.agg(F.min("cnt").alias("min_cnt"), F.max("cnt").alias("max_cnt"),
-                   F.avg("cnt").alias("avg_cnt"), F.median("cnt").alias("median_cnt"))
+    return fanout(per, "cnt")
 
 
 # -- R10-R12: exploration of the raw inputs ---------------------------------------

@@ -196,3 +196,52 @@ def test_automatic_reduction_divides_each_ring_once(monkeypatch):
     assert layer._fitted(rings, 400) is rings
     with pytest.raises(ValueError, match="cannot be simplified"):
         layer._fitted(rings, 11)
+
+
+@pytest.mark.parametrize("values", [[], [3], [3, 3], [1, 2, 2, 9], [5, 1, 1, 1, 8, 8, 30, 31], [None, 4, 7]])
+def test_counts_of_counts_equal_the_plain_measures(spark, values):
+    from pyspark.sql import functions as F
+
+    from rangewise.operators.histogram import fanout, histogram_of_counts
+
+    df = spark.createDataFrame([(v,) for v in values], "cnt long")
+    want = df.agg(F.min("cnt"), F.max("cnt"), F.avg("cnt"), F.median("cnt")).first()
+    assert tuple(fanout(df, "cnt").first()) == tuple(want)
+    for bins in (1, 7):
+        assert (sorted(map(tuple, histogram_of_counts(df, "cnt", bins).collect()))
+                == sorted(map(tuple, histogram(spark, df, "cnt", bins).collect())))
+
+
+def test_histogram_of_the_fact_reads_the_observations_once(spark):
+    from rangewise.plans import reports
+    from rangewise.plans.model import build
+
+    df = reports.hist_taxon(spark, build(spark, "/root/testdata/sf0.001"))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    assert final.count("lineitem.parquet") == 1
+
+
+def test_observers_per_period_shuffles_bitmaps_not_observers(spark):
+    import datetime as dt
+    import random
+
+    from rangewise.plans import reports
+    from rangewise.plans.model import Warehouse
+
+    rnd = random.Random(6)
+    rows = [(rnd.choice([0, 5, 32_767, 32_768, 2_000_000_000, None, rnd.randint(0, 99)]),
+             rnd.choice([None, dt.date(2020, 1, 31), dt.date(2020, 2, 1), dt.date(2021, 2, 1)])) for _ in range(500)]
+    fact = spark.createDataFrame(rows, "observer_id int, observation_date date")
+    df = reports.observers_per_period(Warehouse(None, tables={"species_observations": fact}))
+    want = {}
+    for who, day in rows:
+        for kind, cut in (("day", None), ("month", 1), ("year", 1)):
+            p = day and (day if cut is None else day.replace(day=1) if kind == "month" else day.replace(month=1, day=1))
+            if who is not None:
+                want.setdefault((kind, p), set()).add(who)
+    assert {(r.kind, r.period): r.observers for r in df.collect()} == {k: len(v) for k, v in want.items()}
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_construct_agg" in plan and "partial_bitmap_construct_agg" in plan
+    assert not any("observer_id" in line for line in plan.splitlines() if "Exchange" in line)
