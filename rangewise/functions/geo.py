@@ -45,7 +45,19 @@ def _lit(pattern: str) -> str:
     return f"r'{pattern}'"
 
 
-def wkt_rings_sql(wkt_col: str) -> str:
+def wkt_fault(wkt_col: str) -> Column:
+    """Why ``wkt_rings`` would refuse a text: ``tag``, ``outline`` (its
+    parentheses) or ``vertex``; NULL for a text that it reads, or none."""
+    w = _sql(wkt_col)
+    read = wkt_rings_sql(wkt_col, fail="NULL")
+    return F.expr(f"""transform(array({read}), r -> CASE
+        WHEN {w} IS NULL THEN NULL
+        WHEN NOT {w} RLIKE {_lit('(?i)' + _TAG + '([(]|EMPTY)')} THEN 'tag'
+        WHEN r IS NULL THEN 'outline'
+        WHEN exists(r, g -> exists(g, v -> v IS NULL)) THEN 'vertex' END)[0]""")
+
+
+def wkt_rings_sql(wkt_col: str, fail: str | None = None) -> str:
     """Parse POLYGON / MULTIPOLYGON WKT text into rings; NULL stays NULL.
 
     Each innermost parenthesised group is one ring's vertex list, so nesting
@@ -54,11 +66,12 @@ def wkt_rings_sql(wkt_col: str) -> str:
 
     Whatever is not such text fails the job in both ANSI modes: another tag,
     unbalanced or misplaced parentheses, a vertex without exactly the number
-    of numbers that the tag asks for, anything after the end.
+    of numbers that the tag asks for, anything after the end. ``fail`` is
+    what stands for such a text or vertex instead of an error.
     """
     w = _sql(wkt_col)
     tag = f"upper(regexp_extract({w}, {_lit('(?i)' + _TAG)}, 0))"
-    fail = f"raise_error(concat('malformed polygon text: ', left({w}, 80)))"
+    fail = fail or f"raise_error(concat('malformed polygon text: ', left({w}, 80)))"
     # Bound once per row: s.d numbers a vertex, s.body the text after the tag.
     bound = (f"named_struct('d', 2 + length(regexp_extract({tag}, {_lit('(ZM|Z|M)?[ ]*$')}, 1)), "
              f"'multi', {tag} LIKE '%MULTI%', "

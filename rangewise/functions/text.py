@@ -6,8 +6,10 @@
 * ``transliterate``: letters to an ASCII spelling. Latin letters with marks
   come from Unicode's own decomposition (a rule, not a list); letters that do
   not decompose, Greek, Cyrillic and common punctuation from the short tables
-  below. A character without an entry **stays as it is**: nothing vanishes,
-  and ``unmapped`` counts what stayed.
+  below; syllabaries from the spelling in Unicode's character names, and
+  Korean syllables from the parts they are numbered by. A character without an
+  entry **stays as it is**: nothing vanishes, and ``unmapped`` counts what
+  stayed (signs of whole words, and alphabets whose letters are named rather than spelled).
 * ``strip_line_breaks``: remove CR LF pairs, then lone LF. A lone CR stays.
 
 NULL stays NULL throughout.
@@ -15,6 +17,7 @@ NULL stays NULL throughout.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 from functools import lru_cache
 
@@ -38,6 +41,7 @@ PUNCTUATION = {
     "‘": "'", "’": "'", "‚": "'", "‛": "'", "“": '"', "”": '"', "„": '"', "‹": "<", "›": ">",
     "«": "<<", "»": ">>", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-",
     "×": "x", "÷": "/", "¡": "!", "¿": "?", "·": ".", "•": "*", "€": "EUR", "£": "PS",
+    "ー": "-", "。": ".", "、": ",", "・": ".", "「": '"', "」": '"', "　": " ",
     "©": "(c)", "®": "(r)", "°": "deg", "−": "-", "⁄": "/", "†": "+", "§": "SS",
 }
 # Greek after ISO 843 (transcription), Cyrillic after the BGN/PCGN romanisations.
@@ -58,7 +62,19 @@ CYRILLIC = {
 # Greek and Cyrillic (their accented letters), the additional and extended
 # Latin and Greek blocks, general punctuation, letter-like signs, ligatures
 # and full-width forms.
-BLOCKS = [(0x00A0, 0x0530), (0x1E00, 0x2070), (0x2100, 0x2150), (0xFB00, 0xFB07), (0xFF01, 0xFF5F)]
+BLOCKS = [(0x00A0, 0x0530), (0x1E00, 0x2070), (0x2100, 0x2150), (0xFB00, 0xFB07), (0xFF01, 0xFFA0)]
+# Blocks whose characters are named after their sound, as the last word of
+# "... LETTER KA" or "... SYLLABLE KA": Ethiopic, Cherokee, Canadian, kana with
+# Bopomofo, phonetic kana, Yi, small Cherokee.
+NAMED_BLOCKS = [(0x1200, 0x1380), (0x13A0, 0x13FE), (0x1400, 0x1680), (0x3000, 0x3130), (0x31F0, 0x3200),
+                (0xA000, 0xA490), (0xAB70, 0xABC0)]
+NAMED_KINDS = ("LETTER", "SYLLABLE", "SYLLABICS")
+# Korean syllables are numbered by first consonant, vowel and last consonant,
+# spelled after the parts' short names in Unicode.
+HANGUL_START = 0xAC00
+HANGUL_FIRST = "g gg n d dd r m b bb s ss - j jj c k t p h".replace("-", "").split(" ")
+HANGUL_VOWEL = "a ae ya yae eo e yeo ye o wa wae oe yo u weo we wi yu eu yi i".split(" ")
+HANGUL_LAST = "- g gg gs n nj nh d l lg lm lb ls lt lp lh m b bs s ss ng j c k t p h".replace("-", "").split(" ")
 
 
 def _with_capitals(table: dict[str, str]) -> dict[str, str]:
@@ -66,11 +82,23 @@ def _with_capitals(table: dict[str, str]) -> dict[str, str]:
     return upper | table
 
 
+def _sound(c: str) -> str | None:
+    """The spelling in a character's name, if it is named after its sound."""
+    words = unicodedata.name(c, "").split()
+    if any(k in words[:-1] for k in NAMED_KINDS) and words[-1].isalpha():
+        return words[-1].lower()
+    return None
+
+
 @lru_cache(maxsize=1)
 def spellings() -> dict[str, str]:
-    """Every mapped character and its ASCII spelling; marks on their own map
-    to nothing, as they belong to the letter before them."""
+    """Every mapped character (but Korean syllables) and its ASCII spelling;
+    marks on their own map to nothing, as they belong to the letter before them."""
     base = LATIN | PUNCTUATION | _with_capitals(GREEK) | _with_capitals(CYRILLIC)
+    for start, end in NAMED_BLOCKS:
+        for c in map(chr, range(start, end)):
+            if c not in base and (sound := _sound(c)):
+                base[c] = sound
     out = dict(base)
     for start, end in BLOCKS:
         for code in range(start, end):
@@ -89,21 +117,35 @@ def spellings() -> dict[str, str]:
     return out
 
 
+def _array(values: list[str | None]) -> Column:
+    """A literal array: read once, indexed in constant time."""
+    return F.from_json(F.lit(json.dumps(values)), "array<string>")
+
+
 def needs_cleaning(c: Column) -> Column:
     return c.rlike(NEEDS_CLEANING_PATTERN)
 
 
 def transliterate(c: Column) -> Column:
-    """One ``translate`` for all characters of one letter or none, and a
-    ``replace`` for each of several letters."""
+    """Each character looked up once, by its number in its block's table."""
     table = spellings()
-    single = {k: v for k, v in table.items() if len(v) == 1}
-    gone = "".join(k for k, v in table.items() if not v)
-    out = F.translate(c, "".join(single) + gone, "".join(single.values()))
-    for src, dst in table.items():
-        if len(dst) > 1:
-            out = F.replace(out, F.lit(src), F.lit(dst))
-    return out
+
+    def spelled(ch: Column) -> Column:
+        code = F.ascii(ch)  # the character's number, also beyond ASCII
+        out = F.when(code < 128, ch)
+        for start, end in BLOCKS + NAMED_BLOCKS:
+            values = [table.get(chr(k)) for k in range(start, end)]
+            out = out.when((code >= start) & (code < end),
+                           F.coalesce(F.element_at(_array(values), code - start + 1), ch))
+        at = code - HANGUL_START
+        vowels, lasts = len(HANGUL_VOWEL), len(HANGUL_LAST)
+        syllable = F.concat(
+            F.element_at(_array(HANGUL_FIRST), F.floor(at / (vowels * lasts)).cast("int") + 1),
+            F.element_at(_array(HANGUL_VOWEL), F.floor(at % (vowels * lasts) / lasts).cast("int") + 1),
+            F.element_at(_array(HANGUL_LAST), at % lasts + 1))
+        return out.when(at.between(0, len(HANGUL_FIRST) * vowels * lasts - 1), syllable).otherwise(ch)
+
+    return F.array_join(F.transform(F.split(c, ""), spelled), "")
 
 
 def unmapped(c: Column) -> Column:

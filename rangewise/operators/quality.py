@@ -48,6 +48,28 @@ def measure(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def key_report(layer: str, tables: Mapping[str, DataFrame],
+               keys: Mapping[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """One row per key column, in the key's order: its position, its NULLs, and
+    how many rows and distinct whole keys the table has. ``keys``: keys of
+    several columns for tables whose declared one is not unique."""
+    parts = []
+    for name, df in tables.items():
+        key = (keys or {}).get(name) or key_columns(layer, name)
+        # folded by key first, so distinct keys need no second pass
+        folded = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+        agg = folded.agg(
+            F.coalesce(F.sum("_rows"), F.lit(0)).alias("records"),
+            F.count_if(reduce(Column.__and__, [F.col(k).isNotNull() for k in key])).alias("distinct_keys"),
+            *[F.coalesce(F.sum(F.when(F.col(k).isNull(), F.col("_rows"))), F.lit(0)).alias(f"_null_{i}")
+              for i, k in enumerate(key)])
+        stack = ", ".join(f"{i + 1}, '{k}', `_null_{i}`" for i, k in enumerate(key))
+        parts.append(agg.select(
+            F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "records", "distinct_keys",
+            F.expr(f"stack({len(key)}, {stack}) AS (key_position, key_column, null_keys)")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def row_count_checks(layer: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("records")).select(

@@ -200,8 +200,23 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh with registration, then what the catalog declares."""
     from rangewise.plans.refresh import catalog_tables
     refresh(spark, fixtures.raw_tables(spark, sf_dir), register=True)
-    # the staged layer holds parsed geometry beyond the declared columns
-    return catalog_tables(spark).where("table_name <> 'species_geospatial_raw'")
+    return catalog_tables(spark)
+
+
+# What is done to a layer text by id % 6: (pattern, replacement) of a regular expression.
+WKT_FAULTS = {1: ("POLYGON", "POLYGN"), 2: (r"\)\)$", ")"), 3: (r", ", " 7, "), 4: (r"0", "o")}
+
+
+def malformed_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer with faults put into most of its texts: which rows a load
+    would refuse, and why."""
+    from rangewise.sources.layer import layer_parse_errors
+
+    src = fixtures.layer_source(spark, sf_dir).select("geom_row_id", "wkt")
+    wkt = F.col("wkt")
+    for k, (pattern, by) in WKT_FAULTS.items():
+        wkt = F.when(F.col("geom_row_id") % 6 == k, F.regexp_replace("wkt", pattern, by)).otherwise(wkt)
+    return layer_parse_errors(src.withColumn("wkt", wkt))
 
 
 def explore_export(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -192,14 +192,15 @@ def _profile_sql(table: str, cols: list[str]) -> str:
 
 def _clean_sql() -> str:
     """DuckDB's own accent stripping, not the table of the code under test.
-    The Greek and Cyrillic spellings were made from the text letter by letter,
+    The spellings in other scripts were made from the text letter by letter,
     so cleaning them must give the cleaned text again."""
     def cleaned(c: str) -> str:
         out = f"strip_accents(replace({c}, 'ß', 'ss'))"
         return f"replace(replace({out}, chr(13) || chr(10), ''), chr(10), '')"
     return (f"SELECT doc_id, {cleaned('text')} AS text, {cleaned('lang')} AS lang, "
             f"{cleaned('source')} AS source, n_chars, {cleaned('text')} AS text_greek, "
-            f"{cleaned('text')} AS text_cyrillic FROM documents")
+            f"{cleaned('text')} AS text_cyrillic, {cleaned('text')} AS text_kana, "
+            f"{cleaned('text')} AS text_hangul FROM documents")
 
 
 _STAGING_KEYS = [("observers_raw", "observers_raw", "observer_id"),
@@ -302,8 +303,58 @@ _DECLARED = {
 }
 
 
-def _catalog_sql() -> str:
+# The staged layer: its columns, declared here once more, and parsed geometry.
+_LAYER_DECLARED = [
+    ("geom_row_id", "bigint"), ("id_no", "int"), ("binomial", "string"), ("presence", "int"), ("origin", "int"),
+    ("seasonal", "int"), ("compiler", "varchar(256)"), ("yrcompiled", "int"), ("citation", "string"),
+    *[(c, "varchar(256)") for c in ("subspecies", "subpop", "source", "island", "tax_comm", "dist_comm")],
+    ("generalised", "bigint"),
+    *[(c, "varchar(256)") for c in ("legend", "kingdom", "phylum", "class", "order_", "family", "genus", "category")],
+    ("marine", "boolean"), ("terrestrial", "boolean"), ("freshwater", "boolean"), ("shape_leng", "double"),
+    ("shape_area", "double"), ("rings", "array<array<struct<x:double,y:double>>>"),
+    ("edges", "array<struct<x1:double,y1:double,x2:double,y2:double>>"),
+    *[(c, "double") for c in ("xmin", "ymin", "xmax", "ymax")], ("geom_bytes", "bigint")]
+
+
+def _malformed_sql() -> str:
+    """The faulty texts made again; a text is read if the whole of it is a
+    polygon of pairs of numbers."""
+    from rangewise.plans.jobs import WKT_FAULTS
+    ring = ", ".join(f"(x0 + {x})::VARCHAR || ' ' || (y0 + {y})::VARCHAR" for x, y in
+                     [*POLYGON_OFFSETS, POLYGON_OFFSETS[0]])
+    changed = " ".join(f"WHEN {k} THEN regexp_replace(wkt, '{p}', '{by}', 'g')" for k, (p, by) in WKT_FAULTS.items())
+    number = "[-+]?[0-9.]+"
+    return with_ctes(f"""
+SELECT geom_row_id, left(wkt, 80) AS wkt_start,
+       CASE WHEN NOT regexp_matches(wkt, '^POLYGON') THEN 'tag'
+            WHEN len(regexp_extract_all(wkt, '[(]')) <> len(regexp_extract_all(wkt, '[)]')) THEN 'outline'
+            ELSE 'vertex' END AS fault
+FROM (SELECT gid AS geom_row_id, CASE gid % 6 {changed} ELSE wkt END AS wkt
+      FROM (SELECT gid, 'POLYGON ((' || concat_ws(', ', {ring}) || '))' AS wkt FROM geo_rows))
+WHERE NOT regexp_full_match(wkt, 'POLYGON [(][(]{number} {number}(, {number} {number})*[)][)]')
+""")
+
+
+def _whole_keys_sql() -> str:
     parts = []
+    for layer, name, cte, keys in (
+            ("production", "taxa", "taxa_x", ("taxon_id", "ancestry_position")),
+            ("staging", "species_geospatial_raw", "geo_rows", ("id_no", "gid")),
+            ("staging", "observers_raw", "observers_raw", ("observer_id",))):
+        whole = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        for n, k in enumerate(keys, 1):
+            parts.append(
+                f"SELECT '{layer}' AS layer, '{name}' AS table_name, count(*) AS records, "
+                f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {cte} WHERE {whole})) AS distinct_keys, "
+                f"{n}::INTEGER AS key_position, '{'geom_row_id' if k == 'gid' else k}' AS key_column, "
+                f"count(*) FILTER (WHERE {k} IS NULL) AS null_keys FROM {cte}")
+    return with_ctes(" UNION ALL ".join(parts))
+
+
+def _catalog_sql() -> str:
+    parts = [f"SELECT 'staging' AS layer, 'species_geospatial_raw' AS table_name, '{c}' AS column_name, "
+             f"'{t}' AS data_type, {'1' if c == 'id_no' else 'NULL'}::INTEGER AS key_position, "
+             "(SELECT count(*) FROM geo_rows) AS records" for c, t in _LAYER_DECLARED]
     for (layer, name, cte), declared in _DECLARED.items():
         columns = re.findall(r"(\w+) ([^ ,*]+(?:,\w+:[^ *]+)?)(\*?)(?:, |$)", declared)
         for column, kind, key in columns:
@@ -485,6 +536,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT c_custkey, c_name, c_acctbal, c_mktsegment || chr(9) || '\"quoted\"' AS note, "
             "'double' AS balance_type FROM customer"),
         "catalog_tables": _catalog_sql(),
+        "composite_key_checks": _whole_keys_sql(),
+        "layer_parse_errors": _malformed_sql(),
         "taxa_by_ancestry_pattern": with_ctes(
             f"SELECT * FROM taxa_raw WHERE list_contains(string_split(ancestry, '/'), '{CLASS_ID}')"),
         "taxa_preview": with_ctes(

@@ -68,6 +68,19 @@ def pk_null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality.measure(PRODUCTION, lay[PRODUCTION]))
 
 
+#: Keys of several columns that are unique where the declared key is not.
+WHOLE_KEYS = {"taxa": ("taxon_id", "ancestry_position"),
+              "species_geospatial_raw": ("id_no", "geom_row_id")}
+
+
+def composite_key_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key columns by position, NULLs and distinct whole keys."""
+    w = build(spark, sf_dir)
+    return quality.key_report(PRODUCTION, {"taxa": w.taxa}, WHOLE_KEYS).unionByName(
+        quality.key_report(STAGING, {"species_geospatial_raw": w.raw.species_geospatial_raw,
+                                     "observers_raw": w.raw.observers_raw}, WHOLE_KEYS))
+
+
 def row_count_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     lay = _layers(_written(spark, sf_dir))
     return quality.row_count_checks(STAGING, lay[STAGING]).unionByName(
@@ -84,15 +97,19 @@ def text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Letters that the two alphabets spell with one Latin letter, in the same order.
 _LATIN_GREEK = ("adegiklmnoprstzyfx", "άδέγίκλμνόπρστζύφξ")
 _LATIN_CYRILLIC = ("abvgdeziklmnoprstuf", "абвгдезиклмнопрстуф")
+# Vowels that syllabaries have a sign of their own for.
+_LATIN_KANA = ("aiueoN", "あイうエおＮ")
+_LATIN_HANGUL = ("aeiou", "아에이오우")
 
 
 def text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cleaned, also after spelling them in Greek and Cyrillic
-    letters (which cleaning must undo)."""
+    letters, kana and Korean syllables (which cleaning must undo)."""
     docs = spread(spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         "doc_id", "text", "lang", "source", "n_chars"))
     docs = docs.withColumns({f"text_{k}": F.translate("text", *pair) for k, pair in (
-        ("greek", _LATIN_GREEK), ("cyrillic", _LATIN_CYRILLIC))})
+        ("greek", _LATIN_GREEK), ("cyrillic", _LATIN_CYRILLIC),
+        ("kana", _LATIN_KANA), ("hangul", _LATIN_HANGUL))})
     return clean_ops.clean(docs)
 
 
@@ -156,6 +173,8 @@ def queries() -> dict[str, Query]:
         "out_of_range_share": _w(R.out_of_range_share),
         "row_count_checks": row_count_checks,
         "pk_null_checks": pk_null_checks,
+        "composite_key_checks": composite_key_checks,
+        "layer_parse_errors": jobs.malformed_layer,
         "text_profile": text_profile,
         "text_clean": text_clean,
         "tsv_load_roundtrip": jobs.tsv_load_roundtrip,

@@ -20,9 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rangewise.functions.geo import (edges_area_sql, edges_bbox_sql, edges_length_sql,
-                                     rings_to_edges_sql, wkt_rings_sql)
+                                     rings_to_edges_sql, wkt_fault, wkt_rings_sql)
 from rangewise.schemas import LAYER_ATTRIBUTES, SPECIES_GEOSPATIAL_RAW
 from rangewise.session import ship_package
 
@@ -81,6 +82,15 @@ def build_layer(src: DataFrame, wkt_col: str = "wkt", *, rings_col: str | None =
     return df.selectExpr(*cols)
 
 
+def layer_parse_errors(src: DataFrame, wkt_col: str = "wkt") -> DataFrame:
+    """The rows whose text ``build_layer`` would refuse, with ``fault`` (``tag``,
+    ``outline`` or ``vertex``) and ``wkt_start``: a report to read before a load that would fail."""
+    fault, start = "fault", "wkt_start"
+    rest = [c for c in src.columns if c not in (wkt_col, fault, start)]
+    return src.withColumns({fault: wkt_fault(wkt_col), start: F.substring(F.col(wkt_col), 1, 80)}).where(
+        F.col(fault).isNotNull()).select(*rest, fault, start)
+
+
 def layer_from_parquet(spark, path: str, wkt_col: str = "wkt", **kw) -> DataFrame:
     """Read a delivered layer (Parquet with a WKT column) and build it."""
     return build_layer(spark.read.parquet(path), wkt_col=wkt_col, **kw)
@@ -265,4 +275,4 @@ def simplify_rings(df: DataFrame, tolerance: float | None, min_vertices: int = 6
     return df.mapInArrow(run, df.schema)
 
 
-__all__ = ["build_layer", "layer_from_parquet", "simplify_rings", "LAYER_ATTRIBUTES"]
+__all__ = ["build_layer", "layer_from_parquet", "layer_parse_errors", "simplify_rings", "LAYER_ATTRIBUTES"]

@@ -245,3 +245,42 @@ def test_observers_per_period_shuffles_bitmaps_not_observers(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "bitmap_construct_agg" in plan and "partial_bitmap_construct_agg" in plan
     assert not any("observer_id" in line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_scripts_spelled_by_rule(spark):
+    import unicodedata
+
+    from pyspark.sql import functions as F
+
+    from rangewise.functions.text import spellings, transliterate, unmapped
+
+    rows = {"カタカナ ひらがな": "katakana hiragana", "ｶﾅ": "kana", "서울 한강": "seoul hangang", "አማ": "amaa",
+            "ᏣᎳᎩ": "tsalagi", "ㄅㄆ": "bp", "が。": "ga.", "漢字": "漢字", "😀x": "😀x", "": "", None: None,
+            "Ά́ßé": "Asse", "a\x00b": "a\x00b"}
+    df = spark.createDataFrame([(k,) for k in rows], "s string")
+    got = df.select("s", transliterate(F.col("s")).alias("t"), unmapped(F.col("s")).alias("n")).collect()
+    assert {r.s: r.t for r in got} == rows
+    assert {r.s: r.n for r in got if r.n} == {"漢字": 2, "😀x": 1}
+    # every Korean syllable as Unicode names it, every other spelling as the table has it
+    every = [chr(k) for k in range(0xAC00, 0xAC00 + 11172)]
+    want = {c: unicodedata.name(c).split()[-1].lower() for c in every} | spellings()
+    out = spark.createDataFrame([(c,) for c in want], "s string").select("s", transliterate(F.col("s")).alias("t"))
+    assert {r.s: r.t for r in out.collect()} == want
+
+
+def test_wkt_faults_are_those_that_a_load_refuses(spark):
+    from test_lossless import BAD, GOOD
+
+    from rangewise.sources.layer import layer_parse_errors
+
+    df = spark.createDataFrame([(k, w, "x") for k, w in enumerate([*GOOD, *BAD])], "k int, wkt string, fault string")
+    got = {r.k: r.fault for r in layer_parse_errors(df).collect()}
+    assert set(got) == set(range(len(GOOD), len(GOOD) + len(BAD)))
+    assert set(got.values()) == {"tag", "outline", "vertex"} and got[len(GOOD) + 1] == "tag"
+
+
+def test_key_report_of_several_columns(spark):
+    df = spark.createDataFrame([(1, 1), (1, 2), (1, 2), (None, 3), (2, None)], "taxon_id int, ancestry_position int")
+    rows = quality.key_report("production", {"taxa": df}, {"taxa": ("ancestry_position", "taxon_id")}).collect()
+    assert [(r.key_position, r.key_column, r.null_keys, r.records, r.distinct_keys) for r in rows] == [
+        (1, "ancestry_position", 1, 5, 2), (2, "taxon_id", 1, 5, 2)]
