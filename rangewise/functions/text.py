@@ -129,6 +129,7 @@ def needs_cleaning(c: Column) -> Column:
 def transliterate(c: Column) -> Column:
     """Each character looked up once, by its number in its block's table."""
     table = spellings()
+    beside = [k for k in table if not any(s <= ord(k) < e for s, e in BLOCKS + NAMED_BLOCKS)]
 
     def spelled(ch: Column) -> Column:
         code = F.ascii(ch)  # the character's number, also beyond ASCII
@@ -137,6 +138,8 @@ def transliterate(c: Column) -> Column:
             values = [table.get(chr(k)) for k in range(start, end)]
             out = out.when((code >= start) & (code < end),
                            F.coalesce(F.element_at(_array(values), code - start + 1), ch))
+        for single in beside:
+            out = out.when(code == ord(single), table[single])
         at = code - HANGUL_START
         vowels, lasts = len(HANGUL_VOWEL), len(HANGUL_LAST)
         syllable = F.concat(
