@@ -70,15 +70,17 @@ def token_counts(spark: SparkSession, path: str, separator: int = END_OF_DOCUMEN
                     names=["path", "block", "n_ids", "separators"])
 
     ship_package(spark)
-    scanned = blocks.mapInArrow(scan, BLOCKS)
+    scanned = written(spark, blocks.mapInArrow(scan, BLOCKS), "separators")
+    # the prefix scan of a file sees three numbers a block, not its separators
     by_file = Window.partitionBy("path").orderBy("block")
     before = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    stitched = scanned.select(
-        "path", "separators",
-        (F.col("block") * ids_per_block + F.col("n_ids")).alias("end"),
-        F.lead("block").over(by_file).isNull().alias("is_last"),
-        F.coalesce(F.sum(F.size("separators")).over(before), F.lit(0)).alias("docs_before"),
-        F.coalesce(F.max(F.array_max("separators")).over(before), F.lit(-1)).alias("previous"))
+    offsets = scanned.select(
+        "path", "block", F.size("separators").alias("n"), F.array_max("separators").alias("last")).select(
+            "path", "block", F.lead("block").over(by_file).isNull().alias("is_last"),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("docs_before"),
+            F.coalesce(F.max("last").over(before), F.lit(-1)).alias("previous"))
+    stitched = scanned.join(offsets, ["path", "block"]).withColumn(
+        "end", F.col("block") * ids_per_block + F.col("n_ids"))
     last = F.coalesce(F.array_max("separators"), F.col("previous"))
     ends = F.when(F.col("is_last") & (last < F.col("end") - 1),
                   F.concat("separators", F.array(F.col("end")))).otherwise(F.col("separators"))
