@@ -10,11 +10,12 @@ that are neighbours in some item, and runs of such pairs as long as the
 shortest window go to the automaton. Everything else cannot hold a window.
 
 Documents are never shuffled or joined. Items are split into blocks of at most
-``BLOCK_BYTES`` of text (or one item), so an automaton is bounded whatever the
-benchmark's size. With several blocks a task holds about ``GROUP_BYTES`` of
-documents, matches one block after the other against them and merges the
-spans row by row; rows that share an id, or have none, stay apart. The texts
-of all items go to every task.
+``BLOCK_BYTES`` of text (or one item), files in the shared folder that tasks
+read, so an automaton is bounded whatever the benchmark's size and neither the
+driver nor a closure holds the items. With more than ``HELD_BLOCKS`` of them a
+task holds about ``GROUP_BYTES`` of documents, matches one block after the other
+against them and merges the spans row by row; rows that share an id, or have
+none, stay apart.
 
 Defined cases: null or wordless texts have no words and no hits; null item
 ids are left out, as are null and wordless items; the same item twice counts
@@ -26,15 +27,18 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rangewise.llm.common import chunks, mapped, plain, raw_bytes, texts, words
-from rangewise.session import ship_package
+from rangewise.llm.common import chunks, mapped, plain, raw_bytes, texts, words, written
+from rangewise.llm.files import opened, replacing
+from rangewise.session import scratch_path, ship_package
 
 #: Words in a window.
 WINDOW = 10
@@ -42,6 +46,8 @@ WINDOW = 10
 BLOCK_BYTES = 1 << 20
 #: Bytes of documents that a task matches against one block after the other.
 GROUP_BYTES = 64 << 20
+#: Automata that a process keeps built.
+HELD_BLOCKS = 2
 
 #: Lower-cases A-Z and turns every other byte that is no word byte
 #: ([0-9a-z] and all of multi-byte characters) into a space.
@@ -49,6 +55,7 @@ WORD_BYTES = np.array(
     [b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
      for b in range(256)], dtype=np.uint8)
 
+_ITEMS = pa.schema([("item_id", pa.string()), ("text", pa.string())])
 SPANS = "array<struct<word_start: long, word_end: long, byte_start: long, byte_end: long>>"
 SCHEMA = f"doc_id long, n_words long, spans {SPANS}, items array<string>"
 
@@ -206,32 +213,62 @@ def _word_edges(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(inside[1:] & ~inside[:-1]), np.flatnonzero(inside[:-1] & ~inside[1:])
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str,
-            block_bytes: int) -> list[list[tuple[str, str]]]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> list[str]:
+    """Files of at most ``block_bytes`` of items (or one item) in the shared
+    folder; only their names reach the driver and the tasks' closures."""
+    spark = benchmark.sparkSession
+    folder = scratch_path(spark, "llm-benchmark")
     items = (benchmark.select(F.col(item_id).cast("string").alias("item_id"),
                               F.col(text).alias("text"))
              .dropna().dropDuplicates(["item_id", "text"]))
-    blocks: list[list[tuple[str, str]]] = [[]]
-    size = 0
-    for item in sorted((r.item_id, r.text) for r in items.collect()):
-        n = len(item[1].encode())
-        if blocks[-1] and size + n > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(item)
-        size += n
-    return blocks
-
 
-def _matched(batches: Iterator[pa.RecordBatch], blocks: list[list[tuple[str, str]]], window: int):
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, k = TaskContext.get().partitionId(), 0
+        held: list[dict] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            path = f"{folder}/part-{part:06d}-{k:06d}.arrow"
+            with replacing(path) as out, pa.ipc.new_stream(out, _ITEMS) as w:
+                w.write_batch(pa.RecordBatch.from_pylist(held, _ITEMS))
+            return pa.RecordBatch.from_pydict({"path": [path]})
+
+        for b in batches:
+            for item in b.to_pylist():
+                n = len(item["text"].encode())
+                if held and size + n > block_bytes:
+                    yield block()
+                    held, size, k = [], 0, k + 1
+                held.append(item)
+                size += n
+        if held:
+            yield block()
+
+    # in few blocks where the items are few, each near its full size
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    dealt = items.repartition(max(1, -(-total // (4 * block_bytes)))).sortWithinPartitions("item_id", "text")
+    return sorted(r.path for r in written(spark, dealt.mapInArrow(put, "path string"), "benchmark-blocks").collect())
+
+
+@lru_cache(maxsize=HELD_BLOCKS)
+def _matcher(path: str | None, window: int) -> Matcher:
+    """The automaton of a block's items, kept by a process for the next use."""
+    if path is None:
+        return Matcher([], window)
+    with opened(path) as source, pa.ipc.open_stream(source) as r:
+        t = r.read_all()
+    return Matcher(list(zip(t.column("item_id").to_pylist(), t.column("text").to_pylist())), window)
+
+
+def _matched(batches: Iterator[pa.RecordBatch], blocks: list[str], window: int):
     """(batch, its mapped texts, words of every row, spans and items of each
     row with a hit)."""
-    only = Matcher(blocks[0], window) if len(blocks) == 1 else None
+    few = len(blocks) <= HELD_BLOCKS  # all stay built: no need to hold documents
 
     def settled(held: list[pa.RecordBatch]):
         out = [[b, mapped(plain(b.column("text")), WORD_BYTES), None, {}] for b in held]
-        for items in blocks:
-            matcher = only or Matcher(items, window)
+        for path in blocks or [None]:
+            matcher = _matcher(path, window)
             for row in out:
                 row[2], found = matcher.find(row[1])
                 for d, (spans, seen) in found.items():
@@ -244,7 +281,7 @@ def _matched(batches: Iterator[pa.RecordBatch], blocks: list[list[tuple[str, str
     for b in chunks(batches):
         held.append(b)
         size += b.nbytes
-        if only or size >= GROUP_BYTES:
+        if few or size >= GROUP_BYTES:
             yield from settled(held)
             held, size = [], 0
     if held:
@@ -327,36 +364,3 @@ def digest(found: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
-
-
-def without_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``docs`` with the hit spans cut out of ``text`` and ``n_chars`` made to
-    fit; documents without a hit are returned as they are, and a document
-    whose every word was hit is dropped. The rows of ``found`` that have
-    spans are joined by ``doc_id``, so it must be unique and not null;
-    ``cleaned`` needs no id."""
-    hits = (found.where(F.size("spans") > 0)
-            .select(F.col("doc_id").alias("_hit_id"), F.col("spans").alias("_hit"),
-                    (F.aggregate("spans", F.lit(0).cast("long"),
-                                 lambda a, x: a + x["word_end"] - x["word_start"])
-                     >= F.col("n_words")).alias("_all")))
-    raw = F.encode(F.col("text"), "UTF-8")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_hit", lambda x: x["byte_end"]))
-    starts = F.concat(F.transform("_hit", lambda x: x["byte_start"]),
-                      F.array(F.octet_length("text").cast("long")))
-    pieces = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")),
-                         lambda p: F.decode(F.substring(raw, (p["a"] + 1).cast("int"),
-                                                        (p["b"] - p["a"]).cast("int")), "UTF-8"))
-    joined = docs.join(hits, F.col("doc_id") == F.col("_hit_id"), "left").where(
-        ~F.coalesce("_all", F.lit(False)))
-    new = F.when(F.col("_hit").isNull(), F.col("text")).otherwise(F.concat_ws("", pieces))
-    out = []
-    for c in docs.columns:
-        if c == "text":
-            out.append(F.col("_new").alias("text"))
-        elif c == "n_chars":
-            out.append(F.when(F.col("_hit").isNull(), F.col("n_chars"))
-                       .otherwise(F.char_length("_new").cast("long")).alias("n_chars"))
-        else:
-            out.append(F.col(c))
-    return joined.withColumn("_new", new).select(*out)

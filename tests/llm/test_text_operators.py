@@ -123,9 +123,7 @@ def test_contaminated_spans_are_cut(spark, docs):
     item = varied(20)
     texts = ["é before, " + item + "; after ü", item, varied(30), None, ""]
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
-    table = docs(texts)
-    out = {r.doc_id: r for r in decontaminate.without_spans(
-        table, decontaminate.decontaminate(table, bench)).collect()}
+    out = {r.doc_id: r for r in decontaminate.cleaned(docs(texts), bench).collect()}
     assert out[0].text == "é before, ; after ü" and out[0].n_chars == len(out[0].text)
     assert 1 not in out and out[2].text == texts[2] and out[3].text is None and out[4].text == ""
 
