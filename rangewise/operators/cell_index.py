@@ -44,7 +44,7 @@ EDGE_BOUND = 64
 #: Exponent of the least cell side: 2**-12 degrees, about 27 m, and 12 decimals.
 LEAST_EXPONENT = -12
 #: Levels that a too full cell is divided by in one round.
-LEVELS = 1
+LEVELS = 2
 #: Edges of one cell in a task.
 SALT_EDGES = 200_000
 

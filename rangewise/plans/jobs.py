@@ -18,6 +18,7 @@ from rangewise.schemas import OBSERVATIONS_RAW, OBSERVERS_RAW, PRODUCTION, STAGI
 from rangewise.session import scratch_path
 from rangewise.sources import fixtures
 from rangewise.sources.layer import build_layer, simplify_rings
+from rangewise.sources.parallel import spread
 from rangewise.sources.tsv import read_escaped_tsv, write_escaped_tsv
 
 SIMPLIFY_TOLERANCE = 25.0
@@ -117,7 +118,7 @@ def geometry_cases(spark: SparkSession, sf_dir: str, path: str = "broadcast") ->
         spark.read.schema(layer.schema).parquet(staged),
         band_edges=DEFAULT_TARGET_EDGES, force_shuffle=shuffled, with_point=False,
         salt_target_rows=50 if shuffled else 2_000_000,
-        band_height=3.0 if path == "bands" else None, edge_bound=32)
+        band_height=3.0 if path == "bands" else None)
 
 
 def layer_binary_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +160,7 @@ def geometry_oblique_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     def degrees(units) -> F.Column:
         return (units / 10000).cast("decimal(12,4)").cast("string")
 
-    items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    items = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).select(
         "l_orderkey", "l_linenumber", *[F.expr(f"CAST({v} AS BIGINT)").alias(k) for k, v in OBLIQUE.items()])
     ax, ay, dx, dy, n, t = (F.col(k) for k in OBLIQUE)
     corners = [(ax, ay), (ax + n * dx, ay + n * dy), (ax - n * dy, ay + n * dx), (ax, ay)]
