@@ -2,10 +2,13 @@
 
 The suffixes of a text (in words) are sorted by prefix doubling; only
 suffixes whose rank is still shared are sorted again. Longest common prefixes
-of neighbours come from the ranks kept per level. Every neighbour pair with a
-common prefix of at least ``m`` words gives two spans, and the union of these
-spans is exactly what substrings of ``m`` words or more that occur twice
-cover (the neighbours hold each suffix's longest match).
+of neighbours come from the ranks kept per level. A stack over them finds the
+longest-common-prefix intervals: runs of suffixes that share exactly so many
+words. An interval whose suffixes do not all follow the same word is a
+maximal repeated substring (it grows neither way without losing an
+occurrence). Each suffix takes the deepest such interval that it lies in, and
+the union of these spans is what substrings of ``m`` words or more that occur
+twice cover: one that is not maximal lies inside one that is.
 
 A text is rejected when its spans of ``COVER_WORDS`` words or more cover over
 ``MAX_COVERED`` percent of its words, or its longest repeat is over
@@ -15,8 +18,10 @@ All texts of a chunk are sorted in one array (no match crosses a text), so a
 task holds one chunk, or one text if that is larger. There is no shuffle.
 
 Defined cases: null text and text without words have zero counts, fail the
-base rule and are not kept; repeated rows are judged one by one; an empty
-table gives no rows; extra columns are not read.
+base rule and are not kept; a very long text is judged whole, by itself, and
+holds some 4 bytes a word for each doubling of its longest repeat; repeated
+rows are judged one by one; an empty table gives no rows; extra columns are
+not read.
 """
 
 from __future__ import annotations
@@ -85,29 +90,91 @@ def suffix_order(codes: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, li
         levels.append(rank.astype(np.int32))
 
 
-def neighbour_lcp(sa: np.ndarray, levels: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, words in common) of neighbours in the suffix array that share
-    at least ``least`` words."""
-    depth = max(k for k in range(len(levels)) if 1 << k <= least) if levels else 0
-    a, b = sa[:-1], sa[1:]
-    same = levels[depth][a] == levels[depth][b]
-    a, b = a[same], b[same]
-    lcp = np.zeros(len(a), np.int64)
-    n = len(sa)
+def neighbour_lcp(sa: np.ndarray, levels: list[np.ndarray], least: int) -> np.ndarray:
+    """Words that each suffix of the suffix array has in common with the one
+    before it; 0 where these are under ``least``."""
+    out = np.zeros(len(sa), np.int64)
+    if not levels:
+        return out
+    depth = max(k for k in range(len(levels)) if 1 << k <= least)
+    at = 1 + np.flatnonzero(levels[depth][sa[:-1]] == levels[depth][sa[1:]])
+    a, b, lcp, n = sa[at - 1], sa[at], np.zeros(len(at), np.int64), len(sa)
     for k in range(len(levels) - 1, -1, -1):
         ia, ib = a + lcp, b + lcp
         ok = (ia < n) & (ib < n)
         eq = np.zeros(len(a), bool)
         eq[ok] = levels[k][ia[ok]] == levels[k][ib[ok]]
         lcp += eq * (1 << k)
-    keep = lcp >= least
-    return a[keep], b[keep], lcp[keep]
+    out[at] = np.where(lcp >= least, lcp, 0)
+    return out
+
+
+def lcp_intervals(lcp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The longest-common-prefix intervals above 0: (common words, first and
+    last place in the suffix array, parent interval or -1), and the interval
+    of each place's entry of ``lcp`` (-1 for 0). One pass with a stack; only
+    runs of positive entries are walked."""
+    size, low, high, parent = [], [], [], []
+    owner = np.full(len(lcp), -1, np.int64)
+    at = np.flatnonzero(lcp)
+    owners = []
+    stack: list[int] = []
+    last = -1
+    for j, v in zip(at.tolist(), lcp[at].tolist()):
+        if j != last + 1:  # a zero lies between: nothing stays open
+            for k, above in zip(stack, [-1, *stack]):
+                high[k], parent[k] = last, above
+            stack.clear()
+        left = j - 1
+        while stack and size[stack[-1]] > v:
+            k = stack.pop()
+            high[k], left = j - 1, low[k]
+            parent[k] = stack[-1] if stack and size[stack[-1]] >= v else len(size)
+        if not stack or size[stack[-1]] < v:
+            stack.append(len(size))
+            size.append(v)
+            low.append(left)
+            high.append(-1)
+            parent.append(-1)
+        owners.append(stack[-1])
+        last = j
+    for k, above in zip(stack, [-1, *stack]):
+        high[k], parent[k] = last, above
+    owner[at] = owners
+    return *(np.array(x, np.int64) for x in (size, low, high, parent)), owner
+
+
+def maximal_repeats(codes: np.ndarray, offsets: np.ndarray, sa: np.ndarray, lcp: np.ndarray) -> np.ndarray:
+    """Per place of the suffix array the words of the longest maximal
+    repeated substring that starts there, 0 if none does."""
+    size, low, high, parent, owner = lcp_intervals(lcp)
+    if not len(size):
+        return np.zeros(len(sa), np.int64)
+    # the word before each suffix; a text's first suffix differs from all others
+    before = np.empty(len(codes), np.int64)
+    before[1:] = codes[:-1]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    before[first] = -1 - first
+    change = np.zeros(len(sa), np.int64)
+    change[1:] = before[sa[1:]] != before[sa[:-1]]
+    change = np.cumsum(change)
+    maximal = change[high] > change[low]
+    # the nearest interval outwards that is maximal; the last entry stands for none
+    none = len(size)
+    nearest = np.append(np.where(maximal, np.arange(none), np.where(parent < 0, none, parent)), none)
+    while True:
+        further = nearest[nearest]
+        if (further == nearest).all():
+            break
+        nearest = further
+    after = np.append(lcp[1:], 0)
+    deepest = np.where(lcp >= after, owner, np.append(owner[1:], -1))
+    return np.append(size, 0)[nearest[deepest]]  # -1: the last entry
 
 
-def _covered(a, b, lcp, n: int) -> np.ndarray:
+def _covered(start, size, n: int) -> np.ndarray:
     """Words covered by the union of the spans, as running counts (n + 1)."""
-    step = (np.bincount(a, minlength=n + 1) + np.bincount(b, minlength=n + 1)
-            - np.bincount(a + lcp, minlength=n + 1) - np.bincount(b + lcp, minlength=n + 1))
+    step = np.bincount(start, minlength=n + 1) - np.bincount(start + size, minlength=n + 1)
     return np.concatenate([[0], np.cumsum(np.cumsum(step)[:n] > 0)])
 
 
@@ -119,14 +186,16 @@ def repetition(codes: np.ndarray, offsets: np.ndarray,
     if not n:
         return np.zeros(docs, np.int64), np.zeros(docs, np.int64), np.zeros(docs, np.int64)
     sa, levels = suffix_order(codes, offsets)
-    a, b, lcp = neighbour_lcp(sa, levels, base_words)
+    size = maximal_repeats(codes, offsets, sa, neighbour_lcp(sa, levels, base_words))
+    some = size > 0
+    start, size = sa[some], size[some]
     per_doc = []
     for least in (base_words, cover_words):
-        k = lcp >= least
-        run = _covered(a[k], b[k], lcp[k], n)
+        k = size >= least
+        run = _covered(start[k], size[k], n)
         per_doc.append(run[offsets[1:]] - run[offsets[:-1]])
     longest = np.zeros(docs, np.int64)
-    np.maximum.at(longest, np.searchsorted(offsets, a, side="right") - 1, lcp)
+    np.maximum.at(longest, np.searchsorted(offsets, start, side="right") - 1, size)
     return per_doc[0], per_doc[1], longest
 
 
