@@ -7,10 +7,12 @@ a sequence. Multiplicative weights solve the covering program: each round a
 bounded-knapsack dynamic program prices the lengths and gives the most
 valuable configuration, it is taken as often as its scarcest length allows,
 and the weights of the lengths it covers shrink. The fractional counts are
-then rounded down, and the program is solved again for what stays uncovered
-until rounding down takes nothing, at any size of table. Best-fit decreasing
-(on the histogram, so its work follows distinct sequences) places what
-rounding left.
+then rounded down, and the program is solved again for what stays uncovered,
+at any size of table, until no packing can be better (the sequences reach the
+volume bound) or rounding takes under one in ``LEAST`` of what is left. So the
+solutions are at most some LEAST * ln(pieces). Best-fit decreasing (on the
+histogram, so its work follows distinct sequences) places what rounding left;
+``Plan.bound`` tells how few sequences any packing needs.
 
 Spark does the per-row part: pieces are measured in one map pass, their
 histogram is a ``groupBy``, each piece's rank within its length comes from a
@@ -45,6 +47,8 @@ CAPACITY = 2048
 ROUNDS = 200
 #: How fast a covered length's weight falls.
 RATE = 0.5
+#: A solution that places under one in so many of the pieces left is the last.
+LEAST = 200
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -154,6 +158,7 @@ class Plan:
 
     capacity: int
     sequences: int
+    bound: int  # sequences that any packing needs, by volume
     first: dict[int, np.ndarray]  # length -> first rank of each entry
     base: dict[int, np.ndarray]   # first sequence of the entry's configuration
     copies: dict[int, np.ndarray]
@@ -180,6 +185,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY,
             taken.append((config, times))
             left[:] -= config * times
 
+    bound = -(-int((lengths * left).sum()) // capacity)
     while left.any():
         live, before = left > 0, int(left.sum())
         for config, x in sorted(fractional(lengths[live], left[live], capacity, rounds),
@@ -188,14 +194,16 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY,
             whole[live] = config
             used = whole > 0
             take(whole, min(int(x + 1e-9), int((left[used] // whole[used]).min())))
-        if left.sum() == before:
+        rest = list(best_fit(lengths, left, capacity))
+        if (LEAST * (before - left.sum()) < before
+                or sum(times for _, times in [*taken, *rest]) == bound):
+            for config, times in rest:
+                take(config, times)
             break
-    for config, times in best_fit(lengths, left, capacity):
-        take(config, times)
-    return _plan(lengths, taken, capacity)
+    return _plan(lengths, taken, capacity, bound)
 
 
-def _plan(lengths: np.ndarray, taken: list[tuple[np.ndarray, int]], capacity: int) -> Plan:
+def _plan(lengths: np.ndarray, taken: list[tuple[np.ndarray, int]], capacity: int, bound: int) -> Plan:
     entries: dict[int, list[tuple[int, int, int, int]]] = {n: [] for n in lengths.tolist()}
     rank = dict.fromkeys(lengths.tolist(), 0)
     sequence = 0
@@ -208,7 +216,7 @@ def _plan(lengths: np.ndarray, taken: list[tuple[np.ndarray, int]], capacity: in
             place += c * n
         sequence += times
     columns = {n: np.array(e, np.int64).reshape(-1, 4).T for n, e in entries.items()}
-    return Plan(capacity, sequence, *({n: c[j] for n, c in columns.items()} for j in range(4)))
+    return Plan(capacity, sequence, bound, *({n: c[j] for n, c in columns.items()} for j in range(4)))
 
 
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
