@@ -17,8 +17,10 @@ banded buckets, star-shaped candidate edges, links confirmed on full sets.
    components they join. So bounding the stars loses no link between
    documents that share a bucket, and no pairs are emitted for it.
 
-Components are least ids, found by alternating large- and small-star steps
-on edge tables in the shared folder. Only counts reach the driver.
+Joins on a bucket, a hub or a set are salted by the rows counted for it, so a
+hot one spans tasks. Components are least ids, found by alternating large-
+and small-star steps on edge tables in the shared folder. Only counts reach
+the driver.
 
 A pair of similarity s shares a bucket with probability
 1 - (1 - s^4)^40: over 0.9999997 at 0.75 and rising.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rangewise.llm.common import (
@@ -52,6 +54,7 @@ from rangewise.llm.common import (
     words,
     written,
 )
+from rangewise.operators.joins import salted_by_count
 from rangewise.session import ship_package
 
 SHINGLE = 5
@@ -64,6 +67,9 @@ BINS = BANDS * ROWS
 #: differ in so many of the sketch's ``BINS`` bits (a similarity of 0.75 gives 20 on
 #: average; 52 is over five standard deviations more).
 SKETCH_FROM, SKETCH_BITS = 128, 52
+#: Rows of a join key above which it is salted, without and with texts; more
+#: where there would be more hot keys than so many.
+SALT_ROWS, SALT_TEXTS, HOT_KEYS = 50_000, 2_000, 1_000_000
 #: Most rows (expected) and columns of a tile.
 TILE_ROWS, TILE_COLUMNS = 512, 2048
 
@@ -150,12 +156,24 @@ def signed(docs: DataFrame, rows: int = 4096) -> DataFrame:
     return docs.mapInArrow(sign, SIGNED)
 
 
+def _salted(big: DataFrame, small: DataFrame, key: str, by: Column, least: int,
+            more: DataFrame | None = None) -> DataFrame:
+    """``big`` joined with ``small``, a written table with a row per key that
+    counts the key's rows in ``big`` as ``times``, and with ``more``."""
+    total = small.agg(F.sum("times")).first()[0] or 0
+    dealt, spread = salted_by_count(big, small, [key], "times", by, max(least, total // HOT_KEYS))
+    if more is not None:
+        spread = spread.join(more, key)
+    return dealt.join(spread, [key, "salt"]).drop("salt", "times")
+
+
 def _confirmed(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. Pairs that set
     sizes or sketches rule out are dropped before sets are made."""
-    for k in "ba":
-        side = bodies.select(*[F.col(c).alias(k if c == "id" else f"{c}_{k}") for c in bodies.columns])
-        pairs = pairs.join(side, k)
+    a, b = (bodies.select(*[F.col(c).alias(k if c == "id" else f"{c}_{k}") for c in bodies.columns])
+            for k in "ab")
+    hubs = written(pairs.sparkSession, pairs.groupBy("a").agg(F.count("*").alias("times")), "hubs")
+    pairs = _salted(pairs.join(b, "b"), hubs, "a", F.xxhash64("b"), SALT_TEXTS, a)
     differ = sum((F.bit_count(F.col(f"s{j}_a").bitwiseXOR(F.col(f"s{j}_b"))) for j in range(3)), F.lit(0))
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     both = pairs.where((100 * small >= percent * large)
@@ -325,9 +343,11 @@ def linked(reps: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFram
     rows; ``docs``: (doc_id, text)."""
     spark = docs.sparkSession
     bands = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    hubs = (bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("other"))
-            .where("hub <> other").select("key", "hub"))
-    shared = written(spark, bands.join(hubs, "key"), "buckets")
+    hubs = written(spark, bands.groupBy("key").agg(
+        F.min("id").alias("hub"), F.max("id").alias("other"), F.count("*").alias("times"))
+        .where("hub <> other").select("key", "hub", "times"), "band-hubs")
+    shared = written(spark, _salted(bands, hubs, "key", F.xxhash64("id"), SALT_ROWS)
+                     .select("key", "id", "hub"), "buckets")
     star = shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     met = shared.select("id").distinct()
     known = reps.join(met, F.col("doc_id") == F.col("id"), "left_semi").select(
@@ -354,13 +374,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     docs = texts(docs, doc_id, text)
     sig = written(spark, signed(docs), "signed")
     classes = (sig.where("n_shingles > 0 and doc_id is not null").groupBy("set_key")
-               .agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("other")))
+               .agg(F.min("doc_id").alias("rep"), F.count("*").alias("times")))
     reps = sig.join(classes.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"],
                     "left_semi").dropDuplicates(["doc_id", "set_key"])
     labels = linked(reps, docs, percent).withColumnRenamed("id", "rep")
     named = classes.join(labels, "rep", "left").select(
-        "set_key", F.coalesce("component", "rep").alias("component"))
-    return (sig.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left")
+        "set_key", "times", F.coalesce("component", "rep").alias("component"))
+    rows = sig.select("doc_id", "n_shingles", "set_key")
+    placed = "set_key is not null and doc_id is not null"
+    alone = rows.where(~F.expr(placed)).withColumn("component", F.lit(None).cast("long"))
+    return (_salted(rows.where(placed), written(spark, named, "named"), "set_key",
+                    F.xxhash64("doc_id", F.monotonically_increasing_id()), SALT_ROWS)
+            .select(*alone.columns).unionByName(alone)
             .select("doc_id", "n_shingles",
                     F.coalesce("component", "doc_id").alias("component_id"),
                     F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept")))
