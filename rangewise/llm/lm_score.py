@@ -4,8 +4,9 @@
    ``groupBy``. The table is written and never leaves Spark whole.
 2. The model is trained on every training document in ``TURNS`` turns, each
    over its share of the documents: tasks train copies, and the copies'
-   parameters, in blocks, are averaged, weighted by tokens, after a shuffle by
-   block. Only the averaged parameters reach the driver. Every word that makes
+   parameters, in blocks, are averaged, weighted by tokens, in a tree that
+   joins at most ``FAN`` copies a step before the last. Only the averaged
+   parameters reach the driver. Every word that makes
    up one in ``SHARE`` training tokens, and occurs ``LEAST`` times, is in the
    model's vocabulary, so it has under ``SHARE`` words whatever the corpus.
 3. Every document is scored whole: the model gives the probability of
@@ -15,7 +16,11 @@
 
 Words are told apart by 64-bit hashes of their lower-cased bytes (A-Z only).
 
-Defined cases: null and empty texts are the end token alone; rows are scored
+The model depends on how documents are split into tasks, since each task
+trains a copy; counts and base scores do not.
+
+Defined cases: null and empty texts are the end token alone; very long texts
+are learned and scored whole, in windows that hand on the state; rows are scored
 one by one, also when they repeat an id; rows of a null id train the model
 (no checksum holds them out); without training documents all counts are zero;
 an empty table gives no rows; extra columns are not read.
@@ -43,9 +48,9 @@ HEAD = 1 << 19
 SHARE, LEAST = 1 << 18, 2
 #: Parameters in a block.
 BLOCK = 1 << 16
-BLOCKS = "k int, tokens long, x binary"
-#: Tasks that average blocks.
-AVERAGERS = 8
+BLOCKS = "k int, copies long, tokens long, x binary"
+#: Copies averaged in one step of the tree, and its steps before the last.
+FAN, STEPS = 64, 2
 #: Turns of training; each document is in one of them.
 TURNS = 2
 #: The end token's place among word hashes.
@@ -134,11 +139,15 @@ def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Pa
                 trainer.learn(gru.Lanes.of(head.ids(h)[codes], offsets))
             if trainer.tokens:
                 x = gru.flat(trainer.p)
-                yield _blocks({k: (trainer.tokens, x[k * BLOCK:(k + 1) * BLOCK])
+                task = TaskContext.get().partitionId()
+                yield _blocks({(k, task // FAN): (trainer.tokens, x[k * BLOCK:(k + 1) * BLOCK])
                                for k in range(-(-len(x) // BLOCK))})
 
         share = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(turns)) == turn)
-        rows = (share.mapInArrow(learn, BLOCKS).repartition(AVERAGERS, "k")
+        copies = share.mapInArrow(learn, BLOCKS)
+        for _ in range(STEPS):
+            copies = copies.repartition("k", "copies").mapInArrow(_average, BLOCKS)
+        rows = (copies.withColumn("copies", F.lit(0).cast("long")).repartition("k")
                 .mapInArrow(_average, BLOCKS).toArrow().sort_by("k"))
         if rows.num_rows:  # one row per block
             params = gru.unflat(np.concatenate(
@@ -146,24 +155,26 @@ def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Pa
     return params
 
 
-def _blocks(found: dict[int, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+def _blocks(found: dict[tuple[int, int], tuple[int, np.ndarray]]) -> pa.RecordBatch:
+    """Rows of (block, group of copies) -> (tokens, parameters)."""
     return pa.RecordBatch.from_arrays([
-        pa.array(list(found), pa.int32()), pa.array([n for n, _ in found.values()], pa.int64()),
+        pa.array([k for k, _ in found], pa.int32()), pa.array([g for _, g in found], pa.int64()),
+        pa.array([n for n, _ in found.values()], pa.int64()),
         pa.array([x.astype(np.float32).tobytes() for _, x in found.values()], pa.binary())],
-        names=["k", "tokens", "x"])
+        names=["k", "copies", "tokens", "x"])
 
 
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each block once, averaged by tokens. What is held follows the number of
-    parameters, not of copies."""
-    total: dict[int, list] = {}
+    """Each block of a group of copies once, averaged by tokens, in the next
+    step's group. What is held follows the groups of a task, not the copies."""
+    total: dict[tuple[int, int], list] = {}
     for b in batches:
-        for k, n, x in zip(*(c.to_pylist() for c in b.columns)):
-            held = total.setdefault(k, [0, 0.0])
+        for k, g, n, x in zip(*(c.to_pylist() for c in b.columns)):
+            held = total.setdefault((k, g), [0, 0.0])
             held[0] += n
             held[1] = held[1] + np.frombuffer(x, np.float32).astype(float) * n
-    if total:
-        yield _blocks({k: (n, x / n) for k, (n, x) in total.items()})
+    for (k, g), (n, x) in total.items():
+        yield _blocks({(k, g // FAN): (n, x / n)})
 
 
 SCORED = ("row long, doc_id long, n_tokens long, n_known long, n_rest long, known_log double, "
