@@ -13,7 +13,9 @@ partitioning); that bound holds whatever the corpus's size, and so does the
 size of the weights that go to the tasks. Every document is scored, whole.
 Labels, language, source and id are never features.
 
-Defined cases: null, empty and wordless texts have the bias alone; rows of a
+Defined cases: null, empty and wordless texts have the bias alone; very long
+texts are scored whole, by themselves; repeated rows are scored, and learned
+from, one by one; extra columns are not read; rows of a
 null id are scored, and count as not held out; null labels are not learned
 from; without any label every score is 0.5; an empty table gives no rows.
 """

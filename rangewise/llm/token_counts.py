@@ -10,7 +10,9 @@ place less the previous one's, wherever that lies.
 Tasks hold one block; the scan sees a row per block. Nothing depends on
 how long a document is or how many blocks it crosses.
 
-Defined cases: an empty document has no tokens; ids after a file's last
+Defined cases: null and empty texts have no tokens; rows of a null id and rows that
+repeat an id are counted one by one; extra columns are not read; an empty
+document in a file has no tokens; ids after a file's last
 separator are a last document (``closed`` is false); an empty file has no
 documents; no files give no rows.
 """

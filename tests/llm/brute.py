@@ -192,3 +192,86 @@ def spelling(rows, every=199, least=5):
     def root(w):
         return root(form[w]) if w in form else w
     return sorted((w, form.get(w) or "", root(w), n[w], len(near[w]), n.get(form.get(w), 0)) for w in n)
+
+
+def maximal_repeats(words, least):
+    """Per place the longest maximal repeated substring of ``least`` words or
+    more that starts there (0 if none): no occurrence count survives a word more
+    on either side."""
+    n, out = len(words), [0] * len(words)
+    for size in range(least, n):
+        places = {}
+        for k in range(n - size + 1):
+            places.setdefault(tuple(words[k:k + size]), []).append(k)
+        for at in places.values():
+            before = {words[k - 1] if k else None for k in at}
+            after = {words[k + size] if k + size < n else None for k in at}
+            if len(at) > 1 and len(before) > 1 and len(after) > 1:
+                for k in at:
+                    out[k] = size
+    return out
+
+
+def gru_log10(p, ids, size, units):
+    """log10 probability of each word id after those before it, number by number."""
+    def sigmoid(x):
+        return 1 / (1 + math.exp(-x))
+
+    def log_softmax(scores, k):
+        top = max(scores)
+        return scores[k] - top - math.log(sum(math.exp(x - top) for x in scores))
+
+    h, out = [0.0] * units, []
+    for given, target in zip([-1, *ids], ids):
+        a = [float(x) for x in p["embed"][given]]
+        s = [sum(h[i] * float(p["state"][i][j]) for i in range(units)) for j in range(3 * units)]
+        r = [sigmoid(a[i] + s[i]) for i in range(units)]
+        z = [sigmoid(a[units + i] + s[units + i]) for i in range(units)]
+        n = [math.tanh(a[2 * units + i] + r[i] * s[2 * units + i]) for i in range(units)]
+        h = [(1 - z[i]) * n[i] + z[i] * h[i] for i in range(units)]
+        c, w = divmod(target, size)
+        log = log_softmax([float(p["class_b"][k]) + sum(h[i] * float(p["class_w"][i][k]) for i in range(units))
+                           for k in range(size + 1)], c)
+        if c < size:
+            log += log_softmax([float(p["word_b"][c][k]) + sum(h[i] * float(p["word_w"][c][i][k])
+                                                               for i in range(units)) for k in range(size)], w)
+        out.append(log / math.log(10))
+    return out
+
+
+def regularised_leader(rows, epochs, alpha, beta, l1, l2):
+    """Weights {feature: weight} after follow-the-regularised-leader updates on
+    ({feature: value}, label) rows."""
+    z, n = Counter(), Counter()
+
+    def weight(f):
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - math.copysign(l1, z[f])) / ((beta + math.sqrt(n[f])) / alpha + l2)
+
+    for _ in range(epochs):
+        for values, label in rows:
+            w = {f: weight(f) for f in values}
+            p = 1 / (1 + math.exp(-sum(w[f] * v for f, v in values.items())))
+            for f, v in values.items():
+                g = (p - label) * v
+                step = (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / alpha
+                z[f] += g - step * w[f]
+                n[f] += g * g
+    return {f: weight(f) for f in z}
+
+
+def quality_features(text):
+    """{n-gram: value} of words and word shapes, and the bias."""
+    raw = SPACED.findall(text or "")
+    shapes = []
+    for w in raw:
+        kinds = ["A" if "A" <= c <= "Z" else "a" if "a" <= c <= "z" or ord(c) > 127
+                 else "0" if "0" <= c <= "9" else c for c in w]
+        shapes.append("".join(k for k, _ in itertools.groupby(kinds)))
+    count = Counter()
+    for kind, units, most in (("word", [low(w) for w in raw], 2), ("shape", shapes, 3)):
+        for n in range(1, most + 1):
+            count.update((kind, *units[k:k + n]) for k in range(len(units) - n + 1))
+    norm = max(math.sqrt(sum(c * c for c in count.values())), 1.0)
+    return {**{f: c / norm for f, c in count.items()}, "bias": 1.0}

@@ -180,6 +180,33 @@ def test_quality_rules(clashing, texts):
         assert r.kept == (not r.base_failed and 100 * r.n_covered_words <= 15 * len(w) and longest <= 100)
 
 
+def test_maximal_repeats_from_intervals():
+    import numpy as np
+    rng = np.random.default_rng(6)
+    for _ in range(150):
+        sizes = rng.integers(0, 30, rng.integers(1, 5))
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        codes, least = rng.integers(0, rng.integers(1, 4), at[-1]), int(rng.integers(1, 4))
+        if not len(codes):
+            continue
+        sa, levels = quality_rules.suffix_order(codes, at)
+        lcp = quality_rules.neighbour_lcp(sa, levels, least)
+        size, low, high, parent, _ = quality_rules.lcp_intervals(lcp)
+        for v, a, z, up in zip(size, low, high, parent):  # runs that share v words and no more
+            assert lcp[a + 1:z + 1].min() == v and lcp[a] < v and (z + 1 == len(lcp) or lcp[z + 1] < v)
+            assert up < 0 or (size[up] < v and low[up] <= a and z <= high[up])
+        got = np.zeros(len(codes), int)
+        got[sa] = quality_rules.maximal_repeats(codes, at, sa, lcp)
+        want = [x for a, z in zip(at, at[1:]) for x in brute.maximal_repeats(codes[a:z].tolist(), least)]
+        assert got.tolist() == want
+
+
+def test_one_long_repetitive_text(docs):
+    text = " ".join(["round and round"] * 60_000)
+    r = quality_rules.quality_rules(docs([text])).first()
+    assert (r.n_words, r.n_repeat_words, r.longest_repeat, r.kept) == (180_000, 180_000, 179_997, False)
+
+
 def test_quality_rules_filter_keeps_clean_rows(docs):
     table = docs([varied(50), "too short", None, " ".join(["again and again we say it"] * 9)])
     out = quality_rules.kept_documents(table)
@@ -230,6 +257,20 @@ def test_near_duplicates_near_the_limit(docs):
     assert len(set(want.values())) > 3 and got == want
 
 
+def test_near_duplicates_with_hot_keys(docs, monkeypatch):
+    """A set, a bucket and a hub of many rows, and many rows without words or id."""
+    monkeypatch.setattr(minhash, "SALT_ROWS", 2)
+    monkeypatch.setattr(minhash, "SALT_TEXTS", 2)
+    base, other = varied(150), varied(60)
+    rows = [(k, base) for k in range(40)] + [(100 + k, edited(base, k % 4)) for k in range(40)]
+    rows += [(200 + k, " " * k) for k in range(20)] + [(300, other), (301, edited(other, 1))]
+    want = {k: v for k, v in brute.near_components(rows).items()}
+    out = minhash.near_duplicates(docs([*rows, (5, base), *[(None, base)] * 9])).collect()
+    assert len(out) == len(rows) + 10
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out if r.doc_id is not None} == want
+    assert all(r.component_id is None and r.kept for r in out if r.doc_id is None)
+
+
 def test_tiles_join_components(spark):
     """Members of a bucket in different components, without any star."""
     base = varied(60)
@@ -281,6 +322,24 @@ def test_suffix_dedup_repeated_and_null_ids(docs):
         (0, PASSAGE), (4, PASSAGE), (4, PASSAGE), (6, "")]
 
 
+def test_suffix_dedup_deals_null_ids_over_buckets(spark, docs):
+    big = 2 ** 62 + 1
+    rows = [(None, PASSAGE + str(k)) for k in range(60)] + [(big, PASSAGE), (big + 1, "x" + PASSAGE)]
+    out = suffix_dedup.suffix_dedup(docs(rows), keep_text=True)
+    got = sorted((r.doc_id or 0, r.n_removed, bytes(r.kept).decode()) for r in out.collect())
+    assert got == sorted([(0, 0, t) for _, t in rows[:60]] + [
+        (big, 0, PASSAGE), (big + 1, len(PASSAGE.encode()), "x")])
+
+
+def test_first_two_copies_reach_the_suffix_array():
+    import numpy as np
+    key, seg = np.array([7] * 6 + [8], np.uint64), np.array([1] * 5 + [2, 1], np.uint64)
+    doc, start = np.array([3, 1, 1, 2, 9, 1, 1]), np.array([0, 5, 5, 0, 0, 5, 5])
+    order, early, gone = suffix_dedup._settle(key, seg, doc, start)
+    rows = lambda k: sorted(zip(*(x[order][k].tolist() for x in (key, seg, doc))))
+    assert rows(early) == [(7, 1, 1), (7, 1, 2), (7, 2, 1), (8, 1, 1)] and rows(gone) == [(7, 1, 3), (7, 1, 9)]
+
+
 def test_suffix_dedup_of_a_text_in_pieces(docs, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HASH_BYTES", 700)
     text = varied(500)

@@ -291,3 +291,111 @@ def test_lm_vocabulary_follows_the_corpus(docs):
     assert set(head.ids(found).tolist()) == set(range(1, 901)) and head.rest == 31 * 31
     held = [r for r in lm_score.lm_score(docs(rows)).collect() if r.held_out]
     assert len(held) > 20 and all(r.score > r.base_score for r in held)
+
+
+def test_lm_score_token_by_token(docs, monkeypatch):
+    """The score from the learned parameters, one number after the other."""
+    kept, train = {}, lm_score.train
+
+    def spied(table, head, total, **kw):
+        kept.update(head=head, p=train(table, head, total, **kw))
+        return kept["p"]
+
+    monkeypatch.setattr(lm_score, "train", spied)
+    monkeypatch.setattr(lm_score, "SHARE", 300)
+    rnd = random.Random(8)
+    pool = [f"w{k}" for k in range(700)]
+    texts = [" ".join(rnd.choice(pool[:int(700 * rnd.random()) + 1]) for _ in range(70)) for _ in range(40)]
+    texts += [None, "", "never seen words here"]
+    rows = {r.doc_id: r for r in lm_score.lm_score(docs(texts)).collect()}
+    head, p = kept["head"], kept["p"]
+    tokens = {k: [*brute.SPACED.findall(brute.low(t)), None] for k, t in enumerate(texts)}
+    count = Counter(w for k, x in tokens.items() if zlib.crc32(str(k).encode()) % 7 != 2 for w in x)
+    names = sorted({w for x in tokens.values() for w in x if w is not None})
+    hashed = lm_score.word_hashes(pa.array(names))
+    ids = dict(zip([*names, None], head.ids(np.append(hashed, lm_score.END)).tolist()))
+    rest = [w for w in count if ids[w] == head.rest]
+    assert len(rest) > 100
+    below = sum(count[w] for w in rest) + len(rest) + 1
+    for k in [0, 5, 17, 39, 40, 41, 42]:
+        x = [ids[w] for w in tokens[k]]
+        want = sum(brute.gru_log10(p, x, head.size, gru.UNITS))
+        want += sum(math.log10((count[w] + 1) / below) for w in tokens[k] if ids[w] == head.rest)
+        assert abs(rows[k].score - want) < 1e-3 * max(1, abs(want)), k
+
+
+def test_lm_scores_of_repeated_and_null_ids(docs):
+    texts = [varied(30) for _ in range(12)]
+    out = lm_score.lm_score(docs([*enumerate(texts), (3, texts[3]), (3, texts[4]), (None, texts[3]),
+                                  (None, None)])).collect()
+    assert len(out) == 16
+    assert len({round(r.score, 3) for r in out if r.n_tokens == 31 and r.doc_id == 3}) == 2
+    assert [(r.held_out, r.n_tokens) for r in out if r.doc_id is None and r.n_tokens == 1] == [(False, 1)]
+
+
+def test_copies_are_averaged_in_a_tree():
+    rng = np.random.default_rng(0)
+    found = {(k, g): (int(rng.integers(1, 9)), rng.random(3).astype(np.float32)) for k in range(2) for g in range(200)}
+    want = {k: sum(n * x.astype(float) for (j, _), (n, x) in found.items() if j == k)
+            / sum(n for (j, _), (n, _) in found.items() if j == k) for k in range(2)}
+    rows = [lm_score._blocks({(k, g // lm_score.FAN): v}) for (k, g), v in found.items()]
+    for _ in range(lm_score.STEPS):
+        rows = list(lm_score._average(iter(rows)))
+    assert sum(b.num_rows for b in rows) == 2
+    for b in rows:
+        assert np.allclose(np.frombuffer(b["x"][0].as_py(), np.float32), want[b["k"][0].as_py()], rtol=1e-5)
+
+
+def test_classifier_equals_plain_updates(spark, docs):
+    """Every score from weights that plain loops learn on unhashed features."""
+    table, labels = labelled(spark, docs, 120)
+    text = {r.doc_id: r.text for r in table.collect()}
+    learn = {r.doc_id: r.quality for r in labels.where("doc_id < 121 and quality is not null").collect()
+             if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.doc_id in text}
+    pairs = [(k, y) for k, y in learn.items()] + []
+    order = np.argsort(quality_classifier.mix(np.array([k for k, _ in pairs], np.uint64)), kind="stable")
+    rows = [(brute.quality_features(text[pairs[i][0]]), pairs[i][1]) for i in order]
+    w = brute.regularised_leader(rows, quality_classifier.EPOCHS, quality_classifier.ALPHA, quality_classifier.BETA,
+                                 quality_classifier.L1, quality_classifier.L2)
+    got = {r.doc_id: r.score for r in quality_classifier.classify(table, labels).collect()}
+    far = 0
+    for k, t in text.items():
+        dot = sum(w.get(f, 0.0) * v for f, v in brute.quality_features(t).items())
+        far += abs(got[k] - 1 / (1 + math.exp(-dot))) > 0.02  # two features in one of 2^18 places
+    assert len(got) == len(text) and far <= 0.05 * len(text)
+
+
+def test_classifier_of_odd_rows(spark, clashing):
+    texts = [*ODD, varied(40), varied(40)]
+    table = clashing([*enumerate(texts), (3, texts[3]), (None, texts[3])])
+    labels = spark.createDataFrame([(k, k % 2, 0) for k in range(len(texts))], "doc_id long, quality int, toxic int")
+    out = quality_classifier.classify(table, labels).collect()
+    assert len(out) == len(texts) + 2 and all(0 <= r.score <= 1 for r in out)
+    assert len({r.score for r in out if r.doc_id in (3, None)}) == 1
+
+
+def test_token_counts_of_null_and_repeated_ids(docs):
+    rows = [(3, "b"), (3, "b"), (3, "a c"), (None, "c"), (None, None)]
+    got = sorted((r.doc_id or 0, r.n_tokens) for r in token_counts.counted(docs(rows)).collect())
+    coder = tokens.Encoder(tokens.default_path(), special_as_text=True).tokenizer
+    assert got == sorted((i or 0, len(coder.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+
+
+def test_packing_of_null_and_repeated_ids(docs):
+    long = "word " * 3000
+    rows = packing.pack(docs([(3, long), (3, long), (3, "a"), (None, long), (None, None)])).collect()
+    check_packing(rows, 2048)
+    n = [len(library_ids(t)) + 1 for t in (long, "a", None)]
+    assert sorted((r.doc_id or 0, r.piece, r.start, r.length) for r in rows) == sorted(
+        [(i, p, p * 2048, min(2048, n[0] - p * 2048)) for i in (0, 3, 3) for p in range(-(-n[0] // 2048))]
+        + [(3, 0, 0, n[1]), (0, 0, 0, n[2])])
+
+
+def test_packing_stops_at_the_volume_bound():
+    plan = packing.solve({1024: 4000, 512: 4000})
+    assert plan.sequences == plan.bound == 3000
+    rng = np.random.default_rng(0)
+    lengths, counts = np.unique(rng.integers(1, 2048, 300), return_counts=True)
+    plan = packing.solve(dict(zip(lengths.tolist(), counts.tolist())))
+    alone = sum(times for _, times in packing.best_fit(lengths, counts, 2048))
+    assert plan.bound <= plan.sequences <= alone
