@@ -9,24 +9,23 @@ the corpus:
    in it. Equal strings have equal anchors, and the strings of one anchor
    occurrence start at consecutive places, so an occurrence is a segment of
    100 to 168 bytes. A map pass emits segments as (anchor, segment hash,
-   place), without text, packed column-wise. Of segments that repeat within the
-   task the first two go on; later copies are copies of these and go.
-2. Per anchor the same over the whole corpus: the first two of each class of
-   equal segments go on, where an anchor has more than one segment at all.
+   place), without text, packed column-wise. Segments that repeat within the
+   task are settled there: all but the first go.
+2. Per anchor, equal segments are settled the same way over the whole corpus.
+   Only anchors with different segments left go on, a segment once each.
 3. Documents meet those requests and send the segments' bytes to the anchor's
-   bucket, where the segments of an anchor form one text, and a suffix array
-   of it groups equal 100-byte strings; all but the first of a group go.
+   bucket, where the different segments of an anchor form one text, and a
+   suffix array of it groups equal 100-byte strings; all but the first of a
+   group go.
 4. Documents meet the spans to be removed.
 
-A group of copies thus costs two segments per task, not one per copy, and every
-repeated string is found by a suffix array; hashes only say which further
-copies share a found one's fate. An anchor with
+A group of copies thus costs a segment per task, not per copy. An anchor with
 over ``HOT_VARIANTS`` different segments is divided by a second anchor inside
 each segment, chosen by another hash. Documents are shuffled once (one
 exchange serves 3 and 4). Tasks hold a bucket of documents or segments; there
 are ``8 * spark.sql.shuffle.partitions`` buckets, so that setting sizes them.
 
-Further copies are told by hashes of 40 and 64 bits together; strings inside
+Equal segments are told by hashes of 40 and 64 bits together; strings inside
 the suffix arrays are compared by their bytes.
 
 Defined cases: null and empty texts have no bytes; texts of under 100 bytes
@@ -239,9 +238,9 @@ def _spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray, buckets: int):
 
 
 def _settle(key, seg, doc, start):
-    """Order of the rows by (anchor, segment, place), whether each is one of
-    the first two places of its (anchor, segment), and whether it is a later
-    one. A row that repeats the first place is neither."""
+    """Order of the rows by (anchor, segment, place), whether each is the
+    first of its (anchor, segment), and whether it is at a later place. A row
+    that repeats the first place is neither."""
     with np.errstate(over="ignore"):
         joint = mix(key) + seg
     order = np.lexsort((start, doc, seg, joint))
@@ -250,9 +249,7 @@ def _settle(key, seg, doc, start):
     first[1:] = (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])
     head = np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
     again = ~first & ((doc != doc[head]) | (start != start[head]))
-    count = np.cumsum(again)
-    second = again & (count - count[head] == 1)
-    return order, first | second, again & ~second
+    return order, first, again
 
 
 def _collected(batches: Iterator[pa.RecordBatch], kind: int):
@@ -284,10 +281,10 @@ def _find(docs: DataFrame, buckets: int) -> DataFrame:
             return
         columns = [np.concatenate(x) for x in zip(*found)]
         del found
-        order, early, gone = _settle(*columns[:4])
+        order, first, gone = _settle(*columns[:4])
         columns = [c[order] for c in columns]
         yield from _batches(_spans(*(c[gone] for c in columns[2:]), buckets))
-        columns = [c[early] for c in columns]
+        columns = [c[first] for c in columns]
         yield from _batches(_dealt((columns[0] % np.uint64(buckets)).astype(np.int64), ANCHORS, *columns))
 
     return docs.mapInArrow(find, PACKED)
@@ -301,10 +298,10 @@ def _match(found: DataFrame, buckets: int, hot: int) -> DataFrame:
         yield from _batches(iter(others))
         if columns is None:
             return
-        order, early, gone = _settle(*columns[:4])
+        order, first, gone = _settle(*columns[:4])
         columns = [c[order] for c in columns]
         yield from _batches(_spans(*(c[gone] for c in columns[2:]), buckets))
-        key, _, doc, start, n = (c[early] for c in columns)
+        key, _, doc, start, n = (c[first] for c in columns)
         order = np.argsort(key, kind="stable")
         key, doc, start, n = key[order], doc[order], start[order], n[order]
         edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
