@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rangewise.functions.geo import edges_area, rings_to_edges
+from rangewise.plans import snapshots
 from rangewise.plans.refresh import refresh
 from rangewise.schemas import OBSERVATIONS_RAW, OBSERVERS_RAW, PRODUCTION, STAGING, TAXA_RAW
 from rangewise.session import scratch_path
@@ -273,6 +274,20 @@ def refresh_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def snapshot_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the production tables as a reader of each of two committed
+    versions finds them; the first reader is there before the second commit."""
+    folder = scratch_path(spark, "snapshots")
+    held = []
+    for _ in range(2):
+        snapshots.commit(spark, folder, refresh(spark, fixtures.raw_tables(spark, sf_dir)).root)
+        held.append(snapshots.snapshot(spark, folder))
+    return reduce(DataFrame.unionByName, [
+        s.frame(spark, PRODUCTION, n).agg(F.count(F.lit(1)).alias("records")).select(
+            F.lit(s.version).alias("version"), F.lit(n).alias("table_name"), "records")
+        for s in held for n in ("taxa", "species_geospatial", "observers", "species_observations")])
+
+
 def clean_layer(layer_src: DataFrame, out_path: str) -> DataFrame:
     """Stand-alone layer cleaning: one pass over the text columns (geometry
     text excluded), written with the source's schema and read back."""

@@ -394,6 +394,21 @@ FROM turned GROUP BY r, l_orderkey, l_linenumber, shift
 """
 
 
+def _rollup_sql() -> str:
+    return with_ctes(
+        "SELECT ancestry_id, taxon_rank, count(DISTINCT taxon_id) AS taxa FROM taxa_x "
+        "WHERE ancestry_id IS NOT NULL GROUP BY ALL")
+
+
+def _snapshot_sql() -> str:
+    """Rows of the four production tables, for each of two versions."""
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS records FROM {cte}" for name, cte in (
+            ("taxa", "taxa_x"), ("species_geospatial", "ranges"), ("observers", "observers_dim"),
+            ("species_observations", "fact")))
+    return with_ctes(f"SELECT version::INTEGER AS version, c.* FROM ({counts}) c, (VALUES (1), (2)) v(version)")
+
+
 def oracle_sql() -> dict[str, str]:
     fact_cols = ("observation_uuid, observer_id, latitude, longitude, positional_accuracy_in_metres, "
                  "taxon_id, quality_grade, observation_date, observed_in_known_area")
@@ -465,9 +480,11 @@ def oracle_sql() -> dict[str, str]:
         "hist_day": _with_hist(
             f"SELECT CAST(count(*) AS DOUBLE) AS x FROM fact WHERE observation_date >= {SINCE} "
             "GROUP BY observation_date"),
-        "rank_rollup": with_ctes(
-            "SELECT ancestry_id, taxon_rank, count(DISTINCT taxon_id) AS taxa FROM taxa_x "
-            "WHERE ancestry_id IS NOT NULL GROUP BY ALL"),
+        "rank_rollup": _rollup_sql(),
+        "rank_rollup_intervals": _rollup_sql(),
+        "taxa_below_class": with_ctes(
+            f"SELECT * FROM taxa_raw WHERE starts_with(ancestry || '/', '{CLASS_PATH}/')"),
+        "snapshot_tables": _snapshot_sql(),
         "taxa_fanout": with_ctes(
             "SELECT min(cnt) AS min_cnt, max(cnt) AS max_cnt, avg(cnt) AS avg_cnt, "
             "CAST(median(cnt) AS DOUBLE) AS median_cnt "

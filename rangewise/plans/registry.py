@@ -157,6 +157,9 @@ def queries() -> dict[str, Query]:
         "hist_month": _ws(R.hist_month),
         "hist_day": _ws(R.hist_day),
         "rank_rollup": _w(R.rank_rollup),
+        "rank_rollup_intervals": _w(R.rank_rollup_intervals),
+        "taxa_below_class": _w(R.taxa_below_class),
+        "snapshot_tables": jobs.snapshot_tables,
         "taxa_fanout": _w(R.taxa_fanout),
         "taxon_lookup": _w(R.taxon_lookup),
         "active_species": _w(R.active_species),

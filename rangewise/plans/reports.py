@@ -13,6 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rangewise.operators import intervals
 from rangewise.operators.histogram import fanout, histogram_of_counts
 from rangewise.operators.taxa import class_species
 from rangewise.plans.model import Warehouse
@@ -151,6 +152,16 @@ def rank_rollup(w: Warehouse) -> DataFrame:
             .agg(F.countDistinct("taxon_id").alias("taxa")))
 
 
+def rank_rollup_intervals(w: Warehouse) -> DataFrame:
+    """The same from taxa counted per path, without the exploded table."""
+    return intervals.rollup(w.raw.taxa_raw, w.scope)
+
+
+def taxa_below_class(w: Warehouse) -> DataFrame:
+    """Taxa below the class, by the range of its interval label."""
+    return intervals.taxa_below(w.raw.taxa_raw, w.scope.path_prefix)
+
+
 def taxa_fanout(w: Warehouse) -> DataFrame:
     """How many exploded rows each taxon has: min / max / mean / median."""
     per = w.taxa.groupBy("taxon_id").agg(F.count(F.lit(1)).alias("cnt"))
