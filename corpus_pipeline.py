@@ -8,8 +8,8 @@ have; the last returns packed pieces.
 
 Defined cases: the quality rules reject null and empty texts, so later stages
 see neither unless a stage empties a text (its row stays). Among near copies
-the least doc_id stays; a null id is a group of its own unless its text is a near
-copy, and ranks before all others. Repeated rows (equal id and text) share every
+the least doc_id stays; rows of a null id are groups of their own there and stay,
+and rank before all others in line dedup. Repeated rows (equal id and text) share every
 verdict and all stay. Texts of any length are taken whole. Empty tables give
 empty stages; an empty benchmark cuts nothing.
 """
