@@ -1,4 +1,4 @@
-"""Record-owning splits of plain text files, as a Spark data source.
+"""Record-owning splits of text files, as a Spark data source.
 
 A file is cut into byte ranges. A record (a line, which an escaped line feed
 continues) belongs to the range that its first byte lies in; the range's task
@@ -9,7 +9,9 @@ A line feed ends a record unless an odd number of backslashes stands before
 it. A task that begins inside a file looks for the first such line feed at or
 after the byte before its range, counting backslashes back across the range's start if need be.
 A file's first line is its header. The last record may end without a line feed.
-A task holds one block of its file (or one record, if that is longer).
+A task takes as many ranges as give every core some, reads no further than its ranges
+and their last records need, and holds one block of its file (or one record, if that is longer).
+A gzip file has no places to begin at: it is one range, decompressed a block at a time.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from rangewise.session import ship_package
 #: Bytes of a range, and of the blocks that a task reads.
 RANGE_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+#: Least bytes that a task reads at once, and tasks to a core while files are small.
+LEAST_READ, TASKS = 64 << 10, 16
 #: Schemes of paths that tasks can open by themselves.
 SCHEMES = ("", "file", "hdfs", "s3", "s3a", "gs")
 
@@ -103,6 +107,10 @@ def owned(path: str, start: int, end: int, block_bytes: int = BLOCK_BYTES) -> It
     """Batches of the records that begin in [start, end) of a file."""
     with opened(path) as source:
         size = source.size()
+
+        def read(at: int) -> bytes:
+            """Up to the range's end at once, then in small steps."""
+            return source.read_at(min(block_bytes, max(end - at, LEAST_READ), size - at), at)
         at = start
         if start:  # after the first line feed from the byte before that ends a record
             at, escaped = start - 1, _odd_before(source, start - 1)
@@ -110,62 +118,101 @@ def owned(path: str, start: int, end: int, block_bytes: int = BLOCK_BYTES) -> It
             escaped = False
         first = None
         while first is None and at < size:
-            block = np.frombuffer(source.read_at(min(block_bytes, size - at), at), np.uint8)
+            held = read(at)
+            block = np.frombuffer(held, np.uint8)
             # the header ends at its line feed, whatever stands before
             ends = record_ends(block, escaped) if start else np.flatnonzero(block == _NEWLINE)
             if len(ends):
                 first = at + int(ends[0]) + 1
-            else:
-                at += len(block)
+                held = held[int(ends[0]) + 1:]
+            at += len(block)
+            if first is None:
                 escaped = _odd_before(source, at) if start else False
         if first is None or first >= min(end, size):
             return
-        held, begin = b"", first  # bytes from record start ``begin`` on
-        at = first
-        while begin < end and begin < size:
-            block = source.read_at(min(block_bytes, size - at), at)
-            at += len(block)
-            held += block
-            data = np.frombuffer(held, np.uint8)
-            ends = record_ends(data)
-            if at >= size and (not len(ends) or ends[-1] < len(data) - 1):
-                # the file's last record ends with it, or with a line feed that looks escaped
-                tail = len(data) - 1 if data[-1] == _NEWLINE else len(data)
-                ends = np.append(ends, tail)
-            starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-            mine = ends[begin + starts < end]
-            if len(mine):
-                yield _batch(data[:mine[-1]], mine)
-            if not len(ends):
-                continue
-            if len(mine) < len(ends) or at >= size:
-                return
+
+        def blocks() -> Iterator[tuple[bytes, bool]]:
+            place, block = at, held
+            while True:
+                yield block, place >= size
+                block = read(place)
+                place += len(block)
+        yield from _records(blocks(), min(end, size) - first)
+
+
+def streamed(path: str, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches of the records of a whole gzip file."""
+    system, name = _located(path)
+
+    def blocks(source) -> Iterator[tuple[bytes, bool]]:
+        header, block = True, source.read(block_bytes)
+        while block:
+            following = source.read(block_bytes)
+            if header:  # it ends at its line feed, whatever stands before
+                at = block.find(b"\n")
+                header, block = at < 0, block[at + 1:] if at >= 0 else b""
+            yield block, not following
+            block = following
+    with system.open_input_stream(name, compression="gzip") as source:
+        yield from _records(blocks(source))
+
+
+def _records(blocks: Iterator[tuple[bytes, bool]], end: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of the records that begin before byte ``end`` (all, if not given) of
+    consecutive blocks. The first begins with a record; the file's last is marked."""
+    held, begin = b"", 0  # bytes from record start ``begin`` on
+    for block, last in blocks:
+        held += block
+        data = np.frombuffer(held, np.uint8)
+        ends = record_ends(data)
+        if last and len(data) and (not len(ends) or ends[-1] < len(data) - 1):
+            # the file's last record ends with it, or with a line feed that looks escaped
+            tail = len(data) - 1 if data[-1] == _NEWLINE else len(data)
+            ends = np.append(ends, tail)
+        starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+        mine = ends if end is None else ends[begin + starts < end]
+        if len(mine):
+            yield _batch(data[:mine[-1]], mine)
+        if last or len(mine) < len(ends):
+            return
+        if len(ends):
             begin += int(ends[-1]) + 1
             held = held[int(ends[-1]) + 1:]
+            if end is not None and begin >= end:
+                return
 
 
 class _Range(InputPartition):
-    def __init__(self, path: str, start: int, end: int):
+    """Bytes [start, end) of a file, in ranges; a whole gzip file has no end."""
+
+    def __init__(self, path: str, start: int, end: int | None):
         super().__init__((path, start, end))
 
 
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.files = json.loads(options["files"])
-        self.range_bytes = int(options["range_bytes"])
+        self.range_bytes, self.tasks = int(options["range_bytes"]), int(options["tasks"])
 
     def partitions(self) -> list[InputPartition]:
-        return [_Range(path, s, min(s + self.range_bytes, size)) for path, size in self.files
-                for s in range(0, size, self.range_bytes)] or [_Range("", 0, 0)]
+        plain = [(path, size) for path, size in self.files if not packed(path)]
+        # whole ranges to a task, up to RANGE_BYTES
+        share = min(sum(size for _, size in plain) // self.tasks, RANGE_BYTES)
+        step = max(share // self.range_bytes, 1) * self.range_bytes
+        return [*(_Range(path, s, min(s + step, size)) for path, size in plain for s in range(0, size, step)),
+                *(_Range(path, 0, None) for path, _ in self.files if packed(path))] or [_Range("", 0, 0)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         path, start, end = partition.value
-        if path:
-            yield from owned(path, start, end)
+        if path and end is None:
+            yield from streamed(path)
+        elif path:
+            for s in range(start, end, self.range_bytes):
+                yield from owned(path, s, min(s + self.range_bytes, end))
 
 
 class EscapedRecords(DataSource):
-    """Records of plain text files (options: files, range_bytes)."""
+    """Records of plain or gzip text files (options: files, range_bytes, tasks)."""
 
     @classmethod
     def name(cls) -> str:
@@ -178,16 +225,21 @@ class EscapedRecords(DataSource):
         return _Reader(self.options)
 
 
+def packed(path: str) -> bool:
+    return path.lower().endswith(".gz")
+
+
 def readable(path: str) -> bool:
     """True for paths whose scheme tasks can open."""
     return (path.split(":", 1)[0] if ":" in path else "") in SCHEMES
 
 
 def read_records(spark: SparkSession, paths: list[str], range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """The records (without headers) of plain files, one row each."""
+    """The records (without headers) of plain or gzip files, one row each."""
     ship_package(spark)
     spark.dataSource.register(EscapedRecords)
     listed = spark.read.format("binaryFile").load(paths).select("path", "length")  # no content is read
     files = sorted((r.path, r.length) for r in listed.collect())  # a row per file
     return (spark.read.format("escaped_records").option("files", json.dumps(files))
-            .option("range_bytes", str(range_bytes)).load())
+            .option("range_bytes", str(range_bytes))
+            .option("tasks", str(TASKS * spark.sparkContext.defaultParallelism)).load())

@@ -9,16 +9,17 @@ gzip-compressed, which makes each file one split.
 
 Reading is two steps:
 
-1. record assembly in ``mapInPandas`` (per partition, in file order): drop
-   the first line of every file, glue escaped-newline continuations;
+1. record assembly: drop the first line of every file, glue escaped-newline
+   continuations;
 2. field splitting, unescaping and typing as column expressions (JVM-side).
    A record with the wrong field count or a malformed number fails the job.
 
-Gzip files (the upstream format) are one split each: one pass. Plain files
-are read by ``sources.records``: byte ranges that own the records beginning in
-them, one pass, any number of tasks to a file. Only where tasks cannot open a
-plain file by themselves (a scheme that only Spark's readers know), Spark
-splits it, and a record may straddle a split boundary; each split
+Files are read by ``sources.records``, each record once: plain files in byte
+ranges that own the records beginning in them, any number of tasks to a file; a gzip
+file (the upstream format) in one task. Only where tasks cannot open a
+file by themselves (a scheme that only Spark's readers know), Spark reads the lines and
+``mapInPandas`` assembles them per partition, in file order. Spark splits plain files
+there, and a record may straddle a split boundary; each split
 then also emits at most two boundary fragments (its leading lines up to the
 first record end, its unfinished last record), glued per file in split
 order by a small grouped step. That path evaluates the assembly twice (once
@@ -30,12 +31,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rangewise.session import ship_package
-from rangewise.sources.records import RANGE_BYTES, read_records, readable
+from rangewise.sources.records import RANGE_BYTES, packed, read_records, readable
 
 # --- fixed values -----------------------------------------------------------
 NULL_MARKER = "\\N"        # a field holding exactly backslash-N is NULL
@@ -138,7 +140,9 @@ def _protected(record: Column) -> Column:
 
 
 def _unescape(field: Column) -> Column:
-    out = F.regexp_replace(field, r"(?s)\\(.)", "$1")
+    # no backslash stands beside another here: line feeds need no pattern
+    out = F.replace(field, F.lit("\\\n"), F.lit("\n"))
+    out = F.when(F.contains(out, F.lit("\\")), F.regexp_replace(out, r"(?s)\\(.)", "$1")).otherwise(out)
     for code, meant in _MEANT:
         out = F.replace(out, F.lit(code), F.lit(meant))
     return out
@@ -168,15 +172,10 @@ def read_escaped_tsv(spark: SparkSession, path: str, schema: T.StructType,
     ship_package(spark)
     reader = spark.read.option("lineSep", "\n").text(path)
     files = reader.inputFiles()
-    plain = [f for f in files if not f.lower().endswith(".gz")]
-    splittable = bool(plain)
-    if plain and all(map(readable, plain)):
-        records = read_records(spark, plain, range_bytes)
-        if len(plain) < len(files):
-            packed = spark.read.option("lineSep", "\n").text([f for f in files if f not in set(plain)])
-            records = records.unionByName(_assembled(packed, splittable=False))
+    if files and all(map(readable, files)):
+        records = read_records(spark, files, range_bytes)
     else:
-        records = _assembled(reader, splittable)
+        records = _assembled(reader, splittable=not all(map(packed, files)))
     return _fields(records, schema)
 
 
@@ -232,9 +231,10 @@ def write_escaped_tsv(df: DataFrame, path: str, compression: str = "gzip") -> No
     header = "\t".join(df.columns)
     lines = df.select(F.concat_ws("\t", *[_escape(F.col(c)) for c in df.columns]).alias("value"))
 
-    def with_header(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame({"value": [header]}, dtype=object)
-        yield from batches
+    def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": [header]})
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(b.columns, names=["value"])
 
-    lines.mapInPandas(with_header, schema="value string").write.mode("overwrite") \
+    lines.mapInArrow(with_header, schema="value string").write.mode("overwrite") \
         .option("compression", compression).option("lineSep", "\n").text(path)
