@@ -117,38 +117,65 @@ def spellings() -> dict[str, str]:
     return out
 
 
-def _array(values: list[str | None]) -> Column:
+def _array(values: list, kind: str = "array<string>") -> Column:
     """A literal array: read once, indexed in constant time."""
-    return F.from_json(F.lit(json.dumps(values)), "array<string>")
+    return F.from_json(F.lit(json.dumps(values)), kind)
+
+
+def _pages() -> Column:
+    """The spellings by page (a character's number / 256), then by place there."""
+    table = {ord(k): v for k, v in spellings().items()}
+    used = {k >> 8 for k in table}
+    return _array([[table.get(page << 8 | k) for k in range(256)] if page in used else None
+                   for page in range(max(used) + 1)], "array<array<string>>")
 
 
 def needs_cleaning(c: Column) -> Column:
     return c.rlike(NEEDS_CLEANING_PATTERN)
 
 
+def _hangul(at: int) -> str:
+    vowels, lasts = len(HANGUL_VOWEL), len(HANGUL_LAST)
+    return (HANGUL_FIRST[at // (vowels * lasts)] + HANGUL_VOWEL[at % (vowels * lasts) // lasts]
+            + HANGUL_LAST[at % lasts])
+
+
+@lru_cache(maxsize=1)
+def _short() -> tuple[str, str]:
+    """Characters spelled by one letter and these letters, then those spelled by none."""
+    syllables = len(HANGUL_FIRST) * len(HANGUL_VOWEL) * len(HANGUL_LAST)
+    table = spellings() | {chr(HANGUL_START + k): _hangul(k) for k in range(syllables)}
+    one = [k for k, v in table.items() if len(v) == 1]
+    return "".join(one) + "".join(k for k, v in table.items() if not v), "".join(table[k] for k in one)
+
+
 def transliterate(c: Column) -> Column:
-    """Each character looked up once, by its number in its block's table."""
-    table = spellings()
-    beside = [k for k in table if not any(s <= ord(k) < e for s, e in BLOCKS + NAMED_BLOCKS)]
-
-    def spelled(ch: Column) -> Column:
-        code = F.ascii(ch)  # the character's number, also beyond ASCII
-        out = F.when(code < 128, ch)
-        for start, end in BLOCKS + NAMED_BLOCKS:
-            values = [table.get(chr(k)) for k in range(start, end)]
-            out = out.when((code >= start) & (code < end),
-                           F.coalesce(F.element_at(_array(values), code - start + 1), ch))
-        for single in beside:
-            out = out.when(code == ord(single), table[single])
+    """Characters spelled by one letter (or none) are replaced in one pass. In values that
+    hold others, each character is then looked up, by its number in its page's table."""
+    return F.transform(F.array(F.translate(c, *_short())), lambda v: F.when(
+        v.rlike(NON_ASCII_PATTERN), _looked_up(v)).otherwise(v))[0]
+
+
+def _looked_up(c: Column) -> Column:
+    pages = _pages()
+
+    def spelled(ch: Column, code: Column) -> Column:
         at = code - HANGUL_START
         vowels, lasts = len(HANGUL_VOWEL), len(HANGUL_LAST)
         syllable = F.concat(
             F.element_at(_array(HANGUL_FIRST), F.floor(at / (vowels * lasts)).cast("int") + 1),
             F.element_at(_array(HANGUL_VOWEL), F.floor(at % (vowels * lasts) / lasts).cast("int") + 1),
             F.element_at(_array(HANGUL_LAST), at % lasts + 1))
-        return out.when(at.between(0, len(HANGUL_FIRST) * vowels * lasts - 1), syllable).otherwise(ch)
+        found = F.get(F.get(pages, F.shiftright(code, 8)), code.bitwiseAND(255))
+        return (F.when(code < 128, ch)
+                .when(at.between(0, len(HANGUL_FIRST) * vowels * lasts - 1), syllable)
+                .otherwise(F.coalesce(found, ch)))
+
+    def bound(ch: Column) -> Column:
+        """The character's number, also beyond ASCII, is taken once."""
+        return F.transform(F.array(F.ascii(ch)), lambda code: spelled(ch, code))[0]
 
-    return F.array_join(F.transform(F.split(c, ""), spelled), "")
+    return F.array_join(F.transform(F.split(c, ""), bound), "")
 
 
 def unmapped(c: Column) -> Column:
