@@ -2,7 +2,7 @@
 attribute (``.dbf``) record formats, as a Spark data source and a writer.
 
 A layer is one trio of files or a folder of them. Reading is driven by the
-index: a task has a byte range of a shape file, finds the records that begin in
+index: a task has byte ranges of a shape file; of each it finds the records that begin in
 it by bisection of the index, and reads these, their index entries and their
 attribute rows, a block at a time (or one record, if that is longer). Nothing but file
 lengths reaches the driver.
@@ -34,7 +34,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from rangewise.schemas import SPECIES_GEOSPATIAL_RAW
 from rangewise.session import ship_package
-from rangewise.sources.records import BLOCK_BYTES, RANGE_BYTES, created, opened
+from rangewise.sources.records import BLOCK_BYTES, RANGE_BYTES, TASKS, created, opened, share
 
 # --- fixed values of the formats -----------------------------------------------
 FILE_CODE, VERSION = 9994, 1000
@@ -174,20 +174,22 @@ class _Range(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.files, self.columns = json.loads(options["files"]), json.loads(options["columns"])
-        self.range_bytes = int(options["range_bytes"])
+        self.range_bytes, self.tasks = int(options["range_bytes"]), int(options["tasks"])
 
     def partitions(self) -> list[InputPartition]:
-        return [_Range(stem, s, min(s + self.range_bytes, size), encoding)
-                for stem, size, encoding in self.files for s in range(0, size, self.range_bytes)] or [_Range()]
+        step = share(sum(size for _, size, _ in self.files), self.range_bytes, self.tasks)
+        return [_Range(stem, s, min(s + step, size), encoding)
+                for stem, size, encoding in self.files for s in range(0, size, step)] or [_Range()]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         if partition.value:
             stem, start, end, encoding = partition.value
-            yield from records(stem, start, end, self.columns, encoding)
+            for s in range(start, end, self.range_bytes):
+                yield from records(stem, s, min(s + self.range_bytes, end), self.columns, encoding)
 
 
 class PolygonFiles(DataSource):
-    """Records of binary polygon layers (options: files, columns, range_bytes)."""
+    """Records of binary polygon layers (options: files, columns, range_bytes, tasks)."""
 
     @classmethod
     def name(cls) -> str:
@@ -229,7 +231,8 @@ def read_polygons(spark: SparkSession, path: str, encoding: str = "utf-8",
     if not files:
         raise LayerError(f"no shape files under {path}")
     return (spark.read.format("polygon_files").option("files", json.dumps(files))
-            .option("columns", json.dumps(columns)).option("range_bytes", str(range_bytes)).load())
+            .option("columns", json.dumps(columns)).option("range_bytes", str(range_bytes))
+            .option("tasks", str(TASKS * spark.sparkContext.defaultParallelism)).load())
 
 
 def read_layer(spark: SparkSession, path: str, **options) -> DataFrame:

@@ -196,9 +196,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         plain = [(path, size) for path, size in self.files if not packed(path)]
-        # whole ranges to a task, up to RANGE_BYTES
-        share = min(sum(size for _, size in plain) // self.tasks, RANGE_BYTES)
-        step = max(share // self.range_bytes, 1) * self.range_bytes
+        step = share(sum(size for _, size in plain), self.range_bytes, self.tasks)
         return [*(_Range(path, s, min(s + step, size)) for path, size in plain for s in range(0, size, step)),
                 *(_Range(path, 0, None) for path, _ in self.files if packed(path))] or [_Range("", 0, 0)]
 
@@ -225,6 +223,11 @@ class EscapedRecords(DataSource):
         return _Reader(self.options)
 
 
+def share(total: int, range_bytes: int, tasks: int) -> int:
+    """Bytes for a task: whole ranges that give ``tasks`` tasks some, up to ``RANGE_BYTES``."""
+    return max(min(total // tasks, RANGE_BYTES) // range_bytes, 1) * range_bytes
+
+
 def packed(path: str) -> bool:
     return path.lower().endswith(".gz")
 
