@@ -249,8 +249,8 @@ def _fitted(rings, max_vertices: int, significant: list[np.ndarray] | None = Non
     if total <= max_vertices:
         return rings
     least = [_least_ring(x, y) for x, y in rings]
-    significant = significances(rings) if significant is None else significant
-    orders = [o if len(o) > _LEAST_RING else np.zeros(len(o)) for o in significant]
+    orders = [np.zeros(len(x)) if len(x) <= _LEAST_RING else significance(x, y) if significant is None else significant[k]
+              for k, (x, y) in enumerate(rings)]
     # a ring's four most significant vertices are its least; each further one that stays counts
     more = np.concatenate([np.sort(o)[:-4] if len(keep) == 4 and len(o) > 4 else np.empty(0)
                            for o, keep in zip(orders, least)])
