@@ -106,3 +106,55 @@ def test_cells_equal_the_full_edge_list(spark, geo, bound, salt):
 def test_index_of_nothing(spark, geo):
     assert C.cell_index(geo.where("false")).count() == 0
     assert C.cell_index(geo.where("edges is null")).count() == 0
+
+
+def test_batches_of_edges_are_judged_as_by_sql(spark):
+    """The array forms of the tests by which edges are dealt to cells."""
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    n = 4000
+    ends = rng.integers(-24, 25, (4, n)) / rng.choice([1.0, 2.0, 10.0], n)
+    at = rng.integers(-24, 25, (4, n)) / rng.choice([1.0, 4.0], n)
+    x, y = np.minimum(at[0], at[2]), np.minimum(at[1], at[3])
+    right, top = np.maximum(at[0], at[2]), np.maximum(at[1], at[3])
+    half = np.arange(n) % 3 == 0  # points halfway along an edge, and beside by one decimal
+    x = np.where(half, (ends[0] + ends[2]) / 2, x) + np.where(np.arange(n) % 6 == 0, 1e-13, 0.0)
+    y = np.where(half, (ends[1] + ends[3]) / 2, y)
+    right, top = np.maximum(x, right), np.maximum(y, top)
+    big = np.arange(n) % 50 == 0  # beyond degrees
+    e = tuple(np.where(big, v * 1e5, v) for v in ends)
+    x, y, right, top = (np.where(big, v * 1e5, v) for v in (x, y, right, top))
+    df = spark.createDataFrame(
+        [(i, *map(float, r)) for i, r in enumerate(zip(*e, x, y, right, top))],
+        "i int, x1 double, y1 double, x2 double, y2 double, x double, y double, r double, t double")
+    rows = df.select("i", F.struct("x1", "y1", "x2", "y2").alias("s"), "x", "y", "r", "t").select(
+        F.expr(side_sql("x", "y")), F.expr(C.changes_sql("x", "y", "r", "t")), "i").orderBy("i").collect()
+    sides = C.side(x, y, e)
+    assert sides.tolist() == [r[0] for r in rows] and (sides == 0).sum() > 100
+    assert C.changes(x, y, right, top, e).tolist() == [r[1] for r in rows]
+    meets = C.touches(x, y, right, top, e)
+    inside = (x <= e[0]) & (e[0] <= right) & (y <= e[1]) & (e[1] <= top)
+    apart = (np.maximum(e[0], e[2]) < x) | (np.minimum(e[1], e[3]) > top)
+    assert meets[inside].all() and not meets[apart].any() and inside.any() and apart.any()
+
+
+def test_edges_are_dealt_without_a_row_for_every_child(spark):
+    """What is interpreted or repeated for each edge and child was nine tenths of the time."""
+    geo = build_layer(spark.createDataFrame(
+        [(1, "a", f"POLYGON ({star(300, 0, 0, 5, 9, 3)})")], "geom_row_id long, binomial string, wkt string"))
+    geo = geo.withColumnRenamed("binomial", "taxon_name")
+    cells, edges = C._roots(geo, C.LEAST_EXPONENT)
+    made = []
+    write = C._written
+
+    def kept(df, name):
+        made.append(df._jdf.queryExecution().toString())
+        return write(df, name)
+    C._written = kept
+    try:
+        C._divided(cells.where("n > 64"), edges, C.SALT_EDGES)
+    finally:
+        C._written = write
+    dealt = made[0].split("== Physical Plan ==")[1]
+    assert "MapInArrow" in dealt and "transform(" not in dealt and "explode(array(named_struct" not in dealt
