@@ -109,3 +109,12 @@ def test_banded_equals_full_on_a_grid_with_band_boundaries(spark):
         within("lon", "lat", "edges").alias("a"), within_banded("lon", "lat", "bands").alias("b"))
     assert out.filter(~F.col("a").eqNullSafe(F.col("b"))).count() == 0
     assert out.filter("a").count() > 0
+
+
+def test_blanks_of_any_kind_and_number_part_a_vertex(spark):
+    """Runs of blanks are folded once a ring, also those that begin a vertex."""
+    texts = ["POLYGON ((0 0,\n  4 0,\n\t4\t 4,\r\n0   0))", "POLYGON Z (( 0 0 7,4  0 7 , 4 4 7,0 0 7 ))"]
+    df = spark.createDataFrame([(t,) for t in texts], "wkt string")
+    ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)]
+    for row in df.select(wkt_rings("wkt").alias("r")).collect():
+        assert [[tuple(p) for p in r] for r in row["r"]] == [ring]
