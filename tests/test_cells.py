@@ -146,15 +146,30 @@ def test_edges_are_dealt_without_a_row_for_every_child(spark):
     geo = geo.withColumnRenamed("binomial", "taxon_name")
     cells, edges = C._roots(geo, C.LEAST_EXPONENT)
     made = []
-    write = C._written
+    write = C.written
 
     def kept(df, name):
         made.append(df._jdf.queryExecution().toString())
         return write(df, name)
-    C._written = kept
+    C.written = kept
     try:
         C._divided(cells.where("n > 64"), edges, C.SALT_EDGES)
     finally:
-        C._written = write
+        C.written = write
     dealt = made[0].split("== Physical Plan ==")[1]
     assert "MapInArrow" in dealt and "transform(" not in dealt and "explode(array(named_struct" not in dealt
+
+
+def test_the_layer_is_read_once_for_the_cells(spark, monkeypatch):
+    """Index and flag of the cell path read the geometry from one written copy."""
+    from rangewise.operators import observations
+    from rangewise.sources.fixtures import raw_tables
+    from rangewise.operators.taxa import explode_ancestry
+
+    read = []
+    index = observations.cell_index
+    monkeypatch.setattr(observations, "cell_index", lambda geo, bound: read.append(geo) or index(geo, bound))
+    raw = raw_tables(spark, "/root/testdata/sf0.001")
+    observations.species_observations(raw.observations_raw, explode_ancestry(raw.taxa_raw),
+                                      raw.species_geospatial_raw, force_shuffle=True, with_point=False)
+    assert all("cells-geometry" in f for f in read[0].inputFiles())
