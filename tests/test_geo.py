@@ -3,10 +3,11 @@ against a brute-force ray cast in exact rational arithmetic."""
 
 from fractions import Fraction
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rangewise.functions.geo import edges_area, edges_bbox, edges_length, rings_to_edges, within, wkt_rings
+from rangewise.functions.geo import edges_area, edges_bbox, edges_length, rings_to_edges, within, wkt_fault, wkt_rings
 
 SQUARE_WITH_HOLE = ("POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))")
 TWO_PARTS = "MULTIPOLYGON (((0 0, 2 0, 2 2, 0 2, 0 0)), ((5 5, 7 5, 7 7, 5 7, 5 5)))"
@@ -118,3 +119,7 @@ def test_blanks_of_any_kind_and_number_part_a_vertex(spark):
     ring = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 0.0)]
     for row in df.select(wkt_rings("wkt").alias("r")).collect():
         assert [[tuple(p) for p in r] for r in row["r"]] == [ring]
+    bad = spark.createDataFrame([("POLYGON ((0 0, 4t0, 4 4, 0 0))",), ("POLYGON ((0 0, 4 0n, 4 4, 0 0))",)], "wkt string")
+    assert [r[0] for r in bad.select(wkt_fault("wkt")).collect()] == ["vertex"] * 2
+    with pytest.raises(Exception, match="malformed polygon text"):
+        bad.select(wkt_rings("wkt")).collect()
