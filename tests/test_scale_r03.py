@@ -161,3 +161,29 @@ def test_compared_by_sums_as_by_rows(spark, tmp_path, change):
     # equal tables are not read again, nor their rows shuffled
     final = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert (f"{tmp_path}/a" in final) == bool(wrong)
+
+
+def _cells_of(spark, target, monkeypatch):
+    from rangewise.operators import observations
+    from rangewise.plans.model import build
+
+    counted = []
+    salted = observations.salted_join_keys
+    monkeypatch.setattr(observations, "salted_join_keys", lambda *a, **k: (counted.append(1), salted(*a, **k))[1])
+    w = build(spark, SF)
+    fact = observations.species_observations(w.raw.observations_raw, w.taxa, w.raw.species_geospatial_raw,
+                                             force_shuffle=True, with_point=False, salt_target_rows=target)
+    return sorted(map(repr, fact.collect())), bool(counted)
+
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_cells_are_counted_for_hot_species_only(spark, monkeypatch):
+    from rangewise.operators import observations
+
+    everything, counted = _cells_of(spark, 20, monkeypatch)
+    assert counted and everything
+    assert _cells_of(spark, 2_000_000, monkeypatch) == (everything, False)
+    monkeypatch.setattr(observations, "COUNT_SPECIES_FROM", 0)
+    assert _cells_of(spark, 20, monkeypatch) == (everything, True)
