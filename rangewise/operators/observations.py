@@ -109,16 +109,17 @@ def _settled(agg: DataFrame) -> DataFrame:
     return agg.select(*OBS_KEYS, flag.alias("observed_in_known_area"))
 
 
-def _of_hot_species(obs: DataFrame, species: DataFrame, target_rows: int) -> DataFrame | None:
+def _of_hot_species(obs: DataFrame, species: DataFrame, target_rows: int) -> tuple[DataFrame, bool]:
     """The observations among which a cell can have more than ``target_rows``
-    rows: those of species that have. None if there is no such species; a count
-    per species is far smaller than one per cell, and is all that most inputs need."""
+    rows, those of species that have, and whether there are such species (if not,
+    the rows are of an empty table). A count per species is far smaller than one
+    per cell, and is all that most inputs need."""
     if target_rows < COUNT_SPECIES_FROM:
-        return obs
+        return obs, True
     # at most count(obs) / target_rows rows
     hot = written(hot_key_salts(obs, "taxon_id", target_rows).join(species, "taxon_id", "left_semi")
                   .select("taxon_id"), "hot-species")
-    return None if hot.isEmpty() else obs.join(F.broadcast(hot), "taxon_id", "left_semi")
+    return (hot, False) if hot.isEmpty() else (obs.join(F.broadcast(hot), "taxon_id", "left_semi"), True)
 
 
 def _cell_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: ClassScope,
@@ -156,17 +157,15 @@ def _cell_partitioned(obs: DataFrame, geo: DataFrame, taxa: DataFrame, scope: Cl
 
     g = index.join(species, "taxon_name").select(key(F.col("ix"), F.col("iy")).alias("_k"), "k", "ix", "iy",
                                                  "ref", "edges", F.lit(True).alias("_cell"))
-    on = ["_k"]
-    counted = _of_hot_species(obs, species, salt_target_rows)
-    if counted is None:
-        o = looked_up(obs).drop("k")
+    counted, some = _of_hot_species(obs, species, salt_target_rows)
+    if not some:  # no rows to count, no key to deal over salts
+        o, row = looked_up(obs).drop("k"), F.col("observation_uuid")
+        counts = counted.select(F.col("taxon_id").cast("string").alias("_k"))
     else:
-        o = looked_up(obs.withColumn("_position", F.monotonically_increasing_id())).drop("k")
+        o, row = looked_up(obs.withColumn("_position", F.monotonically_increasing_id())).drop("k"), F.col("_position")
         counts = looked_up(counted.select("taxon_id", "longitude", "latitude")).select("_k")
-        o, g = salted_join_keys(o, g, "_k", F.col("_position"), target_rows=salt_target_rows,
-                                counted=counts)
-        on.append("_salt")
-    pairs = o.join(g, on, "left").where(F.col("_cell") | (F.col("_look") == 0))
+    o, g = salted_join_keys(o, g, "_k", row, target_rows=salt_target_rows, counted=counts)
+    pairs = o.join(g, ["_k", "_salt"], "left").where(F.col("_cell") | (F.col("_look") == 0))
     flagged = pairs.select(*OBS_KEYS, "_has_geometry", F.when(
         F.col("_cell"), within_cell("longitude", "latitude")).alias("_inside"))
     return _settled(flagged.groupBy(*OBS_KEYS).agg(
