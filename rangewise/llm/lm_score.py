@@ -46,6 +46,8 @@ HEAD = 1 << 19
 #: A word of the model's vocabulary is at least one in so many training
 #: tokens, and occurs at least so often.
 SHARE, LEAST = 1 << 18, 2
+#: Tokens that a task trains on or scores side by side.
+POOL = 1 << 22
 #: Parameters in a block.
 BLOCK = 1 << 16
 BLOCKS = "k int, copies long, tokens long, x binary"
@@ -123,7 +125,7 @@ class Head:
         """The model's id of each word hash."""
         at = np.minimum(np.searchsorted(self.vocab, h, sorter=self.vocab_order), len(self.vocab) - 1)
         at = self.vocab_order[at]
-        return np.where(self.vocab[at] == h, at, self.rest)
+        return np.where(self.vocab[at] == h, at, self.rest).astype(np.int32)
 
 
 def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Params:
@@ -134,9 +136,10 @@ def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Pa
 
         def learn(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             trainer = gru.Trainer(gru.unflat(now, head.size))
-            for b in chunks(batches):
-                codes, offsets, h = _hashed(b.column("text"))
-                trainer.learn(gru.Lanes.of(head.ids(h)[codes], offsets))
+            coded = ((offsets, head.ids(h)[codes]) for codes, offsets, h in
+                     (_hashed(b.column("text")) for b in chunks(batches)))
+            for some in _pooled(coded):
+                trainer.learn(_lanes(some))
             if trainer.tokens:
                 x = gru.flat(trainer.p)
                 task = TaskContext.get().partitionId()
@@ -155,6 +158,26 @@ def train(docs: DataFrame, head: Head, total: int, turns: int = TURNS) -> gru.Pa
     return params
 
 
+def _pooled(parts: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Parts, each (offsets, ids, ...), in lists of ``POOL`` tokens or of one
+    part: few long texts then keep many lanes waiting less often."""
+    held, tokens = [], 0
+    for part in parts:
+        if held and tokens + len(part[1]) > POOL:
+            yield held
+            held, tokens = [], 0
+        held.append(part)
+        tokens += len(part[1])
+    if held:
+        yield held
+
+
+def _lanes(parts: list[tuple]) -> gru.Lanes:
+    """The texts of all ``parts`` in order."""
+    sizes = np.concatenate([np.diff(part[0]) for part in parts])
+    return gru.Lanes.of(np.concatenate([part[1] for part in parts]), np.append(0, np.cumsum(sizes)))
+
+
 def _blocks(found: dict[tuple[int, int], tuple[int, np.ndarray]]) -> pa.RecordBatch:
     """Rows of (block, group of copies) -> (tokens, parameters)."""
     return pa.RecordBatch.from_arrays([
@@ -185,31 +208,37 @@ def _score(docs: DataFrame, head: Head, params: gru.Params) -> DataFrame:
     """Per row what needs no rare word's count, and the rare words."""
     weights = gru.flat(params)
 
+    def counted(b: pa.RecordBatch) -> tuple:
+        codes, offsets, h = _hashed(b.column("text"))
+        n = len(offsets) - 1
+        text = np.repeat(np.arange(n), np.diff(offsets))
+        ids, count = head.ids(h), head.count(h)
+        logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
+        rest = ids == head.rest
+        key, times = np.unique((text * len(h) + codes)[count[codes] < 0], return_counts=True)
+        where = np.searchsorted(key // len(h), np.arange(n + 1))
+        rare = pa.ListArray.from_arrays(
+            pa.array(where.astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(h[key % len(h)].view(np.int64)),
+                                        pa.array(times.astype(np.int32))], names=["word", "n"]))
+        return (offsets, ids[codes], b.column("doc_id"),
+                *(pa.array(np.bincount(text, x[codes], minlength=n).astype(t)) for x, t in (
+                    (count > 0, np.int64), (rest, np.int64), (logs, float), (logs * rest, float))), rare)
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = gru.unflat(weights, head.size)
         row = TaskContext.get().partitionId() << 40
-        for b in chunks(batches):
-            codes, offsets, h = _hashed(b.column("text"))
-            n = len(offsets) - 1
-            text = np.repeat(np.arange(n), np.diff(offsets))
-            ids, count = head.ids(h), head.count(h)
-            model = gru.log_likelihood(p, gru.Lanes.of(ids[codes], offsets), n)
-            logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 1.0), 0.0)
-            rest = ids == head.rest
-            key, times = np.unique((text * len(h) + codes)[count[codes] < 0], return_counts=True)
-            where = np.searchsorted(key // len(h), np.arange(n + 1))
-            rare = pa.ListArray.from_arrays(
-                pa.array(where.astype(np.int32)),
-                pa.StructArray.from_arrays([pa.array(h[key % len(h)].view(np.int64)),
-                                            pa.array(times.astype(np.int32))], names=["word", "n"]))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(row + np.arange(n)), b.column("doc_id"), pa.array(np.diff(offsets)),
-                *(pa.array(np.bincount(text, x[codes], minlength=n).astype(t)) for x, t in (
-                    (count > 0, np.int64), (rest, np.int64), (logs, float), (logs * rest, float))),
-                pa.array(model / np.log(10)), rare],
-                names=["row", "doc_id", "n_tokens", "n_known", "n_rest", "known_log", "rest_log",
-                       "model_log", "rare"])
-            row += n
+        for some in _pooled(counted(b) for b in chunks(batches)):
+            model = gru.log_likelihood(p, _lanes(some), sum(len(offsets) - 1 for offsets, *_ in some))
+            for offsets, _, doc_id, *rest, rare in some:
+                n = len(offsets) - 1
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row + np.arange(n)), doc_id, pa.array(np.diff(offsets)), *rest,
+                     pa.array(model[:n] / np.log(10)), rare],
+                    names=["row", "doc_id", "n_tokens", "n_known", "n_rest", "known_log", "rest_log",
+                           "model_log", "rare"])
+                model = model[n:]
+                row += n
 
     return docs.mapInArrow(score, SCORED)
 

@@ -399,3 +399,51 @@ def test_packing_stops_at_the_volume_bound():
     plan = packing.solve(dict(zip(lengths.tolist(), counts.tolist())))
     alone = sum(times for _, times in packing.best_fit(lengths, counts, 2048))
     assert plan.bound <= plan.sequences <= alone
+
+
+def test_few_lanes_have_long_windows():
+    """A long text beside short ones is not learned 16 words at a time; every
+    word is in one window, in order."""
+    offsets = np.cumsum([0, 9000, *[40] * 20])
+    lanes = gru.Lanes.of(np.arange(offsets[-1]) % 200, offsets)
+    windows = list(lanes.windows())
+    assert len(windows) < 15
+    places = np.concatenate([at[valid] for at, valid in windows])
+    assert sorted(places.tolist()) == list(range(offsets[-1]))
+    alone = np.concatenate([at[:, 0][valid[:, 0]] for at, valid in windows])
+    assert (np.diff(alone) == 1).all() and len(alone) == 9000
+
+
+def test_texts_of_several_batches_are_pooled(monkeypatch):
+    monkeypatch.setattr(lm_score, "POOL", 10)
+    sizes = [[3, 0, 4], [2], [9], [30, 1], [], [5]]
+    parts = [(np.cumsum([0, *s]), np.full(sum(s), k, np.int32)) for k, s in enumerate(sizes)]
+    pools = list(lm_score._pooled(iter(parts)))
+    assert [len(pool) for pool in pools] == [2, 1, 1, 2]
+    lanes = lm_score._lanes(pools[0])
+    assert np.bincount(lanes.text, minlength=4).tolist() == [3, 0, 4, 2]
+    assert lanes.target[lanes.text == 3].tolist() == [1, 1]
+
+
+@pytest.mark.parametrize("scale", [1.0, 60.0])
+def test_gru_probabilities_of_near_and_far_scores(scale):
+    """Also where exponentials below the highest possible score would vanish."""
+    rng = np.random.default_rng(1)
+    p = gru.initial(np.arange(gru.WORDS) + 1, 500)
+    p["class_w"] += rng.standard_normal(p["class_w"].shape).astype(np.float32) * np.float32(scale)
+    p["word_w"] += rng.standard_normal(p["word_w"].shape).astype(np.float32) * np.float32(scale)
+    h = np.tanh(rng.standard_normal((700, gru.UNITS))).astype(np.float32)
+    target = rng.integers(0, gru.WORDS + 1, 700)
+    size = len(p["word_b"])
+
+    def log_softmax(x):
+        x = x - x.max(axis=1, keepdims=True)
+        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+
+    cls, word = np.divmod(target, size)
+    k, h64 = np.arange(700), h.astype(float)
+    want = log_softmax(h64 @ p["class_w"] + p["class_b"])[k, cls]
+    for c in range(size):
+        some = cls == c
+        want[some] += log_softmax(h64[some] @ p["word_w"][c] + p["word_b"][c])[np.arange(some.sum()), word[some]]
+    assert np.allclose(gru._predict(p, h, target, None)[0], want, rtol=1e-4, atol=1e-4 * scale)
