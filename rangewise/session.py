@@ -68,19 +68,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def drop_scratch(spark: SparkSession, path: str) -> bool:
+    """Delete one scratch path; True if it existed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone = bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
+    _SCRATCH.remove(path)
+    return gone
+
+
 def clear_scratch(spark: SparkSession, keep: tuple[str, ...] = ()) -> int:
     """Delete the scratch paths this process made, but for ``keep``.
 
     Call it when the frames that read them have been consumed. Returns the
     number of paths that existed.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    gone = 0
-    for path in [p for p in _SCRATCH if p not in keep]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        gone += bool(p.getFileSystem(conf).delete(p, True))
-        _SCRATCH.remove(path)
-    return gone
+    return sum(drop_scratch(spark, path) for path in [p for p in _SCRATCH if p not in keep])
 
 
 _SHIPPED: set[str] = set()

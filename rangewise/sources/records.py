@@ -33,6 +33,8 @@ RANGE_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
 #: Least bytes that a task reads at once, and tasks to a core while files are small.
 LEAST_READ, TASKS = 64 << 10, 16
+#: Bytes of records that leave a task at once at least, however small its ranges.
+LEAST_BATCH = 1 << 20
 #: Schemes of paths that tasks can open by themselves.
 SCHEMES = ("", "file", "hdfs", "s3", "s3a", "gs")
 
@@ -182,6 +184,28 @@ def _records(blocks: Iterator[tuple[bytes, bool]], end: int | None = None) -> It
                 return
 
 
+def joined(batches: Iterator[pa.RecordBatch], least: int = LEAST_BATCH) -> Iterator[pa.RecordBatch]:
+    """The same records in batches of ``least`` bytes or more: each costs some milliseconds."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays([b.column(0) for b in held])], names=["record"])
+    for b in batches:
+        if b.nbytes >= least:
+            yield from out()
+            yield b
+            held, size = [], 0
+            continue
+        held.append(b)
+        size += b.nbytes
+        if size >= least:
+            yield from out()
+            held, size = [], 0
+    yield from out()
+
+
 class _Range(InputPartition):
     """Bytes [start, end) of a file, in ranges; a whole gzip file has no end."""
 
@@ -205,8 +229,8 @@ class _Reader(DataSourceReader):
         if path and end is None:
             yield from streamed(path)
         elif path:
-            for s in range(start, end, self.range_bytes):
-                yield from owned(path, s, min(s + self.range_bytes, end))
+            yield from joined(b for s in range(start, end, self.range_bytes)
+                              for b in owned(path, s, min(s + self.range_bytes, end)))
 
 
 class EscapedRecords(DataSource):
